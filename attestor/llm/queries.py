@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestor.llm import fingerprint, mixing, sharding
+from attestor.llm import decontaminate, fingerprint, mixing, sharding, token_counts
 from attestor.llm.scratch import materialize
 
 
@@ -15,10 +15,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    hits = F.col("hits")
+    return decontaminate.scan(docs.select("doc_id", "text"), items).select(
+        "doc_id", hits["n_words"].alias("n_words"), decontaminate.n_hit(hits).alias("n_hit"),
+        F.size(hits["items"]).cast("long").alias("n_items"), decontaminate.items_digest(hits).alias("items_sha256"),
+        decontaminate.contaminated(hits).alias("contaminated"),
+    )
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.range_sorted(mixing.mix(table(spark, sf_dir, "documents")))
 
@@ -39,5 +55,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
+#: Words by the pattern that decontamination takes, after A-Z is lower-cased.
+WORDS = r"""coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"""
+
+OP2_SQL = f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS id, {WORDS} AS w FROM benchmark),
+bw AS (SELECT DISTINCT id, least(13, len(w)) AS n, array_to_string(w[i : i + least(13, len(w)) - 1], ' ') AS g
+    FROM b, unnest(range(1, greatest(1, len(w) - 12) + 1)) t(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM bw),
+dg AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS g
+    FROM d, sizes, unnest(range(1, len(w) - n + 2)) t(i) WHERE len(w) >= n),
+hit AS (SELECT dg.doc_id, dg.i, dg.n, bw.id FROM dg JOIN bw ON dg.n = bw.n AND dg.g = bw.g),
+hw AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT doc_id, id FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hw ON hw.doc_id = d.doc_id LEFT JOIN it ON it.doc_id = d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_decontamination": OP2_SQL}
