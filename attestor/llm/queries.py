@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestor.llm import decontaminate, fingerprint, mixing, sharding, token_counts
+from attestor.llm import decontaminate, fingerprint, language_id, mixing, sharding, token_counts, toxicity
 from attestor.llm.scratch import materialize
 
 
@@ -15,6 +15,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(n: int):
+    """The remainder by which rows are held out."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(toxicity.labelled_sample(docs, labels.where(fold(5) != 0)))
+    scored = toxicity.score_documents(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", (F.coalesce(fold(5), F.lit(-1)) == 0).alias("held_out"), "score", "predicted")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     hits = F.col("hits")
@@ -25,6 +37,17 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def language_model(docs: DataFrame) -> language_id.LanguageModel:
+    """Learnt from the rows of ``docs`` that are not held out."""
+    return language_id.fit(docs.where(fold(4) != 2))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs.select("doc_id", "text"), language_model(docs))
+    return found.select("doc_id", (F.coalesce(fold(4), F.lit(-1)) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents"))
 
