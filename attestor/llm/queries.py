@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestor.llm import decontaminate, fingerprint, language_id, mixing, sharding, token_counts, toxicity
+from attestor.llm import decontaminate, fingerprint, language_id, mixing, sharding, token_counts, toxicity, url_filter
 from attestor.llm.scratch import materialize
 
 
@@ -58,6 +58,20 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+#: Fixed by the query's contract: host, path, verdict.
+RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.range_sorted(mixing.mix(table(spark, sf_dir, "documents")))
 
