@@ -7,11 +7,13 @@ roots mean equal texts, and where roots differ the first differing branches loca
 
 The fingerprint is a string: root, then for each section its digest, its paragraphs' digests and the
 short labels of their pieces: ``root|section:paragraph=piece.piece,paragraph=...|section:...``.
-A null text counts as empty, whose tree has one empty piece.
+A null text counts as empty, whose one paragraph has no piece.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from attestor.llm.ranges import in_range, range_count
 from attestor.llm.scratch import materialize
 
 #: A piece: up to 96 code points to the end of a sentence, ends of sentence included.
-PIECE = r"[^.!?]{0,96}[.!?]*"
+PIECE = r"[^.!?]{1,96}[.!?]*|[.!?]+"
 BLANK_LINES = r"(?<=\n)(?=[ \t]*\n)"
 #: Hex digits of the digests shown below the root.
 LABEL = 8
@@ -27,25 +29,34 @@ LABEL = 8
 SAMPLE = 20_000
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _node(digests: Column, shown: Column, mark: str, sep: str) -> Column:
+    """struct<d, s>: the digest over children's digests, and it with the children as shown."""
+    return _let(
+        F.sha2(F.array_join(digests, ""), 256),
+        lambda d: F.struct(d.alias("d"), F.concat(F.substring(d, 1, LABEL), F.lit(mark), F.array_join(shown, sep)).alias("s")),
+    )
+
+
 def _paragraph(p: Column) -> Column:
-    leaves = F.transform(F.regexp_extract_all(p, F.lit(PIECE), F.lit(0)), lambda x: F.lpad(F.lower(F.hex(F.xxhash64(x))), 16, "0"))
-    digest = F.sha2(F.array_join(leaves, ""), 256)
-    shown = F.array_join(F.transform(leaves, lambda x: F.substring(x, 1, LABEL)), ".")
-    return F.struct(digest.alias("d"), F.concat(F.substring(digest, 1, LABEL), F.lit("="), shown).alias("s"))
+    leaves = F.transform(F.regexp_extract_all(p, F.lit(PIECE), F.lit(0)), lambda x: F.lpad(F.hex(F.xxhash64(x)), 16, "0"))
+    return _let(leaves, lambda x: _node(x, F.transform(x, lambda y: F.right(y, F.lit(LABEL))), "=", "."))
 
 
 def _section(s: Column) -> Column:
     parts = F.transform(F.split(s, "\n", -1), _paragraph)
-    digest = F.sha2(F.array_join(F.transform(parts, lambda x: x["d"]), ""), 256)
-    shown = F.array_join(F.transform(parts, lambda x: x["s"]), ",")
-    return F.struct(digest.alias("d"), F.concat(F.substring(digest, 1, LABEL), F.lit(":"), shown).alias("s"))
+    return _let(parts, lambda x: _node(F.transform(x, lambda y: y["d"]), F.transform(x, lambda y: y["s"]), ":", ","))
 
 
 def fingerprint(text: Column) -> Column:
     """The fingerprint string of a text."""
     parts = F.transform(F.split(F.coalesce(text, F.lit("")), BLANK_LINES, -1), _section)
-    tree = F.transform(F.array(parts), lambda t: F.concat(F.sha2(F.array_join(F.transform(t, lambda x: x["d"]), ""), 256), F.lit("|"), F.array_join(F.transform(t, lambda x: x["s"]), "|")))
-    return F.get(tree, F.lit(0))
+    whole = lambda t: F.sha2(F.array_join(F.transform(t, lambda x: x["d"]), ""), 256)
+    return _let(parts, lambda t: F.concat(whole(t), F.lit("|"), F.array_join(F.transform(t, lambda x: x["s"]), "|")))
 
 
 def root(fp: Column) -> Column:
@@ -55,14 +66,19 @@ def root(fp: Column) -> Column:
 
 def pieces(fp: Column) -> Column:
     """The labels of a fingerprint's pieces, in order."""
-    return F.filter(F.split(F.substring(fp, 66, 1 << 30), r"(\||,|\.)?([0-9a-f]*:)?([0-9a-f]*=)|\."), lambda x: x != "")
+    return F.regexp_extract_all(F.substring(fp, 66, 1 << 30), F.lit(r"[=.]([0-9A-F]+)"), F.lit(1))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of the distinct pieces that two fingerprints have in common, of the longer's; 1 only for equal roots."""
-    pa, pb = F.array_distinct(pieces(a)), F.array_distinct(pieces(b))
-    most = F.greatest(F.size(pa), F.size(pb), F.lit(1))
-    part = F.least(F.size(F.array_intersect(pa, pb)) / most, 1 - 1 / (1 + most))
+    sets = F.struct(F.array_distinct(pieces(a)).alias("a"), F.array_distinct(pieces(b)).alias("b"))
+    part = _let(
+        sets,
+        lambda x: _let(
+            F.greatest(F.size(x["a"]), F.size(x["b"]), F.lit(1)),
+            lambda n: F.least(F.size(F.array_intersect(x["a"], x["b"])) / n, 1 - 1 / (1 + n)),
+        ),
+    )
     return F.when(root(a) == root(b), F.lit(1.0)).otherwise(part.cast("double"))
 
 
@@ -109,11 +125,12 @@ def with_next(docs: DataFrame, names: list[str]) -> DataFrame:
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edit (last half replaced by the next document's start)."""
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_next(base.withColumn("fingerprint", fingerprint(F.col("text"))), ["text", "fingerprint"])
+    rows = with_next(base, ["text"])
     half = F.floor(F.char_length("text") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.char_length("text") - half), F.substring(F.col("next_text"), F.lit(1), half))
     rows = rows.select(
-        "doc_id", F.char_length("text").cast("long").alias("n_chars"), "fingerprint", "next_fingerprint", edited.alias("_edited")
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), fingerprint(F.col("text")).alias("fingerprint"),
+        fingerprint(F.col("next_text")).alias("next_fingerprint"), edited.alias("_edited"),
     ).withColumn("edited_fingerprint", fingerprint(F.col("_edited")))
     return rows.select(
         "doc_id", "n_chars", F.sha2("_edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
