@@ -1,7 +1,7 @@
 """Merkle fingerprints of documents (DataFrame functions only).
 
 A text is a tree: sections (blocks between blank lines) of paragraphs (lines) of pieces (sentences,
-or 96 code points where a sentence runs on).  A piece's digest is its xxhash64; a paragraph's digest
+or 40 code points where a sentence runs on).  A piece's digest is its xxhash64; a paragraph's digest
 covers its pieces' digests, a section's its paragraphs', the root all sections' (SHA-256).  So equal
 roots mean equal texts, and where roots differ the first differing branches locate the edit.
 
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from attestor.llm.ranges import in_range, range_count
 from attestor.llm.scratch import materialize
 
-#: A piece: up to 96 code points to the end of a sentence, ends of sentence included.
-PIECE = r"[^.!?]{1,96}[.!?]*|[.!?]+"
+#: A piece: up to 40 code points to the end of a sentence, ends of sentence included.
+PIECE = r"[^.!?]{1,40}[.!?]*|[.!?]+"
 BLANK_LINES = r"(?<=\n)(?=[ \t]*\n)"
 #: Hex digits of the digests shown below the root.
 LABEL = 8

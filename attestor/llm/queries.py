@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestor.llm import decontaminate, fingerprint, language_id, mixing, ngram_join, sharding, token_counts, toxicity, url_filter
+from attestor.llm import decontaminate, fingerprint, language_id, line_dedup, mixing, ngram_join, sharding, token_counts, toxicity, url_filter
 from attestor.llm.scratch import materialize
 
 
@@ -92,6 +92,13 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.find_repeated(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed_lines")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
