@@ -107,6 +107,18 @@ def mix(
     )
 
 
+def take(docs: DataFrame, **options) -> DataFrame:
+    """The mix as documents, columns as they came: each as often as its words are taken, rounded.
+
+    Words of a document are taken wholly but where a source's demand ends, so rounding moves a source
+    by half a document at most.  Documents without words are not taken.
+    """
+    copies = mix(docs, **options).where("size > 0").select(F.col("doc_id").alias("_id"), F.round(F.col("taken") / F.col("size")).cast("int").alias("_n"))
+    copies = copies.where("_n > 0").groupBy("_id").agg(F.max("_n").alias("_n"))
+    taken = docs.join(copies, docs["doc_id"].eqNullSafe(F.col("_id")))
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+
+
 def range_sorted(mixed: DataFrame) -> DataFrame:
     """Range-sort by training position; documents that are not taken come last."""
     return mixed.orderBy(F.col("position").asc_nulls_last(), "doc_id")

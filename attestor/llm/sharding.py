@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attestor.llm.ranges import LOWEST, MAX_RANGES, long_literal, offsets, range_count, unit_interval
+from attestor.llm.scratch import materialize
 
 #: Bytes that a record costs besides its text.
 OVERHEAD = 8
@@ -134,6 +135,17 @@ def assign(rows: DataFrame, plan: ShardPlan) -> DataFrame:
     return placed.withColumn("slot", (F.col("_rank") - F.col("_first")).cast("long")).drop("_rank", "_first", "_k1", "_k2")
 
 
+def shard_documents(docs: DataFrame, n_shards: int) -> DataFrame:
+    """Add ``shard`` and ``slot`` to documents (doc_id, text and more), with near equal bytes a shard.
+
+    The plan is made from keys and sizes alone; then the documents are dealt once, by range.
+    """
+    text = F.coalesce("text", F.lit(""))
+    rows = keyed(docs, F.octet_length(text) + OVERHEAD, text, ["doc_id", "text"])
+    slim = materialize(rows.select("_size", "_k1", "_k2"), "shard-keys")
+    return assign(rows, shard_plan(slim, n_shards)).select(*docs.columns, "shard", "slot")
+
+
 def write_shards(placed: DataFrame, path: str) -> None:
     """Write assigned records as one folder a shard, in slot order; a shard may take many tasks."""
     placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
