@@ -1,21 +1,62 @@
-"""A corpus pipeline of five stages: language ID, near-duplicate join, decontamination, mixing, sharding."""
+"""A corpus pipeline of five stages: language ID, near-duplicate join, decontamination, mixing, sharding.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of
+``documents``.  Between stages the documents are written as Parquet and read again.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from attestor.llm import decontaminate, language_id, mixing, ngram_join, sharding
+from attestor.llm.scratch import materialize
 
-#: SQL cannot express the trained stages; tests hold them against brute force.
+#: SQL cannot express the trained and the iterative stages; tests hold them against brute force.
 ORACLE_SQL = None
 
-STAGES = []
+SHARDS = 24
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; between stages the documents are written and read again."""
-    from attestor.llm.scratch import materialize
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents whose language is recognised; learnt from rows that are not held out."""
+    learnt = docs.where(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) != 2)
+    return language_id.keep_known(docs, language_id.fit(learnt))
+
+
+def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document, of least doc_id, of each class of near duplicates."""
+    return ngram_join.keep_one(docs)
+
+
+def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents that are not contaminated by the benchmark."""
+    return decontaminate.remove_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Whole copies of each document, as many as the mix takes, rounded; no copy where it takes less than half."""
+    return mixing.take(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with ``shard`` (0 to 23, near equal bytes) and ``slot`` in it."""
+    return sharding.shard_documents(docs, SHARDS)
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("n-gram Jaccard join", join_near_duplicates),
+    ("benchmark decontamination", decontaminate_benchmark),
+    ("mixing sources to target weights", mix_sources),
+    ("sharding", shard),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply the stages to ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = materialize(docs, f"stage-{k}")
