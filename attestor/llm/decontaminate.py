@@ -128,7 +128,7 @@ def item_blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[list[
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Add ``hits``: struct of n_words, spans (merged, in words) and items (sorted ids).
+    """Add ``hits`` (in place of a column of this name): struct of n_words, spans (merged, in words) and items (sorted ids).
 
     The benchmark is a stated query set: each block of it is scanned over all rows, without a shuffle.
     """
@@ -139,7 +139,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes:
         docs = docs.withColumn(name, _scanner(sc.broadcast(WindowSet(items, width)))(F.col("text")))
         parts.append(F.col(name))
     if len(parts) == 1:
-        return docs.withColumnRenamed("_hits0", "hits")
+        return docs.withColumn("hits", F.col("_hits0")).drop("_hits0")
     spans = F.array_sort(F.flatten(F.array(*[p["spans"] for p in parts])))
     merged = F.aggregate(
         spans,
@@ -174,15 +174,23 @@ def items_digest(hits: Column) -> Column:
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """The documents that are not contaminated, columns as they came."""
-    return scan(docs, benchmark, width).where(~contaminated(F.col("hits"))).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("_row"), "text")
+    return scan(rows, benchmark, width).where(~contaminated(F.col("hits"))).select("_row.*")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """All documents, each occurrence of a window cut from its text, the rest as it was."""
-    scanned = scan(docs, benchmark, width)
-    cut = F.udf(_without, "string")  # only texts with hits pass through it
-    text = F.when(F.size("hits.spans") > 0, cut("text", "hits.spans")).otherwise(F.col("text"))
-    return scanned.withColumn("text", text).select(*docs.columns)
+    scanned = scan(docs.select(F.struct("*").alias("_row"), "text"), benchmark, width)
+
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, spans in batches:
+            pairs = zip(texts.to_pylist(), spans.to_pylist(), strict=True)
+            yield pa.array([_without(t, s) if s else t for t, s in pairs], pa.string())
+
+    cut.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    text = F.arrow_udf(cut, "string")(F.col("text"), F.col("hits.spans"))
+    rest = [F.col(f"_row.`{c}`").alias(c) if c != "text" else F.col("_cut").alias("text") for c in docs.columns]
+    return scanned.withColumn("_cut", text).select(*rest)
 
 
 def _without(text: str, spans: list) -> str:

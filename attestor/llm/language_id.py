@@ -216,7 +216,7 @@ def language(text: Column, model) -> Column:
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """Add ``lang_pred`` and ``score``."""
+    """Add ``lang_pred`` and ``score`` (in place of columns of these names)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     known = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)) & F.col("_l.lang").isNotNull()
     return (
@@ -233,4 +233,5 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 def keep_known(docs: DataFrame, model: LanguageModel, least: float = LEAST_SCORE) -> DataFrame:
     """The documents whose language is recognised, columns as they came."""
-    return identify(docs, model).where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("_row"), "text")
+    return identify(rows, model).where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select("_row.*")

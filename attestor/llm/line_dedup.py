@@ -310,7 +310,8 @@ def find_repeated(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARIT
 def remove_repeated(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """The documents without their repeated lines; columns as they came."""
     found = find_repeated(docs, k, similarity).where(F.size("removed") > 0).select(F.col("doc_id").alias("_id"), "removed")
-    joined = docs.join(found, docs["doc_id"] == F.col("_id"), "left")
-    kept = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("removed", i))
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return joined.withColumn("text", text).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_key"))
+    joined = rows.join(found, F.col("_key") == F.col("_id"), "left")
+    kept = F.filter(F.split("_row.text", "\n", -1), lambda x, i: ~F.array_contains("removed", i))
+    text = F.when(F.col("removed").isNull(), F.col("_row.text")).otherwise(F.array_join(kept, "\n"))
+    return joined.select(*[text.alias(c) if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])

@@ -115,8 +115,9 @@ def take(docs: DataFrame, **options) -> DataFrame:
     """
     copies = mix(docs, **options).where("size > 0").select(F.col("doc_id").alias("_id"), F.round(F.col("taken") / F.col("size")).cast("int").alias("_n"))
     copies = copies.where("_n > 0").groupBy("_id").agg(F.max("_n").alias("_n"))
-    taken = docs.join(copies, docs["doc_id"].eqNullSafe(F.col("_id")))
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_key"))
+    taken = rows.join(copies, F.col("_key").eqNullSafe(F.col("_id")))
+    return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("_n")))).select("_row.*")
 
 
 def range_sorted(mixed: DataFrame) -> DataFrame:

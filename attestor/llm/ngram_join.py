@@ -321,7 +321,8 @@ def keep_one(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARITY) ->
     Documents of null doc_id stay.
     """
     classes = join(docs, k, similarity).where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("_id")).distinct()
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    kept = docs.join(classes, docs["doc_id"] == F.col("_id"), "left_semi")
-    kept = kept.withColumn("_n", F.row_number().over(one)).where("_n = 1").select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_key"), F.xxhash64("text").alias("_tie"))
+    one = Window.partitionBy("_key").orderBy("_tie")
+    kept = rows.join(classes, F.col("_key") == F.col("_id"), "left_semi")
+    kept = kept.withColumn("_nth", F.row_number().over(one)).where("_nth = 1").select("_row.*")
     return kept.unionByName(docs.where("doc_id is null"))

@@ -138,12 +138,16 @@ def assign(rows: DataFrame, plan: ShardPlan) -> DataFrame:
 def shard_documents(docs: DataFrame, n_shards: int) -> DataFrame:
     """Add ``shard`` and ``slot`` to documents (doc_id, text and more), with near equal bytes a shard.
 
+    Columns of these names are replaced, all others stay.
+
     The plan is made from keys and sizes alone; then the documents are dealt once, by range.
     """
     text = F.coalesce("text", F.lit(""))
-    rows = keyed(docs, F.octet_length(text) + OVERHEAD, text, ["doc_id", "text"])
+    rows = docs.select(F.struct("*").alias("_row"), "doc_id", "text")
+    rows = keyed(rows, F.octet_length(text) + OVERHEAD, text, ["doc_id", "text"]).drop("doc_id", "text")
     slim = materialize(rows.select("_size", "_k1", "_k2"), "shard-keys")
-    return assign(rows, shard_plan(slim, n_shards)).select(*docs.columns, "shard", "slot")
+    kept = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c not in ("shard", "slot")]
+    return assign(rows, shard_plan(slim, n_shards)).select(*kept, "shard", "slot")
 
 
 def write_shards(placed: DataFrame, path: str) -> None:

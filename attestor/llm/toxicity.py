@@ -9,7 +9,7 @@ The decision threshold depends on the language, which is guessed from the text i
 over the same hashed words, its language names learnt from the sample): the logit is shifted so that
 each language's threshold, calibrated on held-back texts, falls on score 0.5.
 
-A null text counts as empty; empty texts get the score of no evidence.  Labels of a document that
+A null text counts as empty; texts without words get the share of toxic texts, below 0.5.  Labels of a document that
 contradict each other count as toxic.  Without both labels in the sample every score is 0.
 """
 
@@ -54,6 +54,7 @@ class ToxicityModel:
     prior: np.ndarray | None = None
     thresholds: dict[str, float] = field(default_factory=dict)
     default: float = 0.0
+    base: float = 0.0
 
     @classmethod
     def new(cls, seed: int) -> ToxicityModel:
@@ -103,7 +104,8 @@ class ToxicityModel:
         if not self.languages:
             return np.zeros(len(first) - 1)
         shift = np.array([self.thresholds.get(x, self.default) for x in self.languages])[self.guess(rows, first)]
-        return 1 / (1 + np.exp(-np.clip(self.logits(rows, first) - shift, -30, 30)))
+        score = 1 / (1 + np.exp(-np.clip(self.logits(rows, first) - shift, -30, 30)))
+        return np.where(np.diff(first) > 0, score, self.base)
 
 
 class _Trainer:
@@ -194,6 +196,7 @@ def fit(rows: list[tuple[str, int, str | None]], epochs: int = 5, batch: int = 3
         if len(rows_of[i]) <= 2000:
             np.add.at(counts[:, lang[i]], rows_of[i][:, 0], 1)
     model.languages = langs
+    model.base = min(float(y.mean()), 0.49)
     model.word_lang = np.log(counts / counts.sum(0)).astype(np.float32)
     model.prior = np.log((np.bincount(lang[train], minlength=len(langs)) + 1.0) / (len(train) + len(langs)))
 
@@ -225,11 +228,11 @@ def fit(rows: list[tuple[str, int, str | None]], epochs: int = 5, batch: int = 3
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 1) -> list[tuple[str, int, str | None]]:
     """About ``sample`` labelled documents, drawn by the hash of their ids, in a fixed order."""
-    labels = labels.where("doc_id is not null and toxic is not null")
+    labels = labels.select("doc_id", "toxic").where("doc_id is not null and toxic is not null")
     n = labels.count()
     drawn = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) <= F.lit(int(min(1.0, sample / max(n, 1)) * (1 << 30)))
     few = labels.where(drawn).groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
-    got = docs.where(drawn).join(F.broadcast(few), "doc_id")  # ``sample`` rows are expected
+    got = docs.select("doc_id", "text", "lang").where(drawn).join(F.broadcast(few), "doc_id")  # ``sample`` rows are expected
     rows = got.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "_toxic", "lang").collect()
     return [(r.text, int(r._toxic), r.lang) for r in sorted(rows, key=lambda r: (r.doc_id, r.text))]
 
