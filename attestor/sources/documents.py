@@ -28,7 +28,7 @@ def new_files(files: DataFrame, stored: DataFrame) -> DataFrame:
 
 def plain_texts(files: DataFrame) -> DataFrame:
     """(document_id, text): text files as one marked page."""
-    body = F.decode("content", F.lit("UTF-8"))
+    body = F.decode("content", "UTF-8")
     return files.where("mime = 'text/plain'").select("document_id", page_marked(F.lit(1), body).alias("text"))
 
 
