@@ -300,6 +300,7 @@ def find_repeated(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARIT
         matched = matched.unionByName(_matched(more, docs, place, k, similarity)).distinct()
 
     fate = copies.withColumnRenamed("doc_id", "first_doc").join(matched.withColumn("hit", F.lit(True)), "copy", "left")
+    fate = materialize(fate, "fates")  # so that the join below may split a line of very many copies
     compared = lines.where(usable).select("doc_id", "line", "copy", "first").join(fate, "copy")
     gone = F.coalesce("hit", F.lit(False)) | ~F.col("first") | (F.col("doc_id") != F.col("first_doc"))
     judged = compared.where(gone).select("doc_id", "line").groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed"))
