@@ -20,19 +20,20 @@ def components(edges: DataFrame) -> DataFrame:
     both = materialize(
         edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "edges"
     )
-    labels = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).withColumnRenamed("a", "node"), "labels-0")
+    start = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label"))
+    labels = materialize(start.select(F.col("a").alias("node"), "label"), "labels-0")
     for k in range(1, MAX_ROUNDS):
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
         # the least label in sight is offered to the node and to its present label
-        seen = labels.join(near, labels["node"] == near["a"], "left").select("node", "label", F.least("label", "near").alias("new"))
-        offers = seen.select("node", "new").unionByName(seen.select(F.col("label").alias("node"), "new")).groupBy("node").agg(F.min("new").alias("new"))
+        seen = labels.join(near, labels["node"] == near["a"], "left").select("node", F.col("label").alias("old"), F.least("label", "near").alias("new"))
+        told = seen.select(F.col("old").alias("node"), F.lit(None).cast("long").alias("old"), "new")
+        offers = seen.unionByName(told).groupBy("node").agg(F.max("old").alias("old"), F.min("new").alias("new"))
         # shortcut: take the label of the label
         jump = offers.select(F.col("node").alias("at"), F.col("new").alias("jumped"))
-        nxt = offers.join(jump, offers["new"] == jump["at"], "left").select("node", F.least("new", "jumped").alias("label"))
+        nxt = offers.join(jump, offers["new"] == jump["at"], "left").select("node", "old", F.least("new", "jumped").alias("label"))
         nxt = materialize(nxt, f"labels-{k}")
-        old = labels.withColumnRenamed("label", "old")
-        changed = nxt.join(old, "node").where(F.col("label") < F.col("old")).limit(1).count()
-        labels = nxt
+        changed = nxt.where(F.col("label") < F.col("old")).limit(1).count()
+        labels = nxt.select("node", "label")
         if not changed:
             return labels
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")

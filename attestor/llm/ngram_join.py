@@ -38,13 +38,15 @@ from attestor.llm.words import mix, run_hash, shingle_hashes, word_slices
 WORDS, SIMILARITY = 5, 0.8
 COORDINATES = 64
 RUNS = 10
-LEVELS = 6
+LEVELS = 4
 #: Sets of a node that is compared by brute force.
 SMALL = 64
-#: Estimated similarity from which two sets become candidates: five deviations below 0.8.
+#: Estimated similarity from which two sets become candidates: four deviations below 0.8.
 CANDIDATE = 0.55
-#: Estimated similarity from which a set is settled by the first of its node.
-SETTLED = 0.92
+#: Estimated similarity from which a set is settled by the first of its node, and that from which it
+#: becomes a candidate with it.  A set that is 0.8 similar to a settled one is at least 0.64 similar to
+#: the first (Jaccard distances add up), so it is found through the first too.
+SETTLED, WITH_FIRST = 0.84, 0.5
 #: Texts, and words of texts, in one side of a block of exact comparisons, on average at most.
 BLOCK, BLOCK_WORDS = 384, 400_000
 
@@ -176,7 +178,7 @@ def candidate_edges(reps: DataFrame, similarity: float = SIMILARITY, runs: int =
         held = members.join(small.select("path"), "path").join(reps, "id").select("path", "id", "sketch")
         parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         dealt = held.repartition(parts, "path").sortWithinPartitions("path", "id")
-        found.append(materialize(dealt.mapInArrow(lambda b: _alike(b, CANDIDATE), "a long, b long").distinct(), f"alike-{level}"))
+        found.append(materialize(dealt.mapInArrow(lambda b: _alike(b, CANDIDATE), "a long, b long"), f"alike-{level}"))
         if not large.limit(1).count():
             break
         firsts = large.join(reps.withColumnRenamed("id", "first").withColumnRenamed("sketch", "first_sketch"), "first").select("path", "first", "first_sketch")
@@ -184,14 +186,16 @@ def candidate_edges(reps: DataFrame, similarity: float = SIMILARITY, runs: int =
         same = there.join(firsts, "path").mapInArrow(_estimate, "id long, path long, first long, same double")
         same = materialize(same, f"firsts-{level}")
         last = level == levels - 1
-        near = same.where(F.col("id") != F.col("first")).where(F.lit(True) if last else F.col("same") >= CANDIDATE)
-        found.append(near.select(F.col("id").alias("a"), F.col("first").alias("b")).distinct())
+        near = same.where(F.col("id") != F.col("first")).where(F.lit(True) if last else F.col("same") >= WITH_FIRST)
+        found.append(near.select(F.col("id").alias("a"), F.col("first").alias("b")))
+        if last:
+            break
         rest = same.where((F.col("same") < SETTLED) & (F.col("id") != F.col("first")))
         members = rest.select("id", "path").join(reps, "id").mapInArrow(lambda b: _descend(b, similarity), "id long, path long")
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
-    return out.distinct()
+    return out
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -201,16 +205,16 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
         for i, j, w in word_slices(batch["text"], 1 << 20):
             shingles, first = shingle_hashes(w, k)
             copy = run_hash(w.hashes, w.first[:-1], w.first[1:], 3).view(np.int64)
-            rows: dict[str, list] = {c: [] for c in ("part", "block", "id", "copies", "shingles")}
+            rows: dict[str, list] = {c: [] for c in ("part", "block", "id", "copies", "shingles", "alone")}
             for x in (np.flatnonzero(copy == meta["id"][i:j]) + i).tolist():  # a doc_id may stand for several texts
                 s = np.unique(shingles[first[x - i] : first[x - i + 1]]).tobytes()
                 mine, n = int(meta["block"][x]), int(meta["blocks"][x])
                 for other in range(n):
                     a, b = min(mine, other), max(mine, other)
                     key = mix(np.array([meta["grp"][x]], np.int64).view(np.uint64) ^ np.uint64((a << 40) ^ (b << 16)), 9)
-                    for c, v in zip(rows, (int(key.view(np.int64)[0]), mine, int(meta["id"][x]), int(meta["copies"][x]), s), strict=True):
+                    for c, v in zip(rows, (int(key.view(np.int64)[0]), mine, int(meta["id"][x]), int(meta["copies"][x]), s, n == 1), strict=True):
                         rows[c].append(v)
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_()]
             yield pa.record_batch([pa.array(v, t) for v, t in zip(rows.values(), types, strict=True)], list(rows))
 
 
@@ -257,7 +261,8 @@ def _links(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.
             least[right] = np.where(linked.T, ids[left][None, :], far).min(1)
         label = _labels(linked, left, right, ids)
         some = np.flatnonzero(links > 0)
-        yield pa.record_batch([pa.array(ids[some]), pa.array(links[some]), pa.array(label[some])], ["id", "links", "label"])
+        alone = pa.array(np.full(len(some), bool(t["alone"][0].as_py())))
+        yield pa.record_batch([pa.array(ids[some]), pa.array(links[some]), pa.array(label[some]), alone], ["id", "links", "label", "alone"])
 
 
 def _labels(linked: np.ndarray, left: np.ndarray, right: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -294,12 +299,16 @@ def join(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARITY, runs:
     member = member.join(sizes, "label").select("rep_id", "id", "copies", F.col("label").alias("grp"), block, "blocks")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep_id"), "text")
     sets = texts.join(member, "rep_id").mapInArrow(
-        lambda b: _sets(b, k), "part long, block long, id long, copies long, shingles binary"
+        lambda b: _sets(b, k), "part long, block long, id long, copies long, shingles binary, alone boolean"
     )
     dealt = sets.repartition(parts, "part").sortWithinPartitions("part", "id")
-    links = materialize(dealt.mapInArrow(lambda b: _links(b, similarity), "id long, links long, label long"), "links")
+    links = materialize(dealt.mapInArrow(lambda b: _links(b, similarity), "id long, links long, label long, alone boolean"), "links")
     n_links = links.groupBy("id").agg(F.sum("links").alias("links"))
-    labels = components(links.select(F.col("id").alias("a"), F.col("label").alias("b"))).withColumnRenamed("node", "id")
+    # a group of one block knows its components; those of several blocks are put together
+    labels = links.where("alone").select("id", "label")
+    parted = links.where("not alone").select(F.col("id").alias("a"), F.col("label").alias("b"))
+    if parted.limit(1).count():
+        labels = labels.unionByName(components(parted).select(F.col("node").alias("id"), "label"))
 
     linked = copies.join(n_links, "id").join(labels, "id")
     classes = linked.groupBy("label").agg(F.min("rep_id").alias("class_id"))
@@ -308,6 +317,7 @@ def join(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARITY, runs:
         F.col("id").alias("copy"), "rep_id", F.coalesce("class_id", "rep_id").alias("class_id"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
+    of = materialize(of, "classes")  # so that the join below may split a class of very many copies
     known = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("copy")).alias("copy")
     return rows.select("doc_id", known).join(of, "copy", "left").select(
         "doc_id", F.coalesce("rep_id", "doc_id").alias("rep_id"), F.coalesce("class_id", "doc_id").alias("class_id"),
