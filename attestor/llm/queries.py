@@ -126,5 +126,33 @@ FROM d LEFT JOIN hw ON hw.doc_id = d.doc_id LEFT JOIN it ON it.doc_id = d.doc_id
 """
 
 
+OP9_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g FROM d, unnest(range(1, greatest(1, len(w) - 4) + 1)) t(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE c >= 0.8e0 * (a.n + b.n - c) - 1e-9),
+r AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+k AS (SELECT x AS doc_id, min(y) AS other FROM r GROUP BY x),
+e AS (SELECT x AS doc_id, count(*) AS links FROM l GROUP BY x),
+f AS (SELECT w, min(doc_id) AS rep FROM d WHERE len(w) > 0 GROUP BY w)
+SELECT d.doc_id, coalesce(rep, d.doc_id) AS rep_id, least(d.doc_id, coalesce(other, d.doc_id)) AS class_id, CAST(coalesce(links, 0) AS BIGINT) AS n_links
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id LEFT JOIN e ON e.doc_id = d.doc_id LEFT JOIN f ON f.w = d.w
+"""
+
+OP10_SQL = f"""
+WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+i AS (SELECT doc_id, i - 1 AS line, ls[i] AS text FROM t, unnest(range(1, len(ls) + 1)) u(i)),
+w AS (SELECT doc_id, line, {WORDS} AS w FROM i),
+s AS (SELECT DISTINCT doc_id, line, array_to_string(w[j : j + 4], ' ') AS g FROM w, unnest(range(1, len(w) - 3)) u(j) WHERE len(w) > 4),
+n AS (SELECT doc_id, line, count(*) AS n FROM s GROUP BY ALL),
+p AS (SELECT a.doc_id, a.line, b.doc_id AS d2, b.line AS l2, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND (b.doc_id < a.doc_id OR b.doc_id = a.doc_id AND b.line < a.line) GROUP BY ALL),
+m AS (SELECT DISTINCT p.doc_id, p.line FROM p JOIN n a ON a.doc_id = p.doc_id AND a.line = p.line JOIN n b ON b.doc_id = d2 AND b.line = l2 WHERE c >= 0.8e0 * (a.n + b.n - c) - 1e-9),
+r AS (SELECT doc_id, count(*) AS n_removed, string_agg(CAST(line AS VARCHAR), ',' ORDER BY line) AS removed_lines FROM m GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(removed_lines, '') AS removed_lines
+FROM t LEFT JOIN r ON r.doc_id = t.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL}
+    return {"op2_decontamination": OP2_SQL, "op9_ngram_jaccard_join": OP9_SQL, "op10_line_dedup": OP10_SQL}
