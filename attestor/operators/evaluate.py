@@ -148,3 +148,37 @@ def pooled_recall(pages: DataFrame) -> DataFrame:
         F.sum("n_reference").alias("n_reference"), F.sum("n_found").alias("n_found"),
         (F.sum("n_found") / F.nullif(F.sum("n_reference"), F.lit(0))).alias("pooled_recall"), F.avg(F.when(some, F.col("recall"))).alias("mean_page_recall"),
     )
+
+
+def consensus(trust: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
+    """(row_uid, score, correct) of labelled rows: both reviewers must say correct where both judged."""
+    x, y = a.select("row_uid", F.col("correct").alias("_x")), b.select("row_uid", F.col("correct").alias("_y"))
+    labelled = x.join(y, "row_uid", "full").select("row_uid", (F.coalesce("_x", "_y") & F.coalesce("_y", "_x")).alias("correct"))
+    return trust.select("row_uid", "score").join(labelled, "row_uid")
+
+
+def at_best_score(labelled: DataFrame) -> DataFrame:
+    """One row: distinct scores, rows and errors at the highest."""
+    scores = labelled.groupBy("score").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("correct")).alias("errors"))
+    return scores.agg(F.count(F.lit(1)).alias("distinct_scores"), F.max_by("n", "score").alias("n_at_max"), F.max_by("errors", "score").alias("errors_at_max"))
+
+
+def accuracy_by(labelled: DataFrame, bucket: str) -> DataFrame:
+    """(bucket, n, n_correct, accuracy, low, high) with the plain Wilson interval, not rounded or clamped."""
+    out = labelled.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"), F.count_if("correct").alias("n_correct"))
+    p, n, z = F.col("n_correct") / F.col("n"), F.col("n"), 1.96
+    centre, half = (p + z * z / (2 * n)) / (1 + z * z / n), z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n)) / (1 + z * z / n)
+    return out.withColumns({"accuracy": p, "low": centre - half, "high": centre + half})
+
+
+def human_recall(pages: DataFrame) -> DataFrame:
+    """One row: records present over present and missed, as people counted them page by page."""
+    present, missed = F.sum("present"), F.sum("missed")
+    return pages.agg(present.alias("present"), missed.alias("missed"), (present / F.nullif(present + missed, F.lit(0))).alias("recall"))
+
+
+def double_scored(sample: DataFrame, n: int, uid: str, seed: int = 0) -> DataFrame:
+    """Add ``double_scored``: a fixed part of about n rows that both reviewers get, whatever the sample's order."""
+    total = sample.agg(F.count(F.lit(1)).alias("_all"))
+    u = F.pmod(F.xxhash64(F.lit(seed), uid), F.lit(1 << 30)) / float(1 << 30)
+    return sample.crossJoin(F.broadcast(total)).withColumn("double_scored", u < n / F.col("_all")).drop("_all")  # one row

@@ -91,3 +91,39 @@ def first_match(rows: DataFrame, other: DataFrame, keys: Sequence[str], name: st
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     return rows.join(first, cond, "left").drop("_short", *[f"_k_{k}" for k in keys])
+
+
+def best_match(rows: DataFrame, other: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Each row with ``match_rate``: of the other rows of its key whose name holds its name or is held by it,
+    the first that has a rate, else null.  ``matched`` tells whether any name fits."""
+    got = other.select(*[F.col(k).alias(f"_k_{k}") for k in keys], alnum(F.col(name)).alias("_other"), F.col("rate").alias("_rate"), F.col("record_seq").alias("_seq"))
+    got = got.groupBy(*[f"_k_{k}" for k in keys], "_other").agg(F.min(F.struct(F.col("_rate").isNull().alias("no"), F.col("_seq"), F.col("_rate"))).alias("_first"))
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    mine = alnum(F.col(name))
+    fits = cond & (F.contains(mine, F.col("_other")) | F.contains(F.col("_other"), mine))
+    joined = rows.join(got, fits, "left")
+    best = joined.groupBy("record_seq").agg(F.min("_first").alias("_best"))
+    out = rows.join(best, "record_seq", "left")
+    return out.withColumns({"matched": F.col("_best").isNotNull(), "match_rate": F.col("_best._rate")}).drop("_best")
+
+
+def lift_summary(scored: DataFrame, floor: float = 0.2) -> DataFrame:
+    """One row: by a true rate, how many rows a new reading fixes, a baseline had right, and people must judge."""
+    near = lambda c: F.coalesce(F.abs(F.col(c) - F.col("truth")) <= band(F.col("truth"), floor), F.lit(False))
+    known = F.col("truth").isNotNull()
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(known & near("rate") & ~near("baseline")).alias("fixed"), F.count_if(known & near("baseline")).alias("baseline_right"),
+        F.count_if(known & ~near("rate") & near("baseline")).alias("broken"), F.count_if(~known).alias("needs_human"),
+    )
+
+
+def counts_by_source(labels: DataFrame, source: str = "label_source") -> DataFrame:
+    """(source, n, n_rated): where number labels came from, and how many were given a series."""
+    return labels.groupBy(source).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("series").isNotNull()).alias("n_attributed"))
+
+
+def number_labels(words: DataFrame) -> DataFrame:
+    """Words that are number labels of a figure: up to three digits, a fraction, a percent sign."""
+    return words.where(F.col("word").rlike(r"^\d{1,3}(\.\d+)?%?$")).withColumn("value", F.replace("word", F.lit("%"), F.lit("")).cast("double"))

@@ -356,9 +356,9 @@ def chunk_pack(spark, sf):
     return _marked(spark, sf).select("conv_id", F.size(c).alias("n_chunks"), F.length(F.array_join(c, "")).cast("long").alias("n_chars"))
 
 
-@query("""SELECT DISTINCT 'd' || substr(sha1(sha256(text)), 1, 16) || '-c0' AS custom_id, sha256(text) AS document_id FROM documents WHERE length(text) <= 7000""")
+@query("""SELECT DISTINCT 'd' || substr(sha1(sha256(text)), 1, 16) || '-c0' AS custom_id, sha256(text) AS document_id FROM documents""")
 def chunk_requests(spark, sf):
-    d = table(spark, sf, "documents").where("char_length(text) <= 7000").withColumn("document_id", F.sha2("text", 256))
+    d = table(spark, sf, "documents").withColumn("document_id", F.sha2("text", 256))  # no page marks: one chunk each
     return text.requests(d, "doc_id").select("custom_id", "document_id")
 
 
@@ -627,21 +627,21 @@ def pooled_recall(spark, sf):
     return out.withColumns({c: F.round(c, 9) for c in ("pooled_recall", "mean_page_recall")})
 
 
-@query("""WITH f AS (SELECT p_size AS page, left(regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g'), 8) AS short, min(p_partkey) AS k FROM part WHERE p_partkey % 2 = 0 GROUP BY ALL)
+@query("""WITH f AS (SELECT p_size AS page, left(regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g'), 8) AS short, min(p_partkey) AS k FROM part GROUP BY ALL)
 SELECT p_partkey, k AS matched_value FROM part LEFT JOIN f ON page = p_size AND short = left(regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g'), 8)""")
 def first_prefix_match(spark, sf):
     p = table(spark, sf, "part").withColumns({"page": F.col("p_size"), "record_seq": F.col("p_partkey"), "value": F.col("p_partkey")})
-    return reconcile.first_match(p, p.where("p_partkey % 2 = 0"), ["page"], "p_name").select("p_partkey", "matched_value")
+    return reconcile.first_match(p, p, ["page"], "p_name").select("p_partkey", "matched_value")
 
 
-@query(r"""WITH a AS (SELECT p_partkey, p_size AS page, regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') AS n FROM part WHERE p_partkey % 100 = 1),
-b AS (SELECT DISTINCT p_size AS page, p_name AS raw, regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') AS n FROM part WHERE p_partkey % 4 = 0),
+@query(r"""WITH a AS (SELECT p_partkey, p_size AS page, p_brand, regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') AS n FROM part),
+b AS (SELECT DISTINCT p_size AS page, p_brand, p_name AS raw, regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') AS n FROM part),
 c AS (SELECT a.p_partkey, contains(a.n, b.n) OR contains(b.n, a.n) OR EXISTS (SELECT 1 FROM unnest(range(1, greatest(length(a.n) - 5, 1) + 1)) t(i) WHERE
-    list_contains(list_transform(range(1, greatest(length(b.n) - 5, 1) + 1), lambda j: substr(b.n, j, 6)), substr(a.n, i, 6))) AS o FROM a JOIN b ON a.page = b.page)
+    list_contains(list_transform(range(1, greatest(length(b.n) - 5, 1) + 1), lambda j: substr(b.n, j, 6)), substr(a.n, i, 6))) AS o FROM a JOIN b ON a.page = b.page AND a.p_brand = b.p_brand)
 SELECT p_partkey, CASE WHEN bool_or(o) THEN count(*) FILTER (o) ELSE count(*) END AS n, count(*) FILTER (o) AS n_overlap FROM c GROUP BY p_partkey""")
 def overlap_candidates(spark, sf):
     p = table(spark, sf, "part").withColumns({"page": F.col("p_size"), "record_seq": F.col("p_partkey")})
-    got = reconcile.overlapping(p.where("p_partkey % 4 = 0"), p.where("p_partkey % 100 = 1"), ["page"], "p_name")
+    got = reconcile.overlapping(p, p, ["page", "p_brand"], "p_name")
     return got.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("n"), F.count_if("overlap").alias("n_overlap"))
 
 
@@ -709,3 +709,97 @@ def event_windows(spark, sf):
     from attestor.streaming.ingest import windowed_counts
 
     return windowed_counts(table(spark, sf, "events"))
+
+
+# ---------------------------------------------------------------- reviewer studies
+
+
+@query("""WITH J AS (SELECT doc_id, quality = 1 AS x, toxic = 0 AS y, doc_id % 5 <> 0 AS a, doc_id % 7 <> 0 AS b FROM labels)
+SELECT CAST(doc_id AS VARCHAR) AS row_uid, CAST(doc_id % 10 AS DOUBLE) AS score, CASE WHEN a AND b THEN x AND y WHEN a THEN x ELSE y END AS correct FROM J WHERE a OR b""")
+def label_consensus(spark, sf):
+    trust = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("row_uid"), (F.col("doc_id") % 10).cast("double").alias("score"))
+    return evaluate.consensus(trust, *_reviewers(spark, sf))
+
+
+@query(J_SQL + " SELECT count(DISTINCT score) AS distinct_scores, count(*) FILTER (score = (SELECT max(score) FROM J)) AS n_at_max, count(*) FILTER (score = (SELECT max(score) FROM J) AND NOT correct) AS errors_at_max FROM J")
+def errors_at_best_score(spark, sf):
+    return evaluate.at_best_score(judged(spark, sf))
+
+
+@query(J_SQL + """, A AS (SELECT lang, count(*) AS n, count(*) FILTER (correct) AS k FROM J GROUP BY lang), B AS (SELECT *, k / CAST(n AS DOUBLE) AS p FROM A)
+SELECT lang, n, k AS n_correct, round(p, 9) AS accuracy, round((p + 3.8416e0 / (2 * n)) / (1 + 3.8416e0 / n) - 1.96e0 * sqrt(p * (1 - p) / n + 3.8416e0 / (4.0e0 * n * n)) / (1 + 3.8416e0 / n), 9) AS low,
+    round((p + 3.8416e0 / (2 * n)) / (1 + 3.8416e0 / n) + 1.96e0 * sqrt(p * (1 - p) / n + 3.8416e0 / (4.0e0 * n * n)) / (1 + 3.8416e0 / n), 9) AS high FROM B""")
+def accuracy_by_bucket(spark, sf):
+    out = evaluate.accuracy_by(judged(spark, sf), "lang")
+    return out.withColumns({c: F.round(c, 9) for c in ("accuracy", "low", "high")})
+
+
+@query("SELECT CAST(sum(turn) AS BIGINT) AS present, CAST(sum(turn % 3) AS BIGINT) AS missed, round(sum(turn) / CAST(sum(turn) + sum(turn % 3) AS DOUBLE), 9) AS recall FROM conversations")
+def human_recall(spark, sf):
+    c = table(spark, sf, "conversations").select(F.col("turn").alias("present"), (F.col("turn") % 3).alias("missed"))
+    return evaluate.human_recall(c).withColumn("recall", F.round("recall", 9))
+
+
+@query("""WITH a AS (SELECT p_partkey, p_size, regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') AS n FROM part),
+b AS (SELECT p_partkey AS k, p_size AS s, regexp_replace(lower(left(p_name, 12)), '[^a-z0-9]', '', 'g') AS m, CASE WHEN p_partkey % 3 <> 0 THEN p_retailprice END AS rate FROM part),
+c AS (SELECT p_partkey, min((rate IS NULL, k, rate)) AS best FROM a JOIN b ON p_size = s AND (contains(n, m) OR contains(m, n)) GROUP BY p_partkey)
+SELECT a.p_partkey, c.best IS NOT NULL AS matched, (SELECT rate FROM b WHERE b.k = c.best[2]) AS match_rate FROM a LEFT JOIN c USING (p_partkey)""")
+def best_name_match(spark, sf):
+    p = table(spark, sf, "part").withColumn("record_seq", F.col("p_partkey"))
+    rate = F.when(F.col("p_partkey") % 3 != 0, F.col("p_retailprice"))
+    other = p.withColumns({"rate": rate, "p_name": F.substring("p_name", 1, 12)})
+    got = reconcile.best_match(p, other, ["p_size"], "p_name")
+    return got.select("p_partkey", "matched", "match_rate")
+
+
+@query("""WITH s AS (SELECT CASE WHEN p_partkey % 4 <> 0 THEN p_retailprice END AS truth, p_retailprice + p_partkey % 3 * 5 AS rate, p_retailprice + p_partkey % 2 * 20 AS baseline FROM part),
+t AS (SELECT truth, coalesce(abs(rate - truth) <= greatest(0.2e0, 0.01e0 * abs(truth)), false) AS r, coalesce(abs(baseline - truth) <= greatest(0.2e0, 0.01e0 * abs(truth)), false) AS b FROM s)
+SELECT count(*) AS n, count(*) FILTER (truth IS NOT NULL AND r AND NOT b) AS fixed, count(*) FILTER (truth IS NOT NULL AND b) AS baseline_right, count(*) FILTER (truth IS NOT NULL AND NOT r AND b) AS broken, count(*) FILTER (truth IS NULL) AS needs_human FROM t""")
+def lift_summary(spark, sf):
+    k, price = F.col("p_partkey"), F.col("p_retailprice")
+    rows = table(spark, sf, "part").select(F.when(k % 4 != 0, price).alias("truth"), (price + k % 3 * 5).alias("rate"), (price + k % 2 * 20).alias("baseline"))
+    return reconcile.lift_summary(rows)
+
+
+@query("""SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'vector' ELSE 'ocr' END AS label_source, count(*) AS n, count(*) FILTER (v > 50) AS n_attributed
+    FROM (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN o_orderkey % 1000 WHEN 1 THEN (o_orderkey % 1000) / 10.0e0 END AS v FROM orders) WHERE v IS NOT NULL GROUP BY label_source""")
+def figure_labels(spark, sf):
+    k = F.col("o_orderkey")
+    word = F.when(k % 3 == 0, F.concat(k % 1000, F.lit("%"))).when(k % 3 == 1, (k % 1000 / 10).cast("string")).otherwise(F.concat(k, F.lit(" of them")))
+    labels = reconcile.number_labels(table(spark, sf, "orders").select(k, word.alias("word")))
+    return reconcile.counts_by_source(labels.withColumns({"label_source": F.when(k % 2 == 0, "vector").otherwise("ocr"), "series": F.when(F.col("value") > 50, "a")}))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '{"b": 2}' ELSE '{"a": 1}' END AS answer, o_orderkey % 3 = 0 AS escalated FROM orders""")
+def model_escalation(spark, sf):
+    from attestor.operators import providers
+
+    k = F.col("o_orderkey")
+    o = table(spark, sf, "orders").select(k.cast("string").alias("custom_id"), k)
+    first = o.select("custom_id", F.when(k % 3 == 0, F.when(k % 2 == 0, "{}")).otherwise('{"a": 1}').alias("answer"))
+    second = o.select("custom_id", F.lit('{"b": 2}').alias("answer"))
+    return providers.escalate(first, second).select(F.col("custom_id").cast("long").alias("o_orderkey"), "answer", "escalated")
+
+
+@query("SELECT DISTINCT sha256(text) AS document_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM documents e WHERE e.text = d.text AND e.doc_id % 3 = 0)")
+def resume_pending(spark, sf):
+    from attestor.operators import providers
+
+    d = table(spark, sf, "documents").withColumn("document_id", F.sha2("text", 256))
+    asked = text.requests(d, "doc_id")
+    done = text.requests(d.where("doc_id % 3 = 0"), "doc_id").select("custom_id", F.lit("succeeded").alias("status"))
+    return providers.pending(asked, done).select("document_id")
+
+
+@query("""SELECT o_orderkey, status FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'errored' ELSE 'succeeded' END AS status FROM orders)""")
+def provider_calls(spark, sf):
+    from attestor.operators import providers
+
+    def answer(chunk: str) -> str:
+        if int(chunk) % 5 == 0:
+            raise ValueError("no answer")
+        return "{}"
+
+    k = F.col("o_orderkey").cast("string")
+    asked = table(spark, sf, "orders").select(k.alias("custom_id"), k.alias("chunk"))
+    return providers.call_provider(asked, answer, retries=2, wait=0).select(F.col("custom_id").cast("long").alias("o_orderkey"), "status")
