@@ -9,9 +9,10 @@ their Jaccard similarity - each with chance 1/(similarity x coordinates), and it
 of each sampled token that they hold.  A node of at most ``SMALL`` sets is compared by brute force.  In
 a larger one, which near copies never leave, all sets are compared with its first; those nearly equal
 to it are settled, the others descend.  What is still together at the last level is one candidate
-group, compared by brute force later.  Runs are repeated until the target recall: a pair at the
-threshold meets in a run with chance 1 - exp(-x), x from the level above, so RUNS = 10 leaves 1 in 2000
-unmet even if each meeting needs two levels.
+group, compared by brute force later.  Runs are repeated until the target recall: a set of RUNS = 10
+roots samples 14 tokens with the fixed seeds here, so a pair at the threshold misses all of them with
+chance 0.2^14; where all its nodes are large, and it is in none of them found through the first, it
+shares a child of each node with chance 1 - 1/e, so about 1 in 70,000 such pairs is missed.
 
 Sketches only gather candidate groups.  Within a group all pairs of different texts are verified on
 their exact shingle sets, in blocks that are spread over tasks; pairs are counted, not written.
