@@ -182,3 +182,16 @@ def double_scored(sample: DataFrame, n: int, uid: str, seed: int = 0) -> DataFra
     total = sample.agg(F.count(F.lit(1)).alias("_all"))
     u = F.pmod(F.xxhash64(F.lit(seed), uid), F.lit(1 << 30)) / float(1 << 30)
     return sample.crossJoin(F.broadcast(total)).withColumn("double_scored", u < n / F.col("_all")).drop("_all")  # one row
+
+
+def misses(found: DataFrame, keys: list[str], most: int = 5) -> DataFrame:
+    """At most ``most`` names of each page that weren't found, in order."""
+    w = Window.partitionBy(*keys).orderBy("name")
+    return found.where("not found").withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most).drop("_n")
+
+
+def pick_pages(pages: DataFrame, key: str, page: str, per_document: int = 3, total: int | None = None, seed: int = 0) -> DataFrame:
+    """A sample of pages for recall studies: a few of each document, by the hash of their ids."""
+    h = F.xxhash64(F.lit(seed), key, page)
+    chosen = pages.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(h, page))).where(F.col("_n") <= per_document).drop("_n")
+    return chosen.orderBy(h, key, page).limit(total) if total else chosen

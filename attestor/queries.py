@@ -803,3 +803,22 @@ def provider_calls(spark, sf):
     k = F.col("o_orderkey").cast("string")
     asked = table(spark, sf, "orders").select(k.alias("custom_id"), k.alias("chunk"))
     return providers.call_provider(asked, answer, retries=2, wait=0).select(F.col("custom_id").cast("long").alias("o_orderkey"), "status")
+
+
+@query(RECALL_SQL + " SELECT page, name FROM (SELECT *, row_number() OVER (PARTITION BY page ORDER BY name) AS nth FROM f WHERE NOT found) WHERE nth <= 5")
+def recall_misses(spark, sf):
+    return evaluate.misses(_recall(spark, sf), ["page"]).select("page", "name")
+
+
+@query("SELECT conv_id, least(count(DISTINCT turn), 3) AS n FROM conversations GROUP BY conv_id")
+def recall_pages(spark, sf):
+    pages = table(spark, sf, "conversations").select("conv_id", "turn").distinct()
+    return evaluate.pick_pages(pages, "conv_id", "turn").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'Texas' WHEN 1 THEN 'District of Columbia' END AS name, CASE s_suppkey % 3 WHEN 0 THEN 'OH' WHEN 1 THEN 'WV' END AS code FROM supplier")
+def state_names(spark, sf):
+    from attestor.functions.states import state_code, state_name
+
+    k = F.col("s_suppkey") % 3
+    return table(spark, sf, "supplier").select("s_suppkey", state_name(F.when(k == 0, " tx").when(k == 1, "DC").otherwise("ZZ")).alias("name"), state_code(F.when(k == 0, "ohio").when(k == 1, "West Virginia ").otherwise("x")).alias("code"))

@@ -230,6 +230,52 @@ def test_links(spark):
     assert links.report_links(links.anchors(pages), ["report"], most=1).count() == 1
 
 
+def test_landing_pages(spark):
+    entries = spark.createDataFrame([(0, "http://a/", None, None), (1, "http://a/", ["minutes"], 5), (2, None, None, None), (3, "http://gone/", None, None)], "ordinal int, landing_url string, landing_keywords array<string>, landing_max int")
+    html = "".join(f'<a href="/r{y}.pdf">EQR report {y}</a>' for y in range(2015, 2020)) + '<a href="/m.pdf">Minutes</a>'
+    pages = spark.createDataFrame([("http://a/", html)], "url string, html string")
+    got = links.landing_candidates(entries, pages, ["eqr"]).orderBy("entry", "rank").collect()
+    assert [(r.entry, r.url) for r in got] == [(0, "http://a/r2019.pdf"), (0, "http://a/r2018.pdf"), (0, "http://a/r2017.pdf"), (1, "http://a/m.pdf")]
+
+
+def test_providers(spark):
+    from attestor.operators import providers
+
+    def answer(chunk):
+        if chunk == "bad":
+            raise RuntimeError("down")
+        return chunk.upper()
+
+    asked = spark.createDataFrame([("a", "x"), ("b", "bad")], "custom_id string, chunk string")
+    got = providers.call_provider(asked, answer, tasks=2, retries=2, wait=0)
+    assert {r.custom_id: (r.status, r.answer, r.error) for r in got.collect()} == {"a": ("succeeded", "X", None), "b": ("errored", None, "RuntimeError: down")}
+    assert [r.custom_id for r in providers.pending(asked, got).collect()] == ["b"]
+    recorded = spark.createDataFrame([("a", "{}")], "custom_id string, answer string")
+    assert {r.custom_id: r.status for r in providers.answers_from(asked, recorded).collect()} == {"a": "succeeded", "b": "missing"}
+    assert providers.blocks(asked, 1).where("block between 0 and 1").count() == 2
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from attestor.plans import cli
+
+    (tmp_path / "f").mkdir()
+    (tmp_path / "f" / "a.txt").write_text(EQR_TEXT)
+    (tmp_path / "sources_eqr.yaml").write_text("sources:\n- {state: TX, eqro: Q, reports: [{year: 2024, local_path: data/a.txt}]}\n")
+    source = ["--dataset", "eqr", "--registry", str(tmp_path), "--files", str(tmp_path / "f"), "--no-parquet"]
+    cli.main(["run", *source, "--out", f"{tmp_path}/r"])
+    assert json.loads(capsys.readouterr().out)["tables"]["eqr_quality_measures"] == 5
+    cli.main(["batch", *source, "--merge", f"{tmp_path}/r", "--out", f"{tmp_path}/r2"])
+    assert json.loads(capsys.readouterr().out)["summary"]["n_records"] == 7
+    cli.main(["sample", "--dataset", "eqr", "--release", f"{tmp_path}/r2", "--n", "3", "--out", f"{tmp_path}/gold"])
+    assert json.loads(capsys.readouterr().out)["sampled"] == 3
+    sheet = spark.read.option("header", True).csv(f"{tmp_path}/gold").withColumn("correct", F.lit("1"))
+    sheet.write.option("header", True).csv(f"{tmp_path}/labels")
+    cli.main(["evaluate", "--dataset", "eqr", "--release", f"{tmp_path}/r2", "--gold", f"{tmp_path}/labels"])
+    assert json.loads(capsys.readouterr().out)["overall_accuracy"] == 1.0
+    cli.main(["agreement", "--a", f"{tmp_path}/labels", "--b", f"{tmp_path}/labels"])
+    assert json.loads(capsys.readouterr().out)["cohen_kappa"] == 1.0
+
+
 def test_registry_and_documents(spark, tmp_path):
     (tmp_path / "sources_eqr_a.yaml").write_text("sources:\n- {state: TX, program: P, eqro: Q, reports: [{year: 2024, local_path: a.txt}, {year: 2023, url: 'http://u', state: ''}]}\n")
     (tmp_path / "sources_eqr_b.yaml").write_text("sources:\n- {state: OH, landing_url: 'http://l', reports: []}\n")
