@@ -28,6 +28,7 @@ def components(edges: DataFrame) -> DataFrame:
         seen = labels.join(near, labels["node"] == near["a"], "left").select("node", F.col("label").alias("old"), F.least("label", "near").alias("new"))
         told = seen.select(F.col("old").alias("node"), F.lit(None).cast("long").alias("old"), "new")
         offers = seen.unionByName(told).groupBy("node").agg(F.max("old").alias("old"), F.min("new").alias("new"))
+        offers = materialize(offers, f"offers-{k}")  # so that the join below may split a very large component
         # shortcut: take the label of the label
         jump = offers.select(F.col("node").alias("at"), F.col("new").alias("jumped"))
         nxt = offers.join(jump, offers["new"] == jump["at"], "left").select("node", "old", F.least("new", "jumped").alias("label"))

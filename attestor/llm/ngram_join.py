@@ -196,7 +196,10 @@ def candidate_edges(reps: DataFrame, similarity: float = SIMILARITY, runs: int =
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
-    return out
+    # the same groups by fewer edges: each set with its least partner, and that one with the others
+    star = out.groupBy("a").agg(F.collect_set("b").alias("_bs"))  # bounded by the nodes that hold a set
+    star = star.withColumn("b", F.least("a", F.array_min("_bs")))
+    return star.select(F.explode(F.concat(F.array("a"), "_bs")).alias("a"), "b").where("a <> b").distinct()
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -299,7 +302,8 @@ def join(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARITY, runs:
     block = F.pmod(F.xxhash64(F.lit(3), "id"), F.col("blocks")).alias("block")
     member = member.join(sizes, "label").select("rep_id", "id", "copies", F.col("label").alias("grp"), block, "blocks")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep_id"), "text")
-    sets = texts.join(member, "rep_id").mapInArrow(
+    # texts are shuffled at every size; a broadcast of the members would not hold for large corpora
+    sets = texts.join(member.hint("merge"), "rep_id").mapInArrow(
         lambda b: _sets(b, k), "part long, block long, id long, copies long, shingles binary, alone boolean"
     )
     dealt = sets.repartition(parts, "part").sortWithinPartitions("part", "id")
