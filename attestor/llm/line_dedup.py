@@ -11,7 +11,7 @@ filter); lengths must agree within the threshold, and the places of the shared t
 for the overlap needed (positional filter).  What passes is verified on the exact sets.
 
 Lines of equal words join once, through the first of them.  A token that more than ``SMALL`` lines have
-in their prefix first compares all with one line; only those that stay unmatched are compared with
+in their prefix first compares all with the earliest; only those that stay unmatched are compared with
 all others, so many variants of one line do not make all their pairs.
 
 Nulls: a null text is one empty line; a null doc_id is never compared.  Repeated rows of a doc_id are
@@ -35,8 +35,8 @@ WORDS, SIMILARITY = 5, 0.8
 BITS = 18
 MERGE_TASKS = 16
 #: Lines that share a prefix token up to which all their pairs are candidates.
-SMALL = 24
-#: Candidate lines up to which their list is broadcast to the scan that fetches their sets.
+SMALL = 4
+#: Candidate lines, or tokens of unmatched lines, up to which their list is broadcast to the scan of texts or lines.
 BROADCAST_LINES = 500_000
 
 
@@ -138,7 +138,7 @@ def _lines(batches: Iterator[pa.RecordBatch], k: int, similarity: float, rarity)
 
 
 def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(token, copy, at): each prefix token, with the line's length and the token's place."""
+    """(token, copy, doc, at): each prefix token, with the line's document, its length and the token's place."""
     for batch in batches:
         for i in range(0, batch.num_rows, 20_000):
             b = batch.slice(i, 20_000)
@@ -147,7 +147,8 @@ def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             token = np.frombuffer(b"".join(raw), np.int64)
             place = np.arange(len(token)) - np.repeat(np.cumsum(p) - p, p)
             at = (np.repeat(b["n"].to_numpy().astype(np.int64), p) << 32) | place
-            yield pa.record_batch([pa.array(token), pa.array(np.repeat(b["copy"].to_numpy(), p)), pa.array(at)], ["token", "copy", "at"])
+            copy, doc = (np.repeat(b[c].to_numpy(), p) for c in ("copy", "doc_id"))
+            yield pa.record_batch([pa.array(token), pa.array(copy), pa.array(doc), pa.array(at)], ["token", "copy", "doc", "at"])
 
 
 def _pairs(n: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: float) -> np.ndarray:
@@ -195,9 +196,11 @@ def _emit(out: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatc
 
 
 def _candidates(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) of small groups; of large ones pairs with the first, and the token (else null: 0)."""
+    """Pairs (a, b) of small groups; of large ones pairs with the earliest, and the token (else 0)."""
     out, size = [], 0
-    for token, copy, at in _groups(batches, ("token", "copy", "at")):
+    for token, copy, doc, at in _groups(batches, ("token", "copy", "doc", "at")):
+        order = np.lexsort((copy, doc))
+        copy, at = copy[order], at[order]
         n, place = at >> 32, at & 0xFFFFFFFF
         if len(copy) <= SMALL:
             left, right = np.triu_indices(len(copy), 1)
@@ -207,8 +210,8 @@ def _candidates(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterato
             mark = int(token[0]) | (1 << 62)
         ok = _pairs(n, place, left, right, similarity)
         a, b = copy[left], copy[right]
-        if mark:  # every member of a large group is told of, by a pair with itself
-            a, b = np.concatenate([a[ok], copy]), np.concatenate([b[ok], copy])
+        if mark:  # the others of a large group are told of, by pairs with themselves
+            a, b = np.concatenate([a[ok], copy[1:]]), np.concatenate([b[ok], copy[1:]])
         else:
             a, b = a[ok], b[ok]
         out.append((np.minimum(a, b), np.maximum(a, b), np.full(len(a), mark)))
@@ -279,10 +282,10 @@ def find_repeated(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARIT
     usable = F.col("copy").isNotNull() & F.col("doc_id").isNotNull()
     copies = materialize(lines.where(usable).groupBy("copy").agg(F.min("doc_id").alias("doc_id")), "line-copies")
     reps = lines.where(usable & F.col("first")).join(copies, ["copy", "doc_id"])
-    reps = materialize(reps.select("copy", "doc_id", "line", "n", "prefix").dropDuplicates(["copy"]), "line-reps")
+    reps = materialize(reps.select("copy", "doc_id", "line", "n", "prefix").dropDuplicates(["copy", "doc_id"]), "line-reps")
     place = reps.select("copy", "doc_id", "line")
 
-    tokens = reps.select("copy", "n", "prefix").mapInArrow(_explode, "token long, copy long, at long")
+    tokens = reps.select("copy", "doc_id", "n", "prefix").mapInArrow(_explode, "token long, copy long, doc long, at long")
     dealt = tokens.repartition(parts, "token").sortWithinPartitions("token", "copy")
     found = materialize(dealt.mapInArrow(lambda b: _candidates(b, similarity), PAIRS), "candidates")
     pairs = materialize(found.where("a <> b").select("a", "b").distinct(), "pairs")
@@ -292,7 +295,10 @@ def find_repeated(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARIT
     free = large.select(F.col("a").alias("copy")).distinct().join(matched, "copy", "left_anti")
     free = materialize(large.withColumnRenamed("a", "copy").join(free, "copy").select(F.col("token").bitwiseAND((1 << 62) - 1).alias("token"), "copy").distinct(), "free")
     if free.limit(1).count():
-        hot = tokens.join(free.select("token").distinct(), "token")
+        hot = materialize(free.select("token").distinct(), "hot-tokens")
+        if hot.count() <= BROADCAST_LINES:
+            hot = F.broadcast(hot)
+        hot = materialize(tokens.join(hot, "token"), "hot-lines")
         marked = hot.join(free.withColumn("free", F.lit(True)), ["token", "copy"], "left").withColumn("free", F.coalesce("free", F.lit(False)))
         dealt = marked.select("token", "copy", "at", "free").repartition(parts, "token").sortWithinPartitions("token", "copy")
         more = dealt.mapInArrow(lambda b: _rest(b, similarity), PAIRS).select("a", "b").distinct()
