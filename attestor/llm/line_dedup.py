@@ -12,7 +12,9 @@ for the overlap needed (positional filter).  What passes is verified on the exac
 
 Lines of equal words join once, through the first of them.  A token that more than ``SMALL`` lines have
 in their prefix first compares all with the earliest; only those that stay unmatched are compared with
-all others, so many variants of one line do not make all their pairs.
+all others, so many variants of one line do not make all their pairs.  These comparisons pass one more
+exact filter: tokens flip bits of a 64-bit map, and sets of sizes a and b whose maps differ in d bits
+have at most (a + b - d) / 2 tokens in common.
 
 Nulls: a null text is one empty line; a null doc_id is never compared.  Repeated rows of a doc_id are
 one document: its equal line numbers are one line.
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attestor.llm.scratch import materialize
-from attestor.llm.words import Words, folded, run_hash, shingle_hashes, slices, text_arrays, words
+from attestor.llm.words import Words, folded, mix, run_hash, shingle_hashes, slices, text_arrays, words
 
 WORDS, SIMILARITY = 5, 0.8
 #: Size of the table of word frequencies.
@@ -107,13 +109,23 @@ def prefix_length(n: np.ndarray, similarity: float) -> np.ndarray:
     return np.where(n > 0, n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1, 0)
 
 
+def _bits(token: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Each line's bit map: the exclusive or of one bit a token."""
+    bit = np.uint64(1) << (mix(token.view(np.uint64), 21) >> np.uint64(58))
+    out = np.zeros(len(n), np.uint64)
+    some = n > 0
+    if some.any():
+        out[some] = np.bitwise_xor.reduceat(bit, (np.cumsum(n) - n)[some])
+    return out.view(np.int64)
+
+
 def _binary(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     """One binary value a row, of so many of the values each."""
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32) * values.itemsize
     return pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
 
 
-LINES = "doc_id long, line int, copy long, n int, first boolean, prefix binary"
+LINES = "doc_id long, line int, copy long, n int, first boolean, bits long, prefix binary"
 
 
 def _lines(batches: Iterator[pa.RecordBatch], k: int, similarity: float, rarity) -> Iterator[pa.RecordBatch]:
@@ -131,9 +143,9 @@ def _lines(batches: Iterator[pa.RecordBatch], k: int, similarity: float, rarity)
             yield pa.record_batch(
                 [
                     ids.take(pa.array(row)).cast(pa.int64()), pa.array(number.astype(np.int32)),
-                    pa.array(copy, mask=n == 0), pa.array(n.astype(np.int32)), pa.array(first), _binary(token[place < p[line]], p),
+                    pa.array(copy, mask=n == 0), pa.array(n.astype(np.int32)), pa.array(first), pa.array(_bits(token, n)), _binary(token[place < p[line]], p),
                 ],
-                ["doc_id", "line", "copy", "n", "first", "prefix"],
+                ["doc_id", "line", "copy", "n", "first", "bits", "prefix"],
             )
 
 
@@ -159,8 +171,9 @@ def _pairs(n: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray, s
     return (np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-9) & (room >= need)
 
 
-def _groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[list[np.ndarray]]:
-    """Groups of two rows and more from batches sorted by the first column."""
+def _groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple[list[np.ndarray], list[np.ndarray] | None]]:
+    """Groups of two rows and more from batches sorted by the first column: (columns, None), or for many
+    groups of two at once (columns of their first rows, columns of their second rows)."""
     held: list[list[np.ndarray]] = []
 
     def whole():
@@ -176,15 +189,19 @@ def _groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterat
             held.append([c[: cut[1]] for c in cols])
             if len(cut) == 2:
                 continue
-            yield whole()
+            yield whole(), None
             cut = cut[1:]
         elif held and sum(len(x[0]) for x in held) > 1:
-            yield whole()
+            yield whole(), None
         held = [[c[cut[-2] :] for c in cols]]
-        for g in np.flatnonzero(np.diff(cut[:-1]) > 1):
-            yield [c[cut[g] : cut[g + 1]] for c in cols]
+        sizes = np.diff(cut[:-1])
+        two = cut[:-1][np.flatnonzero(sizes == 2)]
+        if len(two):
+            yield [c[two] for c in cols], [c[two + 1] for c in cols]
+        for g in np.flatnonzero(sizes > 2):
+            yield [c[cut[g] : cut[g + 1]] for c in cols], None
     if held and sum(len(x[0]) for x in held) > 1:
-        yield whole()
+        yield whole(), None
 
 
 PAIRS = "a long, b long, token long"
@@ -198,11 +215,17 @@ def _emit(out: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatc
 def _candidates(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b) of small groups; of large ones pairs with the earliest, and the token (else 0)."""
     out, size = [], 0
-    for token, copy, doc, at in _groups(batches, ("token", "copy", "doc", "at")):
-        order = np.lexsort((copy, doc))
-        copy, at = copy[order], at[order]
+    for group, second in _groups(batches, ("token", "copy", "doc", "at")):
+        token, copy, doc, at = group if second is None else [np.concatenate(c) for c in zip(group, second, strict=True)]
+        if second is None:
+            order = np.lexsort((copy, doc))
+            copy, at = copy[order], at[order]
         n, place = at >> 32, at & 0xFFFFFFFF
-        if len(copy) <= SMALL:
+        if second is not None:
+            half = len(copy) // 2
+            left, right = np.arange(half), np.arange(half, 2 * half)
+            mark = 0
+        elif len(copy) <= SMALL:
             left, right = np.triu_indices(len(copy), 1)
             mark = 0
         else:
@@ -225,11 +248,16 @@ def _candidates(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterato
 def _rest(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     """Pairs of large groups' unmatched lines with all others."""
     out, size = [], 0
-    for _, copy, at, free in _groups(batches, ("token", "copy", "at", "free")):
-        n, place = at >> 32, at & 0xFFFFFFFF
+    for group, second in _groups(batches, ("token", "copy", "at", "bits", "free")):
+        if second is not None:  # groups of two are small and were compared
+            continue
+        _, copy, at, bits, free = group
+        n, place, bits = at >> 32, at & 0xFFFFFFFF, bits.view(np.uint64)
         for x in np.flatnonzero(free):
             other = np.arange(len(copy))
             other = other[other != x]
+            most = (n[x] + n[other] - np.bitwise_count(bits[x] ^ bits[other]).astype(np.int64)) // 2
+            other = other[most >= np.ceil(similarity / (1 + similarity) * (n[x] + n[other]) - 1e-9)]
             ok = _pairs(n, place, np.full(len(other), x), other, similarity)
             a, b = np.full(int(ok.sum()), copy[x]), copy[other[ok]]
             out.append((np.minimum(a, b), np.maximum(a, b), np.zeros(len(a), np.int64)))
@@ -282,7 +310,7 @@ def find_repeated(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARIT
     usable = F.col("copy").isNotNull() & F.col("doc_id").isNotNull()
     copies = materialize(lines.where(usable).groupBy("copy").agg(F.min("doc_id").alias("doc_id")), "line-copies")
     reps = lines.where(usable & F.col("first")).join(copies, ["copy", "doc_id"])
-    reps = materialize(reps.select("copy", "doc_id", "line", "n", "prefix").dropDuplicates(["copy", "doc_id"]), "line-reps")
+    reps = materialize(reps.select("copy", "doc_id", "line", "n", "bits", "prefix").dropDuplicates(["copy", "doc_id"]), "line-reps")
     place = reps.select("copy", "doc_id", "line")
 
     tokens = reps.select("copy", "doc_id", "n", "prefix").mapInArrow(_explode, "token long, copy long, doc long, at long")
@@ -298,12 +326,14 @@ def find_repeated(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARIT
         hot = materialize(free.select("token").distinct(), "hot-tokens")
         if hot.count() <= BROADCAST_LINES:
             hot = F.broadcast(hot)
-        hot = materialize(tokens.join(hot, "token"), "hot-lines")
+        hot = tokens.join(hot, "token").join(reps.select("copy", "bits"), "copy")
+        hot = materialize(hot, "hot-lines")
         marked = hot.join(free.withColumn("free", F.lit(True)), ["token", "copy"], "left").withColumn("free", F.coalesce("free", F.lit(False)))
-        dealt = marked.select("token", "copy", "at", "free").repartition(parts, "token").sortWithinPartitions("token", "copy")
+        dealt = marked.select("token", "copy", "at", "bits", "free").repartition(parts, "token").sortWithinPartitions("token", "copy")
         more = dealt.mapInArrow(lambda b: _rest(b, similarity), PAIRS).select("a", "b").distinct()
         more = materialize(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
-        matched = matched.unionByName(_matched(more, docs, place, k, similarity)).distinct()
+        if more.limit(1).count():
+            matched = matched.unionByName(_matched(more, docs, place, k, similarity)).distinct()
 
     fate = copies.withColumnRenamed("doc_id", "first_doc").join(matched.withColumn("hit", F.lit(True)), "copy", "left")
     fate = materialize(fate, "fates")  # so that the join below may split a line of very many copies
