@@ -65,7 +65,7 @@ def accuracy(matched: DataFrame) -> DataFrame:
     )
 
 
-def risk_coverage(labelled: DataFrame, buckets: int = 1) -> DataFrame:
+def risk_coverage(labelled: DataFrame) -> DataFrame:
     """Accuracy among the rows of highest score, row by row; ties in the order of ``record_seq``.
 
     Counts of distinct scores give each score's start, so the window runs within one score at a time

@@ -124,9 +124,8 @@ def parse_rules(docs: DataFrame, ds: Dataset) -> DataFrame:
         is_plan = F.startswith(low, F.lit("plan:")) & ~F.contains(line, F.lit("|")) & ~is_header & ~is_section
         cols["_plan"] = T.carry(F.when(is_plan, E.strip(F.substring(line, 6, 1 << 30))), w)
     defaults = ds.defaults()
-    first = F.lit(True)
     for prefix, name in ds.headers.items():
-        value = F.when(first, T.header_value(line, prefix))
+        value = T.header_value(line, prefix)
         if name == "year":
             value = T.header_year(value)
         elif name == "state" and ds.id == "eqr":
@@ -146,7 +145,7 @@ def parse_rules(docs: DataFrame, ds: Dataset) -> DataFrame:
         if ds.program == "program":
             given["program"] = context["program"]
         for f, (key, parser) in lay.fields.items():
-            given[f] = parser(F.get(F.col("_kv"), F.lit(key)) if False else F.try_element_at("_kv", F.lit(key)))
+            given[f] = parser(F.try_element_at("_kv", F.lit(key)))
         if ds.plan_lines:
             plan = E.first_of(F.try_element_at("_kv", F.lit("plan")), F.col("_plan"))
             here, given["plan_name"] = here.where(plan.isNotNull()), plan
@@ -185,7 +184,7 @@ def payload_records(payloads: DataFrame, ds: Dataset, method: str = "llm") -> Da
             given[f] = parser(_text(item, key))
         if "rate" in fields:
             printed, named = _text(item, "rate"), F.lower(_text(item, "rate_unit"))
-            numeric = F.schema_of_variant(F.try_variant_get(item, "$.rate", "variant")).isin("BIGINT", "DOUBLE", "FLOAT") | F.schema_of_variant(F.try_variant_get(item, "$.rate", "variant")).startswith("DECIMAL")
+            numeric = F.schema_of_variant(F.try_variant_get(item, "$.rate", "variant")).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
             given["rate"] = F.when(numeric, F.try_variant_get(item, "$.rate", "double")).otherwise(E.rate_value(printed))
             given["rate_unit"] = F.when(named.isin(*E.RATE_UNITS), named).when(numeric | printed.isNull(), "percent").otherwise(E.rate_unit(printed))
         if kind == "eqr_quality_measure":

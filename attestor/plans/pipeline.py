@@ -62,12 +62,10 @@ def run(docs: DataFrame, ds: Dataset, payloads: DataFrame | None = None, second:
     found = extract.parse_rules(docs, ds) if payloads is None else extract.payload_records(payloads, ds)
     good, bad = extract.quarantine(found, ds)
     scored = score(good, ds, docs, second)
-    lost: Column | int = 0
     report = summarize(scored)
     if second is not None:
         gone = omissions(with_keys(good, ds), with_keys(second, ds), ds.ensemble_key, compared(ds)).agg(F.count(F.lit(1)).alias("_lost"))
         report = report.drop("ensemble_omissions").crossJoin(gone).withColumnRenamed("_lost", "ensemble_omissions")  # one row each
-    del lost
     return Run(scored, bad, documents_table(docs), report)
 
 
