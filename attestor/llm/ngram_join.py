@@ -9,10 +9,10 @@ their Jaccard similarity - each with chance 1/(similarity x coordinates), and it
 of each sampled token that they hold.  A node of at most ``SMALL`` sets is compared by brute force.  In
 a larger one, which near copies never leave, all sets are compared with its first; those nearly equal
 to it are settled, the others descend.  What is still together at the last level is one candidate
-group, compared by brute force later.  Runs are repeated until the target recall: a set of RUNS = 10
-roots samples 14 tokens with the fixed seeds here, so a pair at the threshold misses all of them with
-chance 0.2^14; where all its nodes are large, and it is in none of them found through the first, it
-shares a child of each node with chance 1 - 1/e, so about 1 in 70,000 such pairs is missed.
+group, compared by brute force later.  Runs are repeated until the target recall, a parameter:
+``miss_rate`` is the chance that a pair at the threshold meets in no node of the last level, with the
+fixed root seeds here and over all levels, or that its sketches differ too much to be compared.  This is
+the worst case, where all nodes of the pair are large and it is in none of them found through the first.
 
 Sketches only gather candidate groups.  Within a group all pairs of different texts are verified on
 their exact shingle sets, in blocks that are spread over tasks; pairs are counted, not written.
@@ -26,6 +26,8 @@ Repeated rows of a doc_id count as copies.  Rows of null doc_id get a null class
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from math import ceil, comb
 
 import numpy as np
 import pyarrow as pa
@@ -38,16 +40,20 @@ from attestor.llm.words import mix, run_hash, shingle_hashes, word_slices
 
 WORDS, SIMILARITY = 5, 0.8
 COORDINATES = 64
-RUNS = 10
+#: Target recall of pairs at the threshold, in the worst case.
+RECALL = 0.99999
+#: Runs that are tried to reach it, at most.
+MOST_RUNS = 100
 LEVELS = 4
 #: Sets of a node that is compared by brute force.
 SMALL = 64
 #: Estimated similarity from which two sets become candidates: four deviations below 0.8.
 CANDIDATE = 0.55
 #: Estimated similarity from which a set is settled by the first of its node, and that from which it
-#: becomes a candidate with it.  A set that is 0.8 similar to a settled one is at least 0.64 similar to
-#: the first (Jaccard distances add up), so it is found through the first too.
-SETTLED, WITH_FIRST = 0.84, 0.5
+#: becomes a candidate with it.  Distances of sketches add up, so a set that is a candidate with a settled
+#: one is a candidate with the first too.
+SETTLED = 0.84
+WITH_FIRST = CANDIDATE + SETTLED - 1
 #: Texts, and words of texts, in one side of a block of exact comparisons, on average at most.
 BLOCK, BLOCK_WORDS = 384, 400_000
 
@@ -127,11 +133,49 @@ def _children(sketch: np.ndarray, path: np.ndarray, similarity: float) -> tuple[
     return np.concatenate(rows), np.concatenate(paths)
 
 
+def _root(run: int) -> np.uint64:
+    return mix(np.array([run], np.uint64), 5)[0]
+
+
+@cache
+def miss_rate(runs: int, similarity: float = SIMILARITY, levels: int = LEVELS) -> float:
+    """The chance to miss a pair at the threshold whose nodes are all large, over all levels.
+
+    The coordinates that the two sketches share are drawn once: a pair that shares few does so in every
+    run and node.
+    """
+    chance = 1 / (similarity * COORDINATES)
+    sampled = np.zeros(COORDINATES, int)  # how many root tokens have each coordinate
+    for r in range(runs):
+        draws = np.array([mix(np.array([_root(r)]), 100 + c)[0] for c in range(COORDINATES)])
+        sampled += (draws >> np.uint64(11)) < np.uint64(int(chance * (1 << 53)))
+    least = ceil(CANDIDATE * COORDINATES)
+    missed = sum(comb(COORDINATES, k) * similarity**k * (1 - similarity) ** (COORDINATES - k) for k in range(least))
+    for k in range(least, COORDINATES + 1):
+        apart = 0.0  # chance that two sets of one root node with k shared coordinates part before the last level
+        for _ in range(levels - 1):
+            apart = (1 - chance * (1 - apart)) ** k
+        by_shared = np.ones(1)  # coefficient i: i coordinates shared and the pair apart below all of them
+        for m in sampled:
+            by_shared = np.convolve(by_shared, [1 - similarity, similarity * apart**m])
+        missed += by_shared[k]
+    return float(missed)
+
+
+@cache
+def runs_for(recall: float, similarity: float = SIMILARITY, levels: int = LEVELS) -> int:
+    """The least number of runs that reaches the recall."""
+    for runs in range(1, MOST_RUNS + 1):
+        if miss_rate(runs, similarity, levels) <= 1 - recall:
+            return runs
+    raise ValueError(f"a recall of {recall} at similarity {similarity} is out of reach of sketches of {COORDINATES} coordinates")
+
+
 def _start(batches: Iterator[pa.RecordBatch], runs: int, similarity: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sketch, ids = _matrix(batch["sketch"]), batch["id"].to_numpy()
         for r in range(runs):
-            row, path = _children(sketch, np.full(len(ids), mix(np.array([r], np.uint64), 5)[0]), similarity)
+            row, path = _children(sketch, np.full(len(ids), _root(r)), similarity)
             yield pa.record_batch([pa.array(ids[row]), pa.array(path.view(np.int64))], ["id", "path"])
 
 
@@ -167,8 +211,9 @@ def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch["id"], batch["path"], batch["first"], pa.array(same, pa.float64())], ["id", "path", "first", "same"])
 
 
-def candidate_edges(reps: DataFrame, similarity: float = SIMILARITY, runs: int = RUNS, levels: int = LEVELS) -> DataFrame:
+def candidate_edges(reps: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, levels: int = LEVELS) -> DataFrame:
     """(a, b): edges that join sets which may be similar into candidate groups; ``reps`` is (id, sketch)."""
+    runs = runs_for(recall, similarity, levels)
     members = reps.mapInArrow(lambda b: _start(b, runs, similarity), "id long, path long")
     found: list[DataFrame] = []
     for level in range(levels):
@@ -282,7 +327,7 @@ def _labels(linked: np.ndarray, left: np.ndarray, right: np.ndarray, ids: np.nda
         label = new
 
 
-def join(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARITY, runs: int = RUNS) -> DataFrame:
+def join(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """(doc_id, rep_id, class_id, n_links) for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -293,7 +338,7 @@ def join(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARITY, runs:
     found = real.select("doc_id", F.col("copy").alias("id"), "sketch")
     first = found.join(copies.select("id", F.col("rep_id").alias("doc_id")), ["id", "doc_id"])
     reps = materialize(first.dropDuplicates(["id"]).select("id", "sketch"), "reps")
-    groups = materialize(components(candidate_edges(reps, similarity, runs)).withColumnRenamed("node", "id"), "groups")
+    groups = materialize(components(candidate_edges(reps, similarity, recall)).withColumnRenamed("node", "id"), "groups")
 
     member = materialize(groups.join(copies, "id"), "members")
     sizes = member.groupBy("label").agg(

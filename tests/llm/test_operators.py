@@ -177,6 +177,63 @@ def test_ngram_join_in_blocks(spark, monkeypatch):
     assert got == {i: len(linked[i]) for i, _ in rows}
 
 
+def popular_pairs(n):
+    """Sketches of pairs of texts at about the threshold, all mixed from the same passages."""
+    r = random.Random(8)
+    passages = [prose(900 + i, 30) for i in range(80)]
+    left, right = [], []
+    for _ in range(n):
+        a = r.sample(range(80), 23)
+        left.append(" ".join(passages[x] for x in a[:21]))
+        i, j = r.sample(range(21), 2)
+        right.append(" ".join(passages[a[21] if k == i else a[22] if k == j else x] for k, x in enumerate(a[:21])))
+    ids = pa.array(range(2 * n), pa.int64())
+    got = pa.Table.from_batches(ngram_join._sketches(iter([pa.record_batch([ids, pa.array(left + right)], ["doc_id", "text"])]), 5))
+    sketch = ngram_join._matrix(got["sketch"])
+    return sketch[:n], sketch[n:]
+
+
+def test_ngram_join_reaches_its_recall_where_all_nodes_are_large():
+    n = 1500
+    a, b = popular_pairs(n)
+    meet = lambda x, y: set(zip(*(v.tolist() for v in x), strict=True)) & set(zip(*(v.tolist() for v in y), strict=True))
+    assert 0.77 < (a == b).mean() < 0.83
+
+    def missed(runs):
+        nodes = set()
+        for r in range(runs):
+            start = np.full(n, ngram_join._root(r))
+            nodes |= meet(ngram_join._children(a, start, 0.8), ngram_join._children(b, start, 0.8))
+        for _ in range(ngram_join.LEVELS - 1):
+            row, path = np.array([x for x, _ in nodes]), np.array([p for _, p in nodes], np.uint64)
+            below = []
+            for sketch in (a, b):
+                at, child = ngram_join._children(sketch[row], path, 0.8)
+                below.append((row[at], child))
+            nodes = meet(*below)
+        return n - len({x for x, _ in nodes})
+
+    assert missed(ngram_join.runs_for(ngram_join.RECALL)) == 0
+    assert missed(10) > 3  # the runs that were fixed before
+    assert ngram_join.miss_rate(10) > 1 / 200 and ngram_join.miss_rate(ngram_join.runs_for(0.99999)) <= 1e-5
+    assert ngram_join.runs_for(0.99) < ngram_join.runs_for(0.999) < ngram_join.runs_for(0.99999)
+    with pytest.raises(ValueError):
+        ngram_join.runs_for(1.0)
+
+
+def test_ngram_join_of_popular_passages(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SMALL", 1)
+    r = random.Random(4)
+    passages = [prose(900 + i, 30) for i in range(20)]
+    rows = []
+    for i in range(60):
+        a = r.sample(range(20), 12)
+        rows += [(3 * i, " ".join(passages[x] for x in a[:11])), (3 * i + 1, " ".join(passages[x] for x in a[:10] + a[11:])), (3 * i + 2, " ".join(passages[x] for x in a[:10]))]
+    linked = brute_pairs([t for _, t in rows])
+    got = {x.doc_id: x.n_links for x in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: len(linked[i]) for i, _ in rows}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (7, 7)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
