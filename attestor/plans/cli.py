@@ -16,6 +16,9 @@ from attestor.plans import pipeline
 from attestor.plans.datasets import DATASETS, KINDS, dataset
 from attestor.sources import documents, registry, releases
 
+#: Rows printed as an example where the whole is written as a table.
+EXAMPLES = 10
+
 
 def _session() -> SparkSession:
     return SparkSession.builder.appName("attestor").config("spark.sql.session.timeZone", "UTC").getOrCreate()
@@ -89,7 +92,13 @@ def agreement(args: argparse.Namespace) -> dict:
     if not report["n_overlap"]:
         print(json.dumps({"n_overlap": 0, "note": "no row_uids labelled by both reviewers"}))
         sys.exit(1)
-    return report | {"disagreement_row_uids": [r.row_uid for r in ev.disagreements(a, b).limit(1000).collect()]}
+    rows = ev.disagreements(a, b)
+    if not args.out:  # every one, as the sheets of two reviewers give them
+        uids = [r.row_uid for r in rows.toLocalIterator()]
+        return report | {"n_disagreements": len(uids), "disagreement_row_uids": uids}
+    rows.write.mode("overwrite").option("header", True).csv(args.out)
+    examples = [r.row_uid for r in rows.limit(EXAMPLES).collect()]
+    return report | {"n_disagreements": rows.count(), "disagreements": args.out, "disagreement_examples": examples}
 
 
 def listing(args: argparse.Namespace) -> dict:
@@ -113,7 +122,7 @@ def parser() -> argparse.ArgumentParser:
     command("batch", batch, *source, ("--merge", text))
     command("sample", sample, ("--dataset", need), ("--release", need), ("--n", {"type": int, "default": 100}), ("--stratify", text), ("--seed", {"type": int, "default": 0}), ("--out", need))
     command("evaluate", evaluate, ("--dataset", need), ("--release", need), ("--gold", need), ("--alpha", {"type": float, "default": 0.05}), ("--delta", {"type": float, "default": 0.05}), ("--stratify", text), ("--curve", text))
-    command("agreement", agreement, ("--a", need), ("--b", need))
+    command("agreement", agreement, ("--a", need), ("--b", need), ("--out", text))
     return p
 
 

@@ -276,6 +276,23 @@ def test_command_line(spark, tmp_path, capsys):
     assert json.loads(capsys.readouterr().out)["cohen_kappa"] == 1.0
 
 
+def test_agreement_command_gives_every_disagreement(spark, tmp_path, capsys):
+    from attestor.plans import cli
+
+    for name, correct in (("a", "1"), ("b", "0")):
+        rows = spark.range(1500).select(F.format_string("u%05d", "id").alias("row_uid"), F.lit(correct).alias("correct"))
+        rows.write.option("header", True).csv(f"{tmp_path}/{name}")
+    want = [f"u{i:05d}" for i in range(1500)]
+    sheets = ["agreement", "--a", f"{tmp_path}/a", "--b", f"{tmp_path}/b"]
+    cli.main(sheets)
+    got = json.loads(capsys.readouterr().out)
+    assert got["n_disagreements"] == 1500 and got["disagreement_row_uids"] == want
+    cli.main([*sheets, "--out", f"{tmp_path}/d"])
+    got = json.loads(capsys.readouterr().out)
+    assert got["n_disagreements"] == 1500 and got["disagreement_examples"] == want[: cli.EXAMPLES]
+    assert sorted(r.row_uid for r in spark.read.option("header", True).csv(got["disagreements"]).collect()) == want
+
+
 def test_registry_and_documents(spark, tmp_path):
     (tmp_path / "sources_eqr_a.yaml").write_text("sources:\n- {state: TX, program: P, eqro: Q, reports: [{year: 2024, local_path: a.txt}, {year: 2023, url: 'http://u', state: ''}]}\n")
     (tmp_path / "sources_eqr_b.yaml").write_text("sources:\n- {state: OH, landing_url: 'http://l', reports: []}\n")
