@@ -4,17 +4,18 @@ A line is the set of its runs of five words (its tokens); lines of fewer than fi
 compared and stay.  Two lines match if the Jaccard similarity of their sets is at least 0.8.  A line is
 removed if any line that stands earlier, by (doc_id, line number), matches it, kept or not.
 
-Tokens are ordered from rare to common.  A token's rarity is the sum of its words' log frequencies,
-which are counted over all documents in a table of fixed size, so that the order is the same
-everywhere.  Two matching lines share a token among the first n - ceil(0.8 n) + 1 of each (prefix
-filter); lengths must agree within the threshold, and the places of the shared token must leave room
-for the overlap needed (positional filter).  What passes is verified on the exact sets.
-
-Lines of equal words join once, through the first of them.  A token that more than ``SMALL`` lines have
-in their prefix first compares all with the earliest; only those that stay unmatched are compared with
-all others, so many variants of one line do not make all their pairs.  These comparisons pass one more
-exact filter: tokens flip bits of a 64-bit map, and sets of sizes a and b whose maps differ in d bits
-have at most (a + b - d) / 2 tokens in common.
+Tokens are ordered from rare to common by counts over all documents, taken in a table of fixed size: a
+count too high by a collision costs speed only, since any common order of tokens is a right one.  Two
+matching lines share a token among the first n - ceil(0.8 n) + 1 of each (prefix filter); lengths must
+agree within the threshold, and the places of the shared token must leave room for the overlap needed
+(positional filter).  What passes is verified on the exact sets.
+
+Lines of equal words join once, through the first of them.  Lines that share a prefix token form a
+group.  In groups of at most ``SMALL`` all pairs are candidates.  In larger ones all are compared with
+the earliest; those that stay unmatched are compared with the earlier lines of the group alone, in
+blocks that spread over tasks: first with the likeliest of each block, then, where that was no match,
+with all.  These comparisons pass one more exact filter: tokens flip bits of a 256-bit map, and sets of
+sizes a and b whose maps differ in d bits have at most (a + b - d) / 2 tokens in common.
 
 Nulls: a null text is one empty line; a null doc_id is never compared.  Repeated rows of a doc_id are
 one document: its equal line numbers are one line.
@@ -29,71 +30,101 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attestor.llm.scratch import materialize
-from attestor.llm.words import Words, folded, mix, run_hash, shingle_hashes, slices, text_arrays, words
+from attestor.llm.scratch import discard, materialize
+from attestor.llm.words import Words, folded, mix, run_hash, shingle_hashes, slices, text_arrays, word_slices, words
 
 WORDS, SIMILARITY = 5, 0.8
-#: Size of the table of word frequencies.
-BITS = 18
-MERGE_TASKS = 16
+#: Counters of the table of token frequencies, and the rows that it is summed in.
+BITS, CHUNKS = 20, 64
 #: Lines that share a prefix token up to which all their pairs are candidates.
-SMALL = 4
-#: Candidate lines, or tokens of unmatched lines, up to which their list is broadcast to the scan of texts or lines.
+SMALL = 16
+#: Earlier and unmatched lines of a larger group that are compared at once, on average at most.
+BLOCK, ASKED = 256, 2048
+#: Rows of a group beyond which it is read piece by piece.
+PIECE = 1 << 16
+#: Compared lines up to which their list is broadcast to the scan of texts.
 BROADCAST_LINES = 500_000
+NEWLINE = 10
 
 
-def line_slices(ids: pa.Array, text: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, Words]]:
+def line_starts(part: np.ndarray, upto: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, number in the text, first byte) of each line of texts that lie back to back, cut at ``upto``."""
+    feeds = np.flatnonzero(part == NEWLINE)
+    owner = np.concatenate([np.arange(len(upto) - 1), np.searchsorted(upto, feeds, "right") - 1])
+    start = np.concatenate([upto[:-1], feeds + 1])
+    order = np.lexsort((start, owner))
+    owner, start = owner[order], start[order]
+    return owner, np.arange(len(owner)) - np.searchsorted(owner, np.arange(len(upto) - 1))[owner], start
+
+
+def line_slices(text: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, Words]]:
     """(row of each line, its number in the text, words by line) for bounded slices of a batch."""
     data, offsets = text_arrays(text)
     for i, j in slices(offsets, 1 << 20):
         part = data[offsets[i] : offsets[j]]
-        upto = offsets[i : j + 1] - offsets[i]
-        feeds = np.flatnonzero(part == 10)
-        owner = np.concatenate([np.arange(j - i), np.searchsorted(upto, feeds, "right") - 1])
-        start = np.concatenate([upto[:-1], feeds + 1])
-        order = np.lexsort((start, owner))
-        owner, start = owner[order], start[order]
-        first_line = np.searchsorted(owner, np.arange(j - i))
-        number = np.arange(len(owner)) - first_line[owner]
+        owner, number, start = line_starts(part, offsets[i : j + 1] - offsets[i])
         yield owner + i, number, words(folded(part), np.append(start, len(part)))
 
 
-def word_frequencies(docs: DataFrame) -> np.ndarray:
-    """log2 of how often the words of each bucket occur, in half steps; over all texts."""
+def chosen_lines(text: pa.Array, wanted: list) -> Iterator[Words]:
+    """Words of the wanted lines (lists of line numbers by row), for bounded slices of a batch."""
+    data, offsets = text_arrays(text)
+    for i, j in slices(offsets, 1 << 20):
+        part = data[offsets[i] : offsets[j]]
+        owner, number, start = line_starts(part, offsets[i : j + 1] - offsets[i])
+        length = np.diff(np.append(start, len(part)))
+        row = np.repeat(np.arange(j - i), [len(x) for x in wanted[i:j]])
+        key = np.unique((row << 40) | np.concatenate([np.zeros(0, np.int64), *[np.asarray(x, np.int64) for x in wanted[i:j]]]))
+        at = np.flatnonzero(np.isin((owner << 40) | number, key, assume_unique=True))
+        n = length[at]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        yield words(folded(part[np.repeat(start[at] - upto[:-1], n) + np.arange(upto[-1])]), upto)
+
+
+def token_counts(docs: DataFrame, k: int) -> np.ndarray:
+    """log2 of how often the runs of k words of each bucket occur, in quarter steps; over all texts."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    row = lambda c, x: pa.record_batch([pa.array([c], pa.int32()), pa.array([x.tobytes()], pa.binary())], ["chunk", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BITS, np.int64)
+        total, held, size = np.zeros(1 << BITS, np.int64), [], 0
         for batch in batches:
-            data, offsets = text_arrays(batch.column(0))
-            for i, j in slices(offsets):
-                part = folded(data[offsets[i] : offsets[j]])
-                w = words(part, offsets[i : j + 1] - offsets[i])
-                total += np.bincount((w.hashes >> np.uint64(64 - BITS)).astype(np.int64), minlength=1 << BITS)
-        yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], ["n"])
+            for _, _, w in word_slices(batch.column(0), 1 << 20):
+                held.append((shingle_hashes(w, k)[0] >> np.uint64(64 - BITS)).astype(np.int32))
+                size += len(held[-1])
+                if size > 1 << BITS:
+                    total += np.bincount(np.concatenate(held), minlength=1 << BITS)
+                    held, size = [], 0
+        total += np.bincount(np.concatenate([np.zeros(0, np.int32), *held]), minlength=1 << BITS)
+        for c, x in enumerate(np.split(total, CHUNKS)):
+            yield row(c, x)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BITS, np.int64)
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for x in batch.column(0).to_pylist():
-                total += np.frombuffer(x, np.int64)
-        yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], ["n"])
+            for c, x in zip(batch["chunk"].to_pylist(), batch["n"].to_pylist(), strict=True):
+                total[c] = total.get(c, 0) + np.frombuffer(x, np.int64)
+        for c, x in total.items():
+            yield row(c, x)
 
-    rows = docs.select("text").mapInArrow(count, "n binary").repartition(MERGE_TASKS).mapInArrow(add, "n binary").collect()
-    total = np.sum([np.frombuffer(r.n, np.int64) for r in rows], 0)
-    return np.round(2 * np.log2(total + 1.0)).astype(np.uint8)
+    schema = "chunk int, n binary"
+    rows = docs.select("text").mapInArrow(count, schema).repartition(min(parts, CHUNKS), "chunk").mapInArrow(add, schema).collect()
+    total = np.zeros(1 << BITS, np.int64)
+    for r in rows:  # at most CHUNKS rows
+        total[r.chunk * (len(total) // CHUNKS) :][: len(total) // CHUNKS] = np.frombuffer(r.n, np.int64)
+    return np.minimum(np.round(4 * np.log2(total + 1.0)), 127).astype(np.uint8)
 
 
-def _tokens(w: Words, k: int, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(line, token) sorted by line and rarity, without repeats, and the number by line.
+def _token_sets(w: Words, k: int, rarity: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(line, token) sorted by line and token, without repeats, and the number by line.
 
-    A token holds its rarity in the upper bits, so the order of tokens is the order of numbers.
+    With ``rarity`` a token's upper bits are its frequency, so that the order of numbers is from rare to common.
     """
     h, first = shingle_hashes(w, k)
-    per_word = np.concatenate([[0], np.cumsum(rarity[(w.hashes >> np.uint64(64 - BITS)).astype(np.int64)], dtype=np.int64)])
     n = np.diff(first)
-    start = np.repeat(w.first[:-1] - first[:-1], n) + np.arange(first[-1])
-    rare = per_word[np.minimum(start + k, np.repeat(w.first[1:], n))] - per_word[start]
-    token = (rare << 48) | (h >> np.uint64(16)).astype(np.int64)
+    token = h.view(np.int64)
+    if rarity is not None:
+        token = (rarity[(h >> np.uint64(64 - BITS)).astype(np.int64)].astype(np.int64) << 56) | (h >> np.uint64(8)).astype(np.int64)
     line = np.repeat(np.arange(len(n)), n)
     long = (np.diff(w.first) >= k)[line]
     token, line = token[long], line[long]
@@ -110,29 +141,31 @@ def prefix_length(n: np.ndarray, similarity: float) -> np.ndarray:
 
 
 def _bits(token: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Each line's bit map: the exclusive or of one bit a token."""
-    bit = np.uint64(1) << (mix(token.view(np.uint64), 21) >> np.uint64(58))
-    out = np.zeros(len(n), np.uint64)
+    """Each line's map of 256 bits, as four numbers: tokens flip one bit each."""
+    at = mix(token.view(np.uint64), 21) >> np.uint64(56)
+    bit = np.uint64(1) << (at & np.uint64(63))
+    out = np.zeros((len(n), 4), np.uint64)
     some = n > 0
-    if some.any():
-        out[some] = np.bitwise_xor.reduceat(bit, (np.cumsum(n) - n)[some])
-    return out.view(np.int64)
+    for x in range(4):
+        if some.any():
+            out[some, x] = np.bitwise_xor.reduceat(np.where(at >> np.uint64(6) == x, bit, np.uint64(0)), (np.cumsum(n) - n)[some])
+    return out
 
 
 def _binary(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     """One binary value a row, of so many of the values each."""
-    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32) * values.itemsize
-    return pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+    offsets = (np.concatenate([[0], np.cumsum(counts)]) * values.itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
 
 
-LINES = "doc_id long, line int, copy long, n int, first boolean, bits long, prefix binary"
+LINES = "doc_id long, line int, copy long, n int, first boolean, prefix binary"
 
 
 def _lines(batches: Iterator[pa.RecordBatch], k: int, similarity: float, rarity) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0)
-        for row, number, w in line_slices(ids, batch.column(1)):
-            line, token, n = _tokens(w, k, rarity.value)
+        for row, number, w in line_slices(batch.column(1)):
+            line, token, n = _token_sets(w, k, rarity.value)
             copy = run_hash(w.hashes, w.first[:-1], w.first[1:], 3).view(np.int64)
             order = np.lexsort((number, copy, row))
             first = np.ones(len(row), bool)
@@ -142,10 +175,10 @@ def _lines(batches: Iterator[pa.RecordBatch], k: int, similarity: float, rarity)
             place = np.arange(len(token)) - (np.cumsum(n) - n)[line]
             yield pa.record_batch(
                 [
-                    ids.take(pa.array(row)).cast(pa.int64()), pa.array(number.astype(np.int32)),
-                    pa.array(copy, mask=n == 0), pa.array(n.astype(np.int32)), pa.array(first), pa.array(_bits(token, n)), _binary(token[place < p[line]], p),
+                    ids.take(pa.array(row)).cast(pa.int64()), pa.array(number.astype(np.int32)), pa.array(copy, mask=n == 0),
+                    pa.array(n.astype(np.int32)), pa.array(first), _binary(token[place < p[line]], p),
                 ],
-                ["doc_id", "line", "copy", "n", "first", "bits", "prefix"],
+                ["doc_id", "line", "copy", "n", "first", "prefix"],
             )
 
 
@@ -163,135 +196,125 @@ def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(token), pa.array(copy), pa.array(doc), pa.array(at)], ["token", "copy", "doc", "at"])
 
 
-def _pairs(n: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: float) -> np.ndarray:
-    """Which pairs pass the length and the positional filter."""
-    a, b, i, j = n[left], n[right], at[left], at[right]
+def _overlap(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Tokens that sets of sizes a and b must have in common."""
+    return np.ceil(similarity / (1 + similarity) * (a + b) - 1e-9)
+
+
+def _may_match(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+    """Length and positional filter for sets of sizes a and b with a common token at places i and j."""
     room = np.minimum(i, j) + 1 + np.minimum(a - i, b - j) - 1
-    need = np.ceil(similarity / (1 + similarity) * (a + b) - 1e-9)
-    return (np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-9) & (room >= need)
+    return (np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-9) & (room >= _overlap(a, b, similarity))
+
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """Rows of whole groups, from batches sorted by the first column: the columns and where each group begins.
 
-def _groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple[list[np.ndarray], list[np.ndarray] | None]]:
-    """Groups of two rows and more from batches sorted by the first column: (columns, None), or for many
-    groups of two at once (columns of their first rows, columns of their second rows)."""
+    Only groups of two rows and more are given; many groups come at once.  A group of more than PIECE rows
+    comes in pieces that all begin with its first SMALL + 1 rows.
+    """
     held: list[list[np.ndarray]] = []
 
-    def whole():
+    def whole() -> list[np.ndarray]:
         return [np.concatenate(x) for x in zip(*held, strict=True)]
 
+    def several(cols: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+        v = cols[0]
+        cut = np.concatenate([[0], np.flatnonzero(v[1:] != v[:-1]) + 1])
+        size = np.diff(np.append(cut, len(v)))
+        keep = np.repeat(size > 1, size)
+        size = size[size > 1]
+        return [c[keep] for c in cols], np.concatenate([[0], np.cumsum(size)])
+
     for batch in batches:
         if not batch.num_rows:
             continue
-        cols = [batch[c].to_numpy(zero_copy_only=False) for c in names]
-        v = cols[0]
-        cut = np.concatenate([[0], np.flatnonzero(v[1:] != v[:-1]) + 1, [len(v)]])
-        if held and held[0][0][0] == v[0]:
-            held.append([c[: cut[1]] for c in cols])
-            if len(cut) == 2:
-                continue
-            yield whole(), None
-            cut = cut[1:]
-        elif held and sum(len(x[0]) for x in held) > 1:
-            yield whole(), None
-        held = [[c[cut[-2] :] for c in cols]]
-        sizes = np.diff(cut[:-1])
-        two = cut[:-1][np.flatnonzero(sizes == 2)]
-        if len(two):
-            yield [c[two] for c in cols], [c[two + 1] for c in cols]
-        for g in np.flatnonzero(sizes > 2):
-            yield [c[cut[g] : cut[g + 1]] for c in cols], None
-    if held and sum(len(x[0]) for x in held) > 1:
-        yield whole(), None
-
-
-PAIRS = "a long, b long, token long"
-
-
-def _emit(out: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    cols = [np.concatenate(c) if out else np.zeros(0, np.int64) for c in (zip(*out, strict=True) if out else ([], [], []))]
-    return pa.record_batch([pa.array(c, pa.int64()) for c in cols], ["a", "b", "token"])
+        cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        last = int(np.searchsorted(cols[0], cols[0][-1]))  # the last group may go on in the next batch
+        if last or held and held[0][0][-1] != cols[0][0]:
+            held.append([c[:last] for c in cols])
+            yield several(whole())
+            held = []
+        held.append([c[last:] for c in cols])
+        if sum(len(x[0]) for x in held) > PIECE:
+            piece = whole()
+            yield piece, np.array([0, len(piece[0])])
+            held = [[c[: SMALL + 1] for c in piece]]
+    if held:
+        yield several(whole())
+
+
+PAIRS = "a long, b long, token long, at long"
+
+
+def _pair_batch(*cols: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, pa.int64()) for c in cols], ["a", "b", "token", "at"])
 
 
 def _candidates(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) of small groups; of large ones pairs with the earliest, and the token (else 0)."""
-    out, size = [], 0
-    for group, second in _groups(batches, ("token", "copy", "doc", "at")):
-        token, copy, doc, at = group if second is None else [np.concatenate(c) for c in zip(group, second, strict=True)]
-        if second is None:
-            order = np.lexsort((copy, doc))
-            copy, at = copy[order], at[order]
-        n, place = at >> 32, at & 0xFFFFFFFF
-        if second is not None:
-            half = len(copy) // 2
-            left, right = np.arange(half), np.arange(half, 2 * half)
-            mark = 0
-        elif len(copy) <= SMALL:
-            left, right = np.triu_indices(len(copy), 1)
-            mark = 0
-        else:
-            left, right = np.zeros(len(copy) - 1, int), np.arange(1, len(copy))
-            mark = int(token[0]) | (1 << 62)
-        ok = _pairs(n, place, left, right, similarity)
-        a, b = copy[left], copy[right]
-        if mark:  # the others of a large group are told of, by pairs with themselves
-            a, b = np.concatenate([a[ok], copy[1:]]), np.concatenate([b[ok], copy[1:]])
-        else:
-            a, b = a[ok], b[ok]
-        out.append((np.minimum(a, b), np.maximum(a, b), np.full(len(a), mark)))
-        size += len(a)
-        if size > 50_000:
-            yield _emit(out)
-            out, size = [], 0
-    yield _emit(out)
-
-
-def _rest(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """Pairs of large groups' unmatched lines with all others."""
-    out, size = [], 0
-    for group, second in _groups(batches, ("token", "copy", "at", "bits", "free")):
-        if second is not None:  # groups of two are small and were compared
+    """Pairs (a < b) of small groups; of larger ones pairs with the earliest, and each member (a = b, with token and at)."""
+    for (token, copy, doc, at), cut in _groups(batches):
+        size = np.diff(cut)
+        if not len(size):
             continue
-        _, copy, at, bits, free = group
-        n, place, bits = at >> 32, at & 0xFFFFFFFF, bits.view(np.uint64)
-        for x in np.flatnonzero(free):
-            other = np.arange(len(copy))
-            other = other[other != x]
-            most = (n[x] + n[other] - np.bitwise_count(bits[x] ^ bits[other]).astype(np.int64)) // 2
-            other = other[most >= np.ceil(similarity / (1 + similarity) * (n[x] + n[other]) - 1e-9)]
-            ok = _pairs(n, place, np.full(len(other), x), other, similarity)
-            a, b = np.full(int(ok.sum()), copy[x]), copy[other[ok]]
-            out.append((np.minimum(a, b), np.maximum(a, b), np.zeros(len(a), np.int64)))
-            size += len(a)
-            if size > 50_000:
-                yield _emit(out)
-                out, size = [], 0
-    yield _emit(out)
+        n, place = at >> 32, at & 0xFFFFFFFF
+        group = np.repeat(np.arange(len(size)), size)
+        large = size[group] > SMALL
+        left, right = [], []
+        for step in range(1, int(min(size.max(), SMALL))):  # pairs that lie so many rows apart in one small group
+            x = np.flatnonzero((group[step:] == group[:-step]) & ~large[step:])
+            left.append(x)
+            right.append(x + step)
+        if large.any():
+            x = np.flatnonzero(large)
+            pivot = cut[:-1][group[x]]  # rows come in order of documents
+            left.append(pivot[pivot != x])
+            right.append(x[pivot != x])
+        x, y = np.concatenate(left), np.concatenate(right)
+        ok = (copy[x] != copy[y]) & _may_match(n[x], place[x], n[y], place[y], similarity)
+        a, b = copy[x[ok]], copy[y[ok]]
+        zero = np.zeros(len(a), np.int64)
+        yield _pair_batch(np.minimum(a, b), np.maximum(a, b), zero, zero)
+        yield _pair_batch(copy[large], copy[large], token[large], at[large])
+
+
+def _earlier(batches: Iterator[pa.RecordBatch], similarity: float, likeliest: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs of unmatched lines with earlier lines of a block: the likeliest of each alone, or all that may match."""
+    for (_, copy, doc, line, at, bits, free), cut in _groups(batches):
+        n, place = at >> 32, at & 0xFFFFFFFF
+        maps = np.frombuffer(b"".join(bits), np.uint64).reshape(len(bits), 4)
+        for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+            old, new = lo + np.flatnonzero(~free[lo:hi]), lo + np.flatnonzero(free[lo:hi])
+            for x in np.array_split(new, max(1, len(new) * len(old) >> 20)):  # bounds the matrices
+                x, y = x[:, None], old[None, :]
+                before = (doc[y] < doc[x]) | ((doc[y] == doc[x]) & (line[y] < line[x]))
+                most = (n[x] + n[y] - sum(np.bitwise_count(maps[x, c] ^ maps[y, c]).astype(np.int64) for c in range(4))) // 2
+                ok = before & (most >= _overlap(n[x], n[y], similarity)) & _may_match(n[x], place[x], n[y], place[y], similarity)
+                if likeliest:
+                    score = np.where(ok, most / np.maximum(n[x] + n[y] - most, 1), -1.0)
+                    best = score.argmax(1) if len(old) else np.zeros(len(x), int)
+                    i = np.flatnonzero(ok[np.arange(len(x)), best]) if len(old) else np.zeros(0, int)
+                    j = best[i]
+                else:
+                    i, j = np.nonzero(ok)
+                a, b = copy[x[i, 0]], copy[y[0, j]]
+                zero = np.zeros(len(a), np.int64)
+                yield _pair_batch(np.minimum(a, b), np.maximum(a, b), zero, zero)
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """(copy, shingles) of the wanted lines of each text."""
-    zero = np.zeros(1 << BITS, np.uint8)
+    """(copy, shingles, bits) of the wanted lines of each text."""
     for batch in batches:
-        wanted = batch["lines"].to_pylist()
-        for row, number, w in line_slices(batch["text"], batch["text"]):
-            line, token, n = _tokens(w, k, zero)
+        for w in chosen_lines(batch["text"], batch["lines"].to_pylist()):
+            _, token, n = _token_sets(w, k, None)
             copy = run_hash(w.hashes, w.first[:-1], w.first[1:], 3).view(np.int64)
-            keep = np.array([int(x) in wanted[r] for r, x in zip(row, number, strict=True)], bool) & (n > 0)
-            offsets = np.concatenate([[0], np.cumsum(np.where(keep, n, 0)[keep])]).astype(np.int32)
-            values = pa.array(token[keep[line]])
-            yield pa.record_batch([pa.array(copy[keep]), pa.ListArray.from_arrays(pa.array(offsets), values)], ["copy", "shingles"])
-
-
-def _matched(pairs: DataFrame, docs: DataFrame, place: DataFrame, k: int, similarity: float) -> DataFrame:
-    """Copies (one column) that an earlier line matches, among verified candidate pairs."""
-    lines = pairs.select(F.col("a").alias("copy")).unionByName(pairs.select(F.col("b").alias("copy"))).distinct()
-    lines = materialize(lines.join(place, "copy"), "wanted")
-    wanted = lines.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))  # bounded by a document's lines
-    if lines.count() <= BROADCAST_LINES:
-        wanted = F.broadcast(wanted)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id").select("text", "lines")
-    sets = texts.mapInArrow(lambda b: _sets(b, k), "copy long, shingles array<long>").dropDuplicates(["copy"])
-    sets = materialize(sets.join(lines, "copy"), "line-sets")
+            offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+            maps = _binary(_bits(token, n).ravel(), np.full(len(n), 4))
+            yield pa.record_batch([pa.array(copy), pa.ListArray.from_arrays(pa.array(offsets), pa.array(token)), maps], ["copy", "shingles", "bits"])
+
+
+def _matched(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Copies (one column) that an earlier line matches, among candidate pairs (a, b)."""
     side = lambda x: sets.select(*[F.col(c).alias(x if c == "copy" else f"{x}_{c}") for c in ("copy", "shingles", "doc_id", "line")])
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     common = F.size(F.array_intersect("a_shingles", "b_shingles"))
@@ -304,39 +327,55 @@ def find_repeated(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARIT
     """(doc_id, n_lines, removed): for each document its number of lines and the sorted numbers (from 0) to remove."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rarity = spark.sparkContext.broadcast(word_frequencies(docs))
+    rarity = spark.sparkContext.broadcast(token_counts(docs, k))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     lines = materialize(source.mapInArrow(lambda b: _lines(b, k, similarity, rarity), LINES), "lines")
     usable = F.col("copy").isNotNull() & F.col("doc_id").isNotNull()
     copies = materialize(lines.where(usable).groupBy("copy").agg(F.min("doc_id").alias("doc_id")), "line-copies")
-    reps = lines.where(usable & F.col("first")).join(copies, ["copy", "doc_id"])
-    reps = materialize(reps.select("copy", "doc_id", "line", "n", "bits", "prefix").dropDuplicates(["copy", "doc_id"]), "line-reps")
-    place = reps.select("copy", "doc_id", "line")
 
-    tokens = reps.select("copy", "doc_id", "n", "prefix").mapInArrow(_explode, "token long, copy long, doc long, at long")
-    dealt = tokens.repartition(parts, "token").sortWithinPartitions("token", "copy")
+    reps = lines.where(usable & F.col("first")).select("copy", "doc_id", "line", "n", "prefix").join(copies, ["copy", "doc_id"])
+    tokens = reps.dropDuplicates(["copy", "doc_id", "line"]).mapInArrow(_explode, "token long, copy long, doc long, at long")
+    dealt = tokens.repartition(parts, "token").sortWithinPartitions("token", "doc", "copy")
     found = materialize(dealt.mapInArrow(lambda b: _candidates(b, similarity), PAIRS), "candidates")
     pairs = materialize(found.where("a <> b").select("a", "b").distinct(), "pairs")
-    matched = materialize(_matched(pairs, docs, place, k, similarity), "matched")
-
-    large = found.where("a = b")
-    free = large.select(F.col("a").alias("copy")).distinct().join(matched, "copy", "left_anti")
-    free = materialize(large.withColumnRenamed("a", "copy").join(free, "copy").select(F.col("token").bitwiseAND((1 << 62) - 1).alias("token"), "copy").distinct(), "free")
-    if free.limit(1).count():
-        hot = materialize(free.select("token").distinct(), "hot-tokens")
-        if hot.count() <= BROADCAST_LINES:
-            hot = F.broadcast(hot)
-        hot = tokens.join(hot, "token").join(reps.select("copy", "bits"), "copy")
-        hot = materialize(hot, "hot-lines")
-        marked = hot.join(free.withColumn("free", F.lit(True)), ["token", "copy"], "left").withColumn("free", F.coalesce("free", F.lit(False)))
-        dealt = marked.select("token", "copy", "at", "bits", "free").repartition(parts, "token").sortWithinPartitions("token", "copy")
-        more = dealt.mapInArrow(lambda b: _rest(b, similarity), PAIRS).select("a", "b").distinct()
+    hot = found.where("a = b").select("token", F.col("a").alias("copy"), "at").distinct()
+
+    compared = found.select(F.col("a").alias("copy")).unionByName(found.select(F.col("b").alias("copy"))).distinct()
+    place = lines.where(usable & F.col("first")).select("copy", "doc_id", "line").join(copies, ["copy", "doc_id"])
+    place = materialize(place.join(compared, "copy").groupBy("copy", "doc_id").agg(F.min("line").alias("line")), "compared")
+    wanted = place.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))  # bounded by a document's lines
+    if place.count() <= BROADCAST_LINES:
+        wanted = F.broadcast(wanted)
+    sets = source.join(wanted, "doc_id").select("text", "lines").mapInArrow(lambda b: _sets(b, k), "copy long, shingles array<long>, bits binary")
+    sets = materialize(sets.join(place, "copy").dropDuplicates(["copy"]), "line-sets")
+    matched = materialize(_matched(pairs, sets, similarity), "matched")
+
+    old = [found, pairs, place, sets]
+    for likeliest in (True, False):
+        free = hot.join(matched, "copy", "left_anti")
+        if not free.limit(1).count():
+            break
+        known = sets.select("copy", "doc_id", "line", "bits")
+        member = hot.join(free.select("token", "copy", F.lit(True).alias("free")), ["token", "copy"], "left")
+        sizes = member.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"), F.ceil(F.count("free") / ASKED).alias("chunks"))
+        member = member.join(sizes.where("chunks > 0"), "token").join(known, "copy")
+        mine = lambda n: F.pmod(F.xxhash64(F.lit(5), "copy"), F.col(n))
+        every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+        row = lambda is_free: [
+            F.xxhash64("token", "_block", "_chunk").alias("part"), "copy", "doc_id", "line", "at", "bits", F.lit(is_free).alias("free"),
+        ]
+        blocks = member.withColumn("_block", mine("blocks")).withColumn("_chunk", every("chunks")).select(*row(False))
+        asked = member.where("free").withColumn("_chunk", mine("chunks")).withColumn("_block", every("blocks")).select(*row(True))
+        dealt = blocks.unionByName(asked).repartition(parts, "part").sortWithinPartitions("part", "free", "doc_id", "copy")
+        more = dealt.mapInArrow(lambda b, only=likeliest: _earlier(b, similarity, only), PAIRS).select("a", "b").distinct()
         more = materialize(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
-        if more.limit(1).count():
-            matched = matched.unionByName(_matched(more, docs, place, k, similarity)).distinct()
+        matched = materialize(matched.unionByName(_matched(more, sets, similarity)).distinct(), "matched")
+        pairs = pairs.unionByName(more)
+        old.append(more)
 
     fate = copies.withColumnRenamed("doc_id", "first_doc").join(matched.withColumn("hit", F.lit(True)), "copy", "left")
     fate = materialize(fate, "fates")  # so that the join below may split a line of very many copies
+    discard(copies, *old)
     compared = lines.where(usable).select("doc_id", "line", "copy", "first").join(fate, "copy")
     gone = F.coalesce("hit", F.lit(False)) | ~F.col("first") | (F.col("doc_id") != F.col("first_doc"))
     judged = compared.where(gone).select("doc_id", "line").groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed"))

@@ -1,16 +1,21 @@
 """Tables that cut lineage, in the folder all executors share.
 
-The folder is the one that the cluster names in ``spark.checkpoint.dir``.  Only where that is unset,
-as in tests on one machine, a folder of this module's own is used.
+The folder is the one that the cluster names in ``spark.checkpoint.dir``.  Only on one machine
+(``local[...]``), where that is unset, a folder of this module's own is used; on a cluster it is an error.
 """
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-LOCAL_DEFAULT = "/tmp/checkpoints/attestor"
+
+@cache
+def _own_dir(application: str) -> str:
+    return "file://" + tempfile.mkdtemp(prefix=f"attestor-{application}-")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -18,7 +23,10 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    return LOCAL_DEFAULT
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("name a folder that driver and executors share in spark.checkpoint.dir")
+    return _own_dir(spark.sparkContext.applicationId)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -31,3 +39,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing unfinished reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if f"/tables/{spark.sparkContext.applicationId}/" in path:
+                where = spark._jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
