@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from attestor.llm.groups import groups
 from attestor.llm.scratch import discard, materialize
 from attestor.llm.words import Words, folded, mix, run_hash, shingle_hashes, slices, text_arrays, word_slices, words
 
@@ -207,43 +208,6 @@ def _may_match(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray, simil
     return (np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-9) & (room >= _overlap(a, b, similarity))
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
-    """Rows of whole groups, from batches sorted by the first column: the columns and where each group begins.
-
-    Only groups of two rows and more are given; many groups come at once.  A group of more than PIECE rows
-    comes in pieces that all begin with its first SMALL + 1 rows.
-    """
-    held: list[list[np.ndarray]] = []
-
-    def whole() -> list[np.ndarray]:
-        return [np.concatenate(x) for x in zip(*held, strict=True)]
-
-    def several(cols: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-        v = cols[0]
-        cut = np.concatenate([[0], np.flatnonzero(v[1:] != v[:-1]) + 1])
-        size = np.diff(np.append(cut, len(v)))
-        keep = np.repeat(size > 1, size)
-        size = size[size > 1]
-        return [c[keep] for c in cols], np.concatenate([[0], np.cumsum(size)])
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        last = int(np.searchsorted(cols[0], cols[0][-1]))  # the last group may go on in the next batch
-        if last or held and held[0][0][-1] != cols[0][0]:
-            held.append([c[:last] for c in cols])
-            yield several(whole())
-            held = []
-        held.append([c[last:] for c in cols])
-        if sum(len(x[0]) for x in held) > PIECE:
-            piece = whole()
-            yield piece, np.array([0, len(piece[0])])
-            held = [[c[: SMALL + 1] for c in piece]]
-    if held:
-        yield several(whole())
-
-
 PAIRS = "a long, b long, token long, at long"
 
 
@@ -253,7 +217,7 @@ def _pair_batch(*cols: np.ndarray) -> pa.RecordBatch:
 
 def _candidates(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     """Pairs (a < b) of small groups; of larger ones pairs with the earliest, and each member (a = b, with token and at)."""
-    for (token, copy, doc, at), cut in _groups(batches):
+    for (token, copy, doc, at), cut in groups(batches, PIECE, SMALL + 1):
         size = np.diff(cut)
         if not len(size):
             continue
@@ -280,7 +244,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterato
 
 def _earlier(batches: Iterator[pa.RecordBatch], similarity: float, likeliest: bool) -> Iterator[pa.RecordBatch]:
     """Pairs of unmatched lines with earlier lines of a block: the likeliest of each alone, or all that may match."""
-    for (_, copy, doc, line, at, bits, free), cut in _groups(batches):
+    for (_, copy, doc, line, at, bits, free), cut in groups(batches):
         n, place = at >> 32, at & 0xFFFFFFFF
         maps = np.frombuffer(b"".join(bits), np.uint64).reshape(len(bits), 4)
         for lo, hi in zip(cut[:-1], cut[1:], strict=True):

@@ -5,17 +5,20 @@ same runs in the same order are one class of copies and join once.
 
 Chosen path: each run of the join grows a tree whose nodes hold sets.  A node samples tokens - here
 the coordinates of a min-hash sketch, so that two sets share a sampled token with a chance equal to
-their Jaccard similarity - each with chance 1/(similarity x coordinates), and its sets go to the child
-of each sampled token that they hold.  A node of at most ``SMALL`` sets is compared by brute force.  In
-a larger one, which near copies never leave, all sets are compared with its first; those nearly equal
-to it are settled, the others descend.  What is still together at the last level is one candidate
-group, compared by brute force later.  Runs are repeated until the target recall, a parameter:
-``miss_rate`` is the chance that a pair at the threshold meets in no node of the last level, with the
-fixed root seeds here and over all levels, or that its sketches differ too much to be compared.  This is
-the worst case, where all nodes of the pair are large and it is in none of them found through the first.
-
-Sketches only gather candidate groups.  Within a group all pairs of different texts are verified on
-their exact shingle sets, in blocks that are spread over tasks; pairs are counted, not written.
+their Jaccard similarity - and its sets go to the child of each sampled token that they hold.  The
+chance of a token makes two sets at the threshold share ``WIDTH`` of them on average: more than one, so
+that they seldom part however deep the tree.  A node of at most ``SMALL`` sets is compared by brute force.
+In a larger one, which near copies never leave, all sets are compared with its first; those nearly equal
+to it are settled, and the others descend if the node holds any that are far from the first.  Trees end
+where no node is large; large nodes of the last level are compared by brute force in blocks.  Runs are
+repeated until the target recall, a parameter: ``miss_rate`` is the chance that a pair at the threshold
+meets in no node of the last level, with the fixed root seeds here and over all levels, or that its
+sketches differ too much to be compared.  This is the worst case, where all nodes of the pair are large
+and it is in none of them found through the first.
+
+Sketches only gather candidate groups; those of several blocks are first parted by their sketches.
+Within a group all pairs of different texts are verified on their exact shingle sets, in blocks that are
+spread over tasks; pairs are counted, not written.
 
 Results, per document: ``rep_id``, the least doc_id of the texts with the same words; ``class_id``, the
 least doc_id of the connected component; ``n_links``, the number of other documents at the threshold or
@@ -35,6 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from attestor.llm.components import components
+from attestor.llm.groups import groups
 from attestor.llm.scratch import materialize
 from attestor.llm.words import mix, run_hash, shingle_hashes, word_slices
 
@@ -44,9 +48,13 @@ COORDINATES = 64
 RECALL = 0.99999
 #: Runs that are tried to reach it, at most.
 MOST_RUNS = 100
-LEVELS = 4
-#: Sets of a node that is compared by brute force.
-SMALL = 64
+LEVELS = 8
+#: Sampled tokens that two sets at the threshold share in a node, on average.
+WIDTH = 1.5
+#: Sets of a node, or of one side of a block, that are compared by brute force.
+SMALL = 128
+#: Sets of a node all of whose candidate pairs are given as they are.
+FEW = 16
 #: Estimated similarity from which two sets become candidates: four deviations below 0.8.
 CANDIDATE = 0.55
 #: Estimated similarity from which a set is settled by the first of its node, and that from which it
@@ -55,9 +63,11 @@ CANDIDATE = 0.55
 SETTLED = 0.84
 WITH_FIRST = CANDIDATE + SETTLED - 1
 #: Texts, and words of texts, in one side of a block of exact comparisons, on average at most.
-BLOCK, BLOCK_WORDS = 384, 400_000
+BLOCK, BLOCK_WORDS = 128, 400_000
+#: Members of candidate groups up to which their list is broadcast to the scan of texts.
+BROADCAST_MEMBERS = 500_000
 
-SKETCH = "doc_id long, copy long, n long, sketch binary"
+SKETCH = "doc_id long, copy long, n long, sketch binary, brief binary"
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -79,15 +89,15 @@ def _sketches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
                     out[some, c] = np.minimum.reduceat(h, at)
             copy = run_hash(w.hashes, w.first[:-1], w.first[1:], 3).view(np.int64)
             n = np.diff(w.first)
-            rows = [x.tobytes() if s else None for x, s in zip(out, some, strict=True)]
-            yield pa.record_batch(
-                [ids.slice(i, j - i).cast(pa.int64()), pa.array(copy), pa.array(n.astype(np.int64)), pa.array(rows, pa.binary())],
-                ["doc_id", "copy", "n", "sketch"],
-            )
+            rows = [pa.array([x.tobytes() if s else None for x, s in zip(a, some, strict=True)], pa.binary()) for a in (out, out.astype(np.uint16))]
+            yield pa.record_batch([ids.slice(i, j - i).cast(pa.int64()), pa.array(copy), pa.array(n.astype(np.int64)), *rows], ["doc_id", "copy", "n", "sketch", "brief"])
 
 
 def sketches(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """(doc_id, copy, n, sketch): a hash of the words, their number, and the min-hash sketch."""
+    """(doc_id, copy, n, sketch, brief): a hash of the words, their number, the min-hash sketch and its lower half.
+
+    Tokens are taken from whole coordinates; the lower halves suffice to estimate similarities.
+    """
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda b: _sketches(b, k), SKETCH)
 
 
@@ -117,13 +127,18 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.concat_tables(held)
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), COORDINATES)
+def _matrix(column, kind: type = np.uint32) -> np.ndarray:
+    return np.frombuffer(b"".join(column if isinstance(column, np.ndarray) else column.to_pylist()), kind).reshape(len(column), COORDINATES)
+
+
+def _chance(similarity: float, width: float) -> float:
+    """The chance that a node samples a token."""
+    return min(1.0, width / (similarity * COORDINATES))
 
 
-def _children(sketch: np.ndarray, path: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+def _children(sketch: np.ndarray, path: np.ndarray, similarity: float, width: float = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """(row, child path) of every sampled token that a row holds; the sample depends on the path alone."""
-    chance = 1 / (similarity * COORDINATES)
+    chance = _chance(similarity, width)
     rows, paths = [], []
     for c in range(COORDINATES):
         draw = mix(path, 100 + c)
@@ -138,13 +153,13 @@ def _root(run: int) -> np.uint64:
 
 
 @cache
-def miss_rate(runs: int, similarity: float = SIMILARITY, levels: int = LEVELS) -> float:
+def miss_rate(runs: int, similarity: float = SIMILARITY, levels: int = LEVELS, width: float = WIDTH) -> float:
     """The chance to miss a pair at the threshold whose nodes are all large, over all levels.
 
     The coordinates that the two sketches share are drawn once: a pair that shares few does so in every
     run and node.
     """
-    chance = 1 / (similarity * COORDINATES)
+    chance = _chance(similarity, width)
     sampled = np.zeros(COORDINATES, int)  # how many root tokens have each coordinate
     for r in range(runs):
         draws = np.array([mix(np.array([_root(r)]), 100 + c)[0] for c in range(COORDINATES)])
@@ -163,10 +178,10 @@ def miss_rate(runs: int, similarity: float = SIMILARITY, levels: int = LEVELS) -
 
 
 @cache
-def runs_for(recall: float, similarity: float = SIMILARITY, levels: int = LEVELS) -> int:
+def runs_for(recall: float, similarity: float = SIMILARITY, levels: int = LEVELS, width: float = WIDTH) -> int:
     """The least number of runs that reaches the recall."""
     for runs in range(1, MOST_RUNS + 1):
-        if miss_rate(runs, similarity, levels) <= 1 - recall:
+        if miss_rate(runs, similarity, levels, width) <= 1 - recall:
             return runs
     raise ValueError(f"a recall of {recall} at similarity {similarity} is out of reach of sketches of {COORDINATES} coordinates")
 
@@ -186,58 +201,75 @@ def _descend(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[p
 
 
 def _alike(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """Brute force in small nodes: each set with the least set that it is alike to, directly or through others."""
-    out: list[tuple[int, int]] = []
-    for t in _groups(batches, "path"):
-        ids, sketch = t["id"].to_numpy(), _matrix(t["sketch"])
-        alike = np.stack([(sketch == s).mean(1) for s in sketch]) >= least
-        label = np.arange(len(ids))
-        while True:
-            new = np.where(alike, label[None, :], len(ids)).min(1)
-            if (new == label).all():
-                break
-            label = new
-        out += [(int(ids[i]), int(ids[label[i]])) for i in range(len(ids)) if ids[label[i]] != ids[i]]
-        if len(out) > 20_000:
-            yield pa.record_batch([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
-            out = []
-    yield pa.record_batch([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
+    """Brute force in nodes (part, id, brief): edges that join sets which are alike, directly or through others."""
+    for (_, ids, brief), cut in groups(batches):
+        size = np.diff(cut)
+        if not len(size):
+            continue
+        m, group, edges = _matrix(brief, np.uint16), np.repeat(np.arange(len(size)), size), []
+        few = size[group] <= FEW
+        for step in range(1, int(min(size.max(), FEW))):  # pairs that lie so many rows apart in one node
+            x = np.flatnonzero((group[step:] == group[:-step]) & few[step:])
+            x = x[(m[x] == m[x + step]).mean(1) >= least]
+            edges.append((ids[x + step], ids[x]))
+        for g in np.flatnonzero(size > FEW):  # each set with the least set that it is alike to, directly or not
+            own, node = ids[cut[g] : cut[g + 1]], m[cut[g] : cut[g + 1]]
+            alike = np.stack([(node == s).mean(1) for s in node]) >= least
+            label = np.arange(len(own))
+            while True:
+                new = np.where(alike, label[None, :], len(own)).min(1)
+                if (new == label).all():
+                    break
+                label = new
+            edges.append((own, own[label]))
+        a, b = (np.concatenate(x) for x in zip(*edges, strict=True))
+        yield pa.record_batch([pa.array(a[a != b]), pa.array(b[a != b])], ["a", "b"])
+
+
+def _compared(nodes: DataFrame) -> DataFrame:
+    """(a, b) from nodes (node, blocks, id, brief), compared whole or, if of several blocks, in pairs of blocks."""
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mine = F.pmod(F.xxhash64(F.lit(4), "id"), F.col("blocks"))
+    dealt = nodes.withColumn("_mine", mine).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    part = F.when(F.col("blocks") == 1, F.col("node")).otherwise(F.xxhash64("node", F.least("_mine", "_other"), F.greatest("_mine", "_other")))
+    dealt = dealt.select(part.alias("part"), "id", "brief").repartition(parts, "part").sortWithinPartitions("part", "id")
+    return dealt.mapInArrow(lambda b: _alike(b, CANDIDATE), "a long, b long")
 
 
 def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Similarity of each row's sketch to its node's first."""
     for batch in batches:
-        same = (_matrix(batch["sketch"]) == _matrix(batch["first_sketch"])).mean(1) if batch.num_rows else np.zeros(0)
+        same = (_matrix(batch["brief"], np.uint16) == _matrix(batch["first_brief"], np.uint16)).mean(1) if batch.num_rows else np.zeros(0)
         yield pa.record_batch([batch["id"], batch["path"], batch["first"], pa.array(same, pa.float64())], ["id", "path", "first", "same"])
 
 
 def candidate_edges(reps: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, levels: int = LEVELS) -> DataFrame:
-    """(a, b): edges that join sets which may be similar into candidate groups; ``reps`` is (id, sketch)."""
+    """(a, b): edges that join sets which may be similar into candidate groups; ``reps`` is (id, sketch, brief)."""
     runs = runs_for(recall, similarity, levels)
-    members = reps.mapInArrow(lambda b: _start(b, runs, similarity), "id long, path long")
+    members = reps.select("id", "sketch").mapInArrow(lambda b: _start(b, runs, similarity), "id long, path long")
     found: list[DataFrame] = []
+    briefs = reps.select("id", "brief")
     for level in range(levels):
         members = materialize(members, f"paths-{level}")
         sizes = members.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("first")).where("size > 1")
         sizes = materialize(sizes, f"nodes-{level}")
-        small, large = sizes.where(F.col("size") <= SMALL), sizes.where(F.col("size") > SMALL)
-        held = members.join(small.select("path"), "path").join(reps, "id").select("path", "id", "sketch")
-        parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        dealt = held.repartition(parts, "path").sortWithinPartitions("path", "id")
-        found.append(materialize(dealt.mapInArrow(lambda b: _alike(b, CANDIDATE), "a long, b long"), f"alike-{level}"))
-        if not large.limit(1).count():
+        last = level == levels - 1
+        brute = sizes.where(F.lit(True) if last else F.col("size") <= SMALL)
+        brute = brute.select("path", F.ceil(F.col("size") / SMALL).alias("blocks"))
+        held = members.join(brute, "path").join(briefs, "id").select(F.col("path").alias("node"), "blocks", "id", "brief")
+        found.append(materialize(_compared(held), f"alike-{level}"))
+        large = sizes.where(F.col("size") > SMALL)
+        if last or not large.limit(1).count():
             break
-        firsts = large.join(reps.withColumnRenamed("id", "first").withColumnRenamed("sketch", "first_sketch"), "first").select("path", "first", "first_sketch")
-        there = members.join(large.select("path"), "path").join(reps, "id").select("id", "path", "sketch")
+        firsts = large.join(briefs.select(F.col("id").alias("first"), F.col("brief").alias("first_brief")), "first").select("path", "first", "first_brief")
+        there = members.join(large.select("path"), "path").join(briefs, "id").select("id", "path", "brief")
         same = there.join(firsts, "path").mapInArrow(_estimate, "id long, path long, first long, same double")
         same = materialize(same, f"firsts-{level}")
-        last = level == levels - 1
-        near = same.where(F.col("id") != F.col("first")).where(F.lit(True) if last else F.col("same") >= WITH_FIRST)
-        found.append(near.select(F.col("id").alias("a"), F.col("first").alias("b")))
-        if last:
-            break
-        rest = same.where((F.col("same") < SETTLED) & (F.col("id") != F.col("first")))
-        members = rest.select("id", "path").join(reps, "id").mapInArrow(lambda b: _descend(b, similarity), "id long, path long")
+        found.append(same.where((F.col("id") != F.col("first")) & (F.col("same") >= WITH_FIRST)).select(F.col("id").alias("a"), F.col("first").alias("b")))
+        # sets that are candidates with the first are so with each other: only the far ones need to be told from them
+        far = same.where(F.col("same") < WITH_FIRST).select("path").distinct()
+        rest = same.where((F.col("same") < SETTLED) & (F.col("id") != F.col("first"))).join(far, "path", "left_semi")
+        members = rest.select("id", "path").join(reps.select("id", "sketch"), "id").mapInArrow(lambda b: _descend(b, similarity), "id long, path long")
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
@@ -247,6 +279,25 @@ def candidate_edges(reps: DataFrame, similarity: float = SIMILARITY, recall: flo
     return star.select(F.explode(F.concat(F.array("a"), "_bs")).alias("a"), "b").where("a <> b").distinct()
 
 
+def _with_blocks(member: DataFrame) -> DataFrame:
+    """Members of groups (id, label, n and more) with the number of blocks of their group."""
+    size = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_WORDS)
+    return member.join(member.groupBy("label").agg(F.ceil(size).cast("long").alias("blocks")), "label")
+
+
+def candidate_groups(reps: DataFrame, copies: DataFrame, similarity: float, recall: float) -> DataFrame:
+    """Members of candidate groups: (id, grp, rep_id, copies, blocks)."""
+    edges = candidate_edges(reps, similarity, recall)
+    found = materialize(components(edges).withColumnRenamed("node", "id"), "groups")
+    member = materialize(_with_blocks(found.join(copies, "id")), "members")
+    wide = member.where("blocks > 1")
+    if wide.limit(1).count():  # edges to a first are wider than candidates: part such groups by all their sketches
+        nodes = wide.select(F.col("label").alias("node"), "blocks", "id").join(reps.select("id", "brief"), "id")
+        parted = components(_compared(nodes)).withColumnRenamed("node", "id").join(copies, "id")
+        member = materialize(member.where("blocks = 1").unionByName(_with_blocks(parted)), "parted")
+    return member.withColumnRenamed("label", "grp")
+
+
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """The exact shingle set of each text, once for every block pair that it belongs to."""
     for batch in batches:
@@ -335,20 +386,15 @@ def join(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARITY, recall
     real = rows.where("n > 0 and doc_id is not null")
     copies = real.groupBy("copy").agg(F.min("doc_id").alias("rep_id"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"))
     copies = materialize(copies.withColumnRenamed("copy", "id"), "copies")
-    found = real.select("doc_id", F.col("copy").alias("id"), "sketch")
+    found = real.select("doc_id", F.col("copy").alias("id"), "sketch", "brief")
     first = found.join(copies.select("id", F.col("rep_id").alias("doc_id")), ["id", "doc_id"])
-    reps = materialize(first.dropDuplicates(["id"]).select("id", "sketch"), "reps")
-    groups = materialize(components(candidate_edges(reps, similarity, recall)).withColumnRenamed("node", "id"), "groups")
-
-    member = materialize(groups.join(copies, "id"), "members")
-    sizes = member.groupBy("label").agg(
-        F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_WORDS)).cast("long").alias("blocks")
-    )
+    reps = materialize(first.dropDuplicates(["id"]).select("id", "sketch", "brief"), "reps")
+    member = candidate_groups(reps, copies, similarity, recall)
     block = F.pmod(F.xxhash64(F.lit(3), "id"), F.col("blocks")).alias("block")
-    member = member.join(sizes, "label").select("rep_id", "id", "copies", F.col("label").alias("grp"), block, "blocks")
+    member = member.select("rep_id", "id", "copies", "grp", block, "blocks")
+    member = F.broadcast(member) if member.count() <= BROADCAST_MEMBERS else member.hint("merge")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep_id"), "text")
-    # texts are shuffled at every size; a broadcast of the members would not hold for large corpora
-    sets = texts.join(member.hint("merge"), "rep_id").mapInArrow(
+    sets = texts.join(member, "rep_id").mapInArrow(
         lambda b: _sets(b, k), "part long, block long, id long, copies long, shingles binary, alone boolean"
     )
     dealt = sets.repartition(parts, "part").sortWithinPartitions("part", "id")

@@ -199,23 +199,23 @@ def test_ngram_join_reaches_its_recall_where_all_nodes_are_large():
     meet = lambda x, y: set(zip(*(v.tolist() for v in x), strict=True)) & set(zip(*(v.tolist() for v in y), strict=True))
     assert 0.77 < (a == b).mean() < 0.83
 
-    def missed(runs):
+    def missed(runs, width=ngram_join.WIDTH):
         nodes = set()
         for r in range(runs):
             start = np.full(n, ngram_join._root(r))
-            nodes |= meet(ngram_join._children(a, start, 0.8), ngram_join._children(b, start, 0.8))
+            nodes |= meet(ngram_join._children(a, start, 0.8, width), ngram_join._children(b, start, 0.8, width))
         for _ in range(ngram_join.LEVELS - 1):
             row, path = np.array([x for x, _ in nodes]), np.array([p for _, p in nodes], np.uint64)
             below = []
             for sketch in (a, b):
-                at, child = ngram_join._children(sketch[row], path, 0.8)
+                at, child = ngram_join._children(sketch[row], path, 0.8, width)
                 below.append((row[at], child))
             nodes = meet(*below)
         return n - len({x for x, _ in nodes})
 
     assert missed(ngram_join.runs_for(ngram_join.RECALL)) == 0
-    assert missed(10) > 3  # the runs that were fixed before
-    assert ngram_join.miss_rate(10) > 1 / 200 and ngram_join.miss_rate(ngram_join.runs_for(0.99999)) <= 1e-5
+    assert missed(10, 1.0) > 3  # runs and width that were fixed before
+    assert ngram_join.miss_rate(10, width=1.0) > 1 / 200 and ngram_join.miss_rate(ngram_join.runs_for(0.99999)) <= 1e-5
     assert ngram_join.runs_for(0.99) < ngram_join.runs_for(0.999) < ngram_join.runs_for(0.99999)
     with pytest.raises(ValueError):
         ngram_join.runs_for(1.0)
