@@ -33,70 +33,166 @@ class Kind:
     strip_state: bool = False
 
 
-def _kind(name: str, table: str, spec: str, required: str, **more) -> Kind:
-    return Kind(name, table, dict(x.split(":") for x in spec.split()), tuple(required.split()), **more)
-
-
+# Names, types and required fields of the record kinds.
 KINDS = {
     k.name: k
     for k in (
-        _kind(
+        Kind(
             "eqr_quality_measure", "eqr_quality_measures",
-            "state:string program:string plan_name:string plan_id:string measure_name:string measure_steward:string measure_code:string "
-            "reporting_year:int rate:double rate_unit:string numerator:int denominator:int population:string data_collection_method:string",
-            "state plan_name measure_name reporting_year", defaults={"measure_steward": "Unknown", "rate_unit": "percent"}, upper_state=True,
+            {
+                "state": "string",
+                "program": "string",
+                "plan_name": "string",
+                "plan_id": "string",
+                "measure_name": "string",
+                "measure_steward": "string",
+                "measure_code": "string",
+                "reporting_year": "int",
+                "rate": "double",
+                "rate_unit": "string",
+                "numerator": "int",
+                "denominator": "int",
+                "population": "string",
+                "data_collection_method": "string",
+            },
+            ("state", "plan_name", "measure_name", "reporting_year"), defaults={"measure_steward": "Unknown", "rate_unit": "percent"}, upper_state=True,
         ),
-        _kind(
+        Kind(
             "eqr_pip", "eqr_performance_improvement_projects",
-            "state:string program:string plan_name:string pip_title:string clinical_focus_area:string reporting_year:int "
-            "baseline_rate:double goal_rate:double most_recent_rate:double validation_status:string",
-            "state plan_name pip_title", upper_state=True,
+            {
+                "state": "string",
+                "program": "string",
+                "plan_name": "string",
+                "pip_title": "string",
+                "clinical_focus_area": "string",
+                "reporting_year": "int",
+                "baseline_rate": "double",
+                "goal_rate": "double",
+                "most_recent_rate": "double",
+                "validation_status": "string",
+            },
+            ("state", "plan_name", "pip_title"), upper_state=True,
         ),
-        _kind(
+        Kind(
             "eqr_compliance", "eqr_compliance_findings",
-            "state:string program:string plan_name:string standard_area:string determination:string reporting_year:int",
-            "state plan_name standard_area", upper_state=True,
+            {
+                "state": "string",
+                "program": "string",
+                "plan_name": "string",
+                "standard_area": "string",
+                "determination": "string",
+                "reporting_year": "int",
+            },
+            ("state", "plan_name", "standard_area"), upper_state=True,
         ),
-        _kind(
+        Kind(
             "chna_need", "chna_identified_needs",
-            "hospital_name:string hospital_ein:string state:string report_year:int need:string domain:string is_priority:boolean priority_rank:int",
-            "hospital_name need",
+            {
+                "hospital_name": "string",
+                "hospital_ein": "string",
+                "state": "string",
+                "report_year": "int",
+                "need": "string",
+                "domain": "string",
+                "is_priority": "boolean",
+                "priority_rank": "int",
+            },
+            ("hospital_name", "need"),
         ),
-        _kind(
+        Kind(
             "chna_strategy", "chna_implementation_strategies",
-            "hospital_name:string state:string report_year:int need_addressed:string strategy:string measurable_objective:string",
-            "hospital_name strategy",
+            {
+                "hospital_name": "string",
+                "state": "string",
+                "report_year": "int",
+                "need_addressed": "string",
+                "strategy": "string",
+                "measurable_objective": "string",
+            },
+            ("hospital_name", "strategy"),
         ),
-        _kind(
+        Kind(
             "mmrc_finding", "mmrc_findings",
-            "state:string report_period:string population_group:string pregnancy_related_deaths:int "
-            "pregnancy_related_mortality_ratio:double pct_preventable:double leading_cause:string",
-            "state", strip_state=True,
+            {
+                "state": "string",
+                "report_period": "string",
+                "population_group": "string",
+                "pregnancy_related_deaths": "int",
+                "pregnancy_related_mortality_ratio": "double",
+                "pct_preventable": "double",
+                "leading_cause": "string",
+            },
+            ("state",), strip_state=True,
         ),
-        _kind(
+        Kind(
             "mmrc_recommendation", "mmrc_recommendations",
-            "state:string report_year:int recommendation:string category:string target_level:string", "state recommendation", strip_state=True,
+            {
+                "state": "string",
+                "report_year": "int",
+                "recommendation": "string",
+                "category": "string",
+                "target_level": "string",
+            },
+            ("state", "recommendation"), strip_state=True,
         ),
-        _kind(
+        Kind(
             "waiver_1115_finding", "waiver_1115_findings",
-            "state:string demonstration_name:string waiver_id:string report_year:int evaluation_period:string evaluator:string intervention:string "
-            "domain:string outcome_measure:string population:string effect_direction:string value:double value_unit:string significance:string result:string",
-            "state demonstration_name", strip_state=True,
+            {
+                "state": "string",
+                "demonstration_name": "string",
+                "waiver_id": "string",
+                "report_year": "int",
+                "evaluation_period": "string",
+                "evaluator": "string",
+                "intervention": "string",
+                "domain": "string",
+                "outcome_measure": "string",
+                "population": "string",
+                "effect_direction": "string",
+                "value": "double",
+                "value_unit": "string",
+                "significance": "string",
+                "result": "string",
+            },
+            ("state", "demonstration_name"), strip_state=True,
         ),
-        _kind(
+        Kind(
             "waiver_1115_recommendation", "waiver_1115_recommendations",
-            "state:string demonstration_name:string report_year:int recommendation:string category:string", "state recommendation", strip_state=True,
+            {
+                "state": "string",
+                "demonstration_name": "string",
+                "report_year": "int",
+                "recommendation": "string",
+                "category": "string",
+            },
+            ("state", "recommendation"), strip_state=True,
         ),
-        _kind(
+        Kind(
             "nursing_home_deficiency", "nursing_home_deficiencies",
-            "facility_name:string ccn:string state:string survey_date:string report_year:int ftag:string ftag_description:string "
-            "scope_severity:string deficiency_description:string",
-            "facility_name state", upper_state=True,
+            {
+                "facility_name": "string",
+                "ccn": "string",
+                "state": "string",
+                "survey_date": "string",
+                "report_year": "int",
+                "ftag": "string",
+                "ftag_description": "string",
+                "scope_severity": "string",
+                "deficiency_description": "string",
+            },
+            ("facility_name", "state"), upper_state=True,
         ),
-        _kind(
+        Kind(
             "nursing_home_poc", "nursing_home_plans_of_correction",
-            "facility_name:string state:string report_year:int ftag:string correction:string completion_date:string",
-            "facility_name state correction", upper_state=True,
+            {
+                "facility_name": "string",
+                "state": "string",
+                "report_year": "int",
+                "ftag": "string",
+                "correction": "string",
+                "completion_date": "string",
+            },
+            ("facility_name", "state", "correction"), upper_state=True,
         ),
     )
 }
@@ -139,16 +235,11 @@ class Dataset:
     version: str = "0.1.0"
 
 
-def _same(x: Column) -> Column:
+def AS_IS(x: Column) -> Column:  # noqa: N802
+    """The text itself."""
     return x
 
 
-def _fields(spec: str, **parsers: Callable[[Column], Column]) -> dict[str, tuple[str, Callable[[Column], Column]]]:
-    """``field=key with spaces; ...``; a parser by field name, else the text itself."""
-    pairs = [p.strip().split("=") if "=" in p else [p.strip(), p.strip()] for p in spec.split(";")]
-    return {f: (k, parsers.get(f, _same)) for f, k in pairs}
-
-
 def _is(kind: str) -> Column:
     return F.col("record_type") == kind
 
@@ -202,9 +293,6 @@ def _nursing_axioms() -> tuple[Axiom, ...]:
     )
 
 
-_NUMBERS = {"numerator": E.to_int, "denominator": E.to_int, "priority_rank": E.to_int, "pregnancy_related_deaths": E.to_int}
-_RATES = {"baseline_rate": E.rate_value, "goal_rate": E.rate_value, "most_recent_rate": E.rate_value, "rate": E.rate_value}
-_FLOATS = {"pregnancy_related_mortality_ratio": E.to_float, "pct_preventable": E.to_float, "value": E.to_float}
 _doc = F.col
 
 
@@ -217,6 +305,7 @@ def _not_placeholder(x: Column) -> Column:
     return F.when((t != "") & (F.upper(t) != "<UNKNOWN>"), t)
 
 
+# Headers, section headings, keys and payload names of the canonical texts.
 DATASETS = {
     d.id: d
     for d in (
@@ -227,21 +316,60 @@ DATASETS = {
             "eqro", {"state:": "state", "program:": "program", "reporting year:": "year"},
             lambda: {"state": F.upper(E.first_of(_doc("jurisdiction"), F.lit("ZZ"))), "program": _doc("program"), "year": F.coalesce(_doc("report_year"), F.lit(0))},
             (
-                Layout("eqr_quality_measure", ("PERFORMANCE MEASURE",), ("measure",), _fields(
-                    "measure_name=measure; measure_steward=steward; measure_code=code; rate; rate_unit=rate; numerator; denominator; population; data_collection_method=method",
-                    measure_steward=E.steward, rate_unit=E.rate_unit, **_NUMBERS, **_RATES)),
-                Layout("eqr_pip", ("IMPROVEMENT PROJECT",), ("title",), _fields(
-                    "pip_title=title; clinical_focus_area=focus; baseline_rate=baseline; goal_rate=goal; most_recent_rate=most recent; validation_status=validation", **_RATES)),
-                Layout("eqr_compliance", ("COMPLIANCE",), ("standard",), _fields("standard_area=standard; determination")),
+                Layout("eqr_quality_measure", ("PERFORMANCE MEASURE",), ("measure",), {
+                    "measure_name": ("measure", AS_IS),
+                    "measure_steward": ("steward", E.steward),
+                    "measure_code": ("code", AS_IS),
+                    "rate": ("rate", E.rate_value),
+                    "rate_unit": ("rate", E.rate_unit),
+                    "numerator": ("numerator", E.to_int),
+                    "denominator": ("denominator", E.to_int),
+                    "population": ("population", AS_IS),
+                    "data_collection_method": ("method", AS_IS),
+                }),
+                Layout("eqr_pip", ("IMPROVEMENT PROJECT",), ("title",), {
+                    "pip_title": ("title", AS_IS),
+                    "clinical_focus_area": ("focus", AS_IS),
+                    "baseline_rate": ("baseline", E.rate_value),
+                    "goal_rate": ("goal", E.rate_value),
+                    "most_recent_rate": ("most recent", E.rate_value),
+                    "validation_status": ("validation", AS_IS),
+                }),
+                Layout("eqr_compliance", ("COMPLIANCE",), ("standard",), {
+                    "standard_area": ("standard", AS_IS),
+                    "determination": ("determination", AS_IS),
+                }),
             ),
             {
-                "quality_measures": ("eqr_quality_measure", _fields(
-                    "plan_name; measure_name; measure_steward; measure_code; reporting_year; rate; rate_unit; numerator; denominator; population; data_collection_method",
-                    plan_name=TEXT, measure_name=TEXT, measure_steward=E.steward, reporting_year=E.to_int, **_NUMBERS)),
-                "performance_improvement_projects": ("eqr_pip", _fields(
-                    "plan_name; pip_title; clinical_focus_area; reporting_year; baseline_rate; goal_rate; most_recent_rate; validation_status",
-                    plan_name=TEXT, pip_title=TEXT, reporting_year=E.to_int, **_RATES)),
-                "compliance_findings": ("eqr_compliance", _fields("plan_name; standard_area; determination; reporting_year", plan_name=TEXT, standard_area=TEXT, reporting_year=E.to_int)),
+                "quality_measures": ("eqr_quality_measure", {
+                    "plan_name": ("plan_name", TEXT),
+                    "measure_name": ("measure_name", TEXT),
+                    "measure_steward": ("measure_steward", E.steward),
+                    "measure_code": ("measure_code", AS_IS),
+                    "reporting_year": ("reporting_year", E.to_int),
+                    "rate": ("rate", AS_IS),
+                    "rate_unit": ("rate_unit", AS_IS),
+                    "numerator": ("numerator", E.to_int),
+                    "denominator": ("denominator", E.to_int),
+                    "population": ("population", AS_IS),
+                    "data_collection_method": ("data_collection_method", AS_IS),
+                }),
+                "performance_improvement_projects": ("eqr_pip", {
+                    "plan_name": ("plan_name", TEXT),
+                    "pip_title": ("pip_title", TEXT),
+                    "clinical_focus_area": ("clinical_focus_area", AS_IS),
+                    "reporting_year": ("reporting_year", E.to_int),
+                    "baseline_rate": ("baseline_rate", E.rate_value),
+                    "goal_rate": ("goal_rate", E.rate_value),
+                    "most_recent_rate": ("most_recent_rate", E.rate_value),
+                    "validation_status": ("validation_status", AS_IS),
+                }),
+                "compliance_findings": ("eqr_compliance", {
+                    "plan_name": ("plan_name", TEXT),
+                    "standard_area": ("standard_area", TEXT),
+                    "determination": ("determination", AS_IS),
+                    "reporting_year": ("reporting_year", E.to_int),
+                }),
             },
             lambda get: {"state": E.first_of(F.upper(TEXT(E.first_of(_doc("jurisdiction"), get("state")))), F.lit("ZZ")), "program": E.first_of(get("program"), _doc("program"))},
             _eqr_axioms, key_pattern=r"([A-Za-z /]+):\s*([^|]+)", plan_lines=True,
@@ -253,12 +381,30 @@ DATASETS = {
             {"hospital:": "hospital_name", "ein:": "hospital_ein", "state:": "state", "report year:": "year"},
             lambda: {"hospital_name": E.first_of(_doc("publisher"), F.lit("Unknown")), "state": _doc("jurisdiction"), "year": _doc("report_year"), "hospital_ein": F.lit(None).cast("string")},
             (
-                Layout("chna_need", ("IDENTIFIED NEED",), ("need",), _fields("need; domain; is_priority=priority; priority_rank=rank", is_priority=E.to_bool, **_NUMBERS)),
-                Layout("chna_strategy", ("IMPLEMENTATION", "STRATEG"), ("strategy",), _fields("need_addressed=need; strategy; measurable_objective=objective")),
+                Layout("chna_need", ("IDENTIFIED NEED",), ("need",), {
+                    "need": ("need", AS_IS),
+                    "domain": ("domain", AS_IS),
+                    "is_priority": ("priority", E.to_bool),
+                    "priority_rank": ("rank", E.to_int),
+                }),
+                Layout("chna_strategy", ("IMPLEMENTATION", "STRATEG"), ("strategy",), {
+                    "need_addressed": ("need", AS_IS),
+                    "strategy": ("strategy", AS_IS),
+                    "measurable_objective": ("objective", AS_IS),
+                }),
             ),
             {
-                "identified_needs": ("chna_need", _fields("need; domain; is_priority; priority_rank", need=TEXT, is_priority=lambda x: x.try_cast("boolean"), **_NUMBERS)),
-                "implementation_strategies": ("chna_strategy", _fields("need_addressed; strategy; measurable_objective", strategy=TEXT)),
+                "identified_needs": ("chna_need", {
+                    "need": ("need", TEXT),
+                    "domain": ("domain", AS_IS),
+                    "is_priority": ("is_priority", lambda x: x.try_cast("boolean")),
+                    "priority_rank": ("priority_rank", E.to_int),
+                }),
+                "implementation_strategies": ("chna_strategy", {
+                    "need_addressed": ("need_addressed", AS_IS),
+                    "strategy": ("strategy", TEXT),
+                    "measurable_objective": ("measurable_objective", AS_IS),
+                }),
             },
             lambda get: {"hospital_name": F.coalesce(_not_placeholder(get("hospital_name")), E.first_of(_doc("publisher"), F.lit("Unknown"))), "hospital_ein": get("hospital_ein"), "state": E.first_of(_doc("jurisdiction"), get("state")), "report_year": _year(get)},
             _chna_axioms, key_pattern=r"([A-Za-z /]+):\s*([^|]+)", program=None,
@@ -270,13 +416,32 @@ DATASETS = {
             {"state:": "state", "report period:": "report_period", "report year:": "year"},
             lambda: {"state": E.first_of(_doc("jurisdiction"), F.lit("Unknown")), "report_period": F.lit(None).cast("string"), "year": _doc("report_year")},
             (
-                Layout("mmrc_finding", ("FINDING",), ("group", "pregnancy-related deaths"), _fields(
-                    "population_group=group; pregnancy_related_deaths=pregnancy-related deaths; pregnancy_related_mortality_ratio=ratio; pct_preventable=preventable; leading_cause=leading cause", **_NUMBERS, **_FLOATS)),
-                Layout("mmrc_recommendation", ("RECOMMENDATION",), ("recommendation",), _fields("recommendation; category; target_level=target")),
+                Layout("mmrc_finding", ("FINDING",), ("group", "pregnancy-related deaths"), {
+                    "population_group": ("group", AS_IS),
+                    "pregnancy_related_deaths": ("pregnancy-related deaths", E.to_int),
+                    "pregnancy_related_mortality_ratio": ("ratio", E.to_float),
+                    "pct_preventable": ("preventable", E.to_float),
+                    "leading_cause": ("leading cause", AS_IS),
+                }),
+                Layout("mmrc_recommendation", ("RECOMMENDATION",), ("recommendation",), {
+                    "recommendation": ("recommendation", AS_IS),
+                    "category": ("category", AS_IS),
+                    "target_level": ("target", AS_IS),
+                }),
             ),
             {
-                "findings": ("mmrc_finding", _fields("population_group; pregnancy_related_deaths; pregnancy_related_mortality_ratio; pct_preventable; leading_cause", **_NUMBERS, **_FLOATS)),
-                "recommendations": ("mmrc_recommendation", _fields("recommendation; category; target_level", recommendation=TEXT)),
+                "findings": ("mmrc_finding", {
+                    "population_group": ("population_group", AS_IS),
+                    "pregnancy_related_deaths": ("pregnancy_related_deaths", E.to_int),
+                    "pregnancy_related_mortality_ratio": ("pregnancy_related_mortality_ratio", E.to_float),
+                    "pct_preventable": ("pct_preventable", E.to_float),
+                    "leading_cause": ("leading_cause", AS_IS),
+                }),
+                "recommendations": ("mmrc_recommendation", {
+                    "recommendation": ("recommendation", TEXT),
+                    "category": ("category", AS_IS),
+                    "target_level": ("target_level", AS_IS),
+                }),
             },
             lambda get: {"state": E.first_of(_doc("jurisdiction"), get("state"), F.lit("Unknown")), "report_period": get("report_period"), "report_year": _year(get)},
             _mmrc_axioms, program=None,
@@ -292,13 +457,38 @@ DATASETS = {
                 "year": _doc("report_year"), "evaluation_period": F.lit(None).cast("string"), "evaluator": _doc("publisher"),
             },
             (
-                Layout("waiver_1115_finding", ("FINDING",), ("outcome", "intervention"), _fields(
-                    "intervention; domain; outcome_measure=outcome; population; effect_direction=direction; value; value_unit=unit; significance; result", **_FLOATS)),
-                Layout("waiver_1115_recommendation", ("RECOMMENDATION",), ("recommendation",), _fields("recommendation; category")),
+                Layout("waiver_1115_finding", ("FINDING",), ("outcome", "intervention"), {
+                    "intervention": ("intervention", AS_IS),
+                    "domain": ("domain", AS_IS),
+                    "outcome_measure": ("outcome", AS_IS),
+                    "population": ("population", AS_IS),
+                    "effect_direction": ("direction", AS_IS),
+                    "value": ("value", E.to_float),
+                    "value_unit": ("unit", AS_IS),
+                    "significance": ("significance", AS_IS),
+                    "result": ("result", AS_IS),
+                }),
+                Layout("waiver_1115_recommendation", ("RECOMMENDATION",), ("recommendation",), {
+                    "recommendation": ("recommendation", AS_IS),
+                    "category": ("category", AS_IS),
+                }),
             ),
             {
-                "findings": ("waiver_1115_finding", _fields("intervention; domain; outcome_measure; population; effect_direction; value; value_unit; significance; result", **_FLOATS)),
-                "recommendations": ("waiver_1115_recommendation", _fields("recommendation; category", recommendation=TEXT)),
+                "findings": ("waiver_1115_finding", {
+                    "intervention": ("intervention", AS_IS),
+                    "domain": ("domain", AS_IS),
+                    "outcome_measure": ("outcome_measure", AS_IS),
+                    "population": ("population", AS_IS),
+                    "effect_direction": ("effect_direction", AS_IS),
+                    "value": ("value", E.to_float),
+                    "value_unit": ("value_unit", AS_IS),
+                    "significance": ("significance", AS_IS),
+                    "result": ("result", AS_IS),
+                }),
+                "recommendations": ("waiver_1115_recommendation", {
+                    "recommendation": ("recommendation", TEXT),
+                    "category": ("category", AS_IS),
+                }),
             },
             lambda get: {
                 "state": E.first_of(_doc("jurisdiction"), get("state"), F.lit("Unknown")),
@@ -318,12 +508,30 @@ DATASETS = {
                 "ccn": F.lit(None).cast("string"), "survey_date": F.lit(None).cast("string"), "year": _doc("report_year"),
             },
             (
-                Layout("nursing_home_deficiency", ("DEFICIENC",), ("f-tag", "finding"), _fields("ftag=f-tag; ftag_description=description; scope_severity=scope/severity; deficiency_description=finding")),
-                Layout("nursing_home_poc", ("CORRECTION",), ("correction",), _fields("ftag=tag; correction; completion_date=completion")),
+                Layout("nursing_home_deficiency", ("DEFICIENC",), ("f-tag", "finding"), {
+                    "ftag": ("f-tag", AS_IS),
+                    "ftag_description": ("description", AS_IS),
+                    "scope_severity": ("scope/severity", AS_IS),
+                    "deficiency_description": ("finding", AS_IS),
+                }),
+                Layout("nursing_home_poc", ("CORRECTION",), ("correction",), {
+                    "ftag": ("tag", AS_IS),
+                    "correction": ("correction", AS_IS),
+                    "completion_date": ("completion", AS_IS),
+                }),
             ),
             {
-                "deficiencies": ("nursing_home_deficiency", _fields("ftag; ftag_description; scope_severity; deficiency_description")),
-                "plans_of_correction": ("nursing_home_poc", _fields("ftag; correction; completion_date", correction=lambda x: TEXT(F.coalesce(x, F.lit(""))))),
+                "deficiencies": ("nursing_home_deficiency", {
+                    "ftag": ("ftag", AS_IS),
+                    "ftag_description": ("ftag_description", AS_IS),
+                    "scope_severity": ("scope_severity", AS_IS),
+                    "deficiency_description": ("deficiency_description", AS_IS),
+                }),
+                "plans_of_correction": ("nursing_home_poc", {
+                    "ftag": ("ftag", AS_IS),
+                    "correction": ("correction", lambda x: TEXT(F.coalesce(x, F.lit("")))),
+                    "completion_date": ("completion_date", AS_IS),
+                }),
             },
             lambda get: {
                 "facility_name": E.first_of(get("facility_name"), _doc("publisher"), F.lit("Unknown facility")),

@@ -230,6 +230,25 @@ def test_links(spark):
     assert links.report_links(links.anchors(pages), ["report"], most=1).count() == 1
 
 
+def test_anchors(spark):
+    html = """<!-- <a href="/hidden">no</a> --><script>var x = '<a href="/code">no</a>';</script>
+    <A class='k' HREF='/one?a=1&amp;b=2'>One &amp; <i>only</i></A> <a href=bare.html>bare</a> <a data-href="/no">no</a> <a href="">empty</a>
+    <a href="/outer">outer <a name="n">still</a> <a href="/x>y">cut <a href="/inner">\n inner </a> <a title="a > b" href="/q">q</a > <a href="/open">open"""
+    pages = spark.createDataFrame([(1, "https://s.gov/p/q.html", html), (2, "https://s.gov", '<a href="r.pdf">r</a><a href="http://[bad">b</a>'), (3, "u", ""), (4, "u", None)], "page_id long, url string, html string")
+    got = [(r.page_id, r.ordinal, r.href, r.text, r.link) for r in links.anchors(pages).orderBy("page_id", "ordinal").collect()]
+    assert got == [
+        (1, 0, "/one?a=1&b=2", "One & only", "https://s.gov/one?a=1&b=2"), (1, 1, "bare.html", "bare", "https://s.gov/p/bare.html"), (1, 2, "/outer", "outer still", "https://s.gov/outer"),
+        (1, 3, "/inner", "inner", "https://s.gov/inner"), (1, 4, "/q", "q", "https://s.gov/q"), (2, 0, "r.pdf", "r", "https://s.gov/r.pdf"), (2, 1, "http://[bad", "b", None),
+    ]
+    assert links.anchors(pages.where("false")).count() == 0
+    landing = """<ul><li><a href="/papers/review-2031.pdf">2031 quality review</a></li><li><a href="old/review_2030.pdf">Quality review (2030)</a></li>
+    <li><a href="https://elsewhere.example/plan-2031.pdf">Spending plan 2031</a></li><li><a href="/team.html">The team</a></li></ul>"""
+    page = spark.createDataFrame([(1, "https://health.example/mc/", landing)], "page_id long, url string, html string")
+    ask = lambda **more: [(r.url, r.year) for r in links.report_links(links.anchors(page), ["quality", "review"], **more).orderBy("rank").collect()]
+    assert ask() == [("https://health.example/papers/review-2031.pdf", 2031), ("https://health.example/mc/old/review_2030.pdf", 2030)]
+    assert ask(most=1) == [("https://health.example/papers/review-2031.pdf", 2031)]
+
+
 def test_landing_pages(spark):
     entries = spark.createDataFrame([(0, "http://a/", None, None), (1, "http://a/", ["minutes"], 5), (2, None, None, None), (3, "http://gone/", None, None)], "ordinal int, landing_url string, landing_keywords array<string>, landing_max int")
     html = "".join(f'<a href="/r{y}.pdf">EQR report {y}</a>' for y in range(2015, 2020)) + '<a href="/m.pdf">Minutes</a>'
