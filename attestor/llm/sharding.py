@@ -6,7 +6,8 @@ then place every record on a line as long as all bytes, which is cut into equal
 
 The key is (hash of the grouping value, hash of the record), so records of equal value lie side by
 side and share a shard, unless they alone exceed a quarter of one: such a hot group is cut by the
-second hash like any other stretch.
+second hash like any other stretch.  No boundary cuts a group that is to stay whole: the exact totals of
+the groups that sampled boundaries cut (as many at most as boundaries) are taken first.
 
 Nulls: a null text has no bytes and counts ``overhead`` alone; null keys hash like any value.
 Repeated rows are placed one by one.  An empty table gives an empty result.
@@ -84,6 +85,17 @@ def _sample(slim: DataFrame, total: int, seed: int) -> list:
     return slim.where(unit_interval(F.lit(seed), "_k1", "_k2") < F.col("_size") * rate).select("_k1", "_k2", weight).collect()
 
 
+def _uncut(slim: DataFrame, bounds: list[tuple[int, int]], most: float) -> list[tuple[int, int]]:
+    """The boundaries without those inside groups of at most ``most`` bytes; such a group's start stays one."""
+    cut = sorted({k1 for k1, k2 in bounds if k2 != LOWEST})
+    if not cut:
+        return bounds
+    keys = F.broadcast(slim.sparkSession.createDataFrame([(k,) for k in cut], "_k1 long"))  # at most one row a boundary
+    sizes = slim.join(keys, "_k1", "left_semi").groupBy("_k1").agg(F.sum("_size").alias("b"))
+    whole = {r._k1 for r in sizes.where(F.col("b") <= most).collect()}
+    return sorted({(k1, LOWEST if k1 in whole else k2) for k1, k2 in bounds})
+
+
 def shard_plan(slim: DataFrame, n_shards: int, n_ranges: int | None = None) -> ShardPlan:
     """Boundaries, range totals and first ranks, from the columns _size, _k1 and _k2 alone."""
     total = slim.agg(F.sum("_size")).first()[0] or 0
@@ -98,6 +110,7 @@ def shard_plan(slim: DataFrame, n_shards: int, n_ranges: int | None = None) -> S
         over = sized.where(F.col("_range").isin([r._range for r in heavy]))
         more = _quantiles(_sample(over, sum(r.b for r in heavy), seed), 4 * len(heavy) + 1)
         bounds = sorted({*bounds, *more})
+    bounds = _uncut(slim, bounds, WHOLE_GROUP * total / n_shards)
     ranges = offsets(slim.select(_range_of(bounds).alias("_range"), "_size"), [], ["_range"], sums)
     plan = ShardPlan(n_shards, total, bounds, ranges)
     plan.firsts = _ranked(slim, plan).groupBy("shard").agg(F.min("_rank").alias("_first"))
