@@ -2,17 +2,21 @@
 
 A huge text is encoded in chunks that overlap.  Two neighbours are spliced at a position that is a
 token boundary in both, and that is proven stable: a visible character stands before it and a plain
-space or line feed at it.  The byte-level pattern never matches across such a place (a match that
-holds visible characters holds white space only as its first character), and what follows is matched
-without a look back, so both chunks and the whole text have the same boundary there.  A chunk that
-ends early can differ only in its last pieces, which lie behind the splice.  If the overlap holds no
-such position, it is widened; in the end the chunk takes in the text up to the next one.
+space or line feed at it, or an ASCII letter meets an ASCII digit, or a full-width stop or comma meets a
+Chinese or Japanese letter.  The byte-level pattern never matches across such a place (a match that
+holds visible characters holds white space only as its first character, and of letters, digits and signs
+one kind alone, but for an apostrophe and letters), and what follows is matched without a look back, so
+both chunks and the whole text have the same boundary there.  A chunk that ends early can differ only in
+its last pieces, which lie behind the splice.  If the overlap holds no such position, it is widened; in
+the end the chunk takes in the text up to the next one, by steps that double, so that at most some three
+times the text is encoded.
 
 The same proof lets ordinary texts be cut at stable places: each piece is encoded once by the library
 and remembered while the worker lives.  Texts that do not meet the proof's conditions, and tokenizers
 whose pre-tokenizer is not byte-level, are encoded whole.
 
-A null text counts as empty: 0 bytes, 0 tokens.
+A null text counts as empty: 0 bytes, 0 tokens.  Repeated rows are counted one by one; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -34,7 +38,9 @@ OVERLAP = 256
 #: Pieces that a worker remembers; then it starts anew.
 REMEMBERED = 400_000
 NEVER = -(1 << 40)
-STABLE = re.compile(r"(?<=[!-~])(?=[ \n])")
+#: White space and unseen characters, by any reading, beyond ASCII.
+_BLANK = "\u0080-\u00a0\u00ad\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff"
+STABLE = re.compile(rf"(?<=[!-~])(?=[ \n])|(?<=[^\x00-\x7f{_BLANK}])(?=[ \n])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])|(?<=[\u3001\u3002\uff0c\uff01\uff1f])(?=[\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fff])")
 
 
 @lru_cache(maxsize=4)
@@ -82,11 +88,12 @@ def spliced(text: str, ends: Callable[[str], np.ndarray], chunk: int = CHUNK, ov
         wide, p = overlap, None
         while p is None:
             start = max(base, hi - wide)
-            stop = min(len(text), hi + chunk)
-            ahead = ends(text[start:stop]) + start
+            stop = min(len(text), hi + max(chunk, hi - base))
             # what lies behind a splice must be past the start of the next chunk by a stable place
             first = STABLE.search(text, start + 1, hi) if start > base else None
-            p = _cut(text, first.start() if first else start, hi, here, ahead) if first else None
+            if first or start <= base:
+                ahead = ends(text[start:stop]) + start
+                p = _cut(text, first.start(), hi, here, ahead) if first else None
             if p is None and start <= base:
                 break
             wide *= 4
