@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attestor.llm.words import run_hash, word_slices
+from attestor.llm.scratch import materialize
+from attestor.llm.words import Words, run_hash, word_slices
 
 #: Most bytes of item texts in one broadcast block; a larger benchmark is scanned block by block.
 BLOCK_BYTES = 16 << 20
@@ -25,58 +26,70 @@ WIDTH = 13
 
 
 class WindowSet:
-    """The windows of some items: by length, sorted hashes, and for each hash its words and items."""
+    """The windows of some items: by length their hashes, sorted, with each one's place in the packed words and its item.
+
+    Words lie in one byte string, each followed by a zero byte, so a window is a slice of it.  All takes a
+    few times the bytes of the items.
+    """
 
     def __init__(self, items: list[tuple[str, str]], width: int) -> None:
-        self.windows: dict[int, dict[int, list[tuple[tuple[bytes, ...], set[str]]]]] = {}
-        if not items:
-            return
-        column = pa.array([t for _, t in items], pa.string())
-        for i, _, w in word_slices(column):
-            raw = w.data.tobytes()
-            for k in range(len(w.first) - 1):
-                a, b = int(w.first[k]), int(w.first[k + 1])
-                size = min(width, b - a)
-                if not size:
-                    continue
-                starts = np.arange(a, b - size + 1)
-                for s, h in zip(starts.tolist(), run_hash(w.hashes, starts, starts + size, 2).tolist(), strict=True):
-                    got = tuple(raw[w.starts[x] : w.ends[x]] for x in range(s, s + size))
-                    at = self.windows.setdefault(size, {}).setdefault(h, [])
-                    same = next((x for x in at if x[0] == got), None)
-                    if same:
-                        same[1].add(items[i + k][0])
-                    else:
-                        at.append((got, {items[i + k][0]}))
-        self.sorted = {n: np.array(sorted(d), np.uint64) for n, d in self.windows.items()}
+        self.ids = [i for i, _ in items]
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}  # hash, start, end, item
+        packed, at, found = [], 0, {}
+        for i, _, w in word_slices(pa.array([t for _, t in items], pa.string())) if items else ():
+            upto = np.concatenate([[0], np.cumsum(w.ends - w.starts + 1)])
+            packed.append(_pack(w, 0, len(w.starts)))
+            counts = np.diff(w.first)
+            for size in np.unique(np.minimum(counts, width))[::-1].tolist():
+                mine = np.flatnonzero(np.minimum(counts, width) == size) if size else np.zeros(0, int)
+                n = counts[mine] - size + 1
+                starts = np.repeat(w.first[:-1][mine] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                if len(starts):
+                    row = (run_hash(w.hashes, starts, starts + size, 2), upto[starts] + at, upto[starts + size] + at, np.repeat(mine + i, n))
+                    found.setdefault(size, []).append(row)
+            at += int(upto[-1])
+        self.packed = b"".join(packed)
+        for size, rows in found.items():
+            h, start, end, item = (np.concatenate(x) for x in zip(*rows, strict=True))
+            order = np.lexsort((start, item, h))
+            self.windows[size] = h[order], start[order], end[order], item[order].astype(np.int32)
 
     def scan(self, column: pa.Array) -> Iterator[tuple[np.ndarray, list[list[tuple[int, int]]], list[set[str]]]]:
         """For each slice: word counts, verified spans of words (by text) and items found (by text)."""
         for i, j, w in word_slices(column):
             counts = np.diff(w.first)
             spans, found = [[] for _ in range(j - i)], [set() for _ in range(j - i)]
-            raw = None
-            for size, hashes in getattr(self, "sorted", {}).items():
+            for size, (hashes, start, end, item) in self.windows.items():
                 n = np.maximum(counts - size + 1, 0)
                 first = np.concatenate([[0], np.cumsum(n)])
                 starts = np.repeat(w.first[:-1] - first[:-1], n) + np.arange(first[-1])
-                if not len(starts):
-                    continue
                 h = run_hash(w.hashes, starts, starts + size, 2)
-                at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-                hits = np.flatnonzero(hashes[at] == h)
+                low = np.searchsorted(hashes, h)
+                hits = np.flatnonzero(hashes[np.minimum(low, len(hashes) - 1)] == h)
                 text = np.searchsorted(first, hits, "right") - 1
-                raw = w.data.tobytes() if raw is None and len(hits) else raw
-                for x, t in zip(hits.tolist(), text.tolist(), strict=True):
+                high = np.searchsorted(hashes, h[hits], "right")
+                for x, t, upto in zip(hits.tolist(), text.tolist(), high.tolist(), strict=True):
                     s = int(starts[x])
-                    got = tuple(raw[w.starts[y] : w.ends[y]] for y in range(s, s + size))
-                    for known, items in self.windows[size][int(h[x])]:
-                        if known == got:
-                            spans[t].append((s - int(w.first[t]), s - int(w.first[t]) + size))
-                            found[t] |= items
+                    got = _pack(w, s, s + size)
+                    same = [k for k in range(int(low[x]), upto) if self.packed[start[k] : end[k]] == got]
+                    if same:
+                        spans[t].append((s - int(w.first[t]), s - int(w.first[t]) + size))
+                        found[t].update(self.ids[item[k]] for k in same)
             yield counts, spans, found
 
 
+def _pack(w: Words, a: int, b: int) -> bytes:
+    """Words a to b, each followed by a zero byte."""
+    n = w.ends[a:b] - w.starts[a:b] + 1
+    upto = np.cumsum(n)
+    if not len(n):
+        return b""
+    data = np.append(w.data, np.uint8(0)) if len(w.data) and w.ends[b - 1] >= len(w.data) else w.data
+    out = data[np.repeat(w.starts[a:b] - upto + n, n) + np.arange(upto[-1])]
+    out[upto - 1] = 0  # also where two texts meet
+    return out.tobytes()
+
+
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for a, b in sorted(spans):
@@ -130,17 +143,22 @@ def item_blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[list[
 def scan(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Add ``hits`` (in place of a column of this name): struct of n_words, spans (merged, in words) and items (sorted ids).
 
-    The benchmark is a stated query set: each block of it is scanned over all rows, without a shuffle.
+    The benchmark is a stated query set: each block of it is scanned over all rows, without a shuffle.  One
+    block is broadcast at a time; between blocks the rows are written with what was found so far.
     """
-    sc = docs.sparkSession.sparkContext
-    parts = []
-    for k, items in enumerate(item_blocks(benchmark, block_bytes)):
-        name = f"_hits{k}"
-        docs = docs.withColumn(name, _scanner(sc.broadcast(WindowSet(items, width)))(F.col("text")))
-        parts.append(F.col(name))
-    if len(parts) == 1:
-        return docs.withColumn("hits", F.col("_hits0")).drop("_hits0")
-    spans = F.array_sort(F.flatten(F.array(*[p["spans"] for p in parts])))
+    sc, before = docs.sparkSession.sparkContext, None
+    for items in item_blocks(benchmark, block_bytes):
+        if before is not None:
+            docs = materialize(docs.withColumn("hits", before).drop("_found", "_before"), "scanned").withColumnRenamed("hits", "_before")
+        found = _scanner(sc.broadcast(WindowSet(items, width)))(F.col("text"))
+        docs = docs.withColumn("_found", found)
+        before = F.col("_found") if "_before" not in docs.columns else _both(F.col("_before"), F.col("_found"))
+    return docs.withColumn("hits", before).drop("_found", "_before")
+
+
+def _both(a: Column, b: Column) -> Column:
+    """What two blocks found in one text: spans merged, items of both."""
+    spans = F.array_sort(F.concat(a["spans"], b["spans"]))
     merged = F.aggregate(
         spans,
         F.array().cast("array<struct<start:int,end:int>>"),
@@ -152,9 +170,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes:
             ),
         ).otherwise(F.concat(acc, F.array(s))),
     )
-    items = F.array_sort(F.array_distinct(F.flatten(F.array(*[p["items"] for p in parts]))))
-    hits = F.struct(parts[0]["n_words"].alias("n_words"), merged.alias("spans"), items.alias("items"))
-    return docs.withColumn("hits", hits).drop(*[f"_hits{k}" for k in range(len(parts))])
+    return F.struct(a["n_words"].alias("n_words"), merged.alias("spans"), F.array_sort(F.array_union(a["items"], b["items"])).alias("items"))
 
 
 def n_hit(hits: Column) -> Column:
