@@ -4,9 +4,12 @@ N-grams of one to three letters (other characters count as a space) are hashed i
 feature's value is its share of the text's n-grams times its inverse document frequency, which is
 counted over all documents that may be learnt from.  Weights are trained by follow-the-regularised-
 leader (proximal, elastic net) on a bounded sample, then a temperature is fitted on a held-back fifth.
+The sample draws from every language in proportion to its different texts, ``LEAST`` of them at least;
+what reaches the driver are its texts' features, bounded in rows and bytes.
 
 Only ``text`` enters a prediction.  A text that is null or has no letter is ``und`` with score 0, as is
-every text where no language could be learnt.  Rows of null text or language are not learnt from.
+every text where no language could be learnt.  Rows of null text or language are not learnt from;
+repeated ones are drawn once and predicted one by one.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -16,14 +19,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BITS = 15
 SIZE = 1 << BITS
 ORDERS = (1, 2, 3)
-#: Documents that the weights are fitted on, as expected by hash; all others add to the statistics.
-SAMPLE = 6000
+#: Texts that the weights are fitted on, together and from each language at least; all others add to the statistics.
+SAMPLE, LEAST = 6000, 50
+#: Bytes of the sample's features on the driver.
+SAMPLE_BYTES = 256 << 20
 #: Features are scaled so that a usual text has a norm near 1.
 SCALE = 16.0
 SLICE_CHARS, SLICE_TEXTS = 1 << 19, 512
@@ -122,6 +127,10 @@ class LanguageModel:
                 out[i:j, c] = np.bincount(owner, self.weights[c][f], j - i) / n + self.bias[c]
         return out
 
+    def logits_of(self, features: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The same for one text, from its features and how often it has each."""
+        return self.weights[:, features] @ counts / max(counts.sum(), 1) + self.bias
+
     def predict(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         z = self.logits(texts) / self.temperature
         p = np.exp(z - z.max(1, keepdims=True))
@@ -153,26 +162,54 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
+def drawn_sample(docs: DataFrame, sample: int = SAMPLE, seed: int = 1) -> tuple[list[str], list]:
+    """The languages of ``docs`` (text, lang), and rows (lang, f, n) of a bounded sample: features and counts.
+
+    A text is drawn by its hash, with a chance from the number of different texts of its language, and
+    stands in the sample once however often it is repeated.
+    """
+    key = F.xxhash64(F.lit(seed), "text")
+    stats = docs.groupBy("lang").agg(F.approx_count_distinct(key).alias("n")).collect()  # one row a language
+    every = sum(r.n for r in stats)
+    quota = {r.lang: max(LEAST, sample * r.n / max(every, 1)) for r in stats}
+    if not quota:
+        return [], []
+    chances = [(r.lang, min(1.0, 1.2 * quota[r.lang] / max(r.n, 1)), int(-(-quota[r.lang] // 1))) for r in stats]
+    chances = F.broadcast(docs.sparkSession.createDataFrame(chances, "lang string, _chance double, _most int"))
+    some = docs.withColumn("_key", key).join(chances, "lang")
+    some = some.where(F.pmod("_key", F.lit(1 << 30)) < F.col("_chance") * (1 << 30)).dropDuplicates(["lang", "_key"])
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("_key"), "_key"))
+    some = some.withColumn("_nth", nth).where("_nth <= _most")
+
+    def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [np.unique(_buckets([t])[0], return_counts=True) for t in batch["text"].to_pylist()]
+            f, n = (pa.array([x[k].astype(np.int32).tobytes() for x in rows], pa.binary()) for k in (0, 1))
+            yield pa.record_batch([batch["lang"], batch["_key"], f, n], ["lang", "_key", "f", "n"])
+
+    rows = some.select("lang", "_key", "text").mapInArrow(featured, "lang string, _key long, f binary, n binary")
+    upto = F.sum(F.octet_length("f") * 2).over(Window.partitionBy(F.lit(0)).orderBy(F.xxhash64("_key"), "lang"))  # a sample's rows
+    rows = rows.withColumn("_upto", upto).where(F.col("_upto") <= SAMPLE_BYTES).collect()
+    rows = [(r.lang, np.frombuffer(r.f, np.int32), np.frombuffer(r.n, np.int32)) for r in sorted(rows, key=lambda r: (r.lang, r._key))]
+    return sorted(quota), rows
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE, epochs: int = 4, seed: int = 1) -> LanguageModel:
     """Learn from ``docs`` (text, lang): statistics over all rows, weights from a bounded sample."""
     docs = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
     df, n_docs = document_frequencies(docs)
     idf = np.log((1 + n_docs) / (1 + df)) + 1
-    drawn = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 30)) <= F.lit(int(min(1.0, sample / max(n_docs, 1)) * (1 << 30)))
-    rows = docs.where(drawn).collect()
-    rng = np.random.default_rng(seed)
-    rows.sort(key=lambda r: (r.lang, r.text))
-    rows = [rows[i] for i in rng.permutation(len(rows))]
-    languages = sorted({r.lang for r in rows})
+    languages, rows = drawn_sample(docs, sample, seed)
     if not languages:
         return LanguageModel([], np.zeros((0, SIZE)), np.zeros(0))
+    rng = np.random.default_rng(seed)
+    rows = [rows[i] for i in rng.permutation(len(rows))]
     cut = len(rows) // 5
     held, rows = rows[:cut], rows[cut:]
     examples = []
-    for r in rows:
-        f, c = np.unique(_buckets([r.text])[0], return_counts=True)
+    for lang, f, c in rows:
         x = np.append(SCALE * c / max(c.sum(), 1) * idf[f], 1.0)
-        examples.append((np.append(f, SIZE), x, languages.index(r.lang)))
+        examples.append((np.append(f, SIZE), x, languages.index(lang)))
     model = Ftrl(len(languages))
     for _ in range(epochs):
         for i in rng.permutation(len(examples)):
@@ -180,9 +217,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE, epochs: int = 4, seed: int = 1) -
     w = model.weights(slice(None))
     fitted = LanguageModel(languages, np.ascontiguousarray((w[:-1] * idf[:, None] * SCALE).T), w[-1].copy())
     if held:
-        z = fitted.logits([r.text for r in held])
-        y = np.array([languages.index(r.lang) for r in held])
-        fitted.temperature = _temperature(z, y)
+        z = np.stack([fitted.logits_of(f, c) for _, f, c in held])
+        fitted.temperature = _temperature(z, np.array([languages.index(lang) for lang, _, _ in held]))
     return fitted
 
 
