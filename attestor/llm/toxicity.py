@@ -10,7 +10,9 @@ over the same hashed words, its language names learnt from the sample): the logi
 each language's threshold, calibrated on held-back texts, falls on score 0.5.
 
 A null text counts as empty; texts without words get the share of toxic texts, below 0.5.  Labels of a document that
-contradict each other count as toxic.  Without both labels in the sample every score is 0.
+contradict each other count as toxic.  Without both labels in the sample every score is 0.  Repeated rows
+are scored one by one; columns named ``score`` and ``predicted`` are replaced.  Very long texts are scored in
+windows that overlap by the widest filter less one word, since maxima of windows make the text's maximum.
 """
 
 from __future__ import annotations
@@ -20,18 +22,20 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from attestor.llm.words import Words, run_hash, word_slices
+from attestor.llm.words import Words, folded, run_hash, slices, text_arrays, windows, word_slices, words
 
 BITS = 16
 SIZE = 1 << BITS
 WIDTHS = (1, 2, 3)
 PREFIXES = (4, 6)
 DIM, FILTERS = 16, 16
-#: Labelled documents that the model is fitted on, as expected by hash.
-SAMPLE = 8000
+#: Labelled documents that the model is fitted on, as expected by hash; and bounds of rows and of bytes of text.
+SAMPLE, SAMPLE_ROWS, SAMPLE_BYTES = 8000, 16_000, 128 << 20
+#: Bytes of a text beyond which it is scored in windows of so many.
+WINDOW = 1 << 20
 #: Texts of a language among the held-back, from which on it has a threshold of its own.
 LEAST_TEXTS = 40
 
@@ -87,25 +91,48 @@ class ToxicityModel:
             m[some] = np.maximum.reduceat(z, first[:-1][some], 0)
         return m + self.conv_bias
 
-    def logits(self, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    def tops(self, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Each text's maximum of every filter."""
         x = self.emb[rows].sum(1) if len(rows) else np.zeros((0, DIM), np.float32)
-        return np.maximum(self.pooled(self.responses(x, first), first), 0) @ self.out + self.out_bias
+        return self.pooled(self.responses(x, first), first)
 
-    def guess(self, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Index of each text's language."""
-        n = len(first) - 1
-        score = np.tile(self.prior, (n, 1))
+    def logits(self, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+        return np.maximum(self.tops(rows, first), 0) @ self.out + self.out_bias
+
+    def evidence(self, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Log likelihood of each text's words by language."""
+        score = np.zeros((len(first) - 1, len(self.languages)))
         some = np.diff(first) > 0
         if some.any():
             score[some] += np.add.reduceat(self.word_lang[rows[:, 0]], first[:-1][some], 0)
-        return score.argmax(1)
+        return score
+
+    def guess(self, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Index of each text's language."""
+        return (self.prior + self.evidence(rows, first)).argmax(1)
+
+    def _judged(self, tops: np.ndarray, evidence: np.ndarray, some: np.ndarray) -> np.ndarray:
+        """Scores from maxima and evidence; ``some``: which texts have words."""
+        shift = np.array([self.thresholds.get(x, self.default) for x in self.languages])[(self.prior + evidence).argmax(1)]
+        score = 1 / (1 + np.exp(-np.clip(np.maximum(tops, 0) @ self.out + self.out_bias - shift, -30, 30)))
+        return np.where(some, score, self.base)
 
     def score(self, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
         if not self.languages:
             return np.zeros(len(first) - 1)
-        shift = np.array([self.thresholds.get(x, self.default) for x in self.languages])[self.guess(rows, first)]
-        score = 1 / (1 + np.exp(-np.clip(self.logits(rows, first) - shift, -30, 30)))
-        return np.where(np.diff(first) > 0, score, self.base)
+        return self._judged(self.tops(rows, first), self.evidence(rows, first), np.diff(first) > 0)
+
+    def score_long(self, data: np.ndarray, most: int) -> float:
+        """The score of one text of many bytes, in windows."""
+        if not self.languages:
+            return 0.0
+        tops, evidence, some = np.full((1, len(self.conv_bias)), -np.inf), np.zeros((1, len(self.languages))), False
+        for w, again in windows(data, most, max(WIDTHS) - 1):
+            rows = features(w)
+            tops = np.maximum(tops, self.tops(rows, w.first))
+            evidence += self.evidence(rows[again:], np.array([0, len(rows) - again]))
+            some = some or len(rows) > 0
+        return float(self._judged(tops, evidence, np.array([some]))[0])
 
 
 class _Trainer:
@@ -232,8 +259,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, se
     n = labels.count()
     drawn = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) <= F.lit(int(min(1.0, sample / max(n, 1)) * (1 << 30)))
     few = labels.where(drawn).groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
-    got = docs.select("doc_id", "text", "lang").where(drawn).join(F.broadcast(few), "doc_id")  # ``sample`` rows are expected
-    rows = got.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "_toxic", "lang").collect()
+    few = few.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
+    got = docs.select("doc_id", "text", "lang").where(drawn).join(F.broadcast(few), "doc_id")
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")]
+    got = got.withColumn("text", F.coalesce("text", F.lit(""))).orderBy(*order).limit(SAMPLE_ROWS)  # a doc_id may stand for many rows
+    got = got.withColumn("_upto", F.sum(F.octet_length("text")).over(Window.partitionBy(F.lit(0)).orderBy(*order)))
+    rows = got.where(F.col("_upto") <= SAMPLE_BYTES).select("doc_id", "text", "_toxic", "lang").collect()
     return [(r.text, int(r._toxic), r.lang) for r in sorted(rows, key=lambda r: (r.doc_id, r.text))]
 
 
@@ -243,7 +274,15 @@ def toxicity(text: Column, model) -> Column:
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = model.value
         for column in batches:
-            out = [m.score(features(w), w.first) for _, _, w in word_slices(column, 1 << 20)]
+            data, offsets = text_arrays(column)
+            out = []
+            for i, j in slices(offsets, WINDOW):
+                part = folded(data[offsets[i] : offsets[j]])
+                if len(part) > WINDOW:
+                    out.append([m.score_long(part, WINDOW)])
+                else:
+                    w = words(part, offsets[i : j + 1] - offsets[i])
+                    out.append(m.score(features(w), w.first))
             yield pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
 
     score.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}

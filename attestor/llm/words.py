@@ -126,6 +126,27 @@ def word_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int
         yield i, j, words(part, offsets[i : j + 1] - offsets[i])
 
 
+def windows(data: np.ndarray, most: int, overlap: int) -> Iterator[tuple[Words, int]]:
+    """(words of a window, how many of them the window before had too) over one folded text.
+
+    A window begins ``overlap`` words before the end of the last and ends where no word does go on; it has
+    about ``most`` bytes besides, or more where one word has.
+    """
+    lo = at = again = 0
+    while at < len(data) or not at:
+        hi = min(len(data), at + most)
+        while 0 < hi < len(data) and data[hi - 1] and data[hi]:  # not within a word
+            gap = np.flatnonzero(data[hi : hi + most] == 0)
+            hi = hi + int(gap[0]) if len(gap) else min(len(data), hi + most)
+        part = data[lo:hi]
+        w = words(part, np.array([0, len(part)]))
+        yield w, again
+        again = min(overlap, len(w.starts))
+        at, lo = hi, lo + int(w.starts[-again]) if again else hi
+        if hi == len(data):
+            return
+
+
 def shingle_hashes(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of each text's runs of k words, and each text's first run.
 
