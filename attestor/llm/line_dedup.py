@@ -1,7 +1,7 @@
 """Line dedup: an exact set-similarity join of lines that removes later matches.
 
-A line is the set of its runs of five words (its tokens); lines of fewer than five words are never
-compared and stay.  Two lines match if the Jaccard similarity of their sets is at least 0.8.  A line is
+A line is the set of its runs of five words (its tokens); a line of fewer words, but not none, has one run
+of them all, so it matches lines of the same words alone.  Two lines match if the Jaccard similarity of their sets is at least 0.8.  A line is
 removed if any line that stands earlier, by (doc_id, line number), matches it, kept or not.
 
 Tokens are ordered from rare to common by counts over all documents, taken in a table of fixed size: a
@@ -17,8 +17,10 @@ blocks that spread over tasks: first with the likeliest of each block, then, whe
 with all.  These comparisons pass one more exact filter: tokens flip bits of a 256-bit map, and sets of
 sizes a and b whose maps differ in d bits have at most (a + b - d) / 2 tokens in common.
 
-Nulls: a null text is one empty line; a null doc_id is never compared.  Repeated rows of a doc_id are
-one document: its equal line numbers are one line.
+Nulls: a null text is one empty line; a null doc_id is never compared; lines without words stay.
+Repeated rows of a doc_id are one document to ``find_repeated``: its equal line numbers are one line.
+``remove_repeated`` takes different texts of one doc_id as documents of their own, in the order of their
+hashes.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -127,8 +129,6 @@ def _token_sets(w: Words, k: int, rarity: np.ndarray | None) -> tuple[np.ndarray
     if rarity is not None:
         token = (rarity[(h >> np.uint64(64 - BITS)).astype(np.int64)].astype(np.int64) << 56) | (h >> np.uint64(8)).astype(np.int64)
     line = np.repeat(np.arange(len(n)), n)
-    long = (np.diff(w.first) >= k)[line]
-    token, line = token[long], line[long]
     order = np.lexsort((token, line))
     token, line = token[order], line[order]
     new = np.ones(len(token), bool)
@@ -172,7 +172,8 @@ def _lines(batches: Iterator[pa.RecordBatch], k: int, similarity: float, rarity)
             first = np.ones(len(row), bool)
             first[order[1:]] = (copy[order[1:]] != copy[order[:-1]]) | (row[order[1:]] != row[order[:-1]])
             first &= n > 0
-            p = np.where(first, prefix_length(n, similarity), 0)
+            # lines of fewer words meet their like as copies
+            p = np.where(first & (np.diff(w.first) >= k), prefix_length(n, similarity), 0)
             place = np.arange(len(token)) - (np.cumsum(n) - n)[line]
             yield pa.record_batch(
                 [
@@ -297,7 +298,8 @@ def find_repeated(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARIT
     usable = F.col("copy").isNotNull() & F.col("doc_id").isNotNull()
     copies = materialize(lines.where(usable).groupBy("copy").agg(F.min("doc_id").alias("doc_id")), "line-copies")
 
-    reps = lines.where(usable & F.col("first")).select("copy", "doc_id", "line", "n", "prefix").join(copies, ["copy", "doc_id"])
+    long = lines.where(usable & F.col("first") & (F.octet_length("prefix") > 0))
+    reps = long.select("copy", "doc_id", "line", "n", "prefix").join(copies, ["copy", "doc_id"])
     tokens = reps.dropDuplicates(["copy", "doc_id", "line"]).mapInArrow(_explode, "token long, copy long, doc long, at long")
     dealt = tokens.repartition(parts, "token").sortWithinPartitions("token", "doc", "copy")
     found = materialize(dealt.mapInArrow(lambda b: _candidates(b, similarity), PAIRS), "candidates")
@@ -347,11 +349,31 @@ def find_repeated(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARIT
     return counts.join(judged, "doc_id", "left").select("doc_id", "n_lines", F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
+def _own_ids(rows: DataFrame) -> DataFrame:
+    """Add ``_id``: the doc_id ``_key``, or where a doc_id has several texts (hash ``_hash``), numbers in order of both."""
+    texts = rows.where("_key is not null").select("_key", "_hash")
+    several = texts.groupBy("_key").agg((F.min("_hash") < F.max("_hash")).alias("several")).where("several").limit(1).count()
+    if not several:
+        return rows.withColumn("_id", F.col("_key"))
+    ids = texts.distinct().orderBy("_key", "_hash").withColumn("_id", F.monotonically_increasing_id())
+    return rows.join(materialize(ids, "ids"), ["_key", "_hash"], "left")
+
+
 def remove_repeated(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """The documents without their repeated lines; columns as they came."""
-    found = find_repeated(docs, k, similarity).where(F.size("removed") > 0).select(F.col("doc_id").alias("_id"), "removed")
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_key"))
-    joined = rows.join(found, F.col("_key") == F.col("_id"), "left")
-    kept = F.filter(F.split("_row.text", "\n", -1), lambda x, i: ~F.array_contains("removed", i))
-    text = F.when(F.col("removed").isNull(), F.col("_row.text")).otherwise(F.array_join(kept, "\n"))
-    return joined.select(*[text.alias(c) if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_key"), F.xxhash64("text").alias("_hash"))
+    rows = _own_ids(rows)
+    found = find_repeated(rows.select(F.col("_id").alias("doc_id"), "_row.text"), k, similarity)
+    found = found.where(F.size("removed") > 0).select(F.col("doc_id").alias("_doc"), "removed")
+
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, removed in batches:
+            out = []
+            for t, r in zip(texts.to_pylist(), removed.to_pylist(), strict=True):
+                gone = set(r or ())
+                out.append("\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone) if gone else t)
+            yield pa.array(out, pa.string())
+
+    cut.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    joined = rows.join(found, F.col("_id") == F.col("_doc"), "left").withColumn("_text", F.arrow_udf(cut, "string")(F.col("_row.text"), F.col("removed")))
+    return joined.select(*[F.col("_text").alias(c) if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])

@@ -144,7 +144,7 @@ OP10_SQL = f"""
 WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 i AS (SELECT doc_id, i - 1 AS line, ls[i] AS text FROM t, unnest(range(1, len(ls) + 1)) u(i)),
 w AS (SELECT doc_id, line, {WORDS} AS w FROM i),
-s AS (SELECT DISTINCT doc_id, line, array_to_string(w[j : j + 4], ' ') AS g FROM w, unnest(range(1, len(w) - 3)) u(j) WHERE len(w) > 4),
+s AS (SELECT DISTINCT doc_id, line, array_to_string(w[j : j + 4], ' ') AS g FROM w, unnest(range(1, greatest(1, len(w) - 4) + 1)) u(j) WHERE len(w) > 0),
 n AS (SELECT doc_id, line, count(*) AS n FROM s GROUP BY ALL),
 p AS (SELECT a.doc_id, a.line, b.doc_id AS d2, b.line AS l2, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND (b.doc_id < a.doc_id OR b.doc_id = a.doc_id AND b.line < a.line) GROUP BY ALL),
 m AS (SELECT DISTINCT p.doc_id, p.line FROM p JOIN n a ON a.doc_id = p.doc_id AND a.line = p.line JOIN n b ON b.doc_id = d2 AND b.line = l2 WHERE c >= 0.8e0 * (a.n + b.n - c) - 1e-9),

@@ -245,9 +245,9 @@ def brute_lines(rows):
     for d, t in sorted(set(rows), key=lambda r: r[0]):
         for i, line in enumerate((t or "").split("\n")):
             w = tokens(line)
-            if len(w) < 5:
+            if not w:
                 continue
-            s = {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+            s = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
             if any(len(s & x) >= 0.8 * len(s | x) - 1e-9 for x in sets):
                 out[d].append(i)
             sets.append(s)
@@ -271,6 +271,10 @@ def test_line_dedup_matches_brute_force(spark, docs, empty, monkeypatch, small):
     assert cut.columns == docs.columns and cut.count() == docs.count()
     texts = {r.doc_id: r.text for r in cut.collect()}
     assert texts[0] is None and texts[12] == "more words at the end of it" and texts[14] == ""
+    line, unique = prose(300, 20), prose(301, 20)
+    twice = spark.createDataFrame([(1, line), (2, line + "\nkeep " + prose(302, 9)), (2, unique + "\nmore " + prose(303, 9)), (None, line), (3, "Short one."), (4, "short ONE\n" + unique)], "doc_id long, text string")
+    left = sorted((r.doc_id or 0, r.text) for r in line_dedup.remove_repeated(twice).collect())
+    assert left == sorted([(0, line), (1, line), (2, "keep " + prose(302, 9)), (2, unique + "\nmore " + prose(303, 9)), (3, "Short one."), (4, "")])
 
 
 def test_mixing(spark, docs, empty):
