@@ -1,13 +1,15 @@
 """Merkle fingerprints of documents (DataFrame functions only).
 
 A text is a tree: sections (blocks between blank lines) of paragraphs (lines) of pieces (sentences,
-or 40 code points where a sentence runs on).  A piece's digest is its xxhash64; a paragraph's digest
-covers its pieces' digests, a section's its paragraphs', the root all sections' (SHA-256).  So equal
-roots mean equal texts, and where roots differ the first differing branches locate the edit.
+or 40 code points where a sentence runs on).  A piece's digest is the first half of its SHA-256; a
+paragraph's digest covers its pieces' digests, a section's its paragraphs', the root all sections'
+(SHA-256), each level with a mark of its own.  So equal roots mean equal texts, but for collisions of
+128 bits, and where roots differ the first differing branches locate the edit.
 
 The fingerprint is a string: root, then for each section its digest, its paragraphs' digests and the
 short labels of their pieces: ``root|section:paragraph=piece.piece,paragraph=...|section:...``.
-A null text counts as empty, whose one paragraph has no piece.
+A null text counts as empty, whose one paragraph has no piece.  Columns that are called like a result are
+left out of it; of equal rows one is the next of the other; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,13 +39,13 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 def _node(digests: Column, shown: Column, mark: str, sep: str) -> Column:
     """struct<d, s>: the digest over children's digests, and it with the children as shown."""
     return _let(
-        F.sha2(F.array_join(digests, ""), 256),
+        F.sha2(F.concat(F.lit(mark), F.array_join(digests, "")), 256),
         lambda d: F.struct(d.alias("d"), F.concat(F.substring(d, 1, LABEL), F.lit(mark), F.array_join(shown, sep)).alias("s")),
     )
 
 
 def _paragraph(p: Column) -> Column:
-    leaves = F.transform(F.regexp_extract_all(p, F.lit(PIECE), F.lit(0)), lambda x: F.lpad(F.hex(F.xxhash64(x)), 16, "0"))
+    leaves = F.transform(F.regexp_extract_all(p, F.lit(PIECE), F.lit(0)), lambda x: F.left(F.sha2(x, 256), F.lit(32)))
     return _let(leaves, lambda x: _node(x, F.transform(x, lambda y: F.right(y, F.lit(LABEL))), "=", "."))
 
 
@@ -55,18 +57,18 @@ def _section(s: Column) -> Column:
 def fingerprint(text: Column) -> Column:
     """The fingerprint string of a text."""
     parts = F.transform(F.split(F.coalesce(text, F.lit("")), BLANK_LINES, -1), _section)
-    whole = lambda t: F.sha2(F.array_join(F.transform(t, lambda x: x["d"]), ""), 256)
+    whole = lambda t: F.sha2(F.concat(F.lit("|"), F.array_join(F.transform(t, lambda x: x["d"]), "")), 256)
     return _let(parts, lambda t: F.concat(whole(t), F.lit("|"), F.array_join(F.transform(t, lambda x: x["s"]), "|")))
 
 
 def root(fp: Column) -> Column:
-    """The root digest; equal roots mean equal texts."""
+    """The root digest; equal roots mean equal texts, but for collisions of 128 bits."""
     return F.substring(fp, 1, 64)
 
 
 def pieces(fp: Column) -> Column:
     """The labels of a fingerprint's pieces, in order."""
-    return F.regexp_extract_all(F.substring(fp, 66, 1 << 30), F.lit(r"[=.]([0-9A-F]+)"), F.lit(1))
+    return F.regexp_extract_all(F.substring(fp, 66, 1 << 30), F.lit(r"[=.]([0-9a-f]+)"), F.lit(1))
 
 
 def likeness(a: Column, b: Column) -> Column:
