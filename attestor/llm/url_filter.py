@@ -8,7 +8,8 @@ the next shorter one.  URLs without a rule are judged by the mean log-likelihood
 character, against a threshold calibrated on ruled URLs that were not trained on.
 
 A null URL or one without ``://`` has an empty host and path and no characters: its ratio is 0.
-Without URLs of both verdicts the ratio is 0 everywhere, and 0 is accepted.
+Without URLs of both verdicts the ratio is 0 everywhere, and 0 is accepted.  Repeated URLs are counted as
+often as they come and judged once; columns besides ``page_id`` and ``url`` are left out.
 """
 
 from __future__ import annotations
@@ -100,12 +101,16 @@ def ratios(grams: DataFrame, model: DataFrame) -> DataFrame:
             *[F.sum(v).alias(f"c_{v}") for v in ("allow", "block")],
             *[F.count(F.when(F.col(v) > 0, 1)).alias(f"t_{v}") for v in ("allow", "block")],
         )
+        if not n:  # one context, the empty one
+            row = ctx.drop("ctx").first()
+            totals = row.asDict() if row else dict.fromkeys(ctx.columns[1:], 0)
+            out = out.join(of.select("ch", "allow", "block"), "ch", "left").withColumns({k: F.lit(v) for k, v in totals.items()})
         if n > 1:
             ctx = ctx.where(F.col("c_allow") + F.col("c_block") >= LEAST_SEEN)
-        key = (F.substring("ctx", ORDER - n + 1, n) if n else F.lit("")).alias("k")
-        out = out.withColumn("k", key)
-        out = out.join(ctx.withColumnRenamed("ctx", "k"), "k", "left")
-        out = out.join(of.select(F.col("ctx").alias("k"), "ch", "allow", "block"), ["k", "ch"], "left")
+        if n:
+            out = out.withColumn("k", F.substring("ctx", ORDER - n + 1, n))
+            out = out.join(ctx.withColumnRenamed("ctx", "k"), "k", "left")
+            out = out.join(of.select(F.col("ctx").alias("k"), "ch", "allow", "block"), ["k", "ch"], "left")
         for p, v in (("pa", "allow"), ("pb", "block")):
             seen, total, kinds = (F.coalesce(F.col(c), F.lit(0)) for c in (v, f"c_{v}", f"t_{v}"))
             out = out.withColumn(p, F.when(total > 0, (seen + kinds * F.col(p)) / (total + kinds)).otherwise(F.col(p)))
