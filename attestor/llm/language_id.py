@@ -174,8 +174,8 @@ def drawn_sample(docs: DataFrame, sample: int = SAMPLE, seed: int = 1) -> tuple[
     quota = {r.lang: max(LEAST, sample * r.n / max(every, 1)) for r in stats}
     if not quota:
         return [], []
-    chances = [(r.lang, min(1.0, 1.2 * quota[r.lang] / max(r.n, 1)), int(-(-quota[r.lang] // 1))) for r in stats]
-    chances = F.broadcast(docs.sparkSession.createDataFrame(chances, "lang string, _chance double, _most int"))
+    chances = [F.struct(F.lit(r.lang), F.lit(min(1.0, 1.2 * quota[r.lang] / max(r.n, 1))), F.lit(int(-(-quota[r.lang] // 1)))) for r in stats]
+    chances = F.broadcast(docs.sparkSession.range(1).select(F.inline(F.array(*chances)).alias("lang", "_chance", "_most")))
     some = docs.withColumn("_key", key).join(chances, "lang")
     some = some.where(F.pmod("_key", F.lit(1 << 30)) < F.col("_chance") * (1 << 30)).dropDuplicates(["lang", "_key"])
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("_key"), "_key"))
@@ -184,14 +184,14 @@ def drawn_sample(docs: DataFrame, sample: int = SAMPLE, seed: int = 1) -> tuple[
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [np.unique(_buckets([t])[0], return_counts=True) for t in batch["text"].to_pylist()]
-            f, n = (pa.array([x[k].astype(np.int32).tobytes() for x in rows], pa.binary()) for k in (0, 1))
+            f, n = (pa.array([x[k].astype(kind).tobytes() for x in rows], pa.binary()) for k, kind in enumerate((np.uint16, np.uint32)))
             yield pa.record_batch([batch["lang"], batch["_key"], f, n], ["lang", "_key", "f", "n"])
 
     rows = some.select("lang", "_key", "text").mapInArrow(featured, "lang string, _key long, f binary, n binary")
-    upto = F.sum(F.octet_length("f") * 2).over(Window.partitionBy(F.lit(0)).orderBy(F.xxhash64("_key"), "lang"))  # a sample's rows
+    upto = F.sum(F.octet_length("f") * 3).over(Window.partitionBy(F.lit(0)).orderBy(F.xxhash64("_key"), "lang"))  # a sample's rows
     rows = rows.withColumn("_upto", upto).where(F.col("_upto") <= SAMPLE_BYTES).collect()
-    rows = [(r.lang, np.frombuffer(r.f, np.int32), np.frombuffer(r.n, np.int32)) for r in sorted(rows, key=lambda r: (r.lang, r._key))]
-    return sorted(quota), rows
+    rows.sort(key=lambda r: (r.lang, r._key))
+    return sorted(quota), [(r.lang, np.frombuffer(r.f, np.uint16), np.frombuffer(r.n, np.uint32)) for r in rows]
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, epochs: int = 4, seed: int = 1) -> LanguageModel:
@@ -206,14 +206,12 @@ def fit(docs: DataFrame, sample: int = SAMPLE, epochs: int = 4, seed: int = 1) -
     rows = [rows[i] for i in rng.permutation(len(rows))]
     cut = len(rows) // 5
     held, rows = rows[:cut], rows[cut:]
-    examples = []
-    for lang, f, c in rows:
-        x = np.append(SCALE * c / max(c.sum(), 1) * idf[f], 1.0)
-        examples.append((np.append(f, SIZE), x, languages.index(lang)))
     model = Ftrl(len(languages))
     for _ in range(epochs):
-        for i in rng.permutation(len(examples)):
-            model.learn(*examples[i])
+        for i in rng.permutation(len(rows)):
+            lang, f, c = rows[i]
+            x = np.append(SCALE * c / max(c.sum(), 1) * idf[f], 1.0)
+            model.learn(np.append(f.astype(np.int64), SIZE), x, languages.index(lang))
     w = model.weights(slice(None))
     fitted = LanguageModel(languages, np.ascontiguousarray((w[:-1] * idf[:, None] * SCALE).T), w[-1].copy())
     if held:

@@ -90,8 +90,7 @@ def _uncut(slim: DataFrame, bounds: list[tuple[int, int]], most: float) -> list[
     cut = sorted({k1 for k1, k2 in bounds if k2 != LOWEST})
     if not cut:
         return bounds
-    keys = F.broadcast(slim.sparkSession.createDataFrame([(k,) for k in cut], "_k1 long"))  # at most one row a boundary
-    sizes = slim.join(keys, "_k1", "left_semi").groupBy("_k1").agg(F.sum("_size").alias("b"))
+    sizes = slim.where(F.col("_k1").isin(cut)).groupBy("_k1").agg(F.sum("_size").alias("b"))  # at most one a boundary
     whole = {r._k1 for r in sizes.where(F.col("b") <= most).collect()}
     return sorted({(k1, LOWEST if k1 in whole else k2) for k1, k2 in bounds})
 
