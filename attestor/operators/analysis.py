@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attestor.functions.exprs import to_double
+from attestor.functions.exprs import blank_to_null, to_double
 
 
 def coverage(records: DataFrame) -> DataFrame:
@@ -35,6 +35,12 @@ def mean_rate_by_state(records: DataFrame, keywords: Sequence[str]) -> DataFrame
     return rows.groupBy("keyword", "state").agg(F.count(F.lit(1)).alias("n"), F.avg("_rate").alias("mean_rate"))
 
 
+def determination_mix(records: DataFrame) -> DataFrame:
+    """(determination, n) of compliance findings; none is counted as null."""
+    findings = records.where("record_type = 'eqr_compliance'")
+    return findings.groupBy(blank_to_null(F.col("determination")).alias("determination")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def qa_mix(records: DataFrame) -> DataFrame:
     return records.groupBy("qa_status").agg(F.count(F.lit(1)).alias("n"), F.count_if("review_recommended").alias("n_review"))
 

@@ -55,9 +55,16 @@ def curate(records: DataFrame, documents: DataFrame, out: str, ds: Dataset, parq
 
 
 def manifest(spark: SparkSession, path: str, dataset_id: str, version: str, license_name: str) -> str:
-    """MANIFEST.json's text: name, bytes and SHA-256 of every file of a release folder."""
+    """MANIFEST.json's text: name, bytes, SHA-256 and rows (of tables, else null) of every file of a release folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    rows = files.select(F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    rows = files.select("path", F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    table = lambda end, kind, **more: (
+        spark.read.format(kind).schema("value string").options(recursiveFileLookup=True, pathGlobFilter=f"*{end}", **more).load(path)
+        .groupBy(F.col("_metadata.file_path").alias("_path")).agg(F.count(F.lit(1)).alias("rows"))
+    )
+    counted = table(".csv", "csv", header=True, multiLine=True).unionByName(table(".txt", "text")).unionByName(table(".parquet", "parquet"))
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    rows = rows.join(counted, plain("path") == plain("_path"), "left").drop("path", "_path")
     listed = [r.asDict() for r in rows.where("name not like '%MANIFEST.json'").orderBy("name").collect()]  # one row a file
     return json.dumps({"dataset": dataset_id, "software_version": version, "license": license_name, "files": listed}, indent=2)
 

@@ -201,6 +201,17 @@ def payload_records(payloads: DataFrame, ds: Dataset, method: str = "llm") -> Da
     return normalize(reduce(DataFrame.unionByName, parts), ds)
 
 
+#: What makes records, by the name that a run gives: the layouts of texts, or payloads of a model's answers.
+EXTRACTORS = {"rule": parse_rules, "payload": payload_records}
+
+
+def extractor(name: str):
+    """The function (rows, dataset) -> records of that name; ValueError for an unknown one."""
+    if name not in EXTRACTORS:
+        raise ValueError(f"unknown extractor {name!r}; known: {', '.join(sorted(EXTRACTORS))}")
+    return EXTRACTORS[name]
+
+
 def year_flags(read: Column, used: Column, report: Column) -> list[Column]:
     """Warnings about a measurement year, against the report's own year."""
     known = report.isNotNull() & (report != 0)

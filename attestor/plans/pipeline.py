@@ -59,7 +59,7 @@ def run(docs: DataFrame, ds: Dataset, payloads: DataFrame | None = None, second:
     Records come from ``payloads`` where given, else from the rule parser; ``second`` is another
     extraction of the same documents to compare with.
     """
-    found = extract.parse_rules(docs, ds) if payloads is None else extract.payload_records(payloads, ds)
+    found = extract.extractor("rule")(docs, ds) if payloads is None else extract.extractor("payload")(payloads, ds)
     good, bad = extract.quarantine(found, ds)
     scored = score(good, ds, docs, second)
     report = summarize(scored)

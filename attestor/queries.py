@@ -1,7 +1,7 @@
 """Queries that run each operator over the driver's tables, and the SQL that they must equal.
 
 ``measures`` views line items as quality-measure records: states are nations, plans suppliers,
-measures brands.  Canonical texts and payloads are composed from customers, one document a nation, so
+measures brands.  Canonical texts and payloads are composed from customers, some fifty a document, so
 that what the parsers find can be stated in SQL over the tables themselves.
 """
 
@@ -17,7 +17,7 @@ from attestor.functions import intervals as I
 from attestor.operators import analysis, curate, evaluate, extract, gate, merge, reconcile, text, verify
 from attestor.operators.constraints import subgroup_within_overall
 from attestor.plans import pipeline
-from attestor.plans.datasets import EFFECT_DIRECTIONS, SCOPE_SEVERITY, dataset
+from attestor.plans.datasets import dataset
 from attestor.sources import links
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,13 +196,6 @@ def subgroup_le_overall(spark, sf):
     return rows.withColumn("ok", a.outcome).where("ok = false").select("c_custkey")
 
 
-@query("""SELECT o_orderkey, lower(trim(o_orderpriority)) IN ('1-urgent', '2-high') AS known, o_orderstatus IN ('A','B','C','D','E','F','G','H','I','J','K','L') AS letter, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderkey % 5 > 0 END AS ranked FROM orders""")
-def vocabulary_checks(spark, sf):
-    o, k = table(spark, sf, "orders"), F.col("o_orderkey")
-    assert len(SCOPE_SEVERITY) == 12 and "improved" in EFFECT_DIRECTIONS
-    return o.select("o_orderkey", F.lower(E.strip(F.col("o_orderpriority"))).isin("1-urgent", "2-high").alias("known"), F.upper(E.strip(F.col("o_orderstatus"))).isin(*SCOPE_SEVERITY).alias("letter"), F.when(k % 3 != 0, k % 5 > 0).alias("ranked"))
-
-
 # ---------------------------------------------------------------- calibration and labels
 
 
@@ -434,13 +427,13 @@ def version_bump(spark, sf):
 
 
 def _composed(spark: SparkSession, sf: str, head: Column, line: Column) -> DataFrame:
-    """One document a nation: its head, then a line a customer."""
+    """Documents of at most 50 customers of a nation: its head, then a line a customer."""
     c = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    rows = c.groupBy("n_nationkey", "n_name").agg(F.array_sort(F.collect_list(F.struct("c_custkey", line.alias("l")))).alias("ls"))
+    rows = c.groupBy("n_nationkey", "n_name", F.floor(F.col("c_custkey") / 50).alias("_part")).agg(F.array_sort(F.collect_list(F.struct("c_custkey", line.alias("l")))).alias("ls"))
     body = F.concat(head, F.array_join(F.transform("ls", lambda x: x["l"]), "\r\n"))
     null = F.lit(None).cast("string")
     return rows.select(
-        F.col("n_nationkey").cast("long").alias("ordinal"), F.sha2(body, 256).alias("document_id"), F.lit("local").alias("source_url"), null.alias("jurisdiction"),
+        (F.col("n_nationkey") + 100 * F.col("_part")).cast("long").alias("ordinal"), F.sha2(body, 256).alias("document_id"), F.lit("local").alias("source_url"), null.alias("jurisdiction"),
         F.lit("Care").alias("program"), F.lit("Pub").alias("publisher"), F.lit(2024).alias("report_year"), body.alias("text"), F.col("ls"), "n_name",
     )
 
@@ -522,16 +515,180 @@ def payload_records(spark, sf):
     return r.select("state", "measure_name", "reporting_year", "rate", "numerator", "denominator", "qa_status")
 
 
-@query("""SELECT n_nationkey AS ordinal, CASE WHEN n_nationkey % 4 = 0 THEN 'errored' ELSE 'unmapped' END AS reason FROM nation WHERE n_nationkey % 4 = 0 OR n_nationkey % 7 = 1""".replace("n_nationkey AS ordinal", "CAST(n_nationkey AS BIGINT) AS ordinal"))
+@query("""WITH d AS (SELECT DISTINCT CAST(c_nationkey + 100 * (c_custkey // 50) AS BIGINT) AS ordinal, c_nationkey AS k FROM customer)
+SELECT ordinal, CASE WHEN k % 4 = 0 THEN 'errored' ELSE 'unmapped' END AS reason FROM d WHERE k % 4 = 0 OR k % 7 = 1""")
 def result_routing(spark, sf):
     a = _answers(spark, sf)
-    k = F.col("ordinal")
-    results = a.select(F.when((k % 7 == 1) & (k % 4 != 0), F.concat(F.lit("other-"), k)).otherwise(F.col("custom_id")).alias("custom_id"), F.when(k % 4 == 0, "errored").otherwise("succeeded").alias("status"), "answer")
+    k, other = F.col("ordinal") % 100, F.concat(F.lit("other-"), "ordinal")
+    results = a.select(F.when((k % 7 == 1) & (k % 4 != 0), other).otherwise(F.col("custom_id")).alias("custom_id"), F.when(k % 4 == 0, "errored").otherwise("succeeded").alias("status"), "answer")
     _, lost = extract.route_results(results, a.select("custom_id", "document_id", "chunk_index"))
-    own = a.select("ordinal", F.explode(F.array("custom_id", F.concat(F.lit("other-"), k))).alias("custom_id"))
+    own = a.select("ordinal", F.explode(F.array("custom_id", other)).alias("custom_id"))
     return lost.join(own, "custom_id").select("ordinal", "reason")
 
 
+# The other kinds of records of each family.
+
+
+@query(f"SELECT upper(n_name) AS state, 'Care' AS program, 'Plan ' || n_name AS plan_name, c_name AS pip_title, c_mktsegment AS clinical_focus_area, CAST(2023 AS INTEGER) AS reporting_year, (c_custkey % 90) / 2.0e0 AS baseline_rate, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(c_custkey % 90 AS DOUBLE) END AS most_recent_rate, 'High' AS validation_status {CUST}")
+def rule_parse_eqr_pip(spark, sf):
+    head = F.concat(F.lit("State: "), "n_name", F.lit("\nReporting Year: 2023\nPlan: Plan "), "n_name", F.lit("\n== PERFORMANCE IMPROVEMENT PROJECTS ==\n"))
+    k = F.col("c_custkey")
+    recent = F.when(k % 3 == 0, "").otherwise(F.concat(F.lit(" | Most Recent: "), k % 90, F.lit("%")))
+    line = F.concat(F.lit("Title: "), "c_name", F.lit(" | Focus: "), "c_mktsegment", F.lit(" | Baseline: "), ((k % 90) / 2).cast("string"), F.lit("%"), recent, F.lit(" | Validation: High"))
+    r = extract.parse_rules(_composed(spark, sf, head, line), EQR).where("record_type = 'eqr_pip'")
+    return r.select("state", "program", "plan_name", "pip_title", "clinical_focus_area", "reporting_year", "baseline_rate", "most_recent_rate", "validation_status")
+
+
+def _compliance(spark: SparkSession, sf: str) -> DataFrame:
+    head = F.concat(F.lit("State: "), "n_name", F.lit("\nPlan: Plan "), "n_name", F.lit("\n== COMPLIANCE REVIEW ==\n"))
+    line = F.concat(F.lit("Standard: "), "c_name", F.when(F.col("c_custkey") % 7 == 0, "").otherwise(F.concat(F.lit(" | Determination: "), "c_mktsegment")))
+    return extract.parse_rules(_composed(spark, sf, head, line), EQR).where("record_type = 'eqr_compliance'")
+
+
+@query(f"SELECT upper(n_name) AS state, 'Plan ' || n_name AS plan_name, c_name AS standard_area, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS determination {CUST}")
+def rule_parse_eqr_compliance(spark, sf):
+    return _compliance(spark, sf).select("state", "plan_name", "standard_area", F.nullif("determination", F.lit("")).alias("determination"))
+
+
+@query(f"SELECT determination, count(*) AS n FROM (SELECT CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS determination {CUST}) GROUP BY determination")
+def determination_mix(spark, sf):
+    return analysis.determination_mix(_compliance(spark, sf))
+
+
+@query(f"SELECT 'Hospital ' || n_name AS hospital_name, n_name AS state, CAST(2022 AS INTEGER) AS report_year, c_name AS need_addressed, 'do ' || c_custkey AS strategy, c_mktsegment AS measurable_objective {CUST}")
+def rule_parse_chna_strategy(spark, sf):
+    head = F.concat(F.lit("Hospital: Hospital "), "n_name", F.lit("\nState: "), "n_name", F.lit("\nReport Year: 2022\n== Implementation Strategies ==\n"))
+    line = F.concat(F.lit("Need: "), "c_name", F.lit(" | Strategy: do "), "c_custkey", F.lit(" | Objective: "), "c_mktsegment")
+    r = extract.parse_rules(_composed(spark, sf, head, line), dataset("chna")).where("record_type = 'chna_strategy'")
+    return r.select("hospital_name", "state", "report_year", "need_addressed", "strategy", "measurable_objective")
+
+
+@query(f"SELECT n_name AS state, CAST(2021 AS INTEGER) AS report_year, c_name AS recommendation, c_mktsegment AS category, 'system' AS target_level {CUST}")
+def rule_parse_mmrc_recommendation(spark, sf):
+    head = F.concat(F.lit("State: "), "n_name", F.lit("\nReport Year: 2021\n== RECOMMENDATIONS ==\n"))
+    line = F.concat(F.lit("Recommendation: "), "c_name", F.lit(" | Category: "), "c_mktsegment", F.lit(" | Target: system"))
+    r = extract.parse_rules(_composed(spark, sf, head, line), dataset("mmrc")).where("record_type = 'mmrc_recommendation'")
+    return r.select("state", "report_year", "recommendation", "category", "target_level")
+
+
+@query(f"SELECT n_name AS state, 'Demo' AS demonstration_name, CAST(2020 AS INTEGER) AS report_year, c_name AS recommendation, c_mktsegment AS category {CUST}")
+def rule_parse_waiver_recommendation(spark, sf):
+    head = F.concat(F.lit("State: "), "n_name", F.lit("\nDemonstration: Demo\nReport Year: 2020\n== RECOMMENDATIONS ==\n"))
+    line = F.concat(F.lit("Recommendation: "), "c_name", F.lit(" | Category: "), "c_mktsegment")
+    r = extract.parse_rules(_composed(spark, sf, head, line), dataset("waiver_1115")).where("record_type = 'waiver_1115_recommendation'")
+    return r.select("state", "demonstration_name", "report_year", "recommendation", "category")
+
+
+@query(f"SELECT 'Home ' || n_name AS facility_name, upper(n_name) AS state, 'F' || c_custkey AS ftag, 'fix ' || c_name AS correction, 'June ' || (c_custkey % 30) AS completion_date {CUST}")
+def rule_parse_nursing_correction(spark, sf):
+    head = F.concat(F.lit("Facility: Home "), "n_name", F.lit("\nState: "), F.lower("n_name"), F.lit("\n== PLANS OF CORRECTION ==\n"))
+    line = F.concat(F.lit("Tag: F"), "c_custkey", F.lit(" | Correction: fix "), "c_name", F.lit(" | Completion: June "), F.col("c_custkey") % 30)
+    r = extract.parse_rules(_composed(spark, sf, head, line), dataset("nursing_home_2567")).where("record_type = 'nursing_home_poc'")
+    return r.select("facility_name", "state", "ftag", "correction", "completion_date")
+
+
+# Payloads of the other families: two lists each, with a stray text among the items.
+
+
+def _payload_records(spark: SparkSession, sf: str, name: str, scalars: str, **lists: Callable[[Column], list[Column]]) -> DataFrame:
+    docs = _composed(spark, sf, F.lit(""), F.col("c_name"))
+    items = lambda f: F.array_join(F.transform("ls", lambda x: F.to_json(F.struct(*f(x)))), ", ")
+    parts = [F.concat(F.lit(f', "{n}": ["stray", '), items(f), F.lit("]")) for n, f in lists.items()]
+    answer = F.concat(F.lit("{"), F.expr(scalars), *parts, F.lit("}"))
+    return extract.payload_records(docs.select("*", extract.salvage_json(answer).alias("payload"), F.lit(0).alias("chunk_index")), dataset(name))
+
+
+@query(f"""SELECT 'chna_need' AS record_type, 'H ' || n_name AS hospital_name, n_name AS state, CAST(2024 AS INTEGER) AS report_year, c_name AS what, CAST(c_custkey % 5 AS INTEGER) AS priority_rank, c_custkey % 2 = 0 AS is_priority {CUST}
+    UNION ALL SELECT 'chna_strategy', 'H ' || n_name, n_name, 2024, 'do ' || c_name, NULL, NULL {CUST}""")
+def payload_chna(spark, sf):
+    k = lambda x: x["c_custkey"]
+    r = _payload_records(
+        spark, sf, "chna", """concat('"hospital_name": " H ', n_name, ' ", "state": "', n_name, '", "report_year": "<UNKNOWN>"')""",
+        identified_needs=lambda x: [x["l"].alias("need"), (k(x) % 2 == 0).alias("is_priority"), (k(x) % 5).cast("string").alias("priority_rank")],
+        implementation_strategies=lambda x: [F.concat(F.lit(" do "), x["l"]).alias("strategy")],
+    )
+    return r.select("record_type", "hospital_name", "state", "report_year", F.coalesce("need", "strategy").alias("what"), "priority_rank", "is_priority")
+
+
+@query(f"""SELECT 'mmrc_finding' AS record_type, n_name AS state, c_name AS what, CAST(c_custkey AS INTEGER) AS deaths, c_custkey / 4.0e0 AS pct_preventable {CUST} UNION ALL SELECT 'mmrc_recommendation', n_name, 'do ' || c_name, NULL, NULL {CUST}""")
+def payload_mmrc(spark, sf):
+    k = lambda x: x["c_custkey"]
+    r = _payload_records(
+        spark, sf, "mmrc", """concat('"state": " ', n_name, ' ", "report_period": "2019", "report_year": 2021')""",
+        findings=lambda x: [x["l"].alias("population_group"), k(x).alias("pregnancy_related_deaths"), (k(x) / 4).alias("pct_preventable")],
+        recommendations=lambda x: [F.concat(F.lit("do "), x["l"]).alias("recommendation")],
+    )
+    return r.select("record_type", "state", F.coalesce("population_group", "recommendation").alias("what"), F.col("pregnancy_related_deaths").alias("deaths"), "pct_preventable")
+
+
+@query(f"""SELECT 'waiver_1115_finding' AS record_type, n_name AS state, 'D ' || n_name AS demonstration_name, '11-W' AS waiver_id, 'Pub' AS evaluator, c_name AS what, -c_custkey / 8.0e0 AS value {CUST}
+    UNION ALL SELECT 'waiver_1115_recommendation', n_name, 'D ' || n_name, NULL, NULL, 'do ' || c_name, NULL {CUST}""")
+def payload_waiver_1115(spark, sf):
+    r = _payload_records(
+        spark, sf, "waiver_1115", """concat('"state": "', n_name, '", "demonstration_name": "D ', n_name, '", "waiver_id": "11-W"')""",
+        findings=lambda x: [x["l"].alias("outcome_measure"), (-x["c_custkey"] / 8).alias("value")],
+        recommendations=lambda x: [F.concat(F.lit("do "), x["l"]).alias("recommendation")],
+    )
+    return r.select("record_type", "state", "demonstration_name", "waiver_id", "evaluator", F.coalesce("outcome_measure", "recommendation").alias("what"), "value")
+
+
+@query(f"""SELECT 'nursing_home_deficiency' AS record_type, 'N ' || n_name AS facility_name, upper(n_name) AS state, '0' || c_nationkey AS ccn, 'F' || c_custkey AS ftag, 'd' AS what {CUST}
+    UNION ALL SELECT 'nursing_home_poc', 'N ' || n_name, upper(n_name), NULL, 'F' || c_custkey, 'fix ' || c_name {CUST}""")
+def payload_nursing_home(spark, sf):
+    tag = lambda x: F.concat(F.lit("F"), x["c_custkey"]).alias("ftag")
+    r = _payload_records(
+        spark, sf, "nursing_home_2567", """concat('"facility_name": "N ', n_name, '", "state": "', lower(n_name), '", "ccn": "0', ordinal % 100, '"')""",
+        deficiencies=lambda x: [tag(x), F.lit("d").alias("deficiency_description")],
+        plans_of_correction=lambda x: [tag(x), F.concat(F.lit("fix "), x["l"]).alias("correction")],
+    )
+    return r.select("record_type", "facility_name", "state", "ccn", "ftag", F.coalesce("deficiency_description", "correction").alias("what"))
+
+
+# The axioms of the other families, run by the verifiers on parsed records.
+
+
+def _checked(records: DataFrame, name: str, docs: DataFrame | None = None) -> DataFrame:
+    out = pipeline.score(records, dataset(name), docs)
+    return out.withColumn("symbolic", F.filter("signals", lambda s: s["name"] == "symbolic")[0]["score"])
+
+
+@query(f"""SELECT c_name AS need, CASE WHEN n > 0 THEN 'warn' ELSE 'pass' END AS qa_status, pow(0.75e0, n) AS symbolic FROM (SELECT c_name, CAST(c_custkey % 9 = 0 AS INTEGER) + CAST(c_custkey % 2 = 1 AS INTEGER) AS n {CUST})""")
+def axioms_chna(spark, sf):
+    head, k = F.concat(F.lit("Hospital: Hospital "), "n_name", F.lit("\nReport Year: 2022\n== Identified Needs ==\n")), F.col("c_custkey")
+    line = F.concat(F.lit("Need: "), "c_name", F.lit(" | Priority: "), F.when(k % 2 == 0, "Yes").otherwise("no"), F.lit(" | Rank: "), k % 9)
+    return _checked(extract.parse_rules(_composed(spark, sf, head, line), dataset("chna")), "chna").select("need", "qa_status", "symbolic")
+
+
+@query(f"""SELECT c_name AS population_group, CASE WHEN c_custkey % 120 > 100 THEN 'fail' ELSE 'pass' END AS qa_status, CASE WHEN c_custkey % 120 > 100 THEN 0.0e0 ELSE 1.0e0 END AS symbolic {CUST}""")
+def axioms_mmrc(spark, sf):
+    head, k = F.concat(F.lit("State: "), "n_name", F.lit("\nReport Period: 2019\n== FINDINGS ==\n")), F.col("c_custkey")
+    line = F.concat(F.lit("Group: "), "c_name", F.lit(" | Preventable: "), k % 120)
+    return _checked(extract.parse_rules(_composed(spark, sf, head, line), dataset("mmrc")), "mmrc").select("population_group", "qa_status", "symbolic")
+
+
+@query(f"""SELECT c_name AS intervention, CASE WHEN n > 0 THEN 'warn' ELSE 'pass' END AS qa_status, pow(0.75e0, n) AS symbolic FROM (SELECT c_name, CAST(c_custkey % 3 = 0 AS INTEGER) + CAST(count(*) OVER (PARTITION BY n_name, g) > 1 AS INTEGER) AS n
+    FROM (SELECT c_name, c_custkey, n_name, CASE WHEN c_custkey % 4 = 0 THEN 'same' ELSE c_name END AS g {CUST}))""")
+def axioms_waiver_1115(spark, sf):
+    head, k = F.concat(F.lit("State: "), "n_name", F.lit("\nDemonstration: Demo\nReport Year: 2020\n== FINDINGS ==\n")), F.col("c_custkey")
+    name = F.when(k % 4 == 0, "same").otherwise(F.col("c_name"))
+    line = F.concat(F.lit("Outcome: o | Intervention: "), name, F.lit(" | Direction: "), F.when(k % 3 == 0, "soared").otherwise("Improved"), F.lit(" | Result: "), "c_name")
+    r = _checked(extract.parse_rules(_composed(spark, sf, head, line), dataset("waiver_1115")), "waiver_1115")
+    return r.select(F.col("result").alias("intervention"), "qa_status", "symbolic")
+
+
+@query(f"""SELECT 'F' || c_custkey AS ftag, CASE WHEN c_nationkey % 2 = 0 THEN 'fail' WHEN c_custkey % 4 = 0 THEN 'warn' ELSE 'pass' END AS qa_status, CASE WHEN c_custkey % 4 = 0 THEN 0.75e0 ELSE 1.0e0 END AS symbolic, c_nationkey % 2 = 0 AS capped {CUST}""")
+def axioms_nursing_home(spark, sf):
+    """With texts in which the cited spans of every other nation are missing: grounding fails these records."""
+    head, k = F.concat(F.lit("Facility: Home "), "n_name", F.lit("\nState: x\n== DEFICIENCIES ==\n")), F.col("c_custkey")
+    line = F.concat(F.lit("F-Tag: F"), k, F.lit(" | Scope/Severity: "), F.when(k % 4 == 0, "z").otherwise(" d"), F.lit(" | Finding: f"))
+    docs = _composed(spark, sf, head, line)
+    records = extract.parse_rules(docs, dataset("nursing_home_2567"))
+    records = records.withColumn("provenance", F.col("provenance").withField("source_span", F.concat(F.lit("f-tag:  "), "ftag")))
+    lost = docs.withColumn("text", F.when(F.col("ordinal") % 2 == 0, "another text").otherwise(F.col("text")))
+    r = _checked(records, "nursing_home_2567", lost)
+    return r.select("ftag", "qa_status", "symbolic", (F.col("trust_score") <= verify.FAIL_CEILING).alias("capped"))
+
+
 @query("""SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""")
 def json_salvage(spark, sf):
     v = extract.salvage_json(F.concat(F.lit("answer: "), "props", F.lit(" ok")))

@@ -208,7 +208,13 @@ def test_release_round_trip_and_waves(spark, tmp_path):
     wave = pipeline.run(docs(spark, EQR_TEXT.replace("Measure: Breast", "Dropped: Breast")), ds)
     merged = pipeline.merge_wave(records, old_docs.withColumn("report_year", F.col("report_year").cast("int")).withColumn("n_pages", F.col("n_pages").cast("int")), wave)
     assert merged.records.count() == 6 and merged.documents.count() == 1 and merged.report.first().qa_fail == 0
-    assert '"sha256"' in curate.manifest(spark, f"{tmp_path}/r", "eqr", "0.1.0", "CC-BY-4.0")
+    listed = json.loads(curate.manifest(spark, f"{tmp_path}/r", "eqr", "0.1.0", "CC-BY-4.0"))["files"]
+    assert all(len(f["sha256"]) == 64 and f["bytes"] > 0 for f in listed)
+    rows_of = lambda part: sum(f["rows"] or 0 for f in listed if part in f["name"])
+    assert rows_of("records.jsonl") == spark.read.text(f"{tmp_path}/r/records.jsonl").count() > 0 and rows_of("documents.csv") == spark.read.csv(f"{tmp_path}/r/documents.csv", header=True).count() > 0
+    assert rows_of("eqr_quality_measures.parquet") == spark.read.parquet(f"{tmp_path}/r/eqr_quality_measures.parquet").count()
+    with pytest.raises(ValueError, match="unknown extractor"):
+        extract.extractor("magic")
     assert "eqr_quality_measures" in curate.data_dictionary(ds) and "RecordSet" in curate.croissant(ds, got["tables"], "http://x", "CC-BY-4.0")
     with pytest.raises(releases.InvalidRelease, match="unknown record types"):
         releases.load_release(spark, f"{tmp_path}/r", dataset("chna"))
