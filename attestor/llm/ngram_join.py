@@ -9,8 +9,9 @@ their Jaccard similarity - and its sets go to the child of each sampled token th
 chance of a token makes two sets at the threshold share ``WIDTH`` of them on average: more than one, so
 that they seldom part however deep the tree.  A node of at most ``SMALL`` sets is compared by brute force.
 In a larger one, which near copies never leave, all sets are compared with its first; those nearly equal
-to it are settled, and the others descend if the node holds any that are far from the first.  Trees end
-where no node is large; large nodes of the last level are compared by brute force in blocks.  Runs are
+to it are settled.  The sets near the first are candidates with it, so only the far ones need be told
+from the rest: where they are few, they are compared with all of it in blocks; else the unsettled sets
+descend.  Trees end where no node is large; large nodes of the last level are compared by brute force in blocks.  Runs are
 repeated until the target recall, a parameter: ``miss_rate`` is the chance that a pair at the threshold
 meets in no node of the last level, with the fixed root seeds here and over all levels, or that its
 sketches differ too much to be compared.  This is the worst case, where all nodes of the pair are large
@@ -53,6 +54,8 @@ LEVELS = 8
 WIDTH = 1.5
 #: Sets of a node, or of one side of a block, that are compared by brute force.
 SMALL = 128
+#: Sets far from a large node's first up to which they are compared with all others of it.
+FAR = 256
 #: Sets of a node all of whose candidate pairs are given as they are.
 FEW = 16
 #: Estimated similarity from which two sets become candidates: four deviations below 0.8.
@@ -236,6 +239,16 @@ def _compared(nodes: DataFrame) -> DataFrame:
     return dealt.mapInArrow(lambda b: _alike(b, CANDIDATE), "a long, b long")
 
 
+def _with_far(nodes: DataFrame) -> DataFrame:
+    """(a, b) from nodes (node, blocks, far, id, brief): each block of a node's near sets with all its far ones."""
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = F.pmod(F.xxhash64(F.lit(4), "id"), F.col("blocks"))
+    there = F.when(F.col("far"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array(own))
+    dealt = nodes.withColumn("_block", F.explode(there)).select(F.xxhash64(F.lit(6), "node", "_block").alias("part"), "id", "brief")
+    dealt = dealt.repartition(parts, "part").sortWithinPartitions("part", "id")
+    return dealt.mapInArrow(lambda b: _alike(b, CANDIDATE), "a long, b long")
+
+
 def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Similarity of each row's sketch to its node's first."""
     for batch in batches:
@@ -266,9 +279,14 @@ def candidate_edges(reps: DataFrame, similarity: float = SIMILARITY, recall: flo
         same = there.join(firsts, "path").mapInArrow(_estimate, "id long, path long, first long, same double")
         same = materialize(same, f"firsts-{level}")
         found.append(same.where((F.col("id") != F.col("first")) & (F.col("same") >= WITH_FIRST)).select(F.col("id").alias("a"), F.col("first").alias("b")))
-        # sets that are candidates with the first are so with each other: only the far ones need to be told from them
-        far = same.where(F.col("same") < WITH_FIRST).select("path").distinct()
-        rest = same.where((F.col("same") < SETTLED) & (F.col("id") != F.col("first"))).join(far, "path", "left_semi")
+        # sets that are candidates with the first are in one group with it: only the far ones need to be told from them
+        counts = same.groupBy("path").agg(F.count_if(F.col("same") < WITH_FIRST).alias("n_far"), F.ceil(F.count(F.lit(1)) / SMALL).alias("blocks"))
+        counts = materialize(counts.where("n_far > 0"), f"far-{level}")
+        open_ = same.where((F.col("same") < SETTLED) & (F.col("id") != F.col("first")))
+        ending = open_.join(counts.where(F.col("n_far") <= FAR), "path").join(briefs, "id")
+        ending = ending.select(F.col("path").alias("node"), "blocks", (F.col("same") < WITH_FIRST).alias("far"), "id", "brief")
+        found.append(materialize(_with_far(ending), f"far-edges-{level}"))
+        rest = open_.join(counts.where(F.col("n_far") > FAR).select("path"), "path", "left_semi")
         members = rest.select("id", "path").join(reps.select("id", "sketch"), "id").mapInArrow(lambda b: _descend(b, similarity), "id long, path long")
     out = found[0]
     for f in found[1:]:
