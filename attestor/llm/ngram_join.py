@@ -11,7 +11,7 @@ that they seldom part however deep the tree.  A node of at most ``SMALL`` sets i
 In a larger one, which near copies never leave, all sets are compared with its first; those nearly equal
 to it are settled.  The sets near the first are candidates with it, so only the far ones need be told
 from the rest: where they are few, they are compared with all of it in blocks; else the unsettled sets
-descend.  Trees end where no node is large; large nodes of the last level are compared by brute force in blocks.  Runs are
+descend.  Trees end where the large nodes take no more rows in blocks than the root has; large nodes of the last level are compared by brute force in blocks.  Runs are
 repeated until the target recall, a parameter: ``miss_rate`` is the chance that a pair at the threshold
 meets in no node of the last level, with the fixed root seeds here and over all levels, or that its
 sketches differ too much to be compared.  This is the worst case, where all nodes of the pair are large
@@ -261,19 +261,23 @@ def candidate_edges(reps: DataFrame, similarity: float = SIMILARITY, recall: flo
     runs = runs_for(recall, similarity, levels)
     members = reps.select("id", "sketch").mapInArrow(lambda b: _start(b, runs, similarity), "id long, path long")
     found: list[DataFrame] = []
+    whole = 0
     briefs = reps.select("id", "brief")
     for level in range(levels):
         members = materialize(members, f"paths-{level}")
         sizes = members.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("first")).where("size > 1")
         sizes = materialize(sizes, f"nodes-{level}")
-        last = level == levels - 1
+        # brute force in blocks ends the trees as soon as it takes no more rows than the root did
+        whole = members.count() if not level else whole
+        rows = sizes.where(F.col("size") > SMALL).agg(F.sum(F.col("size") * F.ceil(F.col("size") / SMALL))).first()[0] or 0
+        last = level == levels - 1 or rows <= whole
         brute = sizes.where(F.lit(True) if last else F.col("size") <= SMALL)
         brute = brute.select("path", F.ceil(F.col("size") / SMALL).alias("blocks"))
         held = members.join(brute, "path").join(briefs, "id").select(F.col("path").alias("node"), "blocks", "id", "brief")
         found.append(materialize(_compared(held), f"alike-{level}"))
-        large = sizes.where(F.col("size") > SMALL)
-        if last or not large.limit(1).count():
+        if last:
             break
+        large = sizes.where(F.col("size") > SMALL)
         firsts = large.join(briefs.select(F.col("id").alias("first"), F.col("brief").alias("first_brief")), "first").select("path", "first", "first_brief")
         there = members.join(large.select("path"), "path").join(briefs, "id").select("id", "path", "brief")
         same = there.join(firsts, "path").mapInArrow(_estimate, "id long, path long, first long, same double")
