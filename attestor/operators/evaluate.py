@@ -68,18 +68,24 @@ def accuracy(matched: DataFrame) -> DataFrame:
 def risk_coverage(labelled: DataFrame) -> DataFrame:
     """Accuracy among the rows of highest score, row by row; ties in the order of ``record_seq``.
 
-    Counts of distinct scores give each score's start, so the window runs within one score at a time
-    and the global running sum over distinct scores only.
+    Nearly all rows may tie, so ties are cut into at most 64 ranges at bounds from a sample of 2,048 order
+    keys.  Counts by score and range give where each begins: a window sorts one range of one score, and the
+    only running sum over everything passes distinct scores and ranges.
     """
-    scores = labelled.groupBy("score").agg(F.count(F.lit(1)).alias("c"), F.count_if("correct").alias("k"))
-    w = Window.partitionBy(F.lit(0)).orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    sample = labelled.select("record_seq").orderBy(F.xxhash64("record_seq")).limit(2048)
+    bounds = sample.agg(F.filter(F.array_sort(F.collect_list("record_seq")), lambda _, i: i % 32 == 31).alias("_bounds"))
+    cut = F.size(F.filter("_bounds", lambda b: b < F.col("record_seq")))
+    ranged = labelled.crossJoin(F.broadcast(bounds)).withColumn("_range", cut).drop("_bounds")  # one row
+    parts = ranged.groupBy("score", "_range").agg(F.count(F.lit(1)).alias("c"), F.count_if("correct").alias("k"))
+    w = Window.partitionBy(F.lit(0)).orderBy(F.col("score").desc(), "_range").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy(F.lit(0))
-    starts = scores.select(
-        "score", F.coalesce(F.sum("c").over(w), F.lit(0)).alias("_n0"), F.coalesce(F.sum("k").over(w), F.lit(0)).alias("_k0"), F.sum("c").over(every).alias("_n")
+    starts = parts.select(
+        "score", "_range", F.coalesce(F.sum("c").over(w), F.lit(0)).alias("_n0"), F.coalesce(F.sum("k").over(w), F.lit(0)).alias("_k0"), F.sum("c").over(every).alias("_n")
     )
-    inside = Window.partitionBy("score").orderBy("record_seq").rowsBetween(Window.unboundedPreceding, 0)
-    out = labelled.withColumns({"_i": F.row_number().over(Window.partitionBy("score").orderBy("record_seq")), "_k": F.sum(F.col("correct").cast("int")).over(inside)})
-    out = out.join(starts, "score")
+    inside = Window.partitionBy("score", "_range").orderBy("record_seq")
+    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
+    out = ranged.withColumns({"_i": F.row_number().over(inside), "_k": F.sum(F.col("correct").cast("int")).over(so_far)})
+    out = out.join(starts, ["score", "_range"])
     i, k = F.col("_n0") + F.col("_i"), F.col("_k0") + F.col("_k")
     return out.select(
         i.cast("long").alias("rank"), F.round(i / F.col("_n"), 3).alias("coverage"), F.round(k / i, 4).alias("accuracy"), F.round("score", 4).alias("trust_threshold")

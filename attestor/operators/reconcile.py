@@ -36,17 +36,33 @@ def compare_summary(compared: DataFrame) -> DataFrame:
     )
 
 
+def _bucket(value: Column, floor: float, share: float = 0.01) -> Column:
+    """Number of a bucket nine tenths of a band wide: of even width where the floor rules, of even ratio beyond."""
+    size, edge = F.abs(value), floor / share
+    bands = F.when(size <= edge, size / floor).otherwise((1 + F.ln(size / edge)) / share)
+    return F.floor(F.signum(value) * bands / 0.9)
+
+
 def close_rate_exists(rows: DataFrame, text: DataFrame, keys: Sequence[str], floor: float = 0.15) -> DataFrame:
-    """Add ``close``: whether any text rate of the same key lies within the band.
+    """Add ``close``: whether any text rate of the same key lies within the band; infinite rates and NaN never do.
 
-    Distinct rates of a key are gathered first, so that a key's rows do not meet each other pairwise.
+    A band reaches no further than the second next bucket, and both of its ends grow with the rate it is
+    drawn around.  So the greatest rate of the buckets below and the least of those above decide, and each
+    row meets one row of two numbers, however many rates a key has.
     """
-    rates = text.where("rate is not null").groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.collect_set("rate").alias("_rates"))
-    cond = F.lit(True)
+    finite = F.abs("rate") < float("inf")
+    own = text.where(finite).groupBy(*keys, _bucket(F.col("rate"), floor).alias("_at")).agg(F.min("rate").alias("_low"), F.max("rate").alias("_high"))
+    spread = own.withColumn("_by", F.explode(F.array(*[F.lit(i) for i in range(-2, 3)])))
+    met = spread.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys], (F.col("_at") + F.col("_by")).alias("_to")).agg(
+        F.max(F.when(F.col("_by") > 0, F.col("_high"))).alias("_below"), F.min(F.when(F.col("_by") < 0, F.col("_low"))).alias("_above"),
+        F.bool_or(F.col("_by") == 0).alias("_same"),
+    )
+    cond = F.when(finite, _bucket(F.col("rate"), floor)) == F.col("_to")
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    near = F.exists("_rates", lambda t: F.abs(F.col("rate") - t) <= band(t, floor))
-    return rows.join(rates, cond, "left").withColumn("close", F.coalesce(near, F.lit(False))).drop("_rates", *[f"_k_{k}" for k in keys])
+    near = lambda t: F.coalesce(F.abs(F.col("rate") - t) <= band(t, floor), F.lit(False))
+    close = F.coalesce("_same", F.lit(False)) | near(F.col("_below")) | near(F.col("_above"))
+    return rows.join(met, cond, "left").withColumn("close", close).drop("_to", "_below", "_above", "_same", *[f"_k_{k}" for k in keys])
 
 
 def fuzzy_found(reference: DataFrame, found: DataFrame, keys: Sequence[str], name: str, prefix: int = 10, width: int = 40) -> DataFrame:

@@ -53,9 +53,9 @@ def request_id(document: Column, index: Column) -> Column:
 
 
 def first_by_content(docs: DataFrame, order: str, key: str = "document_id") -> DataFrame:
-    """The first document of each content."""
-    w = Window.partitionBy(key).orderBy(order)
-    return docs.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
+    """The first document of each content; copies are combined before the shuffle."""
+    first = docs.groupBy(key).agg(F.min_by(F.struct(*docs.columns), F.struct(order)).alias("_row"))
+    return first.select(*[F.col(c) if c == key else F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def requests(docs: DataFrame, order: str, size: int = CHUNK, max_chunks: int | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attestor.functions import exprs as E
@@ -43,7 +43,8 @@ def raise_flags(old: Column, new: Sequence[Column]) -> Column:
     """``old`` and those of ``new`` that aren't null, in order, each message once (failing if ever raised so)."""
     every = F.concat(F.coalesce(old, F.array().cast(FLAGS)), F.filter(F.array(*new).cast(FLAGS), lambda x: x.isNotNull()))
     msgs = F.array_distinct(F.transform(every, lambda x: x["msg"]))
-    return F.transform(msgs, lambda m: F.struct(m.alias("msg"), F.exists(every, lambda x: (x["msg"] == m) & x["fail"]).alias("fail")))
+    once = F.transform(msgs, lambda m: F.struct(m.alias("msg"), F.exists(every, lambda x: (x["msg"] == m) & x["fail"]).alias("fail")))
+    return F.when(F.size(every) < 2, every).otherwise(once)
 
 
 def status(flags: Column) -> Column:
@@ -103,9 +104,9 @@ def grounding(records: DataFrame, span: Column, text: Column) -> Column:
 
 
 def last_by(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """The last row of each key."""
-    w = Window.partitionBy(*keys).orderBy(F.col(order).desc())
-    return df.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
+    """The last row of each key; rows of a hot key are combined before the shuffle."""
+    last = df.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), F.struct(order)).alias("_row"))
+    return last.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def _null_safe(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
@@ -154,15 +155,16 @@ def omissions(primary: DataFrame, secondary: DataFrame, keys: Sequence[str], com
     return second.join(first, _null_safe(second, first, keys), "left_anti")
 
 
-def fuse(signals: Column) -> Column:
-    """Trust from an array of signals."""
-    scored = F.filter(signals, lambda s: s["score"].isNotNull())
-    add = lambda f: F.aggregate(scored, F.lit(0.0), lambda acc, s: acc + f(s))
+def fuse(signals: Sequence[Column]) -> Column:
+    """Trust from signals; null ones and those without a score weigh nothing."""
+    add = lambda f: sum((F.when(s["score"].isNotNull(), f(s)).otherwise(0.0) for s in signals), F.lit(0.0))
     weight = add(lambda s: s["weight"])
     logs = add(lambda s: s["weight"] * F.ln(F.least(F.greatest(s["score"], F.lit(1e-6)), F.lit(1.0))))
     trust = F.when(weight > 0, F.exp(logs / weight)).otherwise(DEFAULT_TRUST)
-    failed = F.exists(signals, lambda s: s["ok"] == F.lit(False))
-    return F.round(F.when(F.coalesce(failed, F.lit(False)), F.least(trust, F.lit(FAIL_CEILING))).otherwise(trust), 4)
+    failed = F.lit(False)
+    for s in signals:
+        failed = failed | F.coalesce(~s["ok"], F.lit(False))
+    return F.round(F.when(failed, F.least(trust, F.lit(FAIL_CEILING))).otherwise(trust), 4)
 
 
 def verify(
@@ -197,8 +199,10 @@ def verify(
         out = reconcile(out, second, keys, fields, compared)
         parts.append(F.col("_ensemble"))
         flags.append(flag(F.col("_ensemble.detail"), False, F.col("_ensemble.ok").isNull() & F.contains("_ensemble.detail", F.lit("disagree"))))
-    out = out.withColumn("signals", F.filter(F.array(*[p.cast(SIGNAL) for p in parts]), lambda s: s.isNotNull()))
-    out = out.withColumns({"_flags": raise_flags(F.col("qa_flags"), flags), "trust_score": fuse(F.col("signals"))})
+    out = out.withColumns({f"_signal_{i}": p.cast(SIGNAL) for i, p in enumerate(parts)})
+    given = [F.col(f"_signal_{i}") for i in range(len(parts))]
+    out = out.withColumn("signals", F.filter(F.array(*given), lambda s: s.isNotNull()))
+    out = out.withColumns({"_flags": raise_flags(F.col("qa_flags"), flags), "trust_score": fuse(given)})
     out = out.withColumns({"qa_flags": F.col("_flags"), "qa_status": status(F.col("_flags"))})
     review = (F.col("qa_status") == "fail") | (F.col("trust_score") < review_below)
     added = [c for c in ("signals", "trust_score", "qa_flags", "qa_status", "review_recommended") if c not in columns]

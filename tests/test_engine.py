@@ -1,13 +1,15 @@
 """Golden values of single operators, and whole runs on texts of our own."""
 
 import json
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from attestor.functions import exprs as E
 from attestor.functions import intervals as I
-from attestor.operators import curate, evaluate, extract, gate, merge, text, verify
+from attestor.operators import curate, evaluate, extract, gate, merge, reconcile, text, verify
 from attestor.plans import pipeline
 from attestor.plans.datasets import DATASETS, dataset
 from attestor.sources import documents, links, registry, releases
@@ -358,3 +360,45 @@ def test_stream_ingests_and_merges(spark, tmp_path):
     versions = sorted(int(r[0]) for r in spark.read.parquet(out).select("version").distinct().collect())
     last = spark.read.parquet(f"{out}/version={versions[-1]}")
     assert {r.document_id: r.n for r in last.groupBy("document_id").agg(F.count(F.lit(1)).alias("n")).collect()} == {"d0": 7, "d1": 7}
+
+
+def test_close_rates_equal_brute_force(spark):
+    draw = random.Random(5)
+    rates = [None, float("nan"), float("inf"), 0.0, 15.0, -15.0, 15.15, 14.85, 1e6, 1.01e6, -1e6] + [draw.choice((1, 20, 3000)) * draw.uniform(-1, 1) for _ in range(300)]
+    told = [("a", x) for x in rates[:80]] + [(None, 3.0), ("c", None)]
+    asked = [(k, x) for k in ("a", None, "b", "c") for x in rates] + [("a", x * f) for x in rates[3:80] for f in (0.98, 0.9901, 0.9999, 1.0099, 1.02)]
+    text_rows = spark.createDataFrame(told, "key string, rate double")
+    rows = spark.createDataFrame([(i, k, x) for i, (k, x) in enumerate(asked)], "i int, key string, rate double")
+    got = {r.i: r.close for r in reconcile.close_rate_exists(rows, text_rows, ["key"]).collect()}
+    fit = lambda x: x is not None and math.isfinite(x)
+    near = lambda x, t: fit(x) and fit(t) and abs(x - t) <= max(0.15, 0.01 * abs(t))
+    assert got == {i: any(k == l and near(x, t) for l, t in told) for i, (k, x) in enumerate(asked)}
+    assert 0 < sum(got.values()) < len(got)
+    assert not any(r.close for r in reconcile.close_rate_exists(rows, text_rows.limit(0), ["key"]).collect())
+
+
+def test_risk_coverage_orders_ties_over_ranges(spark):
+    rows = [(i, 0.5 if i % 10 else 0.9, i % 3 == 0) for i in range(5000)]
+    df = spark.createDataFrame(rows, "record_seq long, score double, correct boolean").repartition(7)
+    got = [tuple(r) for r in evaluate.risk_coverage(df).orderBy("rank").collect()]
+    want, k = [], 0
+    for n, (_, score, correct) in enumerate(sorted(rows, key=lambda r: (-r[1], r[0])), 1):
+        k += correct
+        want.append((n, score, k / n))
+    assert [(g[0], g[3]) for g in got] == [w[:2] for w in want]
+    assert all(abs(g[2] - w[2]) <= 5.1e-5 for g, w in zip(got, want))
+    assert evaluate.risk_coverage(df.limit(0)).count() == 0
+
+
+def test_last_and_first_rows_by_key(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 3, None), (None, 2, "y"), (None, None, "z"), ("b", None, "w")], "key string, record_seq int, v string")
+    assert sorted(map(tuple, verify.last_by(df, ["key"], "record_seq").collect()), key=str) == sorted([("a", 3, None), (None, 2, "y"), ("b", None, "w")], key=str)
+    assert sorted(map(tuple, text.first_by_content(df, "record_seq", "key").collect()), key=str) == sorted([("a", 1, "x"), (None, None, "z"), ("b", None, "w")], key=str)
+
+
+def test_fuse_leaves_out_missing_signals(spark):
+    one = lambda score, ok, weight: f"named_struct('name', 'n', 'score', {score}, 'ok', {ok}, 'weight', {weight}, 'detail', '')"
+    row = lambda *parts: spark.range(1).select(verify.fuse([F.expr(p).cast(verify.SIGNAL) for p in parts])).first()[0]
+    assert row(one("0.25D", "true", "1D"), one("null", "null", "9D"), "null", one("1D", "null", "1D")) == 0.5
+    assert row(one("null", "null", "1D"), "null") == verify.DEFAULT_TRUST
+    assert row(one("0.9D", "false", "1D")) == verify.FAIL_CEILING
