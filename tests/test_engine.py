@@ -398,7 +398,7 @@ def test_last_and_first_rows_by_key(spark):
 
 def test_fuse_leaves_out_missing_signals(spark):
     one = lambda score, ok, weight: f"named_struct('name', 'n', 'score', {score}, 'ok', {ok}, 'weight', {weight}, 'detail', '')"
-    row = lambda *parts: spark.range(1).select(verify.fuse([F.expr(p).cast(verify.SIGNAL) for p in parts])).first()[0]
+    row = lambda *parts: spark.range(1).select(verify.fuse(F.array(*[F.expr(p).cast(verify.SIGNAL) for p in parts]))).first()[0]
     assert row(one("0.25D", "true", "1D"), one("null", "null", "9D"), "null", one("1D", "null", "1D")) == 0.5
     assert row(one("null", "null", "1D"), "null") == verify.DEFAULT_TRUST
     assert row(one("0.9D", "false", "1D")) == verify.FAIL_CEILING
