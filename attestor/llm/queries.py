@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestor.llm import decontaminate, fingerprint, language_id, line_dedup, mixing, ngram_join, sharding, token_counts, toxicity, url_filter
+from attestor.llm import collocations, decontaminate, fill_in_middle, fingerprint, language_id, line_dedup, mixing, ngram_join, sharding, token_counts, toxicity, url_filter
 from attestor.llm.scratch import materialize
 
 
@@ -99,6 +99,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made, fim = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text")), F.col("fim")
+    return made.select(
+        "doc_id", fim["n"].alias("n"), fim["form"].alias("form"), fim["prefix"].alias("prefix_chars"), fim["middle"].alias("middle_chars"),
+        F.sha2(fim["output"], 256).alias("output_sha256"), F.sha2(fill_in_middle.restored(fim["output"], fim["form"]), 256).alias("restored_sha256"),
+    )
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
@@ -154,5 +166,40 @@ FROM t LEFT JOIN r ON r.doc_id = t.doc_id
 """
 
 
+OP11_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+x AS (SELECT *, CAST(length(t) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+    CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+        WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM x)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || substring(t, 1, a) || '<S>' || substring(t, b + 1) || '<M>' || substring(t, a + 1, b - a)
+        ELSE '<S>' || substring(t, b + 1) || '<P>' || substring(t, 1, a) || '<M>' || substring(t, a + 1, b - a) END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM c
+"""
+
+OP12_SQL = r"""
+WITH s AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM s),
+t AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase, count(*) AS f
+    FROM w, unnest(range(1, 6)) x(m), unnest(range(1, len(w) - m + 2)) y(i) GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM g WHERE m > 1),
+k AS (SELECT c.*, k, array_to_string(w[1 : k], ' ') AS p, array_to_string(w[k + 1 :], ' ') AS q FROM c, unnest(range(1, m)) z(k)),
+z AS (SELECT k.lang, k.phrase, k.m, k.a, k, p.f AS l, q.f AS r, n, CAST((CAST(1000 AS HUGEINT) * a * n) // (CAST(p.f AS HUGEINT) * q.f) AS BIGINT) AS score
+    FROM k JOIN g p ON p.lang = k.lang AND p.phrase = k.p JOIN g q ON q.lang = k.lang AND q.phrase = k.q JOIN t ON t.lang = k.lang),
+b AS (SELECT * FROM z QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+u AS (SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.lang = b.lang AND c.m > b.m AND c.a >= b.a AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM u
+QUALIFY rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op9_ngram_jaccard_join": OP9_SQL, "op10_line_dedup": OP10_SQL}
+    return {
+        "op2_decontamination": OP2_SQL, "op9_ngram_jaccard_join": OP9_SQL, "op10_line_dedup": OP10_SQL,
+        "op11_fill_in_middle": OP11_SQL, "op12_collocations": OP12_SQL,
+    }
