@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestor.llm import collocations, decontaminate, fill_in_middle, fingerprint, language_id, line_dedup, mixing, ngram_join, sharding, token_counts, toxicity, url_filter
+from attestor.llm import collocations, decontaminate, fill_in_middle, fingerprint, language_id, license_scan, line_dedup, mixing, ngram_join, sharding, token_counts, toxicity, url_filter
 from attestor.llm.scratch import materialize
 
 
@@ -111,6 +111,15 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.col("licenses")
+    base, starts = found["base"], F.transform(found["base"], lambda d: d["start"].cast("long"))
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", found["n_words"].alias("n_words"), F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        license_scan.labels(base).alias("base_labels"), license_scan.labels(base, found["found"]).alias("labels"), license_scan.score(found["found"], base).alias("score"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
