@@ -62,6 +62,10 @@ def _time(q: Column, tilt: float) -> Column:
     return F.abs(F.sqrt(F.lit((1 - a) ** 2) + 4 * a * q) - (1 - a)) / abs(2 * a)
 
 
+def _hash() -> Column:
+    return F.xxhash64(F.lit(11), "doc_id", "text")
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = (3, 1, 2),
@@ -69,16 +73,21 @@ def mix(
     share: float = 1.5,
     repeats: float = 2.0,
 ) -> DataFrame:
-    """One row a document: size, source_size, target, taken and its training positions.
+    """One row a document: doc_id, source, size, source_size, target, taken and its training positions.
 
     ``position`` (0 to all words of the mix) is where its first taken word is trained, ``again`` where
     its second pass begins; both null where not taken.  The pass that meets the end of the demand is
     cut at a word, so a source's words add up to its target, rounded.
     """
+    return _placed(docs, weights, tilts, share, repeats).drop("_h")
+
+
+def _placed(docs: DataFrame, weights: Sequence[float], tilts: Sequence[float], share: float, repeats: float) -> DataFrame:
+    """The rows of ``mix`` with the hash ``_h`` of id and text."""
     slim = materialize(
         docs.select(
             "doc_id", "source", word_count(F.col("text")).alias("size"),
-            F.xxhash64(F.lit(11), "doc_id", "text").alias("_h"),
+            _hash().alias("_h"),
         ),
         "mix-sizes",
     )
@@ -100,24 +109,35 @@ def mix(
     curves = [_time(F.least(F.lit(1.0), (start + k * F.col("source_size")) / F.col("target")), t) for k in (0, 1) for t in tilts]
     at = lambda k: F.get(F.array(*curves[k * len(tilts) : (k + 1) * len(tilts)]), F.col("_tilt_at")) * F.col("_all")
     return placed.select(
-        "doc_id", "source", "size", "source_size", "target",
+        "_h", "doc_id", "source", "size", "source_size", "target",
         sum(passes[1:], passes[0]).cast("long").alias("taken"),
         F.when(passes[0] > 0, at(0)).alias("position"),
         (F.when(passes[1] > 0, at(1)) if len(passes) > 1 else F.lit(None).cast("double")).alias("again"),
     )
 
 
-def take(docs: DataFrame, **options) -> DataFrame:
+def take(
+    docs: DataFrame, weights: Sequence[float] = (3, 1, 2), tilts: Sequence[float] = (0.5, 0.0, -0.5), share: float = 1.5, repeats: float = 2.0
+) -> DataFrame:
     """The mix as documents, columns as they came: each as often as its words are taken, rounded.
 
     Words of a document are taken wholly but where a source's demand ends, so rounding moves a source
-    by half a document at most.  Documents without words are not taken.
+    by half a document at most.  Documents without words are not taken.  Rows are told apart by id (null ids
+    too), text and source, so texts that share an id each keep their own count.  Rows equal in all three lie
+    side by side in the mix: all are taken equally often, and what is left of their count, where a demand ends among
+    them, goes to one of them.
     """
-    copies = mix(docs, **options).where("size > 0").select(F.col("doc_id").alias("_id"), F.round(F.col("taken") / F.col("size")).cast("int").alias("_n"))
-    copies = copies.where("_n > 0").groupBy("_id").agg(F.max("_n").alias("_n"))
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_key"))
-    taken = rows.join(copies, F.col("_key").eqNullSafe(F.col("_id")))
-    return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("_n")))).select("_row.*")
+    n = F.round(F.col("taken") / F.col("size")).cast("long")
+    placed = _placed(docs, weights, tilts, share, repeats).where("size > 0").withColumn("_n", n)
+    copies = placed.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_s"), F.col("_h").alias("_hash")).agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_rows"))
+    copies = copies.where("_n > 0").withColumns({"_each": F.floor(F.col("_n") / F.col("_rows")).cast("int"), "_more": F.pmod("_n", "_rows").cast("int")})
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_key"), F.col("source").alias("_source"), _hash().alias("_h"))
+    same = (F.col("_h") == F.col("_hash")) & F.col("_key").eqNullSafe(F.col("_id")) & F.col("_source").eqNullSafe(F.col("_s"))
+    times = lambda df, c: df.select("_row", F.explode(F.sequence(F.lit(1), F.col(c)))).select("_row.*")
+    taken = times(rows.join(copies.where("_each > 0"), same), "_each")
+    few = copies.where("_more > 0")  # where a demand ends among equal rows: a row a source and pass at most
+    rest = rows.join(F.broadcast(few), same).groupBy("_h", "_key", "_source").agg(F.any_value("_row").alias("_row"), F.max("_more").alias("_more"))
+    return taken.unionByName(times(rest, "_more"))
 
 
 def range_sorted(mixed: DataFrame) -> DataFrame:

@@ -444,13 +444,17 @@ def join(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARITY, recall
 
 
 def keep_one(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each class, its least doc_id; repeated rows of it count once.  Columns as they came.
+    """One document of each class: of its texts that of least doc_id, and of several texts of this id that of least hash.
 
-    Documents of null doc_id stay.
+    Every text of a doc_id is a document of its own, so none is lost for another one that bears its id.  Rows of
+    equal doc_id and text count once, whichever of them stays; documents without words are classes of their own, and
+    those of null doc_id all stay.  Columns as they came.
     """
-    classes = join(docs, k, similarity).where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_key"), F.xxhash64("text").alias("_tie"))
-    one = Window.partitionBy("_key").orderBy("_tie")
-    kept = rows.join(classes, F.col("_key") == F.col("_id"), "left_semi")
+    rows = docs.where("doc_id is not null").select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_key"), "text", F.xxhash64("doc_id", "text").alias("_sid"))
+    classes = join(rows.select(F.col("_sid").alias("doc_id"), "text"), k, similarity).select(F.col("doc_id").alias("_sid"), "class_id")
+    named = classes.join(rows.select("_sid", "_key").distinct(), "_sid")
+    first = named.groupBy("class_id").agg(F.min(F.struct("_key", "_sid")).alias("_first")).select(F.col("_first._sid").alias("_sid"), F.col("_first._key").alias("_key"))
+    kept = rows.join(first.distinct(), ["_sid", "_key"], "left_semi")
+    one = Window.partitionBy("_sid", "_key").orderBy("_sid")
     kept = kept.withColumn("_nth", F.row_number().over(one)).where("_nth = 1").select("_row.*")
     return kept.unionByName(docs.where("doc_id is null"))

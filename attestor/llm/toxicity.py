@@ -33,7 +33,7 @@ WIDTHS = (1, 2, 3)
 PREFIXES = (4, 6)
 DIM, FILTERS = 16, 16
 #: Labelled documents that the model is fitted on, as expected by hash; and bounds of rows and of bytes of text.
-SAMPLE, SAMPLE_ROWS, SAMPLE_BYTES = 8000, 16_000, 128 << 20
+SAMPLE, SAMPLE_ROWS, SAMPLE_BYTES, SAMPLE_PARTS = 8000, 16_000, 128 << 20, 64
 #: Bytes of a text beyond which it is scored in windows of so many.
 WINDOW = 1 << 20
 #: Texts of a language among the held-back, from which on it has a threshold of its own.
@@ -254,18 +254,25 @@ def fit(rows: list[tuple[str, int, str | None]], epochs: int = 5, batch: int = 3
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 1) -> list[tuple[str, int, str | None]]:
-    """About ``sample`` labelled documents, drawn by the hash of their ids, in a fixed order."""
+    """About ``sample`` labelled documents, drawn by the hash of their ids, in a fixed order.
+
+    At most ``SAMPLE_ROWS`` rows of ``SAMPLE_BYTES`` together; a text above 1 / ``SAMPLE_PARTS`` of these bytes is not learnt
+    from.  Repeated rows stand as often as they are drawn.
+    """
     labels = labels.select("doc_id", "toxic").where("doc_id is not null and toxic is not null")
     n = labels.count()
     drawn = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) <= F.lit(int(min(1.0, sample / max(n, 1)) * (1 << 30)))
     few = labels.where(drawn).groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     few = few.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
-    got = docs.select("doc_id", "text", "lang").where(drawn).join(F.broadcast(few), "doc_id")
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")]
-    got = got.withColumn("text", F.coalesce("text", F.lit(""))).orderBy(*order).limit(SAMPLE_ROWS)  # a doc_id may stand for many rows
-    got = got.withColumn("_upto", F.sum(F.octet_length("text")).over(Window.partitionBy(F.lit(0)).orderBy(*order)))
-    rows = got.where(F.col("_upto") <= SAMPLE_BYTES).select("doc_id", "text", "_toxic", "lang").collect()
-    return [(r.text, int(r._toxic), r.lang) for r in sorted(rows, key=lambda r: (r.doc_id, r.text))]
+    some = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang").where(drawn).withColumn("_h", F.xxhash64("text"))
+    # lengths alone are ordered and summed; a single text never takes more than a small part of the bound
+    slim = some.join(F.broadcast(few), "doc_id").select("doc_id", "_h", "_toxic", F.octet_length("text").alias("_size")).where(F.col("_size") <= SAMPLE_BYTES // SAMPLE_PARTS)
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("_h")]
+    slim = slim.orderBy(*order).limit(SAMPLE_ROWS)  # a doc_id may stand for many rows
+    slim = slim.withColumn("_upto", F.sum("_size").over(Window.partitionBy(F.lit(0)).orderBy(*order))).where(F.col("_upto") <= SAMPLE_BYTES)
+    picked = slim.groupBy("doc_id", "_h", "_toxic").agg(F.count(F.lit(1)).alias("_times"))
+    rows = some.join(F.broadcast(picked), ["doc_id", "_h"]).dropDuplicates(["doc_id", "_h"]).select("doc_id", "text", "_toxic", "lang", "_times").collect()
+    return [(r.text, int(r._toxic), r.lang) for r in sorted(rows, key=lambda r: (r.doc_id, r.text)) for _ in range(r._times)]
 
 
 def toxicity(text: Column, model) -> Column:
