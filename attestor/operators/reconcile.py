@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attestor.functions.exprs import alnum
+from attestor.operators import contain
 from attestor.operators.verify import last_by
 
 
@@ -65,38 +67,45 @@ def close_rate_exists(rows: DataFrame, text: DataFrame, keys: Sequence[str], flo
     return rows.join(met, cond, "left").withColumn("close", close).drop("_to", "_below", "_above", "_same", *[f"_k_{k}" for k in keys])
 
 
-def fuzzy_found(reference: DataFrame, found: DataFrame, keys: Sequence[str], name: str, prefix: int = 10, width: int = 40) -> DataFrame:
-    """Distinct reference names by key with ``found``: one name holds the other, or their beginnings are equal."""
-    norm = F.substring(alnum(F.col(name)), 1, width).alias("_name")
-    ref = reference.select(*keys, norm).distinct()
-    got = found.select(*keys, norm).distinct().groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.collect_set("_name").alias("_names"))
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    mine = F.col("_name")
-    hit = F.exists("_names", lambda o: F.contains(mine, o) | F.contains(o, mine) | (F.substring(mine, 1, prefix) == F.substring(o, 1, prefix)))
-    out = ref.join(got, cond, "left").withColumn("found", F.coalesce(hit, F.lit(False)))
-    return out.select(*keys, mine.alias("name"), "found")
+def _unpacked(keys: Sequence[str]) -> list[Column]:
+    return [F.col("_key")[f"k{i}"].alias(k) for i, k in enumerate(keys)]
 
 
-def shingles(x: Column, n: int = 6) -> Column:
-    """Distinct runs of n characters of the normalised text."""
-    t = alnum(x)
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - n + 1, F.lit(1))), lambda i: F.substring(t, i, F.lit(n))))
+def fuzzy_found(reference: DataFrame, found: DataFrame, keys: Sequence[str], name: str, prefix: int = 10, width: int = 40) -> DataFrame:
+    """Distinct reference names by key with ``found``: one name holds the other, or their beginnings are equal.
+
+    A null name is never found; an empty one is where the key has any name, and finds all names of its key.
+    """
+    norm = F.substring(alnum(F.col(name)), 1, width).alias("name")
+    mine, other = (df.select(contain.key(keys).alias("_key"), norm).distinct() for df in (reference, found))
+    begins = other.select("_key", F.substring("name", 1, prefix).alias("_begin")).distinct()
+    some, empty = other.where("name is not null").select("_key").distinct(), other.where("name = ''").select("_key")
+    hits = (
+        contain.holding(mine, other).select("_key", F.col("needle").alias("name")),
+        contain.holding(other, mine).select("_key", F.col("hay").alias("name")),
+        mine.withColumn("_begin", F.substring("name", 1, prefix)).join(begins, ["_key", "_begin"]).select("_key", "name"),
+        mine.where("name = ''").join(some, "_key", "left_semi"),
+        mine.where("name is not null").join(empty, "_key", "left_semi"),
+    )
+    hit = reduce(DataFrame.unionByName, hits).distinct().withColumn("_hit", F.lit(True))
+    out = mine.join(hit, ["_key", "name"], "left")
+    return out.select(*_unpacked(keys), "name", F.coalesce("_hit", F.lit(False)).alias("found"))
 
 
 def overlapping(candidates: DataFrame, rows: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Candidates of each row on its page whose names overlap (one holds the other, or they share a run of six
-    characters); where none does, all of the page.  Adds ``cand_name`` and ``overlap``."""
-    other = candidates.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(name).alias("cand_name")).distinct()
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    a, b = alnum(F.col(name)), alnum(F.col("cand_name"))
-    both = rows.join(other, cond).withColumn("overlap", F.contains(a, b) | F.contains(b, a) | F.arrays_overlap(shingles(F.col(name)), shingles(F.col("cand_name"))))
-    some = F.max(F.col("overlap").cast("int")).over(Window.partitionBy("record_seq"))
-    both = both.withColumn("_some", some)
-    return both.where(F.col("overlap") | (F.col("_some") == 0)).drop("_some", *[f"_k_{k}" for k in keys])
+    characters); where none does, all of the page.  Adds ``cand_name`` and ``overlap``.
+
+    Pairs come from the runs of distinct names; only rows without any meet their whole page.  A null name
+    overlaps nothing.
+    """
+    cands = candidates.select(contain.key(keys).alias("_key"), F.col(name).alias("cand_name")).distinct().withColumn("_b", alnum(F.col("cand_name")))
+    own = rows.withColumns({"_key": contain.key(keys), "_a": alnum(F.col(name))})
+    pairs = contain.overlapping_names(own.select("_key", F.col("_a").alias("name")).distinct(), cands.select("_key", F.col("_b").alias("name")).distinct())
+    pairs = pairs.select("_key", F.col("a").alias("_a"), F.col("b").alias("_b"))
+    met = own.join(pairs, ["_key", "_a"]).join(cands, ["_key", "_b"]).withColumn("overlap", F.lit(True))
+    alone = own.join(pairs, ["_key", "_a"], "left_anti").join(cands.drop("_b"), "_key").withColumn("overlap", F.lit(False))
+    return met.drop("_b").unionByName(alone).drop("_key", "_a")
 
 
 def first_match(rows: DataFrame, other: DataFrame, keys: Sequence[str], name: str, prefix: int = 8) -> DataFrame:
@@ -111,18 +120,23 @@ def first_match(rows: DataFrame, other: DataFrame, keys: Sequence[str], name: st
 
 def best_match(rows: DataFrame, other: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Each row with ``match_rate``: of the other rows of its key whose name holds its name or is held by it,
-    the first that has a rate, else null.  ``matched`` tells whether any name fits."""
-    got = other.select(*[F.col(k).alias(f"_k_{k}") for k in keys], alnum(F.col(name)).alias("_other"), F.col("rate").alias("_rate"), F.col("record_seq").alias("_seq"))
-    got = got.groupBy(*[f"_k_{k}" for k in keys], "_other").agg(F.min(F.struct(F.col("_rate").isNull().alias("no"), F.col("_seq"), F.col("_rate"))).alias("_first"))
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    mine = alnum(F.col(name))
-    fits = cond & (F.contains(mine, F.col("_other")) | F.contains(F.col("_other"), mine))
-    joined = rows.join(got, fits, "left")
-    best = joined.groupBy("record_seq").agg(F.min("_first").alias("_best"))
-    out = rows.join(best, "record_seq", "left")
-    return out.withColumns({"matched": F.col("_best").isNotNull(), "match_rate": F.col("_best._rate")}).drop("_best")
+    the first that has a rate, else null.  ``matched`` tells whether any name fits; a null name fits none."""
+    first = F.min(F.struct(F.col("rate").isNull().alias("no"), F.col("record_seq").alias("seq"), F.col("rate").alias("rate"))).alias("_first")
+    got = other.select(contain.key(keys).alias("_key"), alnum(F.col(name)).alias("name"), "rate", "record_seq").where("name is not null").groupBy("_key", "name").agg(first)
+    own = rows.withColumns({"_key": contain.key(keys), "_mine": alnum(F.col(name))})
+    mine, names = own.where("_mine is not null").select("_key", F.col("_mine").alias("name")).distinct(), got.select("_key", "name")
+    pairs = contain.holding(mine, names).select("_key", F.col("needle").alias("_mine"), F.col("hay").alias("name"))
+    pairs = pairs.unionByName(contain.holding(names, mine).select("_key", F.col("hay").alias("_mine"), F.col("needle").alias("name")))
+    any_ = got.groupBy("_key").agg(F.min("_first").alias("_first"))
+    as_mine = F.col("name").alias("_mine")
+    fits = (
+        pairs.join(got, ["_key", "name"]).select("_key", "_mine", "_first"),
+        mine.where("name = ''").join(any_, "_key").select("_key", as_mine, "_first"),
+        mine.join(got.where("name = ''").drop("name"), "_key").select("_key", as_mine, "_first"),
+    )
+    best = reduce(DataFrame.unionByName, fits).groupBy("_key", "_mine").agg(F.min("_first").alias("_best"))
+    out = own.join(best, ["_key", "_mine"], "left").select(*rows.columns, "_best")
+    return out.withColumns({"matched": F.col("_best").isNotNull(), "match_rate": F.col("_best.rate")}).drop("_best")
 
 
 def lift_summary(scored: DataFrame, floor: float = 0.2) -> DataFrame:
