@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from attestor.functions import exprs as E
 from attestor.operators.gate import thresholds
+from attestor.operators.ranges import running
 from attestor.operators.verify import last_by
 
 
@@ -19,18 +20,23 @@ def stratum_sizes(rows: DataFrame, n: int, by: str | None) -> DataFrame:
     return sizes.select("stratum", "size", F.when(total <= n, F.col("size")).otherwise(part).cast("long").alias("share"))
 
 
+def draw_order(uid: str, seed: int, purpose: str) -> list[Column]:
+    """What samples are drawn in the order of: the SHA-1 of purpose, seed and id, then the id."""
+    return [F.sha1(F.concat(F.lit(f"{purpose}:{seed}:"), F.coalesce(F.col(uid).cast("string"), F.lit("")))), F.col(uid)]
+
+
 def stratified_sample(rows: DataFrame, n: int, by: str | None, uid: str, seed: int = 0) -> DataFrame:
-    """At most n rows, in proportion by stratum; which ones depends on the seed and their ids alone."""
-    h = F.xxhash64(F.lit(seed), uid)
+    """At most n rows, in proportion by stratum; which ones depends on the seed and their ids alone.
+
+    Of each stratum the rows of least hash are taken, in two phases: first at most n of each, which Spark cuts in
+    every task before the shuffle, then the stratum's share of these.  Rows of equal id count one by one.
+    """
     key = F.coalesce(F.col(by), F.lit("")) if by else F.lit("")
-    sizes = F.broadcast(stratum_sizes(rows, n, by))  # one row a stratum
-    ranked = rows.withColumns({"stratum": key, "_h": h}).join(sizes, "stratum")
-    # only rows that could be among the share are ranked: hashes are uniform, so a generous cut keeps them
-    cut = F.col("share") / F.col("size") * 2 + 64 / F.col("size")
-    near = ranked.where((F.col("_h") / float(1 << 63) + 1) / 2 <= cut)
+    sizes = stratum_sizes(rows, n, by)
     w = Window.partitionBy("stratum").orderBy("_h", uid)
-    chosen = near.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= F.col("share"))
-    return chosen.orderBy(F.xxhash64(F.lit(seed + 1), uid), uid).limit(n).select(*rows.columns)
+    first = rows.withColumns({"stratum": key, "_h": draw_order(uid, seed, "sample")[0]}).withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n)
+    chosen = first.join(sizes, "stratum").where(F.col("_n") <= F.col("share"))  # at most n rows a stratum
+    return chosen.orderBy(*draw_order(uid, seed, "trim")).limit(n).select(*rows.columns)
 
 
 def gold_sheet(rows: DataFrame, identity: list[str], shown: list[str]) -> DataFrame:
@@ -66,29 +72,11 @@ def accuracy(matched: DataFrame) -> DataFrame:
 
 
 def risk_coverage(labelled: DataFrame) -> DataFrame:
-    """Accuracy among the rows of highest score, row by row; ties in the order of ``record_seq``.
-
-    Nearly all rows may tie, so ties are cut into at most 64 ranges at bounds from a sample of 2,048 order
-    keys.  Counts by score and range give where each begins: a window sorts one range of one score, and the
-    only running sum over everything passes distinct scores and ranges.
-    """
-    sample = labelled.select("record_seq").orderBy(F.xxhash64("record_seq")).limit(2048)
-    bounds = sample.agg(F.filter(F.array_sort(F.collect_list("record_seq")), lambda _, i: i % 32 == 31).alias("_bounds"))
-    cut = F.size(F.filter("_bounds", lambda b: b < F.col("record_seq")))
-    ranged = labelled.crossJoin(F.broadcast(bounds)).withColumn("_range", cut).drop("_bounds")  # one row
-    parts = ranged.groupBy("score", "_range").agg(F.count(F.lit(1)).alias("c"), F.count_if("correct").alias("k"))
-    w = Window.partitionBy(F.lit(0)).orderBy(F.col("score").desc(), "_range").rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy(F.lit(0))
-    starts = parts.select(
-        "score", "_range", F.coalesce(F.sum("c").over(w), F.lit(0)).alias("_n0"), F.coalesce(F.sum("k").over(w), F.lit(0)).alias("_k0"), F.sum("c").over(every).alias("_n")
-    )
-    inside = Window.partitionBy("score", "_range").orderBy("record_seq")
-    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
-    out = ranged.withColumns({"_i": F.row_number().over(inside), "_k": F.sum(F.col("correct").cast("int")).over(so_far)})
-    out = out.join(starts, ["score", "_range"])
-    i, k = F.col("_n0") + F.col("_i"), F.col("_k0") + F.col("_k")
+    """Accuracy among the rows of highest score, row by row; ties in the order of ``record_seq``, in ranges like all others."""
+    out = running(labelled, [-F.col("score"), F.col("record_seq")], {"_i": F.lit(1), "_k": F.col("correct").cast("int")})
+    i, k = F.col("_i"), F.col("_k")
     return out.select(
-        i.cast("long").alias("rank"), F.round(i / F.col("_n"), 3).alias("coverage"), F.round(k / i, 4).alias("accuracy"), F.round("score", 4).alias("trust_threshold")
+        i.cast("long").alias("rank"), F.round(i / F.col("_i_all"), 3).alias("coverage"), F.round(k / i, 4).alias("accuracy"), F.round("score", 4).alias("trust_threshold")
     )
 
 
@@ -184,10 +172,13 @@ def human_recall(pages: DataFrame) -> DataFrame:
 
 
 def double_scored(sample: DataFrame, n: int, uid: str, seed: int = 0) -> DataFrame:
-    """Add ``double_scored``: a fixed part of about n rows that both reviewers get, whatever the sample's order."""
-    total = sample.agg(F.count(F.lit(1)).alias("_all"))
-    u = F.pmod(F.xxhash64(F.lit(seed), uid), F.lit(1 << 30)) / float(1 << 30)
-    return sample.crossJoin(F.broadcast(total)).withColumn("double_scored", u < n / F.col("_all")).drop("_all")  # one row
+    """Add ``double_scored``: the n rows (all, where there are fewer) that both reviewers get.
+
+    They are the first in an order that the seed and the ids give, whatever the sample's own, so those of a
+    smaller n are among those of a larger one.  The window passes the sample alone, which its drawing has bounded.
+    """
+    w = Window.partitionBy(F.lit(0)).orderBy(*draw_order(uid, seed, "double"))
+    return sample.withColumn("double_scored", F.row_number().over(w) <= n)
 
 
 def misses(found: DataFrame, keys: list[str], most: int = 5) -> DataFrame:

@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attestor.functions.exprs import hoeffding
+from attestor.operators.ranges import running
 
 
 def thresholds(labelled: DataFrame, alpha: float, delta: float, by: str | None = None) -> DataFrame:
     """(by, threshold) from (score, correct, by): the least score at which the bound holds, null for none.
 
-    Counts by distinct score come first, so the running sums go over distinct scores only; all ties
-    of a score enter together, and a lower score may qualify although a higher one doesn't.
+    Counts by distinct score come first, so all ties of a score enter together; running sums go over distinct
+    scores, in ranges.  A lower score may qualify although a higher one doesn't.
     """
     keys = [by] if by else []
     scores = labelled.groupBy(*keys, "score").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("correct")).alias("e"))
-    w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    run = scores.withColumns({"n": F.sum("n").over(w), "e": F.sum("e").over(w)})
+    run = running(scores, [-F.col("score")], {"n": F.col("n"), "e": F.col("e")}, keys)
     best = F.min(F.when(hoeffding(F.col("e"), F.col("n"), delta) <= alpha, F.col("score"))).alias("threshold")
     return run.groupBy(*keys).agg(best)
 
@@ -46,3 +46,8 @@ def summary(annotated: DataFrame) -> DataFrame:
         n.alias("n"), kept.alias("auto_accepted"), (n - kept).alias("sent_to_review"),
         F.when(n > 0, F.round(kept / n, 4)).otherwise(0.0).alias("coverage"),
     )
+
+
+def calibrated_summary(annotated: DataFrame, alpha: float, delta: float, stratified: bool) -> DataFrame:
+    """``summary`` with what the gate was calibrated by, and whether groups have thresholds of their own."""
+    return summary(annotated).select(F.lit(alpha).alias("alpha"), F.lit(delta).alias("delta"), "*", F.lit(stratified).alias("stratified"))
