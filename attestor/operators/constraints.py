@@ -1,11 +1,16 @@
-"""Domain axioms as columns: declarative checks of records and of groups of records."""
+"""Domain axioms as columns: declarative checks of records and of groups of records.
+
+A group axiom needs what its group says as a whole.  ``prepare`` adds that to the records by a partial aggregate
+and a join in which nulls equal each other: rows of a hot group are combined before the shuffle, and the join
+can split it, as no window ever gathers full rows of a group.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attestor.functions.exprs import strip
@@ -20,6 +25,8 @@ class Axiom:
     applies: Column
     holds: Column
     detail: Column
+    #: Adds columns that the three refer to; None where they need nothing but the record.
+    prepare: Callable[[DataFrame], DataFrame] | None = None
 
     @property
     def outcome(self) -> Column:
@@ -27,14 +34,39 @@ class Axiom:
         return F.when(self.applies, self.holds)
 
 
-def duplicate_grain(here: Column, grain: Sequence[str | Column], message: str) -> Axiom:
-    """Each row of ``here`` must be alone in its grain; nulls in the grain equal each other.
+def prepared(records: DataFrame, axioms: Sequence[Axiom]) -> DataFrame:
+    """The records with what group axioms need to know of their groups."""
+    for a in axioms:
+        records = a.prepare(records) if a.prepare else records
+    return records
+
 
-    Rows outside ``here`` are spread by their sequence number, so that they form no hot group.
+def of_group(here: Column, by: Sequence[str | Column], facts: dict[str, Column], kept: Column | None = None) -> Callable[[DataFrame], DataFrame]:
+    """A ``prepare`` that adds ``facts``, aggregates over the rows of ``here`` in a group, to these rows.
+
+    Groups for which ``kept`` (of the facts) is not true are left out before the join; their rows get nulls, as
+    do rows that are not ``here``.
     """
-    apart = F.when(~here, F.struct("record_seq"))
-    n = F.count(F.lit(1)).over(Window.partitionBy(here, *grain, apart))
-    return Axiom("duplicate_grain", "soft", here & (n > 1), F.lit(False), F.concat(F.lit(f"{message} (x"), n, F.lit(")")))
+    columns = [F.col(b) if isinstance(b, str) else b for b in by]
+
+    def prepare(records: DataFrame) -> DataFrame:
+        tag = "_".join(facts)
+        keys = [c.alias(f"_g{i}_{tag}") for i, c in enumerate(columns)]
+        groups = records.where(here).groupBy(*keys).agg(*[v.alias(n) for n, v in facts.items()])
+        groups = groups if kept is None else groups.where(kept)
+        cond = here
+        for i, c in enumerate(columns):
+            cond = cond & c.eqNullSafe(F.col(f"_g{i}_{tag}"))
+        return records.join(groups, cond, "left").drop(*[f"_g{i}_{tag}" for i in range(len(columns))])
+
+    return prepare
+
+
+def duplicate_grain(here: Column, grain: Sequence[str | Column], message: str) -> Axiom:
+    """Each row of ``here`` must be alone in its grain; nulls in the grain equal each other."""
+    n = F.col("_grain_rows")
+    prepare = of_group(here, grain, {"_grain_rows": F.count(F.lit(1))}, F.col("_grain_rows") > 1)
+    return Axiom("duplicate_grain", "soft", here & n.isNotNull(), F.lit(False), F.concat(F.lit(f"{message} (x"), n, F.lit(")")), prepare)
 
 
 def subgroup_within_overall(here: Column, by: Sequence[str], group: str, amount: str, overall: Sequence[str]) -> Axiom:
@@ -42,13 +74,12 @@ def subgroup_within_overall(here: Column, by: Sequence[str], group: str, amount:
     value = F.col(amount)
     counted = here & value.isNotNull()
     named = F.lower(strip(F.coalesce(F.col(group), F.lit("")))).isin(*overall)
-    w = Window.partitionBy(*by)
-    first = F.min(F.when(counted & named, F.struct("record_seq", value.alias("v")))).over(w)
+    facts = {"_overall": F.min(F.when(named, F.struct("record_seq", value.alias("v")))), "_amounts": F.sum(value)}
+    prepare = of_group(counted, by, facts, F.col("_overall").isNotNull())
+    first = F.col("_overall")
     mine = first["record_seq"] == F.col("record_seq")
-    rest = F.sum(F.when(counted, value)).over(w) - first["v"]
-    applies = counted & first.isNotNull()
-    holds = F.when(mine, rest <= first["v"]).otherwise(value <= first["v"])
+    holds = F.when(mine, F.col("_amounts") - first["v"] <= first["v"]).otherwise(value <= first["v"])
     detail = F.when(mine, "sum of subgroup deaths exceeds overall").otherwise(
         F.concat(F.lit("subgroup deaths "), value, F.lit(" exceed overall "), first["v"])
     )
-    return Axiom("subgroup_le_overall", "soft", applies & ~holds, F.lit(False), detail)
+    return Axiom("subgroup_le_overall", "soft", counted & first.isNotNull() & ~holds, F.lit(False), detail, prepare)

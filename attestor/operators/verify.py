@@ -2,7 +2,7 @@
 
 Each record gets signals (score, ok, weight, detail); trust is their weighted geometric mean, with a
 ceiling where any signal fails.  Everything is column expressions on the records' own rows; only
-group axioms (windows), the document texts and the second extraction (joins) shuffle.
+group axioms (aggregates joined back), the document texts and the second extraction (joins) shuffle.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from attestor.functions import exprs as E
 from attestor.functions import intervals as I
-from attestor.operators.constraints import Axiom
+from attestor.operators.constraints import Axiom, prepared
 
 SOFT_PENALTY = 0.25
 DEFAULT_TRUST, FAIL_CEILING = 0.8, 0.05
@@ -40,10 +40,18 @@ def flag(msg: Column, fail: bool = False, when: Column | None = None) -> Column:
 
 
 def raise_flags(old: Column, new: Sequence[Column]) -> Column:
-    """``old`` and those of ``new`` that aren't null, in order, each message once (failing if ever raised so)."""
-    every = F.concat(F.coalesce(old, F.array().cast(FLAGS)), F.filter(F.array(*new).cast(FLAGS), lambda x: x.isNotNull()))
+    """``old`` and those of ``new`` that aren't null, in order, each message once (failing if ever raised so).
+
+    Most rows raise nothing; they keep what they had without a look at the arrays.
+    """
+    none, had = F.array().cast(FLAGS), F.coalesce(old, F.array().cast(FLAGS))
+    quiet = F.size(had) <= 1
+    for x in new:
+        quiet = quiet & x.isNull()
+    every = F.concat(had, F.filter(F.array(*new).cast(FLAGS), lambda x: x.isNotNull())) if new else had
     msgs = F.array_distinct(F.transform(every, lambda x: x["msg"]))
-    return F.transform(msgs, lambda m: F.struct(m.alias("msg"), F.exists(every, lambda x: (x["msg"] == m) & x["fail"]).alias("fail")))
+    once = F.transform(msgs, lambda m: F.struct(m.alias("msg"), F.exists(every, lambda x: (x["msg"] == m) & x["fail"]).alias("fail")))
+    return F.when(quiet & (F.size(had) == 0), none).when(quiet, had).otherwise(once.cast(FLAGS))
 
 
 def status(flags: Column) -> Column:
@@ -54,7 +62,7 @@ def status(flags: Column) -> Column:
 def with_outcomes(records: DataFrame, axioms: Sequence[Axiom]) -> DataFrame:
     """Each axiom evaluated once: ``_ax_<name>`` holds struct<ok, detail>."""
     cols = {f"_ax_{a.name}": F.struct(a.outcome.alias("ok"), F.when(a.outcome == F.lit(False), a.detail).alias("detail")) for a in axioms}
-    return records.withColumns(cols) if cols else records
+    return prepared(records, axioms).withColumns(cols) if cols else records
 
 
 def symbolic(axioms: Sequence[Axiom]) -> tuple[Column, list[Column]]:
@@ -165,6 +173,18 @@ def fuse(signals: Column) -> Column:
     return F.round(F.when(F.coalesce(failed, F.lit(False)), F.least(trust, F.lit(FAIL_CEILING))).otherwise(trust), 4)
 
 
+def fused(signals: Sequence[Column]) -> Column:
+    """``fuse`` of signals that are columns of their own, of which any may be null: sums without an array."""
+    weight, logs, failed = F.lit(0.0), F.lit(0.0), F.lit(False)
+    for s in signals:
+        some = s["score"].isNotNull()
+        weight = weight + F.when(some, s["weight"]).otherwise(0.0)
+        logs = logs + F.when(some, s["weight"] * F.ln(F.least(F.greatest(s["score"], F.lit(1e-6)), F.lit(1.0)))).otherwise(0.0)
+        failed = failed | F.coalesce(s["ok"] == F.lit(False), F.lit(False))
+    trust = F.when(weight > 0, F.exp(logs / weight)).otherwise(DEFAULT_TRUST)
+    return F.round(F.when(failed, F.least(trust, F.lit(FAIL_CEILING))).otherwise(trust), 4)
+
+
 def verify(
     records: DataFrame,
     axioms: Sequence[Axiom],
@@ -197,8 +217,9 @@ def verify(
         out = reconcile(out, second, keys, fields, compared)
         parts.append(F.col("_ensemble"))
         flags.append(flag(F.col("_ensemble.detail"), False, F.col("_ensemble.ok").isNull() & F.contains("_ensemble.detail", F.lit("disagree"))))
-    out = out.withColumn("signals", F.filter(F.array(*[p.cast(SIGNAL) for p in parts]), lambda s: s.isNotNull()))
-    out = out.withColumns({"_flags": raise_flags(F.col("qa_flags"), flags), "trust_score": fuse(F.col("signals"))})
+    out = out.withColumns({f"_p{i}": p.cast(SIGNAL) for i, p in enumerate(parts)})
+    each = [F.col(f"_p{i}") for i in range(len(parts))]
+    out = out.withColumns({"signals": F.filter(F.array(*each), lambda s: s.isNotNull()), "_flags": raise_flags(F.col("qa_flags"), flags), "trust_score": fused(each)})
     out = out.withColumns({"qa_flags": F.col("_flags"), "qa_status": status(F.col("_flags"))})
     review = (F.col("qa_status") == "fail") | (F.col("trust_score") < review_below)
     added = [c for c in ("signals", "trust_score", "qa_flags", "qa_status", "review_recommended") if c not in columns]
