@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from attestor.operators.merge import replace_by_id
+from attestor.operators.release_table import BUCKETS, ReleaseTable
 from attestor.plans.datasets import Dataset
 from attestor.plans.pipeline import run
 
@@ -23,21 +23,20 @@ def document_stream(spark: SparkSession, path: str, late: str = "1 day", files_p
     return ids.withWatermark("arrived", late).dropDuplicatesWithinWatermark(["document_id"])
 
 
-def ingest(docs: DataFrame, ds: Dataset, out: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Extract and verify every micro-batch and merge it into the release at ``out``.
+def ingest(docs: DataFrame, ds: Dataset, out: str, checkpoint: str, once: bool = False, n_buckets: int = BUCKETS) -> StreamingQuery:
+    """Extract and verify every micro-batch and merge it into the release table at ``out``.
 
-    A batch writes a new version of the release and then names it, so a batch that is run again after a
-    failure writes the same version.
+    A batch rewrites the buckets of its own documents only.  The table remembers the last batch of this checkpoint,
+    so a batch that is run again after a failure changes nothing, and numbers may be skipped.
     """
 
     def wave(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
+        table = ReleaseTable(batch.sparkSession, out, n_buckets=n_buckets)
+        if table.version().batches.get(checkpoint, -1) >= number:
+            return
         result = run(batch.drop("arrived"), ds)
-        records = result.records.drop("signals").withColumn("document_id", F.col("provenance.source_document_id"))
-        if number:
-            old = spark.read.parquet(f"{out}/version={number - 1}")
-            records = replace_by_id(old, records, result.documents)
-        records.write.mode("overwrite").parquet(f"{out}/version={number}")
+        records = table.staged(result.records.drop("signals").withColumn("document_id", F.col("provenance.source_document_id")))
+        table.merge(records, result.documents.select("document_id"), checkpoint, number)
 
     writer = docs.writeStream.foreachBatch(wave).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
