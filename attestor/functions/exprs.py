@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 # White space and line ends as the record format defines them.
 SPACE = r"[\s\x1c-\x1f]"
-LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
+LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 # Spellings of yes and of review verdicts.
 TRUE_WORDS = ("yes", "true", "y", "1", "priority")
 CORRECT_WORDS = ("1", "true", "yes", "y", "correct", "t")

@@ -6,12 +6,13 @@ and qa_flags.  Rows that lack a required field are kept apart by ``quarantine``
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attestor.functions import exprs as E
+from attestor.operators import answers
 from attestor.operators import text as T
 from attestor.operators.verify import FLAGS, flag, raise_flags, status
 from attestor.plans.datasets import EFFECT_DIRECTIONS, KINDS, SCOPE_SEVERITY, Dataset
@@ -135,10 +136,10 @@ def parse_rules(docs: DataFrame, ds: Dataset) -> DataFrame:
     body = body.withColumn("_kv", T.key_values(line, ds.key_pattern))
     context = {n: F.coalesce(F.col(f"_h_{n}"), defaults[n]) if n in defaults else F.col(f"_h_{n}") for n in ds.headers.values()}
     seq = F.struct(F.col("ordinal").cast("long").alias("document"), F.col("line_no").cast("long").alias("item"), F.lit(0).alias("part"))
-    parts = []
-    for lay in ds.layouts:
+    made = None
+    for lay in ds.layouts:  # a line is in one section, so at most one of the layouts makes a record of it
         has = reduce(lambda a, b: a | b, [F.map_contains_key("_kv", F.lit(n)) for n in lay.needs])
-        here = body.where((F.col("_section") == lay.kind) & has)
+        here = (F.col("_section") == lay.kind) & has
         given: dict[str, Column] = {}
         for name, value in context.items():
             given["reporting_year" if name == "year" and ds.id == "eqr" else "report_year" if name == "year" else name] = value
@@ -148,15 +149,15 @@ def parse_rules(docs: DataFrame, ds: Dataset) -> DataFrame:
             given[f] = parser(F.try_element_at("_kv", F.lit(key)))
         if ds.plan_lines:
             plan = E.first_of(F.try_element_at("_kv", F.lit("plan")), F.col("_plan"))
-            here, given["plan_name"] = here.where(plan.isNotNull()), plan
+            here, given["plan_name"] = here & plan.isNotNull(), plan
         rec = _record(lay.kind, ds, given, seq, provenance("rule", ds.version, confidence=1.0))
-        parts.append(here.select(rec.alias("r")).select("r.*"))
-    return normalize(reduce(DataFrame.unionByName, parts), ds)
+        made = F.when(here, rec) if made is None else made.when(here, rec)
+    return normalize(body.select(made.alias("r")).where("r is not null").select("r.*"), ds)
 
 
 def salvage_json(text: Column) -> Column:
-    """A model's answer as a variant: the text itself, or from its first brace to its last; else null."""
-    return F.coalesce(F.try_parse_json(text), F.try_parse_json(F.nullif(F.regexp_extract(text, r"(?s)\{.*\}", 0), F.lit(""))))
+    """A model's answer as a variant; see ``answers.value``."""
+    return answers.value(text)
 
 
 def _text(v: Column, path: str) -> Column:
@@ -166,10 +167,12 @@ def _text(v: Column, path: str) -> Column:
 def payload_records(payloads: DataFrame, ds: Dataset, method: str = "llm") -> DataFrame:
     """Records of payloads: ``payload`` (variant), ``chunk_index``, ``ordinal`` and the document columns.
 
-    Items that are no objects are left out.  Numbers may be numbers or texts.
+    Items that are no objects are left out.  Numbers may be numbers or texts.  Where the payloads have a ``page_no``,
+    that is the page of their items, whatever these say.
     """
+    shown = [F.col("page_no").cast("int").alias("_page")] if "page_no" in payloads.columns else []
     get = lambda name: _text(F.col("payload"), name)
-    base = payloads.select("ordinal", "chunk_index", *DOCUMENT, "payload")
+    base = payloads.select("ordinal", "chunk_index", *DOCUMENT, "payload", *shown)
     shared = ds.scalars(get)
     parts = []
     for number, (name, (kind, fields)) in enumerate(ds.lists.items()):
@@ -195,18 +198,32 @@ def payload_records(payloads: DataFrame, ds: Dataset, method: str = "llm") -> Da
         elif "reporting_year" in fields:
             given["reporting_year"] = F.coalesce(F.nullif(given["reporting_year"], F.lit(0)), F.col("report_year"))
         seq = F.struct(F.col("ordinal").cast("long").alias("document"), (F.col("chunk_index") * 1_000_000 + F.col("_i")).cast("long").alias("item"), F.lit(number).alias("part"))
-        prov = provenance(method, ds.version, F.try_variant_get(item, "$.page", "int"), F.try_variant_get(item, "$.confidence", "double"))
+        page = F.col("_page") if shown else F.try_variant_get(item, "$.page", "int")
+        prov = provenance(method, ds.version, page, F.try_variant_get(item, "$.confidence", "double"))
         raised = raise_flags(F.array().cast(FLAGS), flags) if flags else None
         parts.append(rows.select(_record(kind, ds, given, seq, prov, raised).alias("r")).select("r.*"))
     return normalize(reduce(DataFrame.unionByName, parts), ds)
 
 
-#: What makes records, by the name that a run gives: the layouts of texts, or payloads of a model's answers.
-EXTRACTORS = {"rule": parse_rules, "payload": payload_records}
+#: What makes records, by the name that a run gives: the layouts of texts, or payloads of a model's answers with the
+#: method that their records bear.
+EXTRACTORS = {
+    "rule": parse_rules,
+    "payload": payload_records,
+    "llm": payload_records,
+    "llm_batch": payload_records,
+    "vision": partial(payload_records, method="vision"),
+    "vlm": partial(payload_records, method="vlm"),
+    "openai": partial(payload_records, method="vlm"),
+}
 
 
 def extractor(name: str):
-    """The function (rows, dataset) -> records of that name; ValueError for an unknown one."""
+    """The function (rows, dataset) -> records of that name; ValueError for an unknown one.
+
+    ``rule`` takes documents with their texts; the others take payloads: of chunks (``llm``, ``llm_batch``, ``vlm``, ``openai``)
+    or of figure pages (``vision``, with ``page_no``).
+    """
     if name not in EXTRACTORS:
         raise ValueError(f"unknown extractor {name!r}; known: {', '.join(sorted(EXTRACTORS))}")
     return EXTRACTORS[name]

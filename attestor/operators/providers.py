@@ -14,12 +14,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-Provider = Callable[[str], str]
+Provider = Callable[[str | bytes], str]
 ANSWERS = "custom_id string, status string, answer string, error string"
 
 
-def call_provider(requests: DataFrame, provider: Provider, tasks: int | None = None, retries: int = 5, wait: float = 1.0) -> DataFrame:
-    """(custom_id, status, answer, error) for every request (custom_id, chunk); waits double between tries."""
+def call_provider(requests: DataFrame, provider: Provider, tasks: int | None = None, retries: int = 5, wait: float = 1.0, of: str = "chunk") -> DataFrame:
+    """(custom_id, status, answer, error) for every request (custom_id, and ``of``: a text or an image's bytes); waits double between tries."""
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -28,7 +28,7 @@ def call_provider(requests: DataFrame, provider: Provider, tasks: int | None = N
                 error = None
                 for n in range(retries):
                     try:
-                        rows.append((key, "succeeded", provider(chunk), None))
+                        rows.append((key, "succeeded", provider(bytes(chunk) if isinstance(chunk, (bytes, bytearray, memoryview)) else chunk), None))
                         break
                     except Exception as e:  # whatever a provider raises is worth a retry
                         error = f"{type(e).__name__}: {e}"
@@ -37,7 +37,7 @@ def call_provider(requests: DataFrame, provider: Provider, tasks: int | None = N
                     rows.append((key, "errored", None, error))
             yield pd.DataFrame(rows, columns=["custom_id", "status", "answer", "error"])
 
-    rows = requests.select("custom_id", "chunk")
+    rows = requests.select("custom_id", of)
     return (rows.repartition(tasks) if tasks else rows).mapInPandas(call, ANSWERS)
 
 

@@ -37,11 +37,14 @@ def _documents(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return rows.where("text is not null").select(seq.cast("long").alias("ordinal"), *extract.DOCUMENT, "text")
 
 
-def _payloads(spark: SparkSession, path: str | None, docs: DataFrame) -> DataFrame | None:
-    """Recorded answers (JSON lines: document_id, chunk_index, answer) as payloads of their documents."""
+def _payloads(spark: SparkSession, path: str | None, docs: DataFrame, pages: bool = False) -> DataFrame | None:
+    """Recorded answers (JSON lines: document_id, chunk_index, answer; page_no for figure pages) as payloads of their documents."""
     if not path:
         return None
-    rows = spark.read.schema("document_id string, chunk_index int, answer string").json(path)
+    rows = spark.read.schema("document_id string, chunk_index int, page_no int, answer string").json(path)
+    if not pages:
+        rows = rows.drop("page_no")
+    rows = rows.withColumn("chunk_index", F.coalesce("chunk_index", "page_no" if pages else F.lit(0)))
     rows = rows.withColumn("payload", extract.salvage_json(F.col("answer"))).where("payload is not null")
     return rows.join(docs.select("ordinal", *extract.DOCUMENT), "document_id")
 
@@ -51,13 +54,14 @@ def run(args: argparse.Namespace) -> dict:
     docs = _documents(spark, args)
     other = _payloads(spark, args.second, docs)
     second = None if other is None else extract.payload_records(other, ds)
-    return pipeline.publish(pipeline.run(docs, ds, _payloads(spark, args.answers, docs), second), ds, args.out, not args.no_parquet)
+    result = pipeline.run(docs, ds, _payloads(spark, args.answers, docs, args.extractor == "vision"), second, args.extractor)
+    return pipeline.publish(result, ds, args.out, not args.no_parquet)
 
 
 def batch(args: argparse.Namespace) -> dict:
     spark, ds = _session(), dataset(args.dataset)
     docs = _documents(spark, args)
-    wave = pipeline.run(docs, ds, _payloads(spark, args.answers, docs))
+    wave = pipeline.run(docs, ds, _payloads(spark, args.answers, docs, args.extractor == "vision"), extractor=args.extractor)
     if args.merge:
         old, old_docs = releases.load_release(spark, args.merge, ds)
         kinds = dict(wave.documents.dtypes)
@@ -116,7 +120,7 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument(flag, **kind)
 
     need, text = {"required": True}, {}
-    source = [("--dataset", need), ("--registry", need), ("--files", need), ("--texts", text), ("--answers", text), ("--limit", {"type": int}), ("--no-parquet", {"action": "store_true"}), ("--out", need)]
+    source = [("--dataset", need), ("--registry", need), ("--files", need), ("--texts", text), ("--answers", text), ("--extractor", {"choices": sorted(extract.EXTRACTORS)}), ("--limit", {"type": int}), ("--no-parquet", {"action": "store_true"}), ("--out", need)]
     command("list", listing)
     command("run", run, *source, ("--second", text))
     command("batch", batch, *source, ("--merge", text))

@@ -53,13 +53,17 @@ def documents_table(docs: DataFrame) -> DataFrame:
     return docs.select(*extract.DOCUMENT, *[c for c in ("title",) if c in docs.columns], page_count(F.col("text")).alias("n_pages"), F.sha2("text", 256).alias("text_sha256"))
 
 
-def run(docs: DataFrame, ds: Dataset, payloads: DataFrame | None = None, second: DataFrame | None = None) -> Run:
+def run(docs: DataFrame, ds: Dataset, payloads: DataFrame | None = None, second: DataFrame | None = None, extractor: str | None = None) -> Run:
     """Extract and verify ``docs`` (ordinal, text and the document columns).
 
-    Records come from ``payloads`` where given, else from the rule parser; ``second`` is another
-    extraction of the same documents to compare with.
+    ``extractor`` names what makes the records: by default ``llm`` where ``payloads`` are given, else ``rule``.  All but
+    ``rule`` need payloads.  ``second`` is another extraction of the same documents to compare with.
     """
-    found = extract.extractor("rule")(docs, ds) if payloads is None else extract.extractor("payload")(payloads, ds)
+    name = extractor or ("rule" if payloads is None else "llm")
+    make = extract.extractor(name)
+    if name != "rule" and payloads is None:
+        raise ValueError(f"extractor {name!r} needs the answers of its model")
+    found = make(docs if name == "rule" else payloads, ds)
     good, bad = extract.quarantine(found, ds)
     scored = score(good, ds, docs, second)
     report = summarize(scored)
