@@ -11,15 +11,15 @@ from attestor.functions.exprs import blank_to_null, to_double
 
 
 def coverage(records: DataFrame) -> DataFrame:
-    """One row: distinct states, plans by state, and measures; all exact.
+    """One row: records, distinct states, plans by state, and measures; all exact, a null counting as a value.
 
-    Each is a count of distinct rows, joined as single rows, so no row is expanded.
+    Records are counted by all three once; what is distinct is counted among these few rows.
     """
-    one = lambda name, *cols: records.select(*cols).distinct().agg(F.count(F.lit(1)).alias(name))
-    out = records.agg(F.count(F.lit(1)).alias("n_records"))
-    for part in (one("n_states", "state"), one("n_state_plans", "state", "plan_name"), one("n_measures", "measure_name")):
-        out = out.crossJoin(part)  # one row each
-    return out
+    seen = records.groupBy("state", "plan_name", "measure_name").agg(F.count(F.lit(1)).alias("n"))
+    distinct = lambda *cols: F.count_distinct(F.struct(*cols))
+    return seen.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_records"), distinct("state").alias("n_states"), distinct("state", "plan_name").alias("n_state_plans"), distinct("measure_name").alias("n_measures")
+    )
 
 
 def top_names(records: DataFrame, name: str, n: int = 12) -> DataFrame:
@@ -46,9 +46,9 @@ def qa_mix(records: DataFrame) -> DataFrame:
 
 
 def state_by_type(records: DataFrame, kinds: Sequence[str], kind: str = "record_type") -> DataFrame:
-    """Counts by state with one column a kind, and their total."""
+    """Counts by state with one column a kind, and their total; the state of the greatest total first, equal ones by name."""
     counts = [F.count_if(F.col(kind) == k).alias(k) for k in kinds]
-    return records.groupBy("state").agg(*counts).withColumn("total", sum((F.col(k) for k in kinds[1:]), F.col(kinds[0])))
+    return records.groupBy("state").agg(*counts).withColumn("total", sum((F.col(k) for k in kinds[1:]), F.col(kinds[0]))).orderBy(F.desc("total"), "state")
 
 
 def check_claims(records: DataFrame, claims: DataFrame, by: str, value: str) -> DataFrame:

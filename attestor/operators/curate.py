@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import re
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,10 +58,33 @@ def curate(records: DataFrame, documents: DataFrame, out: str, ds: Dataset, parq
     return {"tables": counts, "n_documents": documents.count(), "parquet": parquet}
 
 
+def file_digests(files: DataFrame, chunk: int = 1 << 23) -> DataFrame:
+    """(path, sha256) of files (path): each is read in pieces of ``chunk`` bytes by one task, so none has to fit in memory.
+
+    Files are opened by the scheme of their path (local, HDFS, S3, GCS).  Spark lists no empty files.
+    """
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow.fs import FileSystem
+
+        for batch in batches:
+            for path in batch["path"]:
+                fs, name = FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+                digest = hashlib.sha256()
+                with fs.open_input_stream(name) as f:
+                    while piece := f.read(chunk):
+                        digest.update(piece)
+                yield pd.DataFrame([(path, digest.hexdigest())], columns=["path", "sha256"])
+
+    n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.select("path").repartition(n, "path").mapInPandas(read, "path string, sha256 string")
+
+
 def manifest(spark: SparkSession, path: str, dataset_id: str, version: str, license_name: str) -> str:
     """MANIFEST.json's text: name, bytes, SHA-256 and rows (of tables, else null) of every file of a release folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    rows = files.select("path", F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    digests = file_digests(files).withColumnRenamed("path", "_file")
+    rows = files.select("path", F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("name"), F.col("length").alias("bytes")).join(digests, F.col("path") == F.col("_file")).drop("_file")
     table = lambda end, kind, **more: (
         spark.read.format(kind).schema("value string").options(recursiveFileLookup=True, pathGlobFilter=f"*{end}", **more).load(path)
         .groupBy(F.col("_metadata.file_path").alias("_path")).agg(F.count(F.lit(1)).alias("rows"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from attestor.functions.states import state_name
+
 
 def replace_by_id(existing: DataFrame, new: DataFrame, new_docs: DataFrame, key: str = "document_id", on: str | None = None) -> DataFrame:
     """``existing`` without rows of documents among ``new_docs``, and all of ``new``.
@@ -33,3 +35,13 @@ def new_sources(candidates: DataFrame, known: DataFrame, order: str) -> DataFram
 def names_by_state(rows: DataFrame, state: str, name: str, width: int = 80) -> DataFrame:
     """(state, names): the sorted distinct names of each state, cut to ``width``, comma-joined."""
     return rows.groupBy(state).agg(F.array_join(F.array_sort(F.collect_set(F.substring(name, 1, width))), ", ").alias("names"))
+
+
+def exclusions(rows: DataFrame, state: str, name: str, width: int = 80) -> DataFrame:
+    """(state, names): for each state, by its full name, the sorted distinct names that are published already.
+
+    Rows whose state is no postal code, or that have no name, are left out.  Names are made distinct before they meet
+    in their state's row, which is as long as the state has names.
+    """
+    named = rows.select(state_name(F.col(state)).alias("state"), F.substring(name, 1, width).alias("name")).where("state is not null and name <> ''").distinct()
+    return named.groupBy("state").agg(F.array_sort(F.collect_list("name")).alias("names"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestor.functions.exprs import first_of
+from attestor.functions.states import state_code
 from attestor.plans.datasets import Dataset, dataset
 
 CATALOG = (
@@ -83,3 +84,43 @@ def discover(entries: DataFrame, ds: Dataset | str, limit: int | None = None) ->
 def landing_pages(entries: DataFrame, most: int = 3) -> DataFrame:
     """(ordinal, landing_url, keywords, most) of entries that name a landing page."""
     return entries.where(F.coalesce("landing_url", F.lit("")) != "").select("ordinal", "landing_url", "landing_keywords", F.coalesce("landing_max", F.lit(most)).alias("most"))
+
+
+def new_entries(fresh: DataFrame, ds: Dataset | str, width: int = 120) -> DataFrame:
+    """Registry entries (ordinal, state, hospital, facility, reports) of candidates that ``merge.new_sources`` found new.
+
+    ``fresh`` has url, year, state (name or postal code), name and an order.  The family decides where the name goes:
+    hospitals and facilities have it in their entry, other reports as their title.
+    """
+    ds = dataset(ds) if isinstance(ds, str) else ds
+    name = F.substring(F.coalesce("name", F.lit("")), 1, width)
+    own = ds.publisher if ds.publisher in ("hospital", "facility") else None
+    report = F.struct(
+        F.col("year").cast("int").alias("year"), (F.lit(None).cast("string") if own else name).alias("title"), F.trim("url").alias("url"),
+        *[F.lit(None).cast("string").alias(c) for c in ("local_path", "state", "program")],
+    )
+    return fresh.select(
+        F.col("ordinal"), F.coalesce(state_code(F.col("state")), F.col("state")).alias("state"),
+        *[(name if own == c else F.lit(None).cast("string")).alias(c) for c in ("hospital", "facility")], F.array(report).alias("reports"),
+    )
+
+
+def write_entries(entries: DataFrame, ds: Dataset | str, folder: str) -> int:
+    """Write ``sources_<name>.yaml`` of the entries, in order, and return how many; a file that was there is kept as ``.bak``.
+
+    A registry is a file that people edit: its entries pass the driver one by one.
+    """
+    import yaml
+
+    ds = dataset(ds) if isinstance(ds, str) else ds
+    path = os.path.join(folder, f"sources_{ds.id}.yaml")
+    known = lambda row: {k: v for k, v in row.asDict().items() if v is not None}
+    items = []
+    for r in entries.orderBy("ordinal").toLocalIterator():
+        items.append({**{k: v for k, v in known(r).items() if k not in ("ordinal", "reports")}, "reports": [known(x) for x in r.reports]})
+    if os.path.exists(path):
+        os.replace(path, f"{path}.bak")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(f"# {ds.name}: sources found and not yet published\n")
+        yaml.safe_dump({"sources": items}, f, sort_keys=False, allow_unicode=True, width=300)
+    return len(items)
