@@ -7,7 +7,9 @@ that what the parsers find can be stated in SQL over the tables themselves.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -193,7 +195,7 @@ def subgroup_le_overall(spark, sf):
     c, k = table(spark, sf, "customer"), F.col("c_custkey")
     rows = c.select("c_custkey", F.col("c_nationkey").alias("state"), F.when(k % 7 == 0, "Overall").otherwise(F.col("c_mktsegment")).alias("grp"), F.when(k % 5 != 0, F.floor(F.abs("c_acctbal")).cast("int")).alias("v"), k.alias("record_seq"))
     a = subgroup_within_overall(F.lit(True), ("state",), "grp", "v", ("overall", "total", ""))
-    return rows.withColumn("ok", a.outcome).where("ok = false").select("c_custkey")
+    return a.prepare(rows).withColumn("ok", a.outcome).where("ok = false").select("c_custkey")
 
 
 # ---------------------------------------------------------------- calibration and labels
@@ -979,3 +981,328 @@ def state_names(spark, sf):
 
     k = F.col("s_suppkey") % 3
     return table(spark, sf, "supplier").select("s_suppkey", state_name(F.when(k == 0, " tx").when(k == 1, "DC").otherwise("ZZ")).alias("name"), state_code(F.when(k == 0, "ohio").when(k == 1, "West Virginia ").otherwise("x")).alias("code"))
+
+
+# ---------------------------------------------------------------- samples, answers, figure pages, stores
+
+SAMPLE_SQL = """WITH g AS (SELECT coalesce(lang, '') AS stratum, count(*) AS size FROM documents GROUP BY ALL),
+s AS (SELECT stratum, CAST(least(size, greatest(1, round_even(100.0e0 * size / (SELECT sum(size) FROM g), 0))) AS BIGINT) AS share FROM g),
+d AS (SELECT doc_id, coalesce(lang, '') AS stratum, row_number() OVER (PARTITION BY lang ORDER BY sha1('sample:7:' || doc_id), doc_id) AS nth FROM documents),
+c AS (SELECT doc_id, stratum FROM d JOIN s USING (stratum) WHERE nth <= share ORDER BY sha1('trim:7:' || doc_id), doc_id LIMIT 100)"""
+
+
+def _sample(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluate.stratified_sample(table(spark, sf, "documents").select("doc_id", F.coalesce("lang", F.lit("")).alias("stratum")), 100, "stratum", "doc_id", 7)
+
+
+@query(SAMPLE_SQL + " SELECT doc_id, stratum FROM c")
+def sample_rows(spark, sf):
+    return _sample(spark, sf)
+
+
+@query(SAMPLE_SQL + " SELECT doc_id, row_number() OVER (ORDER BY sha1('double:7:' || doc_id), doc_id) <= 30 AS double_scored FROM c")
+def sample_double_scored(spark, sf):
+    return evaluate.double_scored(_sample(spark, sf), 30, "doc_id", 7).select("doc_id", "double_scored")
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 3 THEN 3 WHEN 5 THEN 1 ELSE 0 END AS n_items,
+    CASE o_orderkey % 6 WHEN 0 THEN o_orderkey WHEN 1 THEN 2 * o_orderkey + 1 WHEN 3 THEN 3 WHEN 5 THEN 7 END AS total, o_orderkey % 6 IN (0, 1, 3, 5) AS is_object FROM orders""")
+def answer_values(spark, sf):
+    from attestor.operators import answers
+
+    k = F.col("o_orderkey")
+    s = lambda *x: F.concat(*[F.lit(v) if isinstance(v, str) else v.cast("string") for v in x])
+    said = (
+        F.when(k % 6 == 0, s('```json\n{"records": [{"k": ', k, ', "s": "a } ] \\" { b"}]}\n```\nSee {also} this.'))
+        .when(k % 6 == 1, s('Here: [{"k": ', k, '}, {"k": ', k + 1, "}] and {more}"))
+        .when(k % 6 == 2, s('{"records": [{"k": ', k, "}"))
+        .when(k % 6 == 3, F.lit('{"records": [{"k": 1}, {"k": 2}, 3]}'))
+        .when(k % 6 == 4, F.lit("no value, and a quote \" at the end of {"))
+        .otherwise(F.lit('{"records": [{"k": 7}]} or {"records": []}'))
+    )
+    rows = table(spark, sf, "orders").select(k, said.alias("answer"))
+    items = answers.listed(F.col("answer"))
+    total = F.aggregate(F.transform(items, lambda v: F.try_variant_get(v, "$.k", "long")), F.lit(0).cast("long"), lambda a, x: a + F.coalesce(x, F.lit(0).cast("long")))
+    return rows.select(k, F.size(items).alias("n_items"), F.when(F.size(items) > 0, total).alias("total"), answers.value(F.col("answer")).isNotNull().alias("is_object"))
+
+
+FIGURES_SQL = """WITH f AS (SELECT p_partkey, p_brand, p_size, row_number() OVER (PARTITION BY p_brand ORDER BY p_size DESC, p_partkey DESC) AS nth
+    FROM part WHERE p_partkey % 3 = 0 AND (p_partkey % 2 = 1 OR p_size >= 12))"""
+
+
+@query(FIGURES_SQL + """ SELECT 'd-' || p_brand AS document_id, CAST(p_partkey AS INTEGER) AS page_start, 'measure ' || p_partkey AS measure_name,
+    CAST(CASE WHEN p_partkey % 4 = 0 THEN 50 ELSE p_size END AS DOUBLE) AS rate, 'vision' AS method FROM f WHERE nth <= 12 AND p_partkey % 5 <> 0""")
+def vision_records(spark, sf):
+    from attestor.operators import vision
+
+    k, ds = F.col("p_partkey"), EQR
+    pages = table(spark, sf, "part").select(
+        F.concat(F.lit("d-"), "p_brand").alias("document_id"), k.cast("int").alias("page_no"), F.when(k % 3 == 0, "\n  Figure 2. Rates").otherwise("A figure of speech").alias("body"),
+        (k % 2).alias("n_images"), F.col("p_size").alias("n_drawings"), F.col("p_name").cast("binary").alias("image"), k, "p_size",
+    )
+    asked = vision.page_requests(pages)
+    told = asked.join(pages.select("document_id", "page_no", "p_size"), ["document_id", "page_no"])
+    page = F.col("page_no")
+    item = lambda rate: F.concat(F.lit('```json\n{"quality_measures": [{"plan_name": "P", "page": 9999, "reporting_year": 2024, "measure_name": "measure '), page, F.lit('", "rate": '), rate, F.lit("}]}\n```"))
+    first = told.select("custom_id", F.when(page % 5 == 0, F.lit('{"quality_measures": []}')).when(page % 4 == 0, F.lit("nothing to read")).otherwise(item(F.col("p_size"))).alias("answer"))
+    second = told.select("custom_id", F.when(page % 5 == 0, F.lit("{}")).otherwise(item(F.lit(50))).alias("answer"))
+    null = F.lit(None).cast("string")
+    docs = pages.select("document_id").distinct().select(
+        "document_id", F.lit(0).cast("long").alias("ordinal"), null.alias("source_url"), F.lit("TX").alias("jurisdiction"), null.alias("program"), null.alias("publisher"), F.lit(2024).alias("report_year"), null.alias("text")
+    )
+    records = extract.extractor("vision")(vision.routed(vision.page_payloads(asked, first, ds, second), docs), ds)
+    return records.select("provenance.source_document_id", "provenance.page_start", "measure_name", "rate", "provenance.method").withColumnRenamed("source_document_id", "document_id")
+
+
+@query("""WITH p AS (SELECT url, min(page_id) AS page_id, min_by(html, page_id) AS html FROM pages WHERE url <> '' GROUP BY url)
+SELECT url, page_id % 5 <> 0 AS ok, CASE WHEN page_id % 5 <> 0 THEN sha256(html) END AS document_id, CASE WHEN page_id % 5 = 0 THEN 'not recorded' END AS error, CAST(CASE WHEN page_id % 5 = 0 OR page_id % 5 = 1 THEN 2 ELSE 1 END AS INTEGER) AS tries FROM p""")
+def fetch_cache(spark, sf):
+    """Two runs over the same candidates: what the first one got is not asked for again."""
+    from attestor.sources.fetch import FetchStore, by_record
+    from attestor.sources.store import shared_folder
+
+    pages = table(spark, sf, "pages").where("url <> ''").groupBy("url").agg(F.min("page_id").alias("page_id"), F.min_by("html", "page_id").alias("content"))
+    store = FetchStore(spark, shared_folder(spark, "fetched"), 8)
+    for known in (pages.where("page_id % 5 > 1"), pages.where("page_id % 5 > 0")):
+        store.fetch(table(spark, sf, "pages"), lambda urls, known=known: by_record(urls, known))
+    return store.fetched.select("url", "ok", "document_id", "error", "tries")
+
+
+@query("""SELECT c_nationkey AS document_id, c_custkey, 'old' AS wave FROM customer WHERE c_nationkey % 3 <> 0 AND c_nationkey % 5 <> 0
+UNION ALL SELECT c_nationkey, c_custkey, 'new' FROM customer WHERE c_nationkey % 3 = 0 AND c_custkey % 2 = 0""")
+def release_merge(spark, sf):
+    """A release in three batches: all documents, a third of them anew, a fifth without any row; the last one replayed."""
+    from attestor.operators.release_table import ReleaseTable
+    from attestor.sources.store import shared_folder
+
+    c = table(spark, sf, "customer").select(F.col("c_nationkey").alias("document_id"), "c_custkey")
+    docs = c.select("document_id").distinct()
+    release = ReleaseTable(spark, shared_folder(spark, "release"), n_buckets=8)
+    release.merge(c.withColumn("wave", F.lit("old")), docs, "a", 0)
+    gone = docs.where("document_id % 5 = 0 and document_id % 3 <> 0")
+    release.merge(c.where("false").withColumn("wave", F.lit("")), gone, "a", 3)
+    wave = c.where("document_id % 3 = 0 and c_custkey % 2 = 0").withColumn("wave", F.lit("new"))
+    for _ in range(2):
+        release.merge(wave, docs.where("document_id % 3 = 0"), "a", 4)
+    return release.read()
+
+
+@query("""WITH n AS (SELECT count(*) AS n FROM orders) SELECT 'first' AS run, n AS request_count, CAST(ceil(n / 4000.0e0) AS INTEGER) AS n_batches, false AS resumed, n AS n_sent FROM n
+UNION ALL SELECT 'again', n, CAST(ceil(n / 4000.0e0) AS INTEGER), true, 0 FROM n
+UNION ALL SELECT 'changed', (SELECT count(*) FROM orders WHERE o_orderkey % 3 <> 0), CAST(ceil((SELECT count(*) FROM orders WHERE o_orderkey % 3 <> 0) / 4000.0e0) AS INTEGER), false, (SELECT count(*) FROM orders WHERE o_orderkey % 3 <> 0) FROM n""")
+def batch_run_state(spark, sf):
+    """A run submitted, taken up again, and submitted anew for another number of requests."""
+    from attestor.operators import batches
+    from attestor.sources.store import shared_folder
+
+    asked = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("custom_id"), F.col("o_orderstatus").alias("chunk"))
+    folder, sent, seen = shared_folder(spark, "batches"), [], []
+
+    def submit(block: DataFrame) -> str:
+        sent.append(block.count())
+        return f"b{len(sent)}"
+
+    for name, rows in (("first", asked), ("again", asked), ("changed", asked.where("o_orderkey % 3 <> 0"))):
+        sent.clear()
+        run = batches.start(rows, "orders", submit, folder, block=4000)
+        seen.append((name, run.request_count, len(run.batch_ids), run.resumed, sum(sent)))
+    return spark.createDataFrame(seen, "run string, request_count long, n_batches int, resumed boolean, n_sent long")
+
+
+# ---------------------------------------------------------------- registries, files, outputs, streams
+
+
+def _entries(spark: SparkSession, sf: str) -> DataFrame:
+    """Registry entries, one a supplier, of two reports each, of which the second leaves out what its entry says."""
+    k, s = F.col("s_suppkey"), F.concat(F.lit("S"), F.col("s_nationkey"))
+    named = lambda name: F.concat(F.lit(f"{name} "), k)
+    null = F.lit(None).cast("string")
+    report = lambda year, url, path, state, program: F.struct(
+        year.cast("int").alias("year"), named("T").alias("title"), url.alias("url"), path.alias("local_path"), state.alias("state"), program.alias("program")
+    )
+    reports = F.array(
+        report(2000 + k % 25, F.when(k % 3 == 0, named("http://u/")), F.concat(k, F.lit(".txt")), F.concat(F.lit("R"), k % 7), named("own")),
+        report(1990 + k % 9, F.lit(""), F.when(k % 2 == 0, F.concat(k, F.lit("-b.txt"))), F.when(k % 5 == 0, "").otherwise(null), null),
+    )
+    return table(spark, sf, "supplier").select(
+        k.cast("int").alias("ordinal"), s.alias("state"), named("prog").alias("program"), *[named(p).alias(p) for p in ("eqro", "hospital", "committee", "facility", "evaluator", "demonstration")],
+        F.when(k % 4 == 0, named("http://l/")).alias("landing_url"), F.when(k % 8 == 0, 7).cast("int").alias("landing_max"), F.array(F.lit("a")).alias("landing_keywords"), reports.alias("reports"),
+    )
+
+
+FAMILIES = {"eqr": "eqro", "chna": "hospital", "mmrc": "committee", "waiver_1115": "evaluator", "nursing_home_2567": "facility"}
+_PROGRAM = {"waiver_1115": "'demonstration ' || s_suppkey", "chna": "CAST(NULL AS VARCHAR)", "mmrc": "CAST(NULL AS VARCHAR)", "nursing_home_2567": "CAST(NULL AS VARCHAR)"}
+DISCOVER_SQL = "WITH C AS (" + " UNION ALL ".join(
+    f"""SELECT '{d}' AS dataset_id, s_suppkey AS k, 0 AS n, CASE WHEN s_suppkey % 3 = 0 THEN 'http://u/ ' || s_suppkey ELSE s_suppkey || '.txt' END AS location, 'R' || s_suppkey % 7 AS jurisdiction,
+    {_PROGRAM.get(d, "'own ' || s_suppkey")} AS program, '{p} ' || s_suppkey AS publisher, CAST(2000 + s_suppkey % 25 AS INTEGER) AS report_year FROM supplier
+UNION ALL SELECT '{d}', s_suppkey, 1, CASE WHEN s_suppkey % 2 = 0 THEN s_suppkey || '-b.txt' ELSE '<unknown>' END, 'S' || s_nationkey, {_PROGRAM.get(d, "'prog ' || s_suppkey")}, '{p} ' || s_suppkey, CAST(1990 + s_suppkey % 9 AS INTEGER) FROM supplier"""
+    for d, p in FAMILIES.items()
+) + ")"
+
+
+@query(DISCOVER_SQL + " SELECT dataset_id, location, jurisdiction, program, publisher, report_year FROM C")
+def discover_candidates(spark, sf):
+    from attestor.sources import registry
+
+    found = [registry.discover(_entries(spark, sf), d) for d in FAMILIES]
+    return reduce(DataFrame.unionByName, found).select("dataset_id", "location", "jurisdiction", "program", "publisher", "report_year")
+
+
+@query(DISCOVER_SQL + " SELECT location, report_year FROM C WHERE dataset_id = 'mmrc' ORDER BY k, n LIMIT 25")
+def discover_limit(spark, sf):
+    from attestor.sources import registry
+
+    return registry.discover(_entries(spark, sf), "mmrc", 25).select("location", "report_year")
+
+
+@query("SELECT s_suppkey AS ordinal, 'http://l/ ' || s_suppkey AS landing_url, CAST(CASE WHEN s_suppkey % 8 = 0 THEN 7 ELSE 3 END AS INTEGER) AS most FROM supplier WHERE s_suppkey % 4 = 0")
+def landing_entries(spark, sf):
+    from attestor.sources import registry
+
+    return registry.landing_pages(_entries(spark, sf)).select(F.col("ordinal").cast("long").alias("ordinal"), "landing_url", "most")
+
+
+@query("SELECT 'u' || doc_id AS url, sha256(text) AS document_id, text FROM documents WHERE doc_id % 4 <> 0 AND doc_id % 5 <> 0")
+def text_cache_scan(spark, sf):
+    from attestor.sources import documents
+    from attestor.sources.store import shared_folder
+
+    path, k = shared_folder(spark, "texts"), F.col("doc_id")
+    rows = table(spark, sf, "documents").select(F.concat(F.lit("u"), k).alias("url"), (k % 4 != 0).alias("ok"), F.sha2("text", 256).alias("document_id"), F.when(k % 5 != 0, F.col("text")).otherwise("").alias("text"))
+    rows.write.json(path)
+    return documents.text_cache(spark, path)
+
+
+@query("""WITH T AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 2 = 0 THEN 'u' || o_orderkey END AS url, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey || '.txt' END AS path FROM orders)
+SELECT k AS o_orderkey, CASE WHEN url IS NOT NULL AND k % 5 <> 0 THEN 'cached' WHEN path IS NOT NULL THEN 'local' END AS text, CASE WHEN url IS NOT NULL AND k % 5 <> 0 THEN 'c' || k WHEN path IS NOT NULL THEN 'l' || k END AS document_id FROM T""")
+def texts_of_candidates(spark, sf):
+    from attestor.sources import documents
+
+    k = F.col("o_orderkey")
+    o = table(spark, sf, "orders").select(k)
+    s = lambda *x: F.concat(*[v if isinstance(v, Column) and v is not k else v.cast("string") if v is k else F.lit(v) for v in x])
+    candidates = o.select(k, F.when(k % 2 == 0, s("u", k)).alias("url"), F.when(k % 3 == 0, s(k, ".txt")).alias("local_path"), F.lit("x").alias("location"))
+    cached = o.where("o_orderkey % 5 <> 0").select(s("u", k).alias("url"), s("c", k).alias("document_id"), F.lit("cached").alias("text"))
+    local = o.select(s(k, ".txt").alias("local_path"), s("l", k).alias("document_id"), F.lit("local").alias("text"))
+    return documents.attach_texts(candidates, cached, local).select(k, "text", "document_id")
+
+
+@query("SELECT sha256(n_name || chr(10)) AS document_id, 'text/plain' AS mime, CAST(strlen(n_name) + 1 AS BIGINT) AS n_bytes, chr(10) || '[[PAGE 1]]' || chr(10) || n_name || chr(10) AS text FROM nation")
+def local_files(spark, sf):
+    from attestor.sources import documents
+    from attestor.sources.store import shared_folder
+
+    path = shared_folder(spark, "files")
+    table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("value")).repartition("n_nationkey").write.partitionBy("n_nationkey").text(path)
+    files = documents.read_files(spark, path)
+    new = documents.new_files(files, files.where("false"))
+    return new.join(documents.plain_texts(files), "document_id").select("document_id", "mime", "n_bytes", "text")
+
+
+@query("SELECT sha256(n_name || chr(10)) AS sha256, CAST(strlen(n_name) + 1 AS BIGINT) AS bytes, CAST(1 AS BIGINT) AS rows FROM nation")
+def manifest_files(spark, sf):
+    from attestor.sources.store import shared_folder
+
+    path = shared_folder(spark, "manifest")
+    table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("value")).repartition("n_nationkey").write.partitionBy("n_nationkey").text(path)
+    listed = json.loads(curate.manifest(spark, path, "d", "1", "CC0"))["files"]
+    return spark.createDataFrame([(f["sha256"], f["bytes"], f["rows"]) for f in listed if f["name"].endswith(".txt")], "sha256 string, bytes long, rows long")
+
+
+PUBLISHED_SQL = f"SELECT n_name AS state, c_name AS need, CAST(c_custkey % 9 AS VARCHAR) AS priority_rank, c_custkey {CUST}"
+
+
+def _published(spark: SparkSession, sf: str) -> str:
+    """A release of needs, written as tables, records and documents."""
+    from attestor.sources.store import shared_folder
+
+    head = F.concat(F.lit("Hospital: H\nState: "), "n_name", F.lit("\n== IDENTIFIED NEEDS ==\n"))
+    docs = _composed(spark, sf, head, F.concat(F.lit("Need: "), "c_name", F.lit(" | Rank: "), F.col("c_custkey") % 9))
+    path = shared_folder(spark, "published")
+    pipeline.publish(pipeline.run(docs, dataset("chna")), dataset("chna"), path)
+    return path
+
+
+@query(f"WITH P AS ({PUBLISHED_SQL}) SELECT 'csv' AS kind, state, need, priority_rank FROM P UNION ALL SELECT 'parquet', state, need, priority_rank FROM P UNION ALL SELECT 'records', state, need, priority_rank FROM P")
+def published_tables(spark, sf):
+    from attestor.sources import releases
+
+    path = _published(spark, sf)
+    records, _ = releases.load_release(spark, path, dataset("chna"))
+    csv = spark.read.option("header", True).csv(f"{path}/chna_identified_needs.csv")
+    parquet = spark.read.parquet(f"{path}/chna_identified_needs.parquet")
+    kinds = {"csv": csv, "parquet": parquet, "records": records}
+    return reduce(DataFrame.unionByName, [df.select(F.lit(k).alias("kind"), "state", "need", F.col("priority_rank").cast("string").alias("priority_rank")) for k, df in kinds.items()])
+
+
+@query(f"WITH P AS ({PUBLISHED_SQL}) SELECT count(DISTINCT (state, c_custkey // 50)) AS n_documents, count(*) AS n_predictions FROM P")
+def published_documents(spark, sf):
+    from attestor.sources import releases
+
+    path = _published(spark, sf)
+    _, documents = releases.load_release(spark, path, dataset("chna"))
+    n = releases.load_predictions(spark, path, dataset("chna")).agg(F.countDistinct("record_seq").alias("n_predictions"))
+    return documents.agg(F.countDistinct("document_id").alias("n_documents")).crossJoin(n)  # one row each
+
+
+@query(f"WITH P AS ({PUBLISHED_SQL}) SELECT state, count(*) AS n, CAST(sum(CAST(priority_rank AS BIGINT)) AS BIGINT) AS ranks FROM P GROUP BY state")
+def stream_ingest(spark, sf):
+    """Documents that land as files, one of them twice, ingested in several micro-batches and merged into a release table."""
+    from attestor.operators.release_table import ReleaseTable
+    from attestor.sources.store import shared_folder
+    from attestor.streaming import ingest
+
+    head = F.concat(F.lit("Hospital: H\nState: "), "n_name", F.lit("\n== IDENTIFIED NEEDS ==\n"))
+    docs = _composed(spark, sf, head, F.concat(F.lit("Need: "), "c_name", F.lit(" | Rank: "), F.col("c_custkey") % 9)).drop("ls", "n_name")
+    root = shared_folder(spark, "stream")
+    arrived = docs.withColumn("arrived", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("ordinal") % 60))
+    arrived.unionByName(arrived.where("ordinal % 3 = 0")).repartition(4, "ordinal").write.json(f"{root}/in")
+    stream = ingest.document_stream(spark, f"{root}/in", files_per_batch=2)
+    ingest.ingest(stream, dataset("chna"), f"{root}/release", f"{root}/checkpoint", once=True, n_buckets=8).awaitTermination()
+    rows = ReleaseTable(spark, f"{root}/release").read()
+    return rows.groupBy("state").agg(F.count(F.lit(1)).alias("n"), F.sum("priority_rank").cast("long").alias("ranks"))
+
+
+@query(_tau_sql("lang") + """, T AS (SELECT J.score >= threshold AS kept FROM J JOIN TAU ON J.lang = TAU.lang)
+SELECT 0.3e0 AS alpha, 0.05e0 AS delta, count(*) AS n, count(*) FILTER (kept) AS auto_accepted, count(*) - count(*) FILTER (kept) AS sent_to_review, round(count(*) FILTER (kept) / CAST(count(*) AS DOUBLE), 4) AS coverage, true AS stratified FROM T""")
+def gate_summary_stratified(spark, sf):
+    j = judged(spark, sf)
+    told = gate.annotate(j.withColumn("trust_score", F.col("score")), gate.thresholds(j, 0.3, 0.05), gate.thresholds(j, 0.3, 0.05, "lang"), "lang")
+    return gate.calibrated_summary(told, 0.3, 0.05, True)
+
+
+@query("""WITH P AS (SELECT url, min(page_id) AS k FROM pages p WHERE page_id % 5 <> 0 AND url <> '' AND NOT EXISTS (SELECT 1 FROM pages q WHERE q.page_id % 3 = 0 AND q.url = p.url) GROUP BY url),
+F AS (SELECT unnest(['chna', 'nursing_home_2567', 'mmrc']) AS family)
+SELECT family, k AS ordinal, CASE k % 3 WHEN 0 THEN 'OH' WHEN 1 THEN 'TX' ELSE 'Atlantis' END AS state, CASE WHEN family = 'chna' THEN 'Name ' || k END AS hospital, CASE WHEN family = 'nursing_home_2567' THEN 'Name ' || k END AS facility,
+    CASE WHEN family = 'mmrc' THEN 'Name ' || k END AS title, url, CAST(CASE WHEN k % 2 = 0 THEN 2019 ELSE 2024 END AS INTEGER) AS year FROM P, F""")
+def registry_entries(spark, sf):
+    from attestor.sources import registry
+
+    k = F.col("page_id")
+    p = table(spark, sf, "pages").where("url <> ''").select("page_id", "url")
+    c = p.withColumns({"verified": k % 5 != 0, "year": F.when(k % 2 == 0, "2019").otherwise("soon"), "state": F.when(k % 3 == 0, "ohio").when(k % 3 == 1, "TX").otherwise("Atlantis"), "name": F.concat(F.lit("Name "), k), "ordinal": k})
+    fresh = merge.new_sources(c, p.where("page_id % 3 = 0"), "page_id")
+    made = [registry.new_entries(fresh, d).select(F.lit(d).alias("family"), "*") for d in ("chna", "nursing_home_2567", "mmrc")]
+    rows = reduce(DataFrame.unionByName, made).withColumn("_r", F.col("reports")[0])
+    return rows.select("family", "ordinal", "state", "hospital", "facility", F.col("_r.title").alias("title"), F.col("_r.url").alias("url"), F.col("_r.year").alias("year"))
+
+
+@query("""SELECT s AS state, string_agg(DISTINCT c_name, ',' ORDER BY c_name) AS names FROM (SELECT CASE c_nationkey % 3 WHEN 0 THEN 'Ohio' WHEN 1 THEN 'Texas' END AS s, c_name FROM customer WHERE c_custkey % 4 <> 0) WHERE s IS NOT NULL GROUP BY s""")
+def published_names(spark, sf):
+    n, k = F.col("c_nationkey"), F.col("c_custkey")
+    rows = table(spark, sf, "customer").select(F.when(n % 3 == 0, "oh").when(n % 3 == 1, " TX").otherwise("ZZ").alias("code"), F.when(k % 4 != 0, F.col("c_name")).otherwise("").alias("facility"))
+    return merge.exclusions(rows.unionByName(rows), "code", "facility").select("state", F.array_join("names", ",").alias("names"))
+
+
+@query("""SELECT CAST(doc_id AS VARCHAR) AS row_uid, quality = 1 AS correct FROM labels WHERE doc_id % 7 <> 0""")
+def review_sheets(spark, sf):
+    """Labels written as workbooks, one a reviewer, and read again; unreadable marks are left out."""
+    from attestor.sources import sheets
+    from attestor.sources.store import Folder, shared_folder
+
+    k = F.col("doc_id")
+    rows = table(spark, sf, "labels").select(k.cast("string").alias("row_uid"), F.when(k % 7 == 0, "maybe").when(F.col("quality") == 1, "yes").otherwise("0").alias("correct"), F.concat(F.lit("r"), k % 3).alias("reviewer"), k)
+    folder = Folder(spark, shared_folder(spark, "sheets"))
+    for r in sheets.sheet_files(rows, "reviewer", ["row_uid", "correct"], "doc_id").collect():  # a file a reviewer
+        folder.put_bytes(f"{r.name}.xlsx", bytes(r.content))
+    return evaluate.labels(sheets.labels(sheets.read_sheets(spark, folder.path, "Review")))

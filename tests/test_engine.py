@@ -348,6 +348,7 @@ def test_registry_and_documents(spark, tmp_path):
 
 
 def test_stream_ingests_and_merges(spark, tmp_path):
+    from attestor.operators.release_table import ReleaseTable
     from attestor.streaming import ingest
 
     src, out = tmp_path / "in", str(tmp_path / "out")
@@ -357,8 +358,7 @@ def test_stream_ingests_and_merges(spark, tmp_path):
     for k in (1, 2):
         ingest.ingest(ingest.document_stream(spark, str(src)), dataset("eqr"), out, str(tmp_path / "cp"), once=True).awaitTermination()
         (src / "2.json").write_text(json.dumps(doc | {"document_id": "d1", "arrived": "2026-01-01T01:00:00Z"}))
-    versions = sorted(int(r[0]) for r in spark.read.parquet(out).select("version").distinct().collect())
-    last = spark.read.parquet(f"{out}/version={versions[-1]}")
+    last = ReleaseTable(spark, out).read()
     assert {r.document_id: r.n for r in last.groupBy("document_id").agg(F.count(F.lit(1)).alias("n")).collect()} == {"d0": 7, "d1": 7}
 
 
