@@ -8,6 +8,7 @@
 2. A sketch never counts too low, so an n-gram whose cells are not all set is rare.  The second pass counts the
    others exactly: an n-gram is taken if its own bits are set and those of the two n-grams one word shorter in
    it, which are at least as frequent.  Nothing frequent is lost; what is taken in vain is dropped by its count.
+   A task adds up what it has counted and sends it in blocks of lists, a block for each shuffle partition.
 3. A phrase's parts are at least as frequent as it, so their counts are all there, and scores, cuts and the
    phrases inside longer ones are joins and groupings of the table of counts.
 
@@ -40,6 +41,8 @@ LONGEST, LEAST, TOP = 5, 100, 2000
 DEPTH, CELL_BITS = 2, 26
 #: Cells that are merged, compressed and sent together.
 BLOCK_BITS = 16
+#: Bytes of text taken at once, and counts that a task holds.
+SLICE, HELD = 1 << 20, 600_000
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -73,7 +76,7 @@ class Slice:
         return W.mix(W.run_hash(self.w.hashes, first, first + m, m) ^ of_text[self.text[first]])
 
 
-def slices(column: pa.Array, most: int = W.SLICE_BYTES) -> Iterator[tuple[int, Slice]]:
+def slices(column: pa.Array, most: int = SLICE) -> Iterator[tuple[int, Slice]]:
     """(index of the first text, slice) over a text column; a longer text comes in windows."""
     data, offsets = W.text_arrays(column)
     for i, j in W.slices(offsets, most):
@@ -98,7 +101,7 @@ def _cells(h: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (W.mix(h, row + 1) >> np.uint64(64 - bits)).astype(np.uint32)
 
 
-def sketch_bits(docs: DataFrame, least: int = LEAST, bits: int = CELL_BITS, most: int = W.SLICE_BYTES) -> np.ndarray:
+def sketch_bits(docs: DataFrame, least: int = LEAST, bits: int = CELL_BITS, most: int = SLICE) -> np.ndarray:
     """The merged sketch of (lang, text): for each row a bit for each cell, set where its sum reaches ``least``."""
     block_bits = min(BLOCK_BITS, bits)
     kind, stop = (np.uint8, min(least, 255)) if least <= 255 else (np.uint32, least)
@@ -188,29 +191,93 @@ def _counts(s: Slice, lang: np.ndarray, seeds: np.ndarray, bits: np.ndarray, cel
             yield m, np.array([k[0] for k in found]), pa.array([k[1] for k in found], pa.binary()), np.array([*found.values()])
 
 
-def phrase_counts(docs: DataFrame, least: int = LEAST, bits: int = CELL_BITS, most: int = W.SLICE_BYTES) -> DataFrame:
+class Held:
+    """Counts of a task's slices, put together before they leave it in blocks; beyond a bound they leave it early."""
+
+    NAMES = ["lang", "m", "phrase", "f"]
+
+    def __init__(self, blocks: int, most: int = HELD) -> None:
+        self.tables, self.n, self.blocks, self.most = [], 0, blocks, most
+
+    def _together(self) -> pa.Table:
+        t = pa.concat_tables(self.tables).group_by(self.NAMES[:3], use_threads=False).aggregate([("f", "sum")])
+        return t.rename_columns(self.NAMES)
+
+    def add(self, table: pa.Table) -> Iterator[pa.RecordBatch]:
+        self.tables.append(table)
+        self.n += len(table)
+        if self.n > self.most:
+            t = self._together()
+            self.tables, self.n = [t], len(t)
+            if self.n > self.most // 2:
+                yield from self.all()
+
+    def all(self) -> Iterator[pa.RecordBatch]:
+        if self.tables:
+            yield self.packed(self._together())
+        self.tables, self.n = [], 0
+
+    def packed(self, t: pa.Table) -> pa.RecordBatch:
+        """The counts as lists, one of each for a block; a phrase's block is a matter of its bytes alone."""
+        lang, m, phrase, f = (c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in t.columns)
+        data, upto = W.text_arrays(phrase.cast(pa.large_binary()).view(pa.large_string()))
+        block = (W.run_hash(data, upto[:-1], upto[1:], 4) % np.uint64(self.blocks)).astype(np.int32)
+        order = np.argsort(block, kind="stable")
+        first = np.flatnonzero(np.diff(block[order], prepend=-1))
+        cuts, at = pa.array(np.append(first, len(order)), pa.int32()), pa.array(order)
+        lists = [pa.ListArray.from_arrays(cuts, c.take(at)) for c in (lang.cast(pa.string()), m, phrase.view(pa.string()), f)]
+        return pa.RecordBatch.from_arrays([pa.array(block[order][first]), *lists], names=["block", *self.NAMES])
+
+
+def _merged(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """The exact counts of blocks that come sorted, of those alone that reach ``least``; one block is held at a time."""
+    at, parts = None, []
+
+    def done() -> pa.RecordBatch:
+        t = pa.concat_tables(parts).group_by(Held.NAMES[:3], use_threads=False).aggregate([("f", "sum")]).rename_columns(Held.NAMES)
+        t = t.filter(pc.or_(pc.equal(t["m"], 0), pc.greater_equal(t["f"], least))).combine_chunks()
+        return pa.RecordBatch.from_arrays([c.combine_chunks() for c in t.columns], names=Held.NAMES)
+
+    for batch in batches:
+        for i, b in enumerate(batch.column(0).to_pylist()):
+            if b != at and parts:
+                yield done()
+                parts = []
+            at = b
+            parts.append(pa.table([c.slice(i, 1).flatten() for c in batch.columns[1:]], names=Held.NAMES))
+    if parts:
+        yield done()
+
+
+def phrase_counts(docs: DataFrame, least: int = LEAST, bits: int = CELL_BITS, most: int = SLICE) -> DataFrame:
     """(lang, m, phrase, f): exact counts of all phrases of m words, one to five, that stand ``least`` times; at m = 0, of all words."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(sketch_bits(texts, least, bits, most))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a block each: more for more data
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        all_words: Counter[str] = Counter()
+        held = Held(parts)
         for batch in batches:
             codes = batch.column("lang").dictionary_encode()
             names, lang, seeds = codes.dictionary, codes.indices.to_numpy(), _seeds(batch.column("lang"))
-            all_words = np.zeros(len(names), np.int64)
             for i, s in slices(batch.column("text"), most):
-                np.add.at(all_words, lang[i:][s.text[s.again :]], 1)
+                for k, n in zip(*np.unique(lang[i:][s.text[s.again :]], return_counts=True), strict=True):
+                    all_words[names[int(k)].as_py()] += int(n)
                 for m, l, phrase, n in _counts(s, lang[i:], seeds[i:], shared.value, bits):
-                    yield pa.RecordBatch.from_arrays(
-                        [names.take(pa.array(l)), pa.array(np.full(len(n), m, np.int32)), phrase.view(pa.string()), pa.array(n.astype(np.int64))], names=["lang", "m", "phrase", "f"]
-                    )
-            yield pa.RecordBatch.from_arrays([names, pa.array([0] * len(names), pa.int32()), pa.array([""] * len(names), pa.string()), pa.array(all_words)], names=["lang", "m", "phrase", "f"])
+                    yield from held.add(pa.table([names.take(pa.array(l)), pa.array(np.full(len(n), m, np.int32)), phrase, pa.array(n.astype(np.int64))], names=Held.NAMES))
+            for k in names.to_pylist():
+                all_words[k] += 0
+        yield from held.all()
+        if all_words:
+            yield held.packed(pa.table([[*all_words], pa.array([0] * len(all_words), pa.int32()), pa.array([b""] * len(all_words), pa.binary()), pa.array([*all_words.values()], pa.int64())], names=Held.NAMES))
 
-    found = texts.mapInArrow(count, "lang string, m int, phrase string, f long")
-    return found.groupBy("lang", "m", "phrase").agg(F.sum("f").alias("f")).where((F.col("m") == 0) | (F.col("f") >= least))
+    found = texts.mapInArrow(count, "block int, lang array<string>, m array<int>, phrase array<string>, f array<long>")
+    dealt = found.repartition(parts, "block").sortWithinPartitions("block")
+    return dealt.mapInArrow(lambda batches: _merged(batches, least), "lang string, m int, phrase string, f long")
 
 
-def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, bits: int = CELL_BITS, most: int = W.SLICE_BYTES) -> DataFrame:
+def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, bits: int = CELL_BITS, most: int = SLICE) -> DataFrame:
     """Per language its ``top`` phrases: lang, rank, phrase, a, l, r, n, score.
 
     Scores are whole numbers of 1000 a n / (l r), exact up to counts of 10^16.
