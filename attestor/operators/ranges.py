@@ -17,8 +17,10 @@ ROWS, MOST, SAMPLED = 250_000, 2048, 16
 
 def bounds(df: DataFrame, key: str, rows: int = ROWS, most: int = MOST) -> DataFrame:
     """One row: ``_heads`` and ``_blocks``, ascending bounds of about ``rows`` rows each, in blocks for two short scans."""
-    size = df.agg(F.count(F.lit(1)).alias("_size"))
-    drawn = df.select(key).orderBy(F.xxhash64(key), key).limit(most * SAMPLED).agg(F.array_sort(F.collect_list(key)).alias("_drawn"))
+    size, sample = df.agg(F.count(F.lit(1)).alias("_size")), most * SAMPLED
+    h = F.xxhash64(key)
+    few = df.select(key).crossJoin(F.broadcast(size)).where(F.pmod(h, F.lit(1 << 30)) <= (1 << 30) * F.least(F.lit(1.0), 2 * sample / F.col("_size")))  # one row
+    drawn = few.orderBy(h, key).limit(sample).agg(F.array_sort(F.collect_list(key)).alias("_drawn"))
     ranges = F.least(F.lit(most), F.ceil(F.col("_size") / rows), F.size("_drawn"))
     picked = F.when(ranges > 1, F.transform(F.sequence(F.lit(1), ranges - 1), lambda i: F.get("_drawn", F.floor(i * F.size("_drawn") / ranges).cast("int")))).otherwise(F.slice("_drawn", 1, 0))
     one = size.crossJoin(drawn).select(F.array_distinct(picked).alias("_all"))

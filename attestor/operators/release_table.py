@@ -40,7 +40,7 @@ class ReleaseTable:
 
     def __init__(self, spark: SparkSession, path: str, key: str = "document_id", n_buckets: int = BUCKETS) -> None:
         self.spark, self.path, self.key, self.n_buckets = spark, path.rstrip("/"), key, n_buckets
-        self._log = Folder(spark, f"{self.path}/log")
+        self._log, self._aside = Folder(spark, f"{self.path}/log"), []
 
     def _bucket(self, n: int) -> Column:
         return F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(n)).cast("int")
@@ -89,9 +89,15 @@ class ReleaseTable:
 
     def staged(self, rows: DataFrame) -> DataFrame:
         """Write rows aside in the table's folder and return a reader of them; for rows that are dear to make and read twice."""
-        path = f"{self.path}/{uuid.uuid4().hex}"
-        rows.write.parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
+        name = uuid.uuid4().hex
+        self._aside.append(name)
+        rows.write.parquet(f"{self.path}/aside/{name}")
+        return self.spark.read.schema(rows.schema).parquet(f"{self.path}/aside/{name}")
+
+    def clear(self) -> None:
+        """Delete what this object has staged."""
+        while self._aside:
+            Folder(self.spark, f"{self.path}/aside").remove(self._aside.pop())
 
     def _buckets_of(self, rows: DataFrame, v: Version) -> list[str]:
         found = rows.select(self._bucket(v.n_buckets).alias("b")).distinct().collect()  # at most n_buckets

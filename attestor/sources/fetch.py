@@ -98,4 +98,5 @@ class FetchStore:
             (F.coalesce("_was", F.lit(0)) + 1).cast("int").alias("tries"),
         )
         self._fetched.merge(rows, rows.select("url"))
+        self._fetched.clear()
         return n

@@ -37,6 +37,7 @@ def ingest(docs: DataFrame, ds: Dataset, out: str, checkpoint: str, once: bool =
         result = run(batch.drop("arrived"), ds)
         records = table.staged(result.records.drop("signals").withColumn("document_id", F.col("provenance.source_document_id")))
         table.merge(records, result.documents.select("document_id"), checkpoint, number)
+        table.clear()
 
     writer = docs.writeStream.foreachBatch(wave).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
