@@ -3,10 +3,14 @@
 A run's state is one JSON file a dataset.  It is written aside and renamed, so it is there whole or not at all.  A run
 is taken up again only if it has as many requests as are asked for now; one of another count is submitted anew.  A run
 with pending batches stays on record, a finished one is removed once its answers are written.
+
+The requests are cut once: they are written by block, so that a block is read alone however many there are.  A service
+that takes many small batches is better served by ``Together``, which submits several blocks by one job.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -21,6 +25,18 @@ Submit = Callable[[DataFrame], str]  # the requests of a block -> the batch's id
 Poll = Callable[[str], str]  # a batch's id -> "ended" or another state
 
 
+@dataclass(frozen=True)
+class Together:
+    """Submits several blocks by one job: ``submit`` takes their requests with ``block`` and gives the batches' ids by block.
+
+    They are put on record together, so a driver that is lost in between submits at most ``most`` blocks again.
+    A block without requests needs no id.
+    """
+
+    submit: Callable[[DataFrame], dict[int, str]]
+    most: int = 256
+
+
 @dataclass
 class BatchRun:
     """What is on record of a run."""
@@ -50,7 +66,7 @@ class RunStore:
         self._files.remove(f"{dataset}.json")
 
 
-def start(requests: DataFrame, dataset: str, submit: Submit, folder: str, model: str = "", block: int = BLOCK) -> BatchRun:
+def start(requests: DataFrame, dataset: str, submit: Submit | Together, folder: str, model: str = "", block: int = BLOCK) -> BatchRun:
     """Submit the requests (custom_id, chunk, ...) in blocks, or take up the run on record if its count is equal.
 
     Every block is put on record as soon as it is submitted.  If the driver is lost between two blocks, the next
@@ -64,15 +80,36 @@ def start(requests: DataFrame, dataset: str, submit: Submit, folder: str, model:
         run = BatchRun(dataset, n, model=model)
     if run.complete or not n:
         return run
-    cut = blocks(requests, block)
-    for k in range(len(run.batch_ids), max(1, -(-n // block))):
-        run.batch_ids.append(submit(cut.where(F.col("block") == k).drop("block")))
-        store.save(run)
+    cut, total = blocks(requests, block, n), max(1, -(-n // block))
+    most = submit.most if isinstance(submit, Together) else 1
+    done, staged = len(run.batch_ids), None
+    if total - done > most:
+        staged = Folder(requests.sparkSession, f"{folder}/_cut-{uuid.uuid4().hex}")
+        left = cut.where(F.col("block") >= done).withColumn("_part", F.floor((F.col("block") - done) / most))
+        left.repartition("block").write.partitionBy("_part").parquet(staged.path)
+    try:
+        for k in range(done, total, most):
+            rows = cut.where((F.col("block") >= k) & (F.col("block") < k + most)) if staged is None else _part(staged, (k - done) // most, cut)
+            if isinstance(submit, Together):
+                ids = submit.submit(rows)
+                run.batch_ids += [ids.get(i, "") for i in range(k, min(k + most, total))]
+            else:
+                run.batch_ids.append(submit(rows.drop("block")))
+            store.save(run)
+    finally:
+        if staged is not None:
+            staged.remove("")
     run.complete = True
     store.save(run)
     return run
 
 
+def _part(staged: Folder, k: int, like: DataFrame) -> DataFrame:
+    """The requests of a part of the cut; none where no request fell into it."""
+    name = f"_part={k}"
+    return like.sparkSession.read.schema(like.schema).parquet(f"{staged.path}/{name}") if staged.has(name) else like.where("false")
+
+
 def finish(requests: DataFrame, dataset: str, poll: Poll, fetch: Callable[[list[str]], DataFrame], write: Callable[[DataFrame], None], folder: str) -> tuple[str, list[str]]:
     """("pending", ids) while a batch has not ended; else the answers are fetched and written, the record removed: ("ended", ids).
 
@@ -82,9 +119,10 @@ def finish(requests: DataFrame, dataset: str, poll: Poll, fetch: Callable[[list[
     run = store.load(dataset)
     if run is None:
         return "none", []
-    waiting = [b for b in run.batch_ids if poll(b) != "ended"]
+    waiting = [b for b in run.batch_ids if b and poll(b) != "ended"]
     if waiting or not run.complete:
         return "pending", waiting
-    write(fetch(run.batch_ids))
+    ids = [b for b in run.batch_ids if b]
+    write(fetch(ids))
     store.remove(dataset)
-    return "ended", run.batch_ids
+    return "ended", ids

@@ -60,8 +60,13 @@ def escalate(first: DataFrame, second: DataFrame, empty: str = "{}") -> DataFram
     return joined.select(F.col("a.custom_id").alias("custom_id"), F.when(none, F.col("b.answer")).otherwise(F.col("a.answer")).alias("answer"), none.alias("escalated"))
 
 
-def blocks(requests: DataFrame, size: int = 90_000) -> DataFrame:
-    """Requests with ``block``: batches of at most about ``size``, by hash, for services that take batches."""
-    n = requests.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / size)).cast("int").alias("_n"))
-    out = requests.crossJoin(F.broadcast(n))  # one row
+def blocks(requests: DataFrame, size: int = 90_000, n: int | None = None) -> DataFrame:
+    """Requests with ``block``: batches of at most about ``size``, by hash, for services that take batches.
+
+    ``n`` is the number of requests where that is known; else they are counted.
+    """
+    of = lambda count: F.greatest(F.lit(1), F.ceil(count / size)).cast("int")
+    if n is not None:
+        return requests.withColumn("block", F.pmod(F.xxhash64("custom_id"), of(F.lit(n))).cast("int"))
+    out = requests.crossJoin(F.broadcast(requests.agg(of(F.count(F.lit(1))).alias("_n"))))  # one row
     return out.withColumn("block", F.pmod(F.xxhash64("custom_id"), F.col("_n")).cast("int")).drop("_n")

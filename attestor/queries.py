@@ -1098,13 +1098,14 @@ def batch_run_state(spark, sf):
     asked = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("custom_id"), F.col("o_orderstatus").alias("chunk"))
     folder, sent, seen = shared_folder(spark, "batches"), [], []
 
-    def submit(block: DataFrame) -> str:
-        sent.append(block.count())
-        return f"b{len(sent)}"
+    def submit(some: DataFrame) -> dict[int, str]:
+        got = some.groupBy("block").agg(F.count(F.lit(1)).alias("n")).collect()  # a row a batch
+        sent.extend(r.n for r in got)
+        return {r.block: f"b{r.block}" for r in got}
 
     for name, rows in (("first", asked), ("again", asked), ("changed", asked.where("o_orderkey % 3 <> 0"))):
         sent.clear()
-        run = batches.start(rows, "orders", submit, folder, block=4000)
+        run = batches.start(rows, "orders", batches.Together(submit), folder, block=4000)
         seen.append((name, run.request_count, len(run.batch_ids), run.resumed, sum(sent)))
     return spark.createDataFrame(seen, "run string, request_count long, n_batches int, resumed boolean, n_sent long")
 

@@ -46,6 +46,10 @@ class Folder:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._at("")) if not s.getPath().getName().startswith("."))
 
+    def has(self, name: str) -> bool:
+        """Whether a file or folder of the name is there."""
+        return self._fs.exists(self._at(name))
+
     def read(self, name: str) -> dict | None:
         """A file's value; None where there is none."""
         if not self._fs.exists(self._at(name)):

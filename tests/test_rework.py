@@ -174,6 +174,39 @@ def test_batch_runs_are_taken_up_again(spark, tmp_path):
     assert fewer.batch_ids == ["z"] and changed.batch_ids == ["y"] and not changed.resumed
 
 
+def test_many_batches_are_cut_once_and_submitted_together(spark, tmp_path):
+    """Neither the jobs nor the reads of the requests grow with the number of blocks."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches_):
+        for b in batches_:
+            reads.add(len(b))
+            yield b
+
+    asked = spark.range(600).select(F.col("id").cast("string").alias("custom_id"), F.lit("c").alias("chunk")).mapInPandas(seen, "custom_id string, chunk string")
+    folder, got, calls = f"file://{tmp_path}/runs", {}, []
+
+    def submit(some):
+        calls.append(1)
+        if len(calls) == 3:
+            raise ConnectionError("driver lost")
+        for r in some.collect():
+            got.setdefault(r.block, []).append(r.custom_id)
+        return {r.block: f"b{r.block}" for r in some.select("block").distinct().collect()}
+
+    with pytest.raises(ConnectionError):
+        batches.start(asked, "d", batches.Together(submit, 40), folder, block=2)
+    assert len(batches.RunStore(asked, folder).load("d").batch_ids) == 80
+    run = batches.start(asked, "d", batches.Together(submit, 40), folder, block=2)
+    assert run.resumed and run.complete and len(run.batch_ids) == 300 and len(calls) == 9
+    assert sorted(sum(got.values(), []), key=int) == [str(i) for i in range(600)]
+    assert all(run.batch_ids[b] == f"b{b}" for b in got) and all(not x or b in got for b, x in enumerate(run.batch_ids))
+    assert reads.value <= 4 * 600  # counted and cut, in either start
+    each = batches.start(asked.where("custom_id < '3'"), "e", lambda rows: str(rows.count()), folder, block=20)
+    assert sum(map(int, each.batch_ids)) == 223 and reads.value <= 6 * 600
+    assert not [p for p in (tmp_path / "runs").iterdir() if p.name.startswith("_cut")]
+
+
 def test_fetches_are_stored_once(spark, tmp_path):
     store = FetchStore(spark, f"file://{tmp_path}/f", 4)
     urls = spark.createDataFrame([("u1",), ("u2",), ("u3",), ("u1",), ("",), (None,), ("bad",)], "url string")
