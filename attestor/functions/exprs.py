@@ -139,10 +139,19 @@ def agree(a: Column, b: Column, numeric: bool, tolerance: float = 0.01) -> Colum
         far = F.abs(a - b) / F.greatest(F.abs(a), F.abs(b), F.lit(1e-9))
         same = far <= tolerance
     else:
-        same = F.lower(strip(a.cast("string"))) == F.lower(strip(b.cast("string")))
+        a, b = a.cast("string"), b.cast("string")
+        same = F.when(a == b, True).otherwise(F.lower(strip(a)) == F.lower(strip(b)))  # most are equal as they are
     return F.when(a.isNull() & b.isNull(), True).when(a.isNull() | b.isNull(), False).otherwise(same)
 
 
+def all_same(a: Sequence[Column], b: Sequence[Column]) -> Column:
+    """Whether all are equal, nulls to nulls; a condition of a join, but none of its keys."""
+    out = F.lit(True)
+    for x, y in zip(a, b, strict=True):
+        out = out & F.coalesce(x == y, x.isNull() & y.isNull())
+    return out
+
+
 def bump_patch(version: Column) -> Column:
     """The next patch version; ``0.4.1`` where the version is not of the form a.b.c."""
     v = F.regexp_extract_all(version, F.lit(r"^v?(\d+)\.(\d+)\.(\d+)$"), F.lit(0))

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attestor.functions.exprs import strip
+from attestor.functions.exprs import all_same, strip
 
 
 @dataclass(frozen=True)
@@ -51,13 +51,13 @@ def of_group(here: Column, by: Sequence[str | Column], facts: dict[str, Column],
 
     def prepare(records: DataFrame) -> DataFrame:
         tag = "_".join(facts)
-        keys = [c.alias(f"_g{i}_{tag}") for i, c in enumerate(columns)]
-        groups = records.where(here).groupBy(*keys).agg(*[v.alias(n) for n, v in facts.items()])
+        keys = [f"_g{i}_{tag}" for i in range(len(columns))]
+        groups = records.where(here).groupBy(*[c.alias(k) for k, c in zip(keys, columns, strict=True)]).agg(*[v.alias(n) for n, v in facts.items()])
         groups = groups if kept is None else groups.where(kept)
-        cond = here
-        for i, c in enumerate(columns):
-            cond = cond & c.eqNullSafe(F.col(f"_g{i}_{tag}"))
-        return records.join(groups, cond, "left").drop(*[f"_g{i}_{tag}" for i in range(len(columns))])
+        groups = groups.withColumn(f"_h_{tag}", F.xxhash64(*keys))
+        # rows are sorted and matched by one hash; that the groups are equal is then looked at
+        cond = here & (F.xxhash64(*columns) == F.col(f"_h_{tag}")) & all_same(columns, [F.col(k) for k in keys])
+        return records.join(groups, cond, "left").drop(f"_h_{tag}", *keys)
 
     return prepare
 

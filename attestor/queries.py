@@ -110,17 +110,17 @@ def trust_fusion(spark, sf):
 @query(R_SQL + """SELECT l_orderkey, l_linenumber, CASE WHEN hard > 0 THEN 0.0e0 ELSE pow(0.75e0, soft) END AS score, hard = 0 AS ok,
     CAST(hard + soft AS BIGINT) AS n_violations FROM SC""")
 def symbolic_scores(spark, sf):
-    s = F.filter("signals", lambda x: x["name"] == "symbolic")[0]
-    n = F.when(s["detail"] == "all domain constraints satisfied", 0).otherwise(F.size(F.split(s["detail"], "; ")))
-    return scored(spark, sf).select("l_orderkey", "l_linenumber", s["score"].alias("score"), s["ok"].alias("ok"), n.cast("long").alias("n_violations"))
+    n = F.when(F.col("s.detail") == "all domain constraints satisfied", 0).otherwise(F.size(F.split("s.detail", "; ")))
+    rows = scored(spark, sf).select("l_orderkey", "l_linenumber", F.col("signals")[0].alias("s"))  # the first is the axioms'
+    return rows.select("l_orderkey", "l_linenumber", "s.score", "s.ok", n.cast("long").alias("n_violations"))
 
 
 @query(R_SQL + """SELECT l_orderkey, l_linenumber, CAST(greatest(0, 1 - hard) AS DOUBLE) AS score, hard = 0 AS ok,
     CASE WHEN hard = 0 THEN 'no logical contradiction' ELSE 'logical contradiction; violated axiom(s): ' || concat_ws(', ',
     CASE WHEN NOT a1 THEN 'num_le_den' END, CASE WHEN NOT a2 THEN 'denominator_positive' END, CASE WHEN NOT a3 THEN 'percent_in_range' END) END AS detail FROM SC""")
 def logic_validity(spark, sf):
-    s = F.filter("signals", lambda x: x["name"] == "lnn")[0]
-    return scored(spark, sf).select("l_orderkey", "l_linenumber", s["score"].alias("score"), s["ok"].alias("ok"), s["detail"].alias("detail"))
+    rows = scored(spark, sf).select("l_orderkey", "l_linenumber", F.col("signals")[1].alias("s"))  # the second is the logic's
+    return rows.select("l_orderkey", "l_linenumber", "s.score", "s.ok", "s.detail")
 
 
 @query("""WITH b AS (SELECT o_orderkey, (o_orderkey % 5) / 4.0e0 AS x, least(1.0e0, (o_orderkey % 5) / 4.0e0 + 0.25e0) AS y, (o_orderkey % 3) / 2.0e0 AS z FROM orders)
@@ -136,9 +136,9 @@ def logic_intervals(spark, sf):
 
 @query(R_SQL + "SELECT state, plan_name, measure_name, population, reporting_year, CAST(grain AS BIGINT) AS n FROM AX WHERE grain > 1")
 def duplicate_grain(spark, sf):
-    flags = F.filter("qa_flags", lambda f: F.startswith(f["msg"], F.lit("duplicate_grain")))
-    rows = scored(spark, sf).where(F.size(flags) > 0)
-    return rows.select(*KEYS, F.regexp_extract(flags[0]["msg"], r"x(\d+)\)", 1).cast("long").alias("n"))
+    # flags are built once a row: a filter on the array would be moved below them, with a copy of all that makes them
+    flags = scored(spark, sf).select(*KEYS, F.inline_outer("qa_flags")).where(F.startswith("msg", F.lit("duplicate_grain")))
+    return flags.select(*KEYS, F.regexp_extract("msg", r"x(\d+)\)", 1).cast("long").alias("n"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, CASE WHEN d = 0 OR (d <> 0 AND n > d) OR r NOT BETWEEN 0 AND 100 THEN 'fail' ELSE 'pass' END AS qa_status,
@@ -651,7 +651,7 @@ def payload_nursing_home(spark, sf):
 
 def _checked(records: DataFrame, name: str, docs: DataFrame | None = None) -> DataFrame:
     out = pipeline.score(records, dataset(name), docs)
-    return out.withColumn("symbolic", F.filter("signals", lambda s: s["name"] == "symbolic")[0]["score"])
+    return out.withColumn("symbolic", F.col("signals")[0]["score"])  # the first is the axioms'
 
 
 @query(f"""SELECT c_name AS need, CASE WHEN n > 0 THEN 'warn' ELSE 'pass' END AS qa_status, pow(0.75e0, n) AS symbolic FROM (SELECT c_name, CAST(c_custkey % 9 = 0 AS INTEGER) + CAST(c_custkey % 2 = 1 AS INTEGER) AS n {CUST})""")

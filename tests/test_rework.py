@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from attestor.operators import answers, batches, constraints, contain, evaluate, extract, gate, reconcile, vision
+from attestor.operators import analysis, answers, batches, constraints, contain, evaluate, extract, gate, reconcile, verify, vision
 from attestor.operators.ranges import running
 from attestor.operators.release_table import Conflict, ReleaseTable
 from attestor.plans.datasets import dataset
@@ -174,6 +174,50 @@ def test_batch_runs_are_taken_up_again(spark, tmp_path):
     assert fewer.batch_ids == ["z"] and changed.batch_ids == ["y"] and not changed.resumed
 
 
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _two_readings(spark):
+    from attestor import queries as Q
+
+    r = Q.measures(spark, "/root/testdata/sf0.001")
+    return r, Q.second_reading(r), Q
+
+
+def test_counted_records_build_no_messages(spark):
+    """What only needs the status or the trust makes no flag, no detail and no array of signals."""
+    r, second, q = _two_readings(spark)
+    for columns in (["qa_status"], ["trust_score", "qa_status", "review_recommended"]):
+        plan = _plan(verify.verify(r, q.EQR.axioms()).select(*columns))
+        assert "disagrees with implied" not in plan and "logical contradiction" not in plan
+    plan = _plan(verify.verify(r, q.EQR.axioms(), second=second, keys=q.KEYS, fields=q.EQR.ensemble_fields).select("trust_score"))
+    assert "models disagree" not in plan and "disagrees with implied" not in plan
+    assert _plan(q.duplicate_grain(spark, "/root/testdata/sf0.001")).count("disagrees with implied") == 1  # built once
+    assert "regexp" not in _plan(analysis.mean_rate_by_state(verify.verify(r, q.EQR.axioms()), ["brand"]))
+
+
+def test_readings_meet_by_one_hash_and_needed_columns(spark):
+    """Rows are sorted by a hash of the keys, and the last reading of a key carries no column that is not compared."""
+    r, second, q = _two_readings(spark)
+    wide = second.withColumn("note", F.repeat(F.lit("x"), 1000))
+    for df in (verify.reconcile(r, wide, q.KEYS, q.EQR.ensemble_fields), reconcile.compare_rates(wide, r, q.KEYS)):
+        assert "repeat(" not in _plan(df) and "Join LeftOuter, " in _plan(df) and "xxhash64" in _plan(df)
+
+
+def test_hashes_that_meet_are_looked_at(spark):
+    """xxhash64 passes nulls over, so these keys share it; they are no match."""
+    rows = "a string, b string, v int, record_seq int"
+    one = spark.createDataFrame([(None, "x", 1, 1), ("x", None, 2, 2), (None, None, 3, 3)], rows)
+    two = spark.createDataFrame([("x", None, 2, 1)], rows)
+    got = {r.v: r._ensemble.score for r in verify.reconcile(one, two, ["a", "b"], ["v"]).collect()}
+    assert got == {1: 0.5, 2: 1.0, 3: 0.5}
+    assert [r.v for r in verify.omissions(one.where("v = 1"), two, ["a", "b"]).collect()] == [2]
+    rule = constraints.duplicate_grain(F.lit(True), ("a", "b"), "again")
+    twice = rule.prepare(one.unionByName(two)).withColumn("ok", rule.outcome).where("ok = false").select("v", "_grain_rows").collect()
+    assert sorted(map(tuple, twice)) == [(2, 2), (2, 2)]
+
+
 def test_many_batches_are_cut_once_and_submitted_together(spark, tmp_path):
     """Neither the jobs nor the reads of the requests grow with the number of blocks."""
     reads = spark.sparkContext.accumulator(0)
