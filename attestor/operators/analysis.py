@@ -29,10 +29,17 @@ def top_names(records: DataFrame, name: str, n: int = 12) -> DataFrame:
 
 def mean_rate_by_state(records: DataFrame, keywords: Sequence[str]) -> DataFrame:
     """(keyword, state, n, mean_rate) of percent rates that aren't failed, for names that hold the keyword."""
-    usable = records.where((F.col("rate_unit") == "percent") & (F.col("qa_status") != "fail")).withColumn("_rate", to_double(F.col("rate").cast("string")))
+    usable = records.where((F.col("rate_unit") == "percent") & (F.col("qa_status") != "fail"))
+    if dict(records.dtypes)["rate"] in ("double", "bigint", "int", "smallint", "tinyint"):  # numbers that text would only repeat
+        rate = F.col("rate").cast("double")
+        usable = usable.where((F.abs(rate) < float("inf")) & ~F.isnan(rate)).withColumn("_rate", rate)
+    else:
+        usable = usable.withColumn("_rate", to_double(F.col("rate").cast("string"))).where("_rate is not null")
+    # names are looked into once, not once a record
+    named = usable.groupBy("state", "measure_name").agg(F.count(F.lit(1)).alias("n"), F.sum("_rate").alias("_sum"))
     hits = F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(F.lower("measure_name"), F.lower(k)))
-    rows = usable.where("_rate is not null").select("state", "_rate", F.explode(hits).alias("keyword"))
-    return rows.groupBy("keyword", "state").agg(F.count(F.lit(1)).alias("n"), F.avg("_rate").alias("mean_rate"))
+    rows = named.select("state", "n", "_sum", F.explode(hits).alias("keyword")).groupBy("keyword", "state")
+    return rows.agg(F.sum("n").alias("n"), (F.sum("_sum") / F.sum("n")).alias("mean_rate"))
 
 
 def determination_mix(records: DataFrame) -> DataFrame:
