@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attestor.functions.exprs import alnum
+from attestor.functions.exprs import all_same, alnum
 from attestor.operators import contain
 from attestor.operators.verify import last_by
 
@@ -20,11 +20,10 @@ def band(value: Column, floor: float = 0.1, share: float = 0.01) -> Column:
 
 def compare_rates(text: DataFrame, figures: DataFrame, keys: Sequence[str], floor: float = 0.1) -> DataFrame:
     """Figure rows (keys, rate) with the last text row's rate of the same key: ``text_rate`` and ``agrees``."""
-    told = last_by(text, keys, "record_seq").select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("rate").alias("text_rate"))
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    out = figures.join(told, cond, "left").drop(*[f"_k_{k}" for k in keys])
+    told = last_by(text.select(*keys, F.col("rate").alias("text_rate"), "record_seq"), keys, "record_seq")
+    told = told.select(F.xxhash64(*keys).alias("_hash"), *[F.col(k).alias(f"_k_{k}") for k in keys], "text_rate")
+    cond = (F.xxhash64(*keys) == F.col("_hash")) & all_same([F.col(k) for k in keys], [F.col(f"_k_{k}") for k in keys])
+    out = figures.join(told, cond, "left").drop("_hash", *[f"_k_{k}" for k in keys])
     near = F.abs(F.col("text_rate") - F.col("rate")) <= band(F.col("text_rate"), floor)
     return out.withColumn("agrees", F.when(F.col("text_rate").isNotNull(), F.coalesce(near, F.lit(False))))
 
