@@ -54,6 +54,8 @@ LEVELS = 8
 WIDTH = 1.5
 #: Sets of a node, or of one side of a block, that are compared by brute force.
 SMALL = 128
+#: Sets in one side of a block when nodes larger than that are compared: a node of fewer is one task's, without copies of its rows.
+WIDE = 1024
 #: Sets far from a large node's first up to which they are compared with all others of it.
 FAR = 256
 #: Sets of a node all of whose candidate pairs are given as they are.
@@ -272,7 +274,7 @@ def candidate_edges(reps: DataFrame, similarity: float = SIMILARITY, recall: flo
         rows = sizes.where(F.col("size") > SMALL).agg(F.sum(F.col("size") * F.ceil(F.col("size") / SMALL))).first()[0] or 0
         last = level == levels - 1 or rows <= whole
         brute = sizes.where(F.lit(True) if last else F.col("size") <= SMALL)
-        brute = brute.select("path", F.ceil(F.col("size") / SMALL).alias("blocks"))
+        brute = brute.select("path", F.ceil(F.col("size") / WIDE).alias("blocks"))
         held = members.join(brute, "path").join(briefs, "id").select(F.col("path").alias("node"), "blocks", "id", "brief")
         found.append(materialize(_compared(held), f"alike-{level}"))
         if last:
@@ -314,7 +316,7 @@ def candidate_groups(reps: DataFrame, copies: DataFrame, similarity: float, reca
     member = materialize(_with_blocks(found.join(copies, "id")), "members")
     wide = member.where("blocks > 1")
     if wide.limit(1).count():  # edges to a first are wider than candidates: part such groups by all their sketches
-        nodes = wide.select(F.col("label").alias("node"), "blocks", "id").join(reps.select("id", "brief"), "id")
+        nodes = wide.select(F.col("label").alias("node"), F.ceil(F.col("blocks") * BLOCK / WIDE).alias("blocks"), "id").join(reps.select("id", "brief"), "id")
         parted = components(_compared(nodes)).withColumnRenamed("node", "id").join(copies, "id")
         member = materialize(member.where("blocks = 1").unionByName(_with_blocks(parted)), "parted")
     return member.withColumnRenamed("label", "grp")
