@@ -268,9 +268,10 @@ def candidate_edges(reps: DataFrame, similarity: float = SIMILARITY, recall: flo
     for level in range(levels):
         members = materialize(members, f"paths-{level}")
         sizes = members.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("first")).where("size > 1")
-        sizes = materialize(sizes, f"nodes-{level}")
+        held_rows = members.count()
+        sizes = materialize(sizes, f"nodes-{level}", held_rows)
         # brute force in blocks ends the trees as soon as it takes no more rows than the root did
-        whole = members.count() if not level else whole
+        whole = whole if level else held_rows
         rows = sizes.where(F.col("size") > SMALL).agg(F.sum(F.col("size") * F.ceil(F.col("size") / SMALL))).first()[0] or 0
         last = level == levels - 1 or rows <= whole
         brute = sizes.where(F.lit(True) if last else F.col("size") <= SMALL)
@@ -283,11 +284,11 @@ def candidate_edges(reps: DataFrame, similarity: float = SIMILARITY, recall: flo
         firsts = large.join(briefs.select(F.col("id").alias("first"), F.col("brief").alias("first_brief")), "first").select("path", "first", "first_brief")
         there = members.join(large.select("path"), "path").join(briefs, "id").select("id", "path", "brief")
         same = there.join(firsts, "path").mapInArrow(_estimate, "id long, path long, first long, same double")
-        same = materialize(same, f"firsts-{level}")
+        same = materialize(same, f"firsts-{level}", held_rows)
         found.append(same.where((F.col("id") != F.col("first")) & (F.col("same") >= WITH_FIRST)).select(F.col("id").alias("a"), F.col("first").alias("b")))
         # sets that are candidates with the first are in one group with it: only the far ones need to be told from them
         counts = same.groupBy("path").agg(F.count_if(F.col("same") < WITH_FIRST).alias("n_far"), F.ceil(F.count(F.lit(1)) / SMALL).alias("blocks"))
-        counts = materialize(counts.where("n_far > 0"), f"far-{level}")
+        counts = materialize(counts.where("n_far > 0"), f"far-{level}", held_rows // SMALL)
         open_ = same.where((F.col("same") < SETTLED) & (F.col("id") != F.col("first")))
         ending = open_.join(counts.where(F.col("n_far") <= FAR), "path").join(briefs, "id")
         ending = ending.select(F.col("path").alias("node"), "blocks", (F.col("same") < WITH_FIRST).alias("far"), "id", "brief")
@@ -312,13 +313,14 @@ def _with_blocks(member: DataFrame) -> DataFrame:
 def candidate_groups(reps: DataFrame, copies: DataFrame, similarity: float, recall: float) -> DataFrame:
     """Members of candidate groups: (id, grp, rep_id, copies, blocks)."""
     edges = candidate_edges(reps, similarity, recall)
-    found = materialize(components(edges).withColumnRenamed("node", "id"), "groups")
-    member = materialize(_with_blocks(found.join(copies, "id")), "members")
+    edges = materialize(edges, "candidates", copies.count())
+    found = materialize(components(edges, edges.count()).withColumnRenamed("node", "id"), "groups")
+    member = materialize(_with_blocks(found.join(copies, "id")), "members", found.count())
     wide = member.where("blocks > 1")
     if wide.limit(1).count():  # edges to a first are wider than candidates: part such groups by all their sketches
         nodes = wide.select(F.col("label").alias("node"), F.ceil(F.col("blocks") * BLOCK / WIDE).alias("blocks"), "id").join(reps.select("id", "brief"), "id")
         parted = components(_compared(nodes)).withColumnRenamed("node", "id").join(copies, "id")
-        member = materialize(member.where("blocks = 1").unionByName(_with_blocks(parted)), "parted")
+        member = materialize(member.where("blocks = 1").unionByName(_with_blocks(parted)), "parted", member.count())
     return member.withColumnRenamed("label", "grp")
 
 
@@ -409,10 +411,11 @@ def join(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARITY, recall
     rows = materialize(sketches(docs, k), "sketches")
     real = rows.where("n > 0 and doc_id is not null")
     copies = real.groupBy("copy").agg(F.min("doc_id").alias("rep_id"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"))
-    copies = materialize(copies.withColumnRenamed("copy", "id"), "copies")
+    n_rows = rows.count()
+    copies = materialize(copies.withColumnRenamed("copy", "id"), "copies", n_rows)
     found = real.select("doc_id", F.col("copy").alias("id"), "sketch", "brief")
     first = found.join(copies.select("id", F.col("rep_id").alias("doc_id")), ["id", "doc_id"])
-    reps = materialize(first.dropDuplicates(["id"]).select("id", "sketch", "brief"), "reps")
+    reps = materialize(first.dropDuplicates(["id"]).select("id", "sketch", "brief"), "reps", n_rows)
     member = candidate_groups(reps, copies, similarity, recall)
     block = F.pmod(F.xxhash64(F.lit(3), "id"), F.col("blocks")).alias("block")
     member = member.select("rep_id", "id", "copies", "grp", block, "blocks")
@@ -428,7 +431,7 @@ def join(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARITY, recall
     labels = links.where("alone").select("id", "label")
     parted = links.where("not alone").select(F.col("id").alias("a"), F.col("label").alias("b"))
     if parted.limit(1).count():
-        labels = labels.unionByName(components(parted).select(F.col("node").alias("id"), "label"))
+        labels = labels.unionByName(components(parted, links.count()).select(F.col("node").alias("id"), "label"))
 
     linked = copies.join(n_links, "id").join(labels, "id")
     classes = linked.groupBy("label").agg(F.min("rep_id").alias("class_id"))
@@ -437,7 +440,7 @@ def join(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARITY, recall
         F.col("id").alias("copy"), "rep_id", F.coalesce("class_id", "rep_id").alias("class_id"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
-    of = materialize(of, "classes")  # so that the join below may split a class of very many copies
+    of = materialize(of, "classes", n_rows)  # so that the join below may split a class of very many copies
     known = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("copy")).alias("copy")
     return rows.select("doc_id", known).join(of, "copy", "left").select(
         "doc_id", F.coalesce("rep_id", "doc_id").alias("rep_id"), F.coalesce("class_id", "doc_id").alias("class_id"),

@@ -29,13 +29,21 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir(spark.sparkContext.applicationId)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+#: Rows of a few numbers from which a table that tells its size is written by a further task.
+FILE_ROWS = 100_000
+
+
+def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and return a reader of it.
 
     A lost executor then costs a read, not a recomputation.  Each call has a folder of its own, named
     by application, so reruns never meet old files and an operator can clear them by application.
+    ``rows``, which the table won't pass by much, lets few rows be written by few tasks, one a core at least,
+    whatever the number of shuffle partitions.
     """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(spark.sparkContext.defaultParallelism, rows // FILE_ROWS))
     path = f"{shared_dir(spark)}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
