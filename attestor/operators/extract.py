@@ -133,7 +133,8 @@ def parse_rules(docs: DataFrame, ds: Dataset) -> DataFrame:
             value = F.upper(value)
         cols[f"_h_{name}"] = T.carry(value, w)
     body = rows.withColumns({**cols, "_skip": is_header | is_section | is_plan}).where(~F.col("_skip"))
-    body = body.withColumn("_kv", T.key_values(line, ds.key_pattern))
+    # generated, so that the map and the record are made once a line: a filter would be moved below them, with a copy of all that makes them
+    body = body.select("*", F.explode(F.array(T.key_values(line, ds.key_pattern))).alias("_kv"))
     context = {n: F.coalesce(F.col(f"_h_{n}"), defaults[n]) if n in defaults else F.col(f"_h_{n}") for n in ds.headers.values()}
     seq = F.struct(F.col("ordinal").cast("long").alias("document"), F.col("line_no").cast("long").alias("item"), F.lit(0).alias("part"))
     made = None
@@ -152,7 +153,7 @@ def parse_rules(docs: DataFrame, ds: Dataset) -> DataFrame:
             here, given["plan_name"] = here & plan.isNotNull(), plan
         rec = _record(lay.kind, ds, given, seq, provenance("rule", ds.version, confidence=1.0))
         made = F.when(here, rec) if made is None else made.when(here, rec)
-    return normalize(body.select(made.alias("r")).where("r is not null").select("r.*"), ds)
+    return normalize(body.select(F.explode(F.array(made)).alias("r")).where("r is not null").select("r.*"), ds)
 
 
 def salvage_json(text: Column) -> Column:

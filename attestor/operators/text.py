@@ -98,9 +98,14 @@ def key_values(line: Column, pattern: str) -> Column:
     """Map of a line's ``key: value`` pairs: keys lower-cased, the last of equal keys counts."""
     keys = F.transform(F.regexp_extract_all(line, F.lit(pattern), F.lit(1)), lambda k: F.lower(strip(k)))
     values = F.transform(F.regexp_extract_all(line, F.lit(pattern), F.lit(2)), lambda v: strip(v))
-    pairs = F.zip_with(keys, values, lambda k, v: F.struct(k.alias("key"), v.alias("value")))
-    last = F.filter(pairs, lambda p, i: ~F.array_contains(F.slice(F.concat(keys, F.array(F.lit("\0"))), i + 2, F.size(keys)), p["key"]))
-    return F.map_from_entries(last)
+
+    def pairs(x: Column) -> Column:
+        made = F.zip_with(x["k"], x["v"], lambda k, v: F.struct(k.alias("key"), v.alias("value")))
+        return F.filter(made, lambda p, i: ~F.array_contains(F.slice(F.concat(x["k"], F.array(F.lit("\0"))), i + 2, F.size(x["k"])), p["key"]))
+
+    # one element, by which the line is cut once and not once a pair
+    once = F.array(F.struct(keys.alias("k"), values.alias("v")))
+    return F.transform(once, lambda x: F.map_from_entries(pairs(x)))[0]
 
 
 def figure_pages(pages: DataFrame, key: str, most: int = 12, least_drawings: int = 12) -> DataFrame:
