@@ -63,6 +63,10 @@ def attach_texts(candidates: DataFrame, cached: DataFrame, local: DataFrame) ->
     """Candidates with document_id and text: from the cache by url, else from a local file by path."""
     c = cached.select(F.col("url").alias("_u"), F.col("document_id").alias("_d1"), F.col("text").alias("_t1"))
     f = local.select(F.col("local_path").alias("_p"), F.col("document_id").alias("_d2"), F.col("text").alias("_t2"))
-    out = candidates.join(c, F.col("url") == F.col("_u"), "left").join(f, F.col("local_path") == F.col("_p"), "left")
+    flat = [n for n, t in candidates.dtypes if not t.startswith(("map", "array", "struct", "variant"))]
+    # rows that name nothing match nothing: they are dealt by all that they hold, so that no task gets all of them
+    dealt = lambda key: F.coalesce(key, F.concat(F.lit("\0"), F.xxhash64(*flat)))
+    meets = lambda key, named: key.isNotNull() & (dealt(key) == named)
+    out = candidates.join(c, meets(F.col("url"), F.col("_u")), "left").join(f, meets(F.col("local_path"), F.col("_p")), "left")
     out = out.withColumns({"document_id": first_of(F.col("_d1"), F.col("_d2")), "text": first_of(F.col("_t1"), F.col("_t2")), "source_url": F.col("location")})
     return out.drop("_u", "_d1", "_t1", "_p", "_d2", "_t2")

@@ -22,3 +22,23 @@ def test_key_values_of_odd_lines(spark):
     got = {r.i: r.m for r in rows.select("i", text.key_values(F.col("line"), r"([A-Za-z /]+):\s*([^|]+)").alias("m")).collect()}
     assert got == {0: {"a": "2"} | got[0], 1: {}, 2: {}, 3: None, 4: got[4]}
     assert got[0]["a"] == "2" and got[4]["k"] == "w"
+
+
+def test_rows_without_url_are_dealt_over_tasks(spark):
+    from attestor.sources.documents import attach_texts
+
+    n = F.col("id")
+    rows = spark.range(400).select(n, F.when(n % 4 == 0, n.cast("string")).alias("url"), F.lit(None).cast("string").alias("local_path"), F.lit("x").alias("location"))
+    cached = spark.range(400).select(n.cast("string").alias("url"), F.concat(F.lit("c"), n).alias("document_id"), F.lit("t").alias("text"))
+    local = cached.where("url is null").withColumnRenamed("url", "local_path")
+    auto = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in auto}
+    for k, v in auto.items():
+        spark.conf.set(k, v)
+    try:
+        out = attach_texts(rows, cached, local).withColumn("_task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sorted(r.id for r in out if r.text) == list(range(0, 400, 4)) and len(out) == 400
+    assert max(sum(r._task == t for r in out) for t in range(4)) < 200
