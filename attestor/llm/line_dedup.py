@@ -43,9 +43,11 @@ BITS, CHUNKS = 20, 64
 SMALL = 16
 #: Earlier and unmatched lines of a larger group that are compared at once, on average at most.
 BLOCK, ASKED = 256, 2048
-#: Rows of a group beyond which it is read piece by piece.
+#: Rows of a frequent token's group beyond which it is read piece by piece.
 PIECE = 1 << 16
-#: Compared lines up to which their list is broadcast to the scan of texts.
+#: Tokens that are dealt to buckets at once, rows of a bucket that are sent together, and tokens of texts for which there is a bucket.
+CHUNK, ROWS, BUCKET = 1 << 19, 512, 1 << 20
+#: Compared lines up to which their list is broadcast to the scan of texts, and further pairs up to which theirs is to that of sets.
 BROADCAST_LINES = 500_000
 NEWLINE = 10
 
@@ -69,8 +71,8 @@ def line_slices(text: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, Words]
         yield owner + i, number, words(folded(part), np.append(start, len(part)))
 
 
-def chosen_lines(text: pa.Array, wanted: list) -> Iterator[Words]:
-    """Words of the wanted lines (lists of line numbers by row), for bounded slices of a batch."""
+def chosen_lines(text: pa.Array, wanted: list) -> Iterator[tuple[np.ndarray, np.ndarray, Words]]:
+    """(row of each line, its number in the text, words by line) of the wanted lines (lists of numbers by row), for bounded slices of a batch."""
     data, offsets = text_arrays(text)
     for i, j in slices(offsets, 1 << 20):
         part = data[offsets[i] : offsets[j]]
@@ -81,11 +83,16 @@ def chosen_lines(text: pa.Array, wanted: list) -> Iterator[Words]:
         at = np.flatnonzero(np.isin((owner << 40) | number, key, assume_unique=True))
         n = length[at]
         upto = np.concatenate([[0], np.cumsum(n)])
-        yield words(folded(part[np.repeat(start[at] - upto[:-1], n) + np.arange(upto[-1])]), upto)
+        yield owner[at] + i, number[at], words(folded(part[np.repeat(start[at] - upto[:-1], n) + np.arange(upto[-1])]), upto)
 
 
-def token_counts(docs: DataFrame, k: int) -> np.ndarray:
-    """log2 of how often the runs of k words of each bucket occur, in quarter steps; over all texts."""
+def _quarters(n: np.ndarray) -> np.ndarray:
+    """log2 in quarter steps."""
+    return np.minimum(np.round(4 * np.log2(n + 1.0)), 127).astype(np.uint8)
+
+
+def token_counts(docs: DataFrame, k: int) -> tuple[np.ndarray, int]:
+    """log2 of how often the runs of k words of each cell occur, in quarter steps; the number of runs in all texts."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     row = lambda c, x: pa.record_batch([pa.array([c], pa.int32()), pa.array([x.tobytes()], pa.binary())], ["chunk", "n"])
 
@@ -99,14 +106,14 @@ def token_counts(docs: DataFrame, k: int) -> np.ndarray:
                     total += np.bincount(np.concatenate(held), minlength=1 << BITS)
                     held, size = [], 0
         total += np.bincount(np.concatenate([np.zeros(0, np.int32), *held]), minlength=1 << BITS)
-        for c, x in enumerate(np.split(total, CHUNKS)):
+        for c, x in enumerate(np.split(total.astype(np.min_scalar_type(total.max())), CHUNKS)):
             yield row(c, x)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for c, x in zip(batch["chunk"].to_pylist(), batch["n"].to_pylist(), strict=True):
-                total[c] = total.get(c, 0) + np.frombuffer(x, np.int64)
+                total[c] = total.get(c, 0) + np.frombuffer(x, f"u{len(x) * CHUNKS >> BITS}").astype(np.int64)
         for c, x in total.items():
             yield row(c, x)
 
@@ -115,7 +122,7 @@ def token_counts(docs: DataFrame, k: int) -> np.ndarray:
     total = np.zeros(1 << BITS, np.int64)
     for r in rows:  # at most CHUNKS rows
         total[r.chunk * (len(total) // CHUNKS) :][: len(total) // CHUNKS] = np.frombuffer(r.n, np.int64)
-    return np.minimum(np.round(4 * np.log2(total + 1.0)), 127).astype(np.uint8)
+    return _quarters(total), int(total.sum())
 
 
 def _token_sets(w: Words, k: int, rarity: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -129,7 +136,11 @@ def _token_sets(w: Words, k: int, rarity: np.ndarray | None) -> tuple[np.ndarray
     if rarity is not None:
         token = (rarity[(h >> np.uint64(64 - BITS)).astype(np.int64)].astype(np.int64) << 56) | (h >> np.uint64(8)).astype(np.int64)
     line = np.repeat(np.arange(len(n)), n)
-    order = np.lexsort((token, line))
+    if len(n) <= 1 << 16:  # as lexsort would, in half the time: numbers of 16 bits are sorted by radix
+        order = np.argsort(token)
+        order = order[np.argsort(line[order].astype(np.uint16), kind="stable")]
+    else:
+        order = np.lexsort((token, line))
     token, line = token[order], line[order]
     new = np.ones(len(token), bool)
     new[1:] = (token[1:] != token[:-1]) | (line[1:] != line[:-1])
@@ -184,18 +195,67 @@ def _lines(batches: Iterator[pa.RecordBatch], k: int, similarity: float, rarity)
             )
 
 
-def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(token, copy, doc, at): each prefix token, with the line's document, its length and the token's place."""
+DEALT = "bucket long, rows binary"
+
+
+def _dealt(batches: Iterator[pa.RecordBatch], buckets: int, often: int) -> Iterator[pa.RecordBatch]:
+    """Prefix tokens by bucket: (token, copy, doc, at) as rows of four numbers, up to ``ROWS`` of a bucket at a time.
+
+    ``at`` is the line's length and the token's place.  A copy comes once for some ``CHUNK`` tokens, with its least document.
+    A token of frequency ``often`` or above has a negative bucket of its own.
+    """
+
+    def chunk(copy: np.ndarray, doc: np.ndarray, n: np.ndarray, p: np.ndarray, token: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((doc, copy))
+        first = np.ones(len(copy), bool)
+        first[order[1:]] = copy[order[1:]] != copy[order[:-1]]
+        token, copy, doc, n, p = token[np.repeat(first, p)], copy[first], doc[first], n[first].astype(np.int64), p[first]
+        line = np.repeat(np.arange(len(p)), p)
+        bucket = (mix(token.view(np.uint64), 7) % np.uint64(buckets)).astype(np.int64)
+        bucket = np.where(token >> 56 >= often, -1 - token, bucket)
+        order = np.argsort(bucket)
+        bucket, line = bucket[order], line[order]
+        at = (n[line] << 32) | (order - (np.cumsum(p) - p)[line])
+        begin = np.searchsorted(bucket, bucket)
+        cut = np.flatnonzero((np.arange(len(bucket)) - begin) % ROWS == 0)
+        rows = np.stack([token[order], copy[line], doc[line], at], 1)
+        return pa.record_batch([pa.array(bucket[cut]), _binary(rows.ravel(), 4 * np.diff(np.append(cut, len(bucket))))], ["bucket", "rows"])
+
+    held, size = [], 0
+    for batch in batches:
+        raw = batch["prefix"].to_pylist()
+        token = np.frombuffer(b"".join(raw), np.int64)
+        held.append([*(batch[c].to_numpy() for c in ("copy", "doc_id", "n")), np.array([len(x) // 8 for x in raw], np.int64), token])
+        size += len(token)
+        if size > CHUNK:
+            yield chunk(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            held, size = [], 0
+    if size:
+        yield chunk(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, bool]]:
+    """The rows of each bucket, and whether these are all; those of one frequent token may come in pieces, each with the earliest of the last."""
+    held, size, now, whole = [], 0, None, True
     for batch in batches:
-        for i in range(0, batch.num_rows, 20_000):
-            b = batch.slice(i, 20_000)
-            raw = b["prefix"].to_pylist()
-            p = np.array([len(x) // 8 for x in raw], np.int64)
-            token = np.frombuffer(b"".join(raw), np.int64)
-            place = np.arange(len(token)) - np.repeat(np.cumsum(p) - p, p)
-            at = (np.repeat(b["n"].to_numpy().astype(np.int64), p) << 32) | place
-            copy, doc = (np.repeat(b[c].to_numpy(), p) for c in ("copy", "doc_id"))
-            yield pa.record_batch([pa.array(token), pa.array(copy), pa.array(doc), pa.array(at)], ["token", "copy", "doc", "at"])
+        bucket, rows = batch.column(0).to_numpy(), batch.column(1).cast(pa.large_binary())
+        _, offsets, data = rows.buffers()
+        offsets = np.frombuffer(offsets, np.int64, len(rows) + 1, rows.offset * 8) // 8
+        data = np.frombuffer(data, np.int64, offsets[-1])
+        cut = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]])
+        for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+            if hi > lo and bucket[lo] != now:
+                if held:
+                    yield np.concatenate(held), whole
+                held, size, now, whole = [], 0, bucket[lo], True
+            held.append(data[offsets[lo] : offsets[hi]].reshape(-1, 4))
+            size += len(held[-1])
+            if size > PIECE and now < 0:
+                rows, whole = np.concatenate(held), False
+                yield rows, whole
+                held, size = [rows[np.lexsort((rows[:, 1], rows[:, 2]))[:1]]], 1
+    if held:
+        yield np.concatenate(held), whole
 
 
 def _overlap(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
@@ -218,14 +278,22 @@ def _pair_batch(*cols: np.ndarray) -> pa.RecordBatch:
 
 def _candidates(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     """Pairs (a < b) of small groups; of larger ones pairs with the earliest, and each member (a = b, with token and at)."""
-    for (token, copy, doc, at), cut in groups(batches, PIECE, SMALL + 1):
+    for rows, whole in _buckets(batches):
+        if whole:  # most tokens stand alone
+            order = np.argsort(rows[:, 0])
+            same = np.diff(rows[order, 0]) == 0
+            rows = rows[order[np.append(same, False) | np.append(False, same)]]
+        rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+        rows = rows[np.append(True, np.any(rows[1:, :2] != rows[:-1, :2], axis=1))[: len(rows)]]
+        token, copy, doc, at = rows[np.lexsort((rows[:, 1], rows[:, 2], rows[:, 0]))].T.copy()
+        cut = np.append(np.flatnonzero(np.append(True, token[1:] != token[:-1])[: len(token)]), len(token))
         size = np.diff(cut)
         if not len(size):
             continue
         n, place = at >> 32, at & 0xFFFFFFFF
         group = np.repeat(np.arange(len(size)), size)
-        large = size[group] > SMALL
-        left, right = [], []
+        large = (size[group] > SMALL) | (not whole)
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]  # what only copies of one line share makes no pair
         for step in range(1, int(min(size.max(), SMALL))):  # pairs that lie so many rows apart in one small group
             x = np.flatnonzero((group[step:] == group[:-step]) & ~large[step:])
             left.append(x)
@@ -267,15 +335,19 @@ def _earlier(batches: Iterator[pa.RecordBatch], similarity: float, likeliest: bo
                 yield _pair_batch(np.minimum(a, b), np.maximum(a, b), zero, zero)
 
 
+SETS = "copy long, doc_id long, line int, shingles array<long>, bits binary"
+
+
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """(copy, shingles, bits) of the wanted lines of each text."""
+    """(copy, shingles, bits) of the wanted lines of each text, and where they stand."""
     for batch in batches:
-        for w in chosen_lines(batch["text"], batch["lines"].to_pylist()):
+        for rows, number, w in chosen_lines(batch["text"], batch["lines"].to_pylist()):
             _, token, n = _token_sets(w, k, None)
             copy = run_hash(w.hashes, w.first[:-1], w.first[1:], 3).view(np.int64)
             offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
             maps = _binary(_bits(token, n).ravel(), np.full(len(n), 4))
-            yield pa.record_batch([pa.array(copy), pa.ListArray.from_arrays(pa.array(offsets), pa.array(token)), maps], ["copy", "shingles", "bits"])
+            columns = [pa.array(copy), batch["doc_id"].take(pa.array(rows)), pa.array(number.astype(np.int32)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(token)), maps]
+            yield pa.record_batch(columns, ["copy", "doc_id", "line", "shingles", "bits"])
 
 
 def _matched(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -292,31 +364,37 @@ def find_repeated(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARIT
     """(doc_id, n_lines, removed): for each document its number of lines and the sorted numbers (from 0) to remove."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rarity = spark.sparkContext.broadcast(token_counts(docs, k))
+    counts, total = token_counts(docs, k)
+    rarity = spark.sparkContext.broadcast(counts)
+    buckets = max(parts, total // BUCKET)
+    often = int(_quarters(np.float64(PIECE + 8 * total / (1 << BITS))))  # cells of other tokens alone stay below that
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     lines = materialize(source.mapInArrow(lambda b: _lines(b, k, similarity, rarity), LINES), "lines")
     usable = F.col("copy").isNotNull() & F.col("doc_id").isNotNull()
-    copies = materialize(lines.where(usable).groupBy("copy").agg(F.min("doc_id").alias("doc_id")), "line-copies")
+    first = F.min(F.struct("doc_id", "line")).alias("at")
+    copies = lines.where(usable & F.col("first")).groupBy("copy").agg(first, F.count(F.lit(1)).alias("rows"))
+    copies = materialize(copies.select("copy", "at.doc_id", "at.line", "rows"), "line-copies")
 
-    long = lines.where(usable & F.col("first") & (F.octet_length("prefix") > 0))
-    reps = long.select("copy", "doc_id", "line", "n", "prefix").join(copies, ["copy", "doc_id"])
-    tokens = reps.dropDuplicates(["copy", "doc_id", "line"]).mapInArrow(_explode, "token long, copy long, doc long, at long")
-    dealt = tokens.repartition(parts, "token").sortWithinPartitions("token", "doc", "copy")
+    long = lines.where(usable & F.col("first") & (F.octet_length("prefix") > 0)).select("copy", "doc_id", "n", "prefix")
+    dealt = long.mapInArrow(lambda b: _dealt(b, buckets, often), DEALT).repartitionById(parts, F.pmod("bucket", F.lit(parts)).cast("int")).sortWithinPartitions("bucket")
     found = materialize(dealt.mapInArrow(lambda b: _candidates(b, similarity), PAIRS), "candidates")
     pairs = materialize(found.where("a <> b").select("a", "b").distinct(), "pairs")
-    hot = found.where("a = b").select("token", F.col("a").alias("copy"), "at").distinct()
+    hot = materialize(found.where("a = b").select("token", F.col("a").alias("copy"), "at").distinct(), "members")
 
-    compared = found.select(F.col("a").alias("copy")).unionByName(found.select(F.col("b").alias("copy"))).distinct()
-    place = lines.where(usable & F.col("first")).select("copy", "doc_id", "line").join(copies, ["copy", "doc_id"])
-    place = materialize(place.join(compared, "copy").groupBy("copy", "doc_id").agg(F.min("line").alias("line")), "compared")
+    compared = pairs.select(F.col("a").alias("copy")).unionByName(pairs.select(F.col("b").alias("copy"))).unionByName(hot.select("copy")).distinct()
+    place = materialize(copies.select("copy", "doc_id", "line").join(compared, "copy"), "compared")
     wanted = place.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))  # bounded by a document's lines
-    if place.count() <= BROADCAST_LINES:
+    n = place.count()
+    if n <= BROADCAST_LINES:
         wanted = F.broadcast(wanted)
-    sets = source.join(wanted, "doc_id").select("text", "lines").mapInArrow(lambda b: _sets(b, k), "copy long, shingles array<long>, bits binary")
-    sets = materialize(sets.join(place, "copy").dropDuplicates(["copy"]), "line-sets")
+    sets = source.join(wanted, "doc_id").select("doc_id", "text", "lines").mapInArrow(lambda b: _sets(b, k), SETS)
+    sets = materialize(sets, "line-sets")
+    old = [found, pairs, hot, place, sets]
+    if sets.count() > n:  # rows that share a doc_id
+        sets = materialize(sets.join(place, ["copy", "doc_id", "line"], "left_semi").dropDuplicates(["copy"]), "line-sets")
+        old.append(sets)
     matched = materialize(_matched(pairs, sets, similarity), "matched")
 
-    old = [found, pairs, place, sets]
     for likeliest in (True, False):
         free = hot.join(matched, "copy", "left_anti")
         if not free.limit(1).count():
@@ -335,18 +413,21 @@ def find_repeated(docs: DataFrame, k: int = WORDS, similarity: float = SIMILARIT
         dealt = blocks.unionByName(asked).repartition(parts, "part").sortWithinPartitions("part", "free", "doc_id", "copy")
         more = dealt.mapInArrow(lambda b, only=likeliest: _earlier(b, similarity, only), PAIRS).select("a", "b").distinct()
         more = materialize(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
-        matched = materialize(matched.unionByName(_matched(more, sets, similarity)).distinct(), "matched")
+        near = sets
+        if more.count() <= BROADCAST_LINES:
+            near = sets.join(F.broadcast(more.select(F.explode(F.array("a", "b")).alias("copy")).distinct()), "copy", "left_semi")
+        matched = materialize(matched.unionByName(_matched(more, near, similarity)).distinct(), "matched")
         pairs = pairs.unionByName(more)
         old.append(more)
 
-    fate = copies.withColumnRenamed("doc_id", "first_doc").join(matched.withColumn("hit", F.lit(True)), "copy", "left")
-    fate = materialize(fate, "fates")  # so that the join below may split a line of very many copies
+    fate = copies.join(matched.withColumn("hit", F.lit(True)), "copy", "left").where("hit or rows > 1")  # what stands once and unmatched stays
+    fate = materialize(fate.select("copy", F.col("doc_id").alias("first_doc"), "hit"), "fates")  # so that the join below may split a line of very many copies
     discard(copies, *old)
-    compared = lines.where(usable).select("doc_id", "line", "copy", "first").join(fate, "copy")
-    gone = F.coalesce("hit", F.lit(False)) | ~F.col("first") | (F.col("doc_id") != F.col("first_doc"))
+    compared = lines.where(usable).select("doc_id", "line", "copy", "first").join(fate, "copy", "left")
+    gone = F.coalesce("hit", F.lit(False)) | ~F.col("first") | F.coalesce(F.col("doc_id") != F.col("first_doc"), F.lit(False))
     judged = compared.where(gone).select("doc_id", "line").groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed"))
-    counts = lines.groupBy("doc_id").agg((F.max("line") + 1).cast("long").alias("n_lines"))
-    return counts.join(judged, "doc_id", "left").select("doc_id", "n_lines", F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+    sizes = lines.groupBy("doc_id").agg((F.max("line") + 1).cast("long").alias("n_lines"))
+    return sizes.join(judged, "doc_id", "left").select("doc_id", "n_lines", F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
 def _own_ids(rows: DataFrame) -> DataFrame:
